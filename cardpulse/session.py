@@ -58,3 +58,38 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         leaf = f"{leaf}-{uuid.uuid4().hex[:12]}"
     return f"{base}/cardpulse/{leaf}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cardpulse`` importable in Python workers (pandas UDFs, state).
+
+    On a cluster the package is shipped with ``--py-files``; when running
+    from a source checkout with a local checkpoint folder (tests, local
+    runs) it is zipped there once per application and added with
+    ``addPyFile``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    base = ensure_checkpoint_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        _SHIPPED.add(sc.applicationId)  # remote FS: rely on --py-files
+        return
+    local = base[len("file:"):] if base.startswith("file:") else base
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out_dir = os.path.join(local, "cardpulse", "pyfiles")
+    os.makedirs(out_dir, exist_ok=True)
+    target = os.path.join(out_dir, f"cardpulse-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

@@ -107,15 +107,22 @@ def city_of(city_id) -> Column:
     return F.element_at(F.array(*[F.lit(c[0]) for c in CITIES]), _c(city_id).cast("int") + 1)
 
 
+def _hash_coeffs(salt: int) -> tuple[int, int]:
+    return 7919 + 100003 * salt, 12345 + 104729 * salt
+
+
 def unit_hash(col, salt: int, modulus: int = 1_000_003) -> Column:
-    """Deterministic pseudo-uniform in [0, 1) from an integer id.
+    """Deterministic pseudo-uniform in [0, 1) from a non-negative integer id.
 
-    Plain modular arithmetic, so SQL engines compute the identical value;
-    ``modulus`` is prime and ids stay far below 2**63 / 7919.
+    ``((a_s * id + b_s) mod p) / p`` with a per-salt multiplier, so draws with
+    different salts are not shifts of each other.  Plain integer arithmetic:
+    SQL engines reproduce the value exactly (ids below 1e12 stay in range).
     """
+    a, b = _hash_coeffs(salt)
     x = _c(col).cast("bigint")
-    return F.pmod(x * F.lit(7919) + F.lit(salt * 104729 + 12345), F.lit(modulus)).cast("double") / F.lit(float(modulus))
+    return F.pmod(x * F.lit(a) + F.lit(b), F.lit(modulus)).cast("double") / F.lit(float(modulus))
 
 
 def unit_hash_sql(col: str, salt: int, modulus: int = 1_000_003) -> str:
-    return (f"(CAST((({col}) * 7919 + {salt * 104729 + 12345}) % {modulus} AS DOUBLE) / {float(modulus)})")
+    a, b = _hash_coeffs(salt)
+    return f"(CAST((({col}) * {a} + {b}) % {modulus} AS DOUBLE) / {float(modulus)})"

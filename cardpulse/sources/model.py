@@ -44,7 +44,7 @@ def model_category(col: str = "merchant_category"):
     return m[F.col(col)]
 
 
-def model_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def model_records(spark: SparkSession, sf_dir: str, keep_source: bool = False) -> DataFrame:
     """One 28-field message per adapter transaction; ``timestamp`` is an
     ISO-8601 string with the +05:30 offset, as the producer writes it."""
     from ..operators.enrich import with_device_channel
@@ -83,6 +83,7 @@ def model_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_fraud",
         F.lit(None).cast("string").alias("fraud_type"),
         F.lit(0.0).alias("fraud_confidence"),
+        *([F.col("transaction_id").alias("source_id"), F.col("ts").alias("source_ts")] if keep_source else []),
     )
     return rec
 

@@ -208,3 +208,33 @@ def plain_sequence_features(df: DataFrame, *, card="card_id", ts="ts", tid="tran
     for flag, attr in first_use.items():
         res[flag] = F.row_number().over(Window.partitionBy(card, attr).orderBy(_T, tid)) == 1
     return d.withColumns(res).select(*df.columns, _T, *res.keys())
+
+
+def last_n_rows(df: DataFrame, value: Column, *, n: int = 10, card: str = "card_id", ts: str = "ts",
+                tid: str = "transaction_id", bucket_us: int = HOUR_US, local_instant: bool = False) -> DataFrame:
+    """``history``: the card's previous ``n`` values of ``value`` (oldest
+    first), in ``(ts, tid)`` order; NULL for a card's first row.
+
+    Equal to ``collect_list(value) OVER (PARTITION BY card ORDER BY ts, tid
+    ROWS BETWEEN n PRECEDING AND 1 PRECEDING)`` but split by time bucket:
+    within a bucket each row collects at most ``n`` items; the context from
+    earlier buckets is the last ``n`` items over the per-bucket tails (at
+    most ``n`` rows per bucket), attached by a join on (card, bucket).
+    """
+    cols = df.columns
+    base = (df.withColumn(_T, epoch_micros(ts, local_instant))
+              .withColumn(_B, F.expr(f"{_T} div {bucket_us}"))
+              .withColumn("_v", value))
+    in_bucket = Window.partitionBy(card, _B).orderBy(_T, tid)
+    within = F.collect_list("_v").over(in_bucket.rowsBetween(-n, -1))
+    tails = (base.withColumn("_rk", F.row_number().over(
+                Window.partitionBy(card, _B).orderBy(F.col(_T).desc(), F.col(tid).desc())))
+             .filter(F.col("_rk") <= n).select(card, _B, _T, tid, "_v"))
+    ordered = Window.partitionBy(card).orderBy(_B, _T, tid)
+    ctx = (tails.withColumn("_ctx", F.collect_list("_v").over(ordered.rowsBetween(-n, -1)))
+           .withColumn("_first", F.row_number().over(Window.partitionBy(card, _B).orderBy(_T, tid)))
+           .filter(F.col("_first") == 1).select(card, _B, "_ctx"))
+    out = base.withColumn("_in", within).join(ctx, [card, _B], "left")
+    both = F.concat(F.coalesce(F.col("_ctx"), F.array()), F.col("_in"))
+    hist = F.slice(both, F.greatest(F.size(both) - n + 1, F.lit(1)), n)
+    return out.withColumn("history", F.when(F.size(both) > 0, hist)).select(*cols, "history")

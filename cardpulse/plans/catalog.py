@@ -539,3 +539,25 @@ def q_spend_trend(spark, sf):
 def q_rule_spend_trend(spark, sf):
     t = dash.spend_trend(_txn(spark, sf))
     return t.filter(F.col("weekly_slope") > F.lit(0.25) * F.col("avg_weekly_spend"))
+
+
+# ---------------------------------------------------------------------------
+# history list (W4) and the isolation forest
+# ---------------------------------------------------------------------------
+
+@register("last_n_history", "W4", with_feat("""
+SELECT transaction_id, card_id,
+       array_to_string(list(cents) OVER (PARTITION BY card_id ORDER BY ts, transaction_id
+                                         ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING), ',') AS history_cents
+FROM feat0"""))
+def q_last_n_history(spark, sf):
+    from ..operators.features import cents
+    from ..operators.timeline import last_n_rows
+    h = last_n_rows(_txn(spark, sf), cents(), n=10)
+    return h.select("transaction_id", "card_id", F.array_join(F.col("history"), ",").alias("history_cents"))
+
+
+@register("isolation_forest", "D6")
+def q_isolation_forest(spark, sf):
+    from ..operators.anomaly import isolation_forest
+    return isolation_forest(_txn(spark, sf))

@@ -454,8 +454,8 @@ def q_fraud_by_category_last_hour(spark, sf):
 @register("processing_stats", "A11 T9(batch)", with_txn("""
 SELECT COUNT(*) AS total_txns, CAST(SUM(CAST(is_fraud AS INTEGER)) AS BIGINT) AS fraud_txns,
        SUM(CAST(is_fraud AS INTEGER)) * 100e0 / greatest(COUNT(*), 1) AS fraud_pct,
-       date_diff('second', MIN(ts), MAX(ts)) AS duration_sec,
-       COUNT(*) / greatest(date_diff('second', MIN(ts), MAX(ts)), 1) AS txns_per_sec
+       (epoch_us(MAX(ts)) - epoch_us(MIN(ts))) // 1000000 AS duration_sec,
+       COUNT(*) / greatest((epoch_us(MAX(ts)) - epoch_us(MIN(ts))) // 1000000, 1) AS txns_per_sec
 FROM txn"""))
 def q_processing_stats(spark, sf):
     return dash.processing_stats(_txn(spark, sf))

@@ -51,7 +51,7 @@ def injected(spark, sf):
     return inject_fraud(model_records(spark, sf, keep_source=True))
 
 
-@register("inject_fraud", "D17 X5 X6 J5 J6 U2", with_txn(f"SELECT {', '.join(INJ_COLS)} FROM inj", INJ_CTE))
+@register("inject_fraud", "D17 J5 J6 J8 X6 X7", with_txn(f"SELECT {', '.join(INJ_COLS)} FROM inj", INJ_CTE))
 def q_inject_fraud(spark, sf):
     return injected(spark, sf).select(*INJ_COLS)
 

@@ -231,3 +231,42 @@ def q_stream_static_enrich(spark, sf):
 def q_stream_three_outputs(spark, sf):
     return jobs.stream_three_outputs(spark, sf).select(
         "transaction_id", "card_id", F.unix_micros("timestamp").alias("event_us"), "amount")
+
+
+# ---------------------------------------------------------------------------
+# amount expectations and bands
+# ---------------------------------------------------------------------------
+
+_CAT_RANGES = "(VALUES " + ", ".join(
+    f"('{c[0]}', {c[2]}, {c[3]})" for c in __import__("cardpulse.dimensions", fromlist=["x"]).MERCHANT_CATEGORIES
+) + ") AS r(merchant_category, amount_min, amount_max)"
+
+
+@register("amount_expectation", "X5 X6 F6 J3", with_model(f"""
+SELECT transaction_id, merchant_category, amount, expected_amount, amount_cap, amount > amount_cap AS above_cap,
+       CASE WHEN ratio IS NULL THEN NULL WHEN ratio < 0.15e0 THEN 'lt_0.15' WHEN ratio < 0.4e0 THEN '0.15_0.4'
+            WHEN ratio < 0.8e0 THEN '0.4_0.8' WHEN ratio <= 2.0e0 THEN '0.8_2.0' ELSE 'gt_2.0' END AS spend_band,
+       CASE WHEN amount < 50 THEN 'test_1_50' WHEN amount < 500 THEN 'small_50_500'
+            WHEN amount <= 2000 THEN 'mid_500_2000' ELSE 'large' END AS amount_band,
+       amount / NULLIF(CAST(card_limit AS DOUBLE), 0e0) AS limit_ratio
+FROM (SELECT m.*, sqrt(CAST(r.amount_min * r.amount_max AS DOUBLE)) * f AS expected_amount,
+             r.amount_max * f AS amount_cap, amount / NULLIF(CAST(avg_monthly_spend AS DOUBLE), 0e0) AS ratio
+      FROM (SELECT *, CASE WHEN monthly_income / 150000e0 > 2.0e0 THEN 2.0e0
+                           WHEN monthly_income / 150000e0 < 0.15e0 THEN 0.15e0
+                           ELSE monthly_income / 150000e0 END AS f FROM model) m
+      JOIN {_CAT_RANGES} ON m.merchant_category = r.merchant_category) x"""))
+def q_amount_expectation(spark, sf):
+    from .. import dimensions as dims
+    from ..functions import scalars as sc
+    m = model_records(spark, sf)
+    ranges = F.broadcast(dims.merchant_category_df(spark).select(
+        F.col("category").alias("merchant_category"), "amount_min", "amount_max"))
+    j = m.join(ranges, "merchant_category")
+    return j.select(
+        "transaction_id", "merchant_category", "amount",
+        sc.expected_amount("amount_min", "amount_max", "monthly_income").alias("expected_amount"),
+        sc.amount_cap("amount_max", "monthly_income").alias("amount_cap"),
+        (F.col("amount") > sc.amount_cap("amount_max", "monthly_income")).alias("above_cap"),
+        sc.spend_ratio_band("amount", "avg_monthly_spend").alias("spend_band"),
+        sc.absolute_amount_band("amount").alias("amount_band"),
+        sc.limit_ratio("amount", "card_limit").alias("limit_ratio"))

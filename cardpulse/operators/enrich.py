@@ -132,15 +132,20 @@ def impossible_travel_any(txn: DataFrame, km: float = 500.0, minutes: int = 30)
     w = minutes * MINUTE_US
     t = txn.select("transaction_id", "card_id", "ts", "lat", "lon",
                    epoch_micros("ts").alias("t_us")).withColumn("b", F.expr(f"t_us div {w}"))
-    places = (t.groupBy("card_id", "b", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    places = (t.groupBy("card_id", F.col("b").alias("pb"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
               .agg(F.min("t_us").alias("first_us"), F.max("t_us").alias("last_us")))
-    same = t.join(places, ["card_id", "b"]).filter(F.col("first_us") <= F.col("t_us"))
-    prev = (t.join(places.withColumn("b", F.col("b") + 1), ["card_id", "b"])
-            .filter(F.col("last_us") >= F.col("t_us") - F.lit(w)))
+    # each place is offered to its own bucket (used at or before t) and to the
+    # next one (last use within w before t): one equi-join on (card, bucket)
+    offered = places.withColumn("shift", F.explode(F.array(F.lit(0), F.lit(1)))) \
+                    .withColumn("b", F.col("pb") + F.col("shift"))
+    cond = F.when(F.col("shift") == 0, F.col("first_us") <= F.col("t_us")) \
+            .otherwise(F.col("last_us") >= F.col("t_us") - F.lit(w))
     d = haversine_km("p_lat", "p_lon", "lat", "lon", digits=None)
-    cand = same.unionByName(prev).withColumn("d", d).filter(F.col("d") > km)
-    return (cand.groupBy("transaction_id", "card_id", "ts")
-            .agg(F.round(F.max("d"), 2).alias("max_km_within_window")))
+    cand = t.join(offered, ["card_id", "b"]).filter(cond).withColumn("d", d).filter(F.col("d") > km)
+    # grouping keys include the join keys, so the join's partitioning is reused
+    return (cand.groupBy("card_id", "b", "transaction_id", "ts")
+            .agg(F.round(F.max("d"), 2).alias("max_km_within_window"))
+            .select("transaction_id", "card_id", "ts", "max_km_within_window"))
 
 
 def categories_not_preferred(spark: SparkSession, txn: DataFrame) -> DataFrame:        # U2

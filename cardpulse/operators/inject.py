@@ -76,8 +76,10 @@ def inject_fraud(df: DataFrame, *, rate: float = dims.FRAUD_RATE, id_col: str =
                  ts_col: str = "source_ts") -> DataFrame:
     """Rewrite ~``rate`` of the wire-format rows into labelled fraud.
 
-    Input: ``model_records(..., keep_source=True)``.  Output: same columns
-    plus ``complexity``; labels replaced by the injected ones.
+    Input: ``model_records(..., keep_source=True)`` or any frame with the
+    fields read below.  Output: the input columns (rewritten where the
+    pattern says so) plus the labels ``is_fraud``, ``fraud_type``,
+    ``fraud_confidence`` and ``complexity``.
     """
     seq = sequence_features(df, card="card_id", ts=ts_col, tid=id_col, previous=["city"])
     u = {s: unit_hash(id_col, s) for s in range(1, 12)}
@@ -141,7 +143,8 @@ def inject_fraud(df: DataFrame, *, rate: float = dims.FRAUD_RATE, id_col: str =
     out["fraud_type"] = F.when(F.col("_f"), t)
     out["fraud_confidence"] = F.when(F.col("_f"), conf).otherwise(F.lit(0.0))
     out["complexity"] = F.when(F.col("_f"), lvl)
-    return d.withColumns(out).select(*df.columns, "complexity")
+    labels = [c for c in ("is_fraud", "fraud_type", "fraud_confidence", "complexity") if c not in df.columns]
+    return d.withColumns(out).select(*df.columns, *labels)
 
 
 # ---------------------------------------------------------------------------

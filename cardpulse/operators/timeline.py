@@ -158,7 +158,9 @@ def sequence_features(
     offs["_o_prev"] = F.last(F.col("_s_last.v"), ignorenulls=True).over(before)
     offsets = per_bucket.select(card, _B, *[e.alias(n) for n, e in offs.items()])
 
-    out = u.join(offsets, [card, _B], "inner")
+    # every primary's bucket is in ``offsets`` (both come from ``base``); a
+    # left join lets Catalyst drop it when a query uses no offset column
+    out = u.join(offsets, [card, _B], "left")
     result = {}
     for (name, m) in zip(sums, m_names):
         for i, (suffix, _) in enumerate(frame_items, start=1):

@@ -89,19 +89,25 @@ def q_complexity_mix(spark, sf):
 
 def injected_txn(spark, sf):
     """Adapter-shaped transactions carrying the injected amounts, places,
-    merchants and labels, so the detectors can be scored per fraud type
-    (equi-join on the transaction id; no skew on a unique key)."""
-    t = transactions(spark, sf)
-    inj = injected(spark, sf).select(
-        F.col("source_id").alias("transaction_id"),
-        F.col("amount").alias("i_amount"), F.col("merchant_name").alias("i_merchant"),
-        F.col("location_lat").alias("i_lat"), F.col("location_lon").alias("i_lon"),
-        F.col("is_online").alias("i_online"), F.col("is_fraud").alias("i_fraud"), "fraud_type", "complexity")
-    override = {"amount": "i_amount", "merchant_name": "i_merchant", "lat": "i_lat", "lon": "i_lon",
-                "is_online": "i_online", "is_fraud": "i_fraud"}
-    j = t.join(inj, "transaction_id")
-    return j.select(*[F.col(override[c]).alias(c) if c in override else F.col(c) for c in t.columns],
-                    "fraud_type", "complexity")
+    merchants and labels, so the detectors can be scored per fraud type.
+
+    The wire fields the injection reads are derived from the same row (no
+    join back by id); the event type is kept aside and restored.
+    """
+    from ..functions.scalars import city_of
+    from ..operators.enrich import with_device_channel
+    from ..sources.model import model_category
+    t = with_device_channel(transactions(spark, sf)).withColumnRenamed("merchant_category", "event_type")
+    income = F.round((F.col("acctbal") + 1000) * 20).cast("int")
+    inp = t.select("*", model_category("event_type").alias("merchant_category"),
+                   city_of(F.col("geo") % 12).alias("city"),
+                   F.col("lat").alias("location_lat"), F.col("lon").alias("location_lon"),
+                   income.alias("monthly_income"), F.round(income * 0.3).cast("int").alias("avg_monthly_spend"),
+                   F.round(F.greatest(F.col("acctbal"), F.lit(0.0)) * 100).cast("int").alias("card_limit"))
+    inj = inject_fraud(inp, id_col="transaction_id", ts_col="ts")
+    cols = transactions(spark, sf).columns
+    rename = {"merchant_category": "event_type", "lat": "location_lat", "lon": "location_lon"}
+    return inj.select(*[F.col(rename.get(c, c)).alias(c) for c in cols], "fraud_type", "complexity")
 
 
 _INJ_TXN_SQL = f"""

@@ -22,16 +22,24 @@ def write_slices(env: DataFrame, out_dir: str, slices: int = 6, copies: int = 1,
     """Write ``env`` as ``slices`` equal event-time ranges, each ``copies``
     times (copies > 1 models at-least-once redelivery).
 
-    One write job per slice keeps the slice order in file modification
-    time; the slice boundaries come from one aggregate over the input.
+    The input is materialised once next to the replay folder (sorted by event
+    time inside each file, so Parquet row-group statistics let each slice
+    skip most of it); each slice is then cut from that copy by one small
+    write job, which keeps the slice order in file modification time for the
+    streaming file source.
     """
-    lo_hi = env.agg(F.unix_micros(F.min("timestamp")).alias("lo"),
-                    F.unix_micros(F.max("timestamp")).alias("hi")).first()
+    spark = env.sparkSession
+    staging = out_dir.rstrip("/") + "-staging"
+    env.sortWithinPartitions("timestamp").write.mode("overwrite").parquet(staging)
+    st = spark.read.parquet(staging)
+    lo_hi = st.agg(F.unix_micros(F.min("timestamp")).alias("lo"),
+                   F.unix_micros(F.max("timestamp")).alias("hi")).first()
     lo, hi = lo_hi["lo"], lo_hi["hi"] + 1
     width = -(-(hi - lo) // slices)
-    us = F.unix_micros("timestamp")
     for i in range(slices):
-        part = env.filter((us >= lo + i * width) & (us < lo + (i + 1) * width))
+        start = F.lit(lo + i * width).cast("bigint")
+        part = st.filter((F.col("timestamp") >= F.timestamp_micros(start))
+                         & (F.col("timestamp") < F.timestamp_micros(start + F.lit(width))))
         for c in range(copies):
             (part.coalesce(files_per_slice).write.mode("overwrite")
              .parquet(f"{out_dir}/slice={i:05d}-copy={c}"))

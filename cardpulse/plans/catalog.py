@@ -561,3 +561,23 @@ def q_last_n_history(spark, sf):
 def q_isolation_forest(spark, sf):
     from ..operators.anomaly import isolation_forest
     return isolation_forest(_txn(spark, sf))
+
+
+@register("sql_city_distance", "X1 (SQL function) §2.10", with_txn(f"""
+SELECT transaction_id, card_id, geo % 12 AS city_id,
+       {haversine_sql('CAST(8 + geo AS DOUBLE)', 'CAST(68 + 2 * (geo % 5) AS DOUBLE)', 'CAST(8 + home AS DOUBLE)',
+                      'CAST(68 + 2 * (home % 5) AS DOUBLE)')} AS km_from_home
+FROM txn"""))
+def q_sql_city_distance(spark, sf):
+    """The SQL-user path: Spark SQL text calling the registered
+    ``haversine_km`` SQL function over a per-query temp view."""
+    import uuid
+    from ..functions.geo import register_sql_functions
+    register_sql_functions(spark)
+    view = f"cardpulse_txn_{uuid.uuid4().hex[:8]}"
+    _txn(spark, sf).createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT transaction_id, card_id, geo % 12 AS city_id,
+               haversine_km(CAST(8 + geo AS DOUBLE), CAST(68 + 2 * (geo % 5) AS DOUBLE),
+                            CAST(8 + home AS DOUBLE), CAST(68 + 2 * (home % 5) AS DOUBLE)) AS km_from_home
+        FROM {view}""")

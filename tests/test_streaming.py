@@ -77,3 +77,13 @@ def test_quarantine_counts_pages(spark):
 def test_foreach_batch_outputs_idempotent(spark):
     raw = jobs.stream_three_outputs(spark, SF001)
     assert raw.count() == raw.select("transaction_id").distinct().count()
+
+
+def test_console_sink_runs(spark, capsys):
+    """The console sink prints appended rows; run once to completion."""
+    src = replay.replay_dir_for(spark, SF001)
+    q = (jobs.decoded_stream(spark, src).select("transaction_id", "amount").writeStream.format("console")
+         .option("checkpointLocation", shared_path(spark, "console")).option("numRows", 2)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.exception() is None and len(q.recentProgress) > 0

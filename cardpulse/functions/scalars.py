@@ -28,15 +28,20 @@ def clamp(x, lo, hi) -> Column:
 
 
 def epoch_micros(ts, local_instant: bool = False) -> Column:
-    """Microseconds since 1970 for a timestamp column, DST-free.
+    """Microseconds since 1970 for a timestamp column.
 
-    ``TIMESTAMP_NTZ`` (wall clock, the driver tables) is differenced against
-    the NTZ epoch; an instant (``TIMESTAMP``) uses ``unix_micros``.
+    ``TIMESTAMP_NTZ`` (wall clock, the driver tables) is converted from its
+    calendar fields (day number + time of day), so the result does not
+    depend on the session time zone or its daylight-saving changes; an
+    instant (``TIMESTAMP``) uses ``unix_micros``.
     """
     ts = _c(ts)
     if local_instant:
         return F.unix_micros(ts)
-    return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), ts)
+    day = F.unix_date(F.to_date(ts)).cast("bigint")
+    secs = F.extract(F.lit("SECOND"), ts)  # decimal(8,6): seconds with the fraction
+    return (day * F.lit(86_400_000_000) + F.hour(ts).cast("bigint") * F.lit(3_600_000_000)
+            + F.minute(ts).cast("bigint") * F.lit(60_000_000) + (secs * 1_000_000).cast("bigint"))
 
 
 def local_hour(ts, already_local: bool = True) -> Column:

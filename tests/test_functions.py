@@ -44,3 +44,16 @@ def test_card_label_and_micros(spark):
     r = df.select(card_label("c"), epoch_micros("t")).first()
     assert r[0] == "card_00042"
     assert r[1] == 1704067201500000
+
+
+def test_epoch_micros_ignores_session_time_zone(spark):
+    """Wall-clock differences stay exact across a DST change of the session zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 01:30:00.000001' AS a, TIMESTAMP_NTZ'2024-03-10 03:30:00' AS b")
+        r = df.select(epoch_micros("a").alias("a"), epoch_micros("b").alias("b")).first()
+        assert r.b - r.a == 2 * 3_600_000_000 - 1
+        assert r.b == 1710041400000000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -3,8 +3,11 @@
 Window functions over non-time orderings are rejected on streams, and a
 ``foreachBatch`` window only sees one micro-batch, so the per-card features
 are carried across batches in keyed state with
-``applyInPandasWithState``.  Per key and batch the handler is vectorised
-pandas/numpy (sort, shift, ``searchsorted``), no per-row Python loop.
+``applyInPandasWithState``.  Per key and batch the handler works on numpy
+arrays (one lexsort, shifted copies, ``searchsorted`` for the trailing
+counts); only the merchant-set membership walks the rows.  A key's rows in
+one micro-batch are bounded by the trigger's rate limit
+(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
 
 State per card: last transaction (time, id, lat, lon), the event times of
 the trailing 24 hours (enough for the 1 h and 24 h counts) and the set of
@@ -30,52 +33,58 @@ DAY_US = 24 * HOUR_US
 STATE_SCHEMA = ("last_t_us long, last_id string, last_lat double, last_lon double, "
                 "recent array<long>, merchants array<string>")
 OUTPUT_SCHEMA = ("transaction_id string, card_id string, t_us long, location_lat double, location_lon double, "
-                 "prev_t_us long, prev_lat double, prev_lon double, is_new_merchant boolean, "
+                 "prev_t_us double, prev_lat double, prev_lon double, is_new_merchant boolean, "
                  "transactions_last_1hr long, transactions_last_24hr long")
 
 
 def _card_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    pdf = pdf.sort_values(["t_us", "transaction_id"], kind="mergesort").reset_index(drop=True)
+    parts = list(pdfs)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    t0 = pdf["t_us"].to_numpy(dtype=np.int64)
+    ids0 = pdf["transaction_id"].to_numpy(dtype=object)
+    order = np.lexsort((ids0, t0))                      # by (t_us, transaction_id)
+    t, ids = t0[order], ids0[order]
+    lat = pdf["location_lat"].to_numpy(dtype=float)[order]
+    lon = pdf["location_lon"].to_numpy(dtype=float)[order]
+    merch = pdf["merchant_name"].to_numpy(dtype=object)[order]
     if state.exists:
-        last_t, last_id, last_lat, last_lon, recent, merchants = state.get
+        last_t, _, last_lat, last_lon, recent, merchants = state.get
         recent = np.asarray(recent if recent is not None else [], dtype=np.int64)
-        merchants = set(merchants or [])
+        seen = set(merchants or [])
     else:
-        last_t = last_id = last_lat = last_lon = None
-        recent = np.empty(0, dtype=np.int64)
-        merchants = set()
+        last_t, last_lat, last_lon = None, None, None
+        recent, seen = np.empty(0, dtype=np.int64), set()
 
-    t = pdf["t_us"].to_numpy(dtype=np.int64)
-    prev_t = pd.Series(t).shift(1)
-    prev_lat = pdf["location_lat"].shift(1)
-    prev_lon = pdf["location_lon"].shift(1)
-    if len(pdf):
-        prev_t.iloc[0] = last_t
-        prev_lat.iloc[0] = last_lat
-        prev_lon.iloc[0] = last_lon
-    new_m = ~pdf["merchant_name"].isin(merchants) & ~pdf["merchant_name"].duplicated()
+    n = len(t)
+    prev_t = np.empty(n, dtype=float)           # micros < 2**53: exact as double
+    prev_lat = np.empty(n, dtype=float)
+    prev_lon = np.empty(n, dtype=float)
+    prev_t[1:], prev_lat[1:], prev_lon[1:] = t[:-1], lat[:-1], lon[:-1]
+    prev_t[0] = np.nan if last_t is None else last_t
+    prev_lat[0] = np.nan if last_lat is None else last_lat
+    prev_lon[0] = np.nan if last_lon is None else last_lon
+    new_m = np.empty(n, dtype=bool)
+    for i, m in enumerate(merch):
+        new_m[i] = m not in seen
+        seen.add(m)
 
     times = np.sort(np.concatenate([recent, t]))
     upto = np.searchsorted(times, t, side="right")            # rows with time <= t (peers included)
     n1 = upto - np.searchsorted(times, t - HOUR_US, side="left")
     n24 = upto - np.searchsorted(times, t - DAY_US, side="left")
 
-    out = pd.DataFrame({
-        "transaction_id": pdf["transaction_id"], "card_id": pdf["card_id"], "t_us": t,
-        "location_lat": pdf["location_lat"], "location_lon": pdf["location_lon"],
-        "prev_t_us": prev_t.astype("Int64"), "prev_lat": prev_lat.astype("float64"),
-        "prev_lon": prev_lon.astype("float64"), "is_new_merchant": new_m.astype(bool),
+    if n:
+        keep = times[times >= times[-1] - DAY_US]
+        state.update((int(t[-1]), str(ids[-1]), float(lat[-1]), float(lon[-1]), keep.tolist(),
+                      sorted(x for x in seen if x is not None)))
+    # nullable columns so "no previous row" arrives in Spark as NULL, not NaN
+    prev_t, prev_lat, prev_lon = (pd.array(a, dtype="Float64") for a in (prev_t, prev_lat, prev_lon))
+    yield pd.DataFrame({
+        "transaction_id": ids, "card_id": pdf["card_id"].to_numpy(dtype=object)[order], "t_us": t,
+        "location_lat": lat, "location_lon": lon, "prev_t_us": prev_t, "prev_lat": prev_lat,
+        "prev_lon": prev_lon, "is_new_merchant": new_m,
         "transactions_last_1hr": n1.astype(np.int64), "transactions_last_24hr": n24.astype(np.int64),
     })
-    if len(pdf):
-        newest = int(times[-1])
-        keep = times[times >= newest - DAY_US]
-        merchants.update(pdf["merchant_name"].dropna().tolist())
-        tail = pdf.iloc[-1]
-        state.update((int(tail["t_us"]), str(tail["transaction_id"]), float(tail["location_lat"]),
-                      float(tail["location_lon"]), keep.tolist(), sorted(merchants)))
-    yield out
 
 
 def card_state_features(decoded: DataFrame) -> DataFrame:
@@ -89,6 +98,6 @@ def card_state_features(decoded: DataFrame) -> DataFrame:
         _card_state, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
     return st.select(
         "transaction_id", "card_id", "t_us",
-        ((F.col("t_us") - F.col("prev_t_us")) / F.lit(60_000_000.0)).alias("minutes_since_last_txn"),
+        ((F.col("t_us") - F.col("prev_t_us").cast("bigint")) / F.lit(60_000_000.0)).alias("minutes_since_last_txn"),
         haversine_km("prev_lat", "prev_lon", "location_lat", "location_lon").alias("distance_from_last_txn_km"),
         "is_new_merchant", "transactions_last_1hr", "transactions_last_24hr")

@@ -118,31 +118,56 @@ def invalid_channels(spark: SparkSession, txn: DataFrame) -> DataFrame:
             .select("transaction_id", "card_id", "device_type", "channel"))
 
 
-def impossible_travel_any(txn: DataFrame, km: float = 500.0, minutes: int = 30) -> DataFrame:  # J9
+def impossible_travel_any(txn: DataFrame, km: float = 500.0, minutes: int = 30,
+                          cell_deg: float = 1.0) -> DataFrame:                          # J9
     """Transactions with ANY earlier-or-simultaneous transaction of the same
-    card more than ``km`` away within ``minutes`` (not only the neighbour).
-
-    Interval self-join rewritten as an equi-join on ``(card, bucket)`` with
-    bucket = the interval width: candidates lie in the row's own bucket or
-    the one before.  The candidate side is first reduced to distinct
-    locations per (card, bucket) with their first/last use time, which is
-    all the interval test needs, so the join pairs rows with distinct places
-    rather than with every transaction, and a hot card is split by bucket.
+    card more than ``km`` away within ``minutes`` (not only the neighbour),
+    with the largest such distance.
+
+    The interval self-join is rewritten as equi-joins on ``(card, bucket)``
+    with bucket = the interval width: candidates lie in the row's own bucket
+    (used at or before t) or the previous one (last used within the
+    interval).  Candidates are reduced twice before any distance is taken:
+
+    1. to distinct places per (card, bucket) with first/last use time;
+    2. to grid cells (``cell_deg``) with the radius of their places around
+       the cell centre.  A cell can hold a far place only if
+       ``d(t, centre) + radius > km`` (triangle inequality), so exact
+       per-place distances are computed only inside such cells.
+
+    A card that stays within one region therefore produces no per-place
+    pairs at all; pairs appear only for cells that may be far away.
     """
     w = minutes * MINUTE_US
     t = txn.select("transaction_id", "card_id", "ts", "lat", "lon",
                    epoch_micros("ts").alias("t_us")).withColumn("b", F.expr(f"t_us div {w}"))
+    cell = lambda c: (F.floor(F.col(c) / cell_deg) + 0.5) * cell_deg  # noqa: E731  (cell centre)
     places = (t.groupBy("card_id", F.col("b").alias("pb"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
-              .agg(F.min("t_us").alias("first_us"), F.max("t_us").alias("last_us")))
-    # each place is offered to its own bucket (used at or before t) and to the
-    # next one (last use within w before t): one equi-join on (card, bucket)
-    offered = places.withColumn("shift", F.explode(F.array(F.lit(0), F.lit(1)))) \
-                    .withColumn("b", F.col("pb") + F.col("shift"))
-    cond = F.when(F.col("shift") == 0, F.col("first_us") <= F.col("t_us")) \
-            .otherwise(F.col("last_us") >= F.col("t_us") - F.lit(w))
+              .agg(F.min("t_us").alias("first_us"), F.max("t_us").alias("last_us"))
+              .withColumn("c_lat", cell("p_lat")).withColumn("c_lon", cell("p_lon")))
+    cells = (places.groupBy("card_id", "pb", "c_lat", "c_lon")
+             .agg(F.min("first_us").alias("c_first"), F.max("last_us").alias("c_last"),
+                  F.max(haversine_km("c_lat", "c_lon", "p_lat", "p_lon", digits=None)).alias("radius")))
+
+    # each cell / place is offered to its own bucket (used at or before t) and
+    # to the next one (last use within w before t)
+    def offer(df):
+        return df.withColumn("shift", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("b", F.col("pb") + F.col("shift"))
+
+    def in_window(first, last):
+        return (F.when(F.col("shift") == 0, F.col(first) <= F.col("t_us"))
+                .otherwise(F.col(last) >= F.col("t_us") - F.lit(w)))
+
+    far_cells = (t.join(offer(cells), ["card_id", "b"])
+                 .filter(in_window("c_first", "c_last"))
+                 .filter(haversine_km("c_lat", "c_lon", "lat", "lon", digits=None) + F.col("radius") > km)
+                 .select("transaction_id", "card_id", "ts", "lat", "lon", "t_us", "b", "shift", "c_lat", "c_lon"))
     d = haversine_km("p_lat", "p_lon", "lat", "lon", digits=None)
-    cand = t.join(offered, ["card_id", "b"]).filter(cond).withColumn("d", d).filter(F.col("d") > km)
-    # grouping keys include the join keys, so the join's partitioning is reused
+    cand = (far_cells.join(offer(places).select("card_id", "b", "shift", "c_lat", "c_lon", "p_lat", "p_lon",
+                                                "first_us", "last_us"),
+                           ["card_id", "b", "shift", "c_lat", "c_lon"])
+            .filter(in_window("first_us", "last_us"))
+            .withColumn("d", d).filter(F.col("d") > km))
     return (cand.groupBy("card_id", "b", "transaction_id", "ts")
             .agg(F.round(F.max("d"), 2).alias("max_km_within_window"))
             .select("transaction_id", "card_id", "ts", "max_km_within_window"))

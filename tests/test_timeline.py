@@ -72,3 +72,19 @@ def test_one_big_shuffle(spark):
     by_card_only = [ln for i, ln in enumerate(plan) if "Exchange hashpartitioning(card_id" in ln
                     and "_bkt" not in ln and "Union" in plan[i + 1]]
     assert not by_card_only
+
+
+def test_impossible_travel_any_equals_brute_force_on_hot_card(spark):
+    from cardpulse.functions.geo import haversine_km
+    from cardpulse.operators.enrich import impossible_travel_any
+    hot = _hot(spark)
+    got = {r.transaction_id: r.max_km_within_window for r in impossible_travel_any(hot).collect()}
+    a, b = hot.alias("a"), hot.alias("b")
+    pairs = a.join(b, (F.col("a.card_id") == F.col("b.card_id"))
+                   & (F.col("b.ts") >= F.col("a.ts") - F.expr("INTERVAL 30 MINUTES"))
+                   & (F.col("b.ts") <= F.col("a.ts")))
+    d = haversine_km("b.lat", "b.lon", "a.lat", "a.lon", digits=None)
+    ref = (pairs.select(F.col("a.transaction_id").alias("id"), d.alias("d")).filter(F.col("d") > 500)
+           .groupBy("id").agg(F.round(F.max("d"), 2).alias("m")))
+    want = {r.id: r.m for r in ref.collect()}
+    assert got == want and len(got) > 0

@@ -107,10 +107,11 @@ def taxonomy_drift(spark: SparkSession, labelled: DataFrame) -> DataFrame:
     j = cfg.join(obs, "fraud_type", "left").withColumn("observed", F.coalesce("observed", F.lit(0)))
     n = F.sum("observed").over(total)
     expected = F.col("configured_share") * n
+    # ANSI mode raises on x / 0: a table without fraud gives NULL shares instead
     return j.select("fraud_type", "configured_share", "observed",
-                    (F.col("observed") / n).alias("observed_share"),
+                    (F.col("observed") / F.nullif(n, F.lit(0))).alias("observed_share"),
                     expected.alias("expected"),
-                    (F.pow(F.col("observed") - expected, 2) / expected).alias("chi2_term"))
+                    (F.pow(F.col("observed") - expected, 2) / F.nullif(expected, F.lit(0.0))).alias("chi2_term"))
 
 
 def hourly_volume_vs_expected(spark: SparkSession, txn: DataFrame) -> DataFrame:        # A16

@@ -67,8 +67,9 @@ _TYPE_VALUES = "(VALUES " + ", ".join(f"('{n}', {w!r}e0)" for n, w in dims.FRAUD
 
 
 @register("taxonomy_drift", "A15", with_txn(f"""
-SELECT fraud_type, configured_share, observed, observed / n AS observed_share, configured_share * n AS expected,
-       pow(observed - configured_share * n, 2) / (configured_share * n) AS chi2_term
+SELECT fraud_type, configured_share, observed, observed / NULLIF(n, 0) AS observed_share,
+       configured_share * n AS expected,
+       pow(observed - configured_share * n, 2) / NULLIF(configured_share * n, 0) AS chi2_term
 FROM (SELECT c.fraud_type, c.configured_share, COALESCE(o.observed, 0) AS observed,
              SUM(COALESCE(o.observed, 0)) OVER () AS n
       FROM {_TYPE_VALUES} LEFT JOIN (SELECT fraud_type, COUNT(*) AS observed FROM inj WHERE is_fraud

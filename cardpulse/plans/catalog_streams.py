@@ -227,6 +227,17 @@ def q_stream_static_enrich(spark, sf):
     return jobs.stream_static_enrich(spark, sf)
 
 
+@register("stream_hourly_join", "J1 (stream-stream) T3", with_model(f"""
+SELECT m.transaction_id, m.card_id, w.window_start_us, m.amount, w.txns_in_hour, w.cents / 100e0 AS spend_in_hour
+FROM (SELECT *, event_us - event_us % 3600000000 AS ws FROM model) m
+JOIN (SELECT card_id, event_us - event_us % 3600000000 AS window_start_us, COUNT(*) AS txns_in_hour,
+             SUM(CAST(round(amount * 100) AS BIGINT)) AS cents
+      FROM model GROUP BY 1, 2) w ON m.card_id = w.card_id AND m.ws = w.window_start_us
+WHERE w.window_start_us + 3600000000 <= {_END}"""))
+def q_stream_hourly_join(spark, sf):
+    return jobs.stream_hourly_join(spark, sf)
+
+
 @register("stream_three_outputs", "S9 S8", with_model("SELECT transaction_id, card_id, event_us, amount FROM model"))
 def q_stream_three_outputs(spark, sf):
     return jobs.stream_three_outputs(spark, sf).select(

@@ -176,6 +176,25 @@ def stream_static_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def stream_hourly_join(spark: SparkSession, sf_dir: str) -> DataFrame:                 # J1 (stream form)
+    """Stream-stream join: each transaction joined to its card's tumbling
+    hourly aggregate on (card, hour window).  Both sides carry the 30-minute
+    watermark; a row is emitted once its hour has closed."""
+    src = replay.replay_dir_for(spark, sf_dir)
+    out = _out(spark, "hourly_join")
+    ev = decoded_stream(spark, src).select("transaction_id", "card_id", "timestamp", "amount")
+    agg = (decoded_stream(spark, src).groupBy(F.window("timestamp", "1 hour").alias("w"), "card_id")
+           .agg(F.count(F.lit(1)).alias("txns_in_hour"),
+                F.sum(F.round(F.col("amount") * 100).cast("bigint")).alias("cents_in_hour"))
+           .select(F.col("card_id").alias("a_card"), F.col("w.start").alias("ws"), F.col("w.end").alias("we"),
+                   "txns_in_hour", "cents_in_hour"))
+    j = ev.join(agg, (ev.card_id == agg.a_card) & (F.date_trunc("hour", ev.timestamp) == agg.ws)
+                & (ev.timestamp >= agg.ws) & (ev.timestamp < agg.we))
+    run(j.select("transaction_id", "card_id", F.unix_micros("ws").alias("window_start_us"), "amount",
+                 "txns_in_hour", (F.col("cents_in_hour") / 100.0).alias("spend_in_hour")), out)
+    return spark.read.parquet(out)
+
+
 def stream_three_outputs(spark: SparkSession, sf_dir: str, table: str = "raw_transactions",
                          alert_amount: float = 150.0) -> DataFrame:                   # S8 S9
     src = replay.replay_dir_for(spark, sf_dir)

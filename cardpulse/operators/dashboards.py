@@ -84,9 +84,13 @@ def cards_per_device(txn: DataFrame, min_cards: int = 1) -> DataFrame:
 
 
 def balance_segment(col: str = "c_acctbal"):
+    """Income band of a customer from its balance (``dims.BALANCE_BANDS``)."""
     c = F.col(col)
-    return (F.when(c < 0, "student").when(c < 3000, "low_income")
-            .when(c < 7500, "mid_income").otherwise("high_income"))
+    expr = None
+    for name, lo, hi in dims.BALANCE_BANDS:
+        cond = (c < hi) if hi is not None else F.lit(True)
+        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
+    return expr
 
 
 def profile_segments(spark: SparkSession, customers: DataFrame) -> DataFrame:          # A14

@@ -13,7 +13,7 @@ from ..sources.model import model_records
 from ..sources.tables import transactions
 from .catalog import _quality, register
 from .catalog_streams import CITY_LIST
-from .oracle_sql import FEAT_CTE, RULE_SQL, TXN_COLS, with_txn
+from .oracle_sql import FEAT_CTE, RULE_SQL, with_txn
 
 INJ_SRC_TEMPLATE = """
 inj_src AS (

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.rules import flag_amount_3x  # noqa: F401  (rules used by the alert sink)
 from ..schemas import TRANSACTION_SCHEMA
 from ..session import shared_path
 from ..sources import kafka

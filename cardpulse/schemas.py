@@ -50,10 +50,3 @@ ENVELOPE_SCHEMA = StructType([
     StructField("offset", LongType(), True),
     StructField("timestamp", TimestampType(), True),
 ])
-
-# The adapter's flat transaction row built from the driver tables.
-TXN_COLUMNS = (
-    "transaction_id", "ts", "card_id", "amount", "merchant_category", "k",
-    "merchant_name", "home", "geo", "acctbal", "segment", "lat", "lon",
-    "is_online", "device_id", "is_fraud",
-)

@@ -36,7 +36,6 @@ from ..schemas import TRANSACTION_SCHEMA
 from .tables import read_table, transactions
 
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"}
-IST_OFFSET_US = 19_800_000_000  # +05:30
 
 
 def model_category(col: str = "merchant_category"):

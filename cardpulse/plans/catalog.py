@@ -171,9 +171,9 @@ def q_rule_velocity(spark, sf):
 
 @register("rule_test_then_big", "D7 J10", with_txn("""
 SELECT transaction_id, card_id, ts, amount, small_before FROM (
-  SELECT *, SUM(CASE WHEN amount >= 1 AND amount <= 5 THEN 1 ELSE 0 END)
+  SELECT *, CAST(SUM(CASE WHEN amount >= 1 AND amount <= 5 THEN 1 ELSE 0 END)
               OVER (PARTITION BY card_id ORDER BY ts
-                    RANGE BETWEEN INTERVAL 60 MINUTE PRECEDING AND CURRENT ROW) AS small_before
+                    RANGE BETWEEN INTERVAL 60 MINUTE PRECEDING AND CURRENT ROW) AS BIGINT) AS small_before
   FROM txn) v WHERE amount >= 150 AND small_before > 0"""))
 def q_rule_test_then_big(spark, sf):
     # published: 50-200 then >= 20,000; driver amounts are 0-300, so 1-5 then >= 150

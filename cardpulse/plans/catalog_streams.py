@@ -37,7 +37,7 @@ model AS (
          CAST(round((k % 4) * CAST(round((acctbal + 1000) * 20) AS INTEGER) * 0.05e0) AS INTEGER) AS total_emi_amount,
          CASE WHEN card_id % 7 = 0 THEN CAST(card_id % 60 + 1 AS INTEGER) ELSE 0 END AS months_since_last_default,
          CAST(round(greatest(acctbal, 0) * 100) AS INTEGER) AS card_limit,
-         round(5 + k % 81, 1) AS credit_utilization_pct,
+         round(CAST(5 + k % 81 AS DOUBLE), 1) AS credit_utilization_pct,
          segment, home
   FROM txn
 )"""
@@ -156,7 +156,7 @@ def q_stream_decoded(spark, sf):
 
 @register("stream_quarantine", "S14", """
 SELECT 'page_' || CAST(page_id AS VARCHAR) AS key, 'missing transaction_id,timestamp,card_id,amount' AS reason,
-       length(html) AS raw_chars FROM pages""")
+       CAST(length(html) AS INTEGER) AS raw_chars FROM pages""")
 def q_stream_quarantine(spark, sf):
     return jobs.stream_quarantine(spark, sf).select("key", "reason", "raw_chars")
 

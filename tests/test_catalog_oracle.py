@@ -9,6 +9,8 @@ from .helpers import canon
 
 Q = entry.queries()
 SQL = entry.oracle_sql()
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 
 
 def test_every_oracle_has_a_query():
@@ -23,6 +25,11 @@ def test_query_matches_oracle(spark, duck, name):
     if name not in SQL:
         assert len(cols) > 0
         return
+    rel = duck.sql(SQL[name])
+    dtypes = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in df.schema.fields}
+    assert stypes == dtypes
     res = duck.execute(SQL[name])
     dcols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(dcols)

@@ -40,16 +40,24 @@ def write_slices(env: DataFrame, out_dir: str, slices: int = 6, copies: int = 1,
         start = F.lit(lo + i * width).cast("bigint")
         part = st.filter((F.col("timestamp") >= F.timestamp_micros(start))
                          & (F.col("timestamp") < F.timestamp_micros(start + F.lit(width))))
+        # exactly ``files_per_slice`` files per slice (round-robin), so a
+        # trigger of that many files reads one whole slice
+        part = part.repartition(files_per_slice) if files_per_slice > 1 else part.coalesce(1)
         for c in range(copies):
-            (part.coalesce(files_per_slice).write.mode("overwrite")
-             .parquet(f"{out_dir}/slice={i:05d}-copy={c}"))
+            part.write.mode("overwrite").parquet(f"{out_dir}/slice={i:05d}-copy={c}")
+    _FILES_PER_SLICE[out_dir] = files_per_slice
     return out_dir
 
 
-def read_stream(spark: SparkSession, replay_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The replay as a streaming DataFrame with the broker envelope columns."""
+_FILES_PER_SLICE: dict[str, int] = {}
+
+
+def read_stream(spark: SparkSession, replay_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The replay as a streaming DataFrame with the broker envelope columns,
+    one slice per micro-batch."""
+    files = max_files_per_trigger or _FILES_PER_SLICE.get(replay_dir, 1)
     return (spark.readStream.schema(REPLAY_SCHEMA)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("maxFilesPerTrigger", files)
             .parquet(f"{replay_dir}/*/*.parquet"))
 
 
@@ -67,7 +75,8 @@ def replay_dir_for(spark: SparkSession, sf_dir: str, slices: int = 6, copies: in
     key = (spark.sparkContext.applicationId, sf_dir, slices, copies, with_junk)
     if key not in _CACHE:
         out = shared_path(spark, "replay", f"s{slices}c{copies}")
-        write_slices(envelopes(spark, sf_dir, with_junk), out, slices, copies)
+        files = max(1, spark.sparkContext.defaultParallelism)
+        write_slices(envelopes(spark, sf_dir, with_junk), out, slices, copies, files_per_slice=files)
         _CACHE[key] = out
     return _CACHE[key]
 

@@ -35,6 +35,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a scan that yields far fewer partitions than the cluster
+    can run (a small input stored as one file and one row group, which
+    Parquet cannot split).  Inputs that already split into at least half
+    the default parallelism are returned unchanged, so at scale this adds
+    no exchange."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= target:
+        return df.repartition(target)
+    return df
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events ⋈ customer → flat transaction rows (see module doc).
 
@@ -42,7 +54,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     its measured size is under the broadcast threshold and otherwise plans a
     sort-merge join (AQE splits a hot user_id on the events side).
     """
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     base = ev.join(cu, ev.user_id == cu.c_custkey, "inner").select(
         F.col("event_id").alias("transaction_id"),

@@ -23,7 +23,8 @@ def build_session(app_name: str = "cardpulse", master: str | None = None,
     """Return a session; ``master`` / partitions only matter for local runs."""
     builder = SparkSession.builder.appName(app_name)
     if master:
-        builder = builder.master(master)
+        # local mode: the driver JVM is the executor; give it a real heap
+        builder = builder.master(master).config("spark.driver.memory", os.environ.get("CARDPULSE_DRIVER_MEMORY", "12g"))
     for key, value in _LOCAL_DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:

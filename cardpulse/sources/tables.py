@@ -41,10 +41,12 @@ def spread(df: DataFrame) -> DataFrame:
     Parquet cannot split).  Inputs that already split into at least half
     the default parallelism are returned unchanged, so at scale this adds
     no exchange."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
+    except Exception:  # noqa: BLE001  (e.g. a Connect session has no RDD API)
+        return df
+    return df.repartition(target) if splits * 2 <= target else df
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -195,6 +195,16 @@ def q_stream_card_state(spark, sf):
         "transactions_last_1hr", "transactions_last_24hr")
 
 
+@register("stream_card_state_minutes", "T5 (minute-indexed transformWithState)", with_feat("""
+SELECT printf('txn_%012x', transaction_id) AS transaction_id, printf('card_%05d', card_id) AS card_id,
+       minutes_since_last_txn, distance_from_last_txn_km, is_new_merchant,
+       transactions_last_1hr, transactions_last_24hr FROM feat"""))
+def q_stream_card_state_minutes(spark, sf):
+    return jobs.stream_card_state(spark, sf, minute_state=True).select(
+        "transaction_id", "card_id", "minutes_since_last_txn", "distance_from_last_txn_km", "is_new_merchant",
+        "transactions_last_1hr", "transactions_last_24hr")
+
+
 @register("stream_dedup", "T6", with_model("SELECT transaction_id, card_id, event_us, amount FROM model"))
 def q_stream_dedup(spark, sf):
     return jobs.stream_dedup(spark, sf).select(

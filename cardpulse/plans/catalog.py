@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import dimensions as dims
 from ..operators import dashboards as dash
 from ..operators import enrich, rules
 from ..operators.features import card_features
@@ -479,7 +480,7 @@ def q_profile_segments(spark, sf):
 
 
 _HOURLY_VALUES = "(VALUES " + ", ".join(
-    f"({h}, {m}e0)" for h, m in enumerate(__import__("cardpulse.dimensions", fromlist=["x"]).HOURLY_MULTIPLIERS)
+    f"({h}, {m}e0)" for h, m in enumerate(dims.HOURLY_MULTIPLIERS)
 ) + ") AS c(hour, multiplier)"
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import dimensions as dims
 from ..schemas import TRANSACTION_SCHEMA
 from ..session import shared_path
 from ..sources import kafka
@@ -258,7 +259,7 @@ def q_stream_three_outputs(spark, sf):
 # ---------------------------------------------------------------------------
 
 _CAT_RANGES = "(VALUES " + ", ".join(
-    f"('{c[0]}', {c[2]}, {c[3]})" for c in __import__("cardpulse.dimensions", fromlist=["x"]).MERCHANT_CATEGORIES
+    f"('{c[0]}', {c[2]}, {c[3]})" for c in dims.MERCHANT_CATEGORIES
 ) + ") AS r(merchant_category, amount_min, amount_max)"
 
 
@@ -276,7 +277,6 @@ FROM (SELECT m.*, sqrt(CAST(r.amount_min * r.amount_max AS DOUBLE)) * f AS expec
                            ELSE monthly_income / 150000e0 END AS f FROM model) m
       JOIN {_CAT_RANGES} ON m.merchant_category = r.merchant_category) x"""))
 def q_amount_expectation(spark, sf):
-    from .. import dimensions as dims
     from ..functions import scalars as sc
     m = model_records(spark, sf)
     ranges = F.broadcast(dims.merchant_category_df(spark).select(

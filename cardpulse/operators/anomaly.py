@@ -83,10 +83,11 @@ def _grow(tree_id: int, x: np.ndarray, max_depth: int, seed: int) -> list[tuple]
     return [tuple(n) for n in nodes]
 
 
-def train(txn: DataFrame, n_trees: int = 100, psi: int = 256, seed: int = 7) -> DataFrame:
+def train(txn: DataFrame, n_trees: int = 100, psi: int = 256, seed: int = 7,
+          features: DataFrame | None = None) -> DataFrame:
     """Forest as a node table (``TREE_SCHEMA``), trained on normal rows."""
     ship_package(txn.sparkSession)
-    feats = feature_frame(txn).filter(~F.col("is_fraud"))
+    feats = (features if features is not None else feature_frame(txn)).filter(~F.col("is_fraud"))
     n = feats.count()
     p = min(1.0, 2.0 * psi / max(n, 1))
     depth = int(math.ceil(math.log2(psi)))
@@ -106,7 +107,8 @@ def train(txn: DataFrame, n_trees: int = 100, psi: int = 256, seed: int = 7) ->
     return member.groupBy("tree_id").applyInPandas(grow, TREE_SCHEMA)
 
 
-def score(txn: DataFrame, forest_pdf: pd.DataFrame, psi: int = 256, threshold: float = 0.6) -> DataFrame:
+def score(txn: DataFrame, forest_pdf: pd.DataFrame, psi: int = 256, threshold: float = 0.6,
+          features: DataFrame | None = None) -> DataFrame:
     """Anomaly score per transaction with a broadcast (bounded) forest."""
     spark = txn.sparkSession
     ship_package(spark)
@@ -141,12 +143,23 @@ def score(txn: DataFrame, forest_pdf: pd.DataFrame, psi: int = 256, threshold: f
             yield pd.DataFrame({"transaction_id": pdf["transaction_id"], "card_id": pdf["card_id"],
                                 "is_fraud": pdf["is_fraud"], "anomaly_score": s, "is_outlier": s > threshold})
 
-    feats = feature_frame(txn)
+    feats = features if features is not None else feature_frame(txn)
     return feats.mapInPandas(run, "transaction_id long, card_id long, is_fraud boolean, "
                                   "anomaly_score double, is_outlier boolean")
 
 
 def isolation_forest(txn: DataFrame, n_trees: int = 100, psi: int = 256, seed: int = 7,
                      threshold: float = 0.6) -> DataFrame:
-    forest = train(txn, n_trees, psi, seed).toPandas()  # ≤ n_trees·(2ψ−1) rows
-    return score(txn, forest, psi, threshold)
+    """Train on normal rows and score every row.
+
+    The feature table is written once to the shared checkpoint folder and
+    read by both passes, so the per-card feature shuffle runs once and the
+    scoring lineage starts at that table.
+    """
+    from ..session import shared_path
+    spark = txn.sparkSession
+    path = shared_path(spark, "iforest-features")
+    feature_frame(txn).write.mode("overwrite").parquet(path)
+    feats = spark.read.parquet(path)
+    forest = train(txn, n_trees, psi, seed, features=feats).toPandas()  # ≤ n_trees·(2ψ−1) rows
+    return score(txn, forest, psi, threshold, features=feats)

@@ -29,6 +29,28 @@ def decoded_stream(spark: SparkSession, replay_dir: str, watermark: str | None =
     return d.withWatermark("timestamp", watermark) if watermark else d
 
 
+def start(writer, spark: SparkSession):
+    """``writer.start()`` with a state-partition count that suits the session.
+
+    A stateful query fixes its number of state partitions from
+    ``spark.sql.shuffle.partitions`` when it first starts (and keeps it in
+    the checkpoint).  On a local master a default of 200 would mean 200 state
+    stores per micro-batch on a handful of cores, so the query is started
+    with at most twice the core count; cluster sessions keep their setting.
+    """
+    sc = spark.sparkContext
+    key = "spark.sql.shuffle.partitions"
+    current = spark.conf.get(key)
+    target = 2 * sc.defaultParallelism
+    if not sc.master.startswith("local") or int(current) <= target:
+        return writer.start()
+    spark.conf.set(key, str(target))
+    try:
+        return writer.start()   # the running query keeps the value it started with
+    finally:
+        spark.conf.set(key, current)
+
+
 def run(df: DataFrame, out: str, *, mode: str = "append", fmt: str = "parquet", name: str | None = None,
         checkpoint: str | None = None, available_now: bool = True, foreach_batch=None):
     """Start a query, wait for it to drain, return the finished query."""
@@ -40,7 +62,7 @@ def run(df: DataFrame, out: str, *, mode: str = "append", fmt: str = "parquet",
     else:
         w = w.format(fmt).option("path", out)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{TRIGGER_SECONDS} seconds")
-    q = w.start()
+    q = start(w, df.sparkSession)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -131,9 +153,9 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = replay.replay_dir_for(spark, sf_dir, with_junk=False)
     out = _out(spark, "restart")
     ckpt = out + "-ckpt"
-    q = (decoded_stream(spark, src).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).outputMode("append")
-         .trigger(processingTime="1 second").start())
+    q = start(decoded_stream(spark, src).writeStream.format("parquet").option("path", out)
+              .option("checkpointLocation", ckpt).outputMode("append")
+              .trigger(processingTime="1 second"), spark)
     deadline = time.time() + 120
     while time.time() < deadline and not any(p.get("numInputRows", 0) > 0 for p in q.recentProgress):
         time.sleep(0.2)

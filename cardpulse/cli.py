@@ -48,7 +48,7 @@ def _stream(args) -> None:
             w.format("parquet").option("path", f"{args.out}/{name}")
         w = w.trigger(availableNow=True) if args.available_now else \
             w.trigger(processingTime=f"{args.trigger_seconds} seconds")
-        queries.append(w.start())
+        queries.append(jobs.start(w, spark))
     for q in queries:
         q.awaitTermination()
 

@@ -37,3 +37,26 @@ def test_first_use_flags_count_distinct_pairs(spark):
     f = card_features(t, windows=[], averages=[], baseline=False, previous=False)
     assert f.filter("is_new_merchant").count() == t.select("card_id", "merchant_name").distinct().count()
     assert f.filter("is_new_device").count() == t.select("card_id", "device_id").distinct().count()
+
+
+@settings(max_examples=4, deadline=None)
+@given(grid_min=st.sampled_from([30, 60, 1440]), cards=st.sampled_from([1, 3, 50]),
+       bucket_min=st.sampled_from([10, 60]))
+def test_engine_exact_on_grid_snapped_times(spark, grid_min, cards, bucket_min):
+    """Timestamps of the driver table snapped to a coarse grid: many rows sit
+    exactly on bucket edges and exactly one frame width apart (RANGE frames
+    include t − w) — the engine must still equal the plain windows."""
+    from cardpulse.operators.timeline import MINUTE_US, plain_sequence_features, sequence_features
+    from .conftest import SF001
+    from .helpers import same_rows
+    t = transactions(spark, SF001)
+    snapped = (t.withColumn("ts", F.expr(f"timestampadd(MINUTE, -(hour(ts) * 60 + minute(ts)) % {grid_min}, "
+                                         "date_trunc('minute', ts))"))
+                .withColumn("card_id", F.col("card_id") % cards))
+    kw = dict(frames={"a": 60 * MINUTE_US, "b": 1440 * MINUTE_US},
+              sums={"n": F.lit(1).cast("bigint"), "c": F.round(F.col("amount") * 100).cast("bigint")},
+              prior={"c": F.round(F.col("amount") * 100).cast("bigint")}, previous=["lat"],
+              first_use={"nm": "merchant_name"})
+    ok, a, b = same_rows(sequence_features(snapped, bucket_us=bucket_min * MINUTE_US, **kw),
+                         plain_sequence_features(snapped, **kw))
+    assert ok and a == b

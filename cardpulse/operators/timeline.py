@@ -98,8 +98,10 @@ def sequence_features(
     shifted_sql = f"({_T} + element_at(array(0L{''.join(f', {w}L' for _, w in frame_items)}), {_KIND} + 1))"
     carried = [c for c in cols if c != card]
     u = (base.withColumn(_KIND, F.explode(F.array(*[F.lit(i) for i in range(len(frame_items) + 1)])))
-         .select(card, *[F.when(kind == 0, F.col(c)).alias(c) for c in carried],
-                 _T, *m_names, *p_names, _KIND,
+         # tails carry only what their running sums need (key, position,
+         # frame measures): everything else is NULL to keep the shuffle narrow
+         .select(card, *[F.when(kind == 0, F.col(c)).alias(c) for c in carried + [_T] + p_names],
+                 *m_names, _KIND,
                  F.expr(f"{shifted_sql} div {bucket_us}").alias(_B),
                  (shifted_t * 2 + F.when(kind == 0, 0).otherwise(1)).alias(_POS),
                  F.lit(0).alias(_BITS)))

@@ -87,3 +87,28 @@ def test_console_sink_runs(spark, capsys):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert q.exception() is None and len(q.recentProgress) > 0
+
+
+def test_card_state_late_row_uses_current_state(spark):
+    """A row arriving after later events of its card is scored against the
+    state as it is (its 'previous' is the card's latest event); the state is
+    not rewound (SURVEY §7.3 point 6: the batch job is the reference)."""
+    from cardpulse.session import ship_package
+    from cardpulse.streaming.state import card_state_features
+    ship_package(spark)
+    env = envelopes(spark, SF001, with_junk=False)
+    d = shared_path(spark, "late-state")
+    replay.write_slices(env, d, slices=2)
+    first = env.orderBy("timestamp").limit(1)
+    late = first.withColumn("value", F.encode(F.regexp_replace(
+        F.col("value").cast("string"), '"transaction_id":"[^"]*"', '"transaction_id":"late_2"'), "UTF-8"))
+    late.coalesce(1).write.parquet(f"{d}/slice=99999-copy=0")
+    out = shared_path(spark, "late-state-out")
+    jobs.run(card_state_features(jobs.decoded_stream(spark, d)), out)
+    res = spark.read.parquet(out)
+    row = res.filter(F.col("transaction_id") == "late_2").first()
+    card_last = res.filter((F.col("card_id") == row.card_id) & (F.col("transaction_id") != "late_2")) \
+                   .agg(F.max("t_us")).first()[0]
+    assert row.minutes_since_last_txn is not None
+    assert abs(row.t_us - round(row.minutes_since_last_txn * 60_000_000) - card_last) <= 1
+    assert row.minutes_since_last_txn < 0          # previous is later than the late row

@@ -23,3 +23,16 @@ def test_stream_replay_to_parquet(spark):
     bad = spark.read.parquet(f"{out}/quarantine")
     assert feats.count() > 0 and bad.count() > 0
     assert "impossible_travel" in feats.columns
+
+
+def test_batch_job_tables(spark):
+    from pyspark.sql import functions as F
+    import __spark_entry__ as entry
+    out = shared_path(spark, "cli-batch")
+    cli.main(["batch", "--sf-dir", SF001, "--out", out])
+    enriched = spark.read.parquet(f"{out}/enriched_transactions")
+    alerts = spark.read.parquet(f"{out}/fraud_alerts")
+    stats = spark.read.parquet(f"{out}/processing_stats").first()
+    assert enriched.count() == stats.total_txns
+    assert alerts.count() == entry.queries()["alerts_union"](spark, SF001).count()
+    assert "event_date" in enriched.columns and enriched.select(F.countDistinct("event_date")).first()[0] > 1

@@ -130,10 +130,18 @@ def stream_card_state(spark: SparkSession, sf_dir: str, minute_state: bool = Fal
     src = replay.replay_dir_for(spark, sf_dir)
     out = _out(spark, "card_state_min" if minute_state else "card_state")
     key = "spark.sql.streaming.stateStore.providerClass"
-    if not spark.conf.get(key, None):
-        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    feats = card_state_features_tws if minute_state else card_state_features
-    run(feats(decoded_stream(spark, src)), out)
+    rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    previous = spark.conf.get(key, None)
+    if minute_state or not previous:
+        # transformWithState needs the RocksDB store; the keyed pandas state
+        # uses it too unless the session chose another provider
+        spark.conf.set(key, rocks)
+    try:
+        feats = card_state_features_tws if minute_state else card_state_features
+        run(feats(decoded_stream(spark, src)), out)
+    finally:
+        if minute_state and previous and previous != rocks:
+            spark.conf.set(key, previous)
     return spark.read.parquet(out)
 
 

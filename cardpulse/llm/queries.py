@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardpulse.llm import simhash
+from cardpulse.llm import mixing, pii, simhash
 from cardpulse.llm.common import table
 from cardpulse.session import ensure_checkpoint_dir
 
@@ -26,3 +26,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @query
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_pii_anchor_expansion(spark, sf_dir):
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_pareto_mixing(spark, sf_dir):
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))

@@ -1,0 +1,73 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from cardpulse.llm import pii
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def brute(text):
+    spans = []
+    for k, (kind, pattern) in enumerate(BASE.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = [c for c in m.group() if c.isdigit()]
+            if kind == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == "card" and not (14 <= len(digits) <= 19 and pii.luhn("".join(digits))):
+                continue
+            if kind == "phone" and not 10 <= len(digits) <= 15:
+                continue
+            spans.append((m.start(), k, m.end()))
+    return sorted(spans)
+
+
+def base_only(text):
+    return [s for s in pii.find(text, pii.automaton()) if s[1] < 4]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_base_spans_equal_the_patterns(seed):
+    rnd = random.Random(seed)
+    alphabet = ["a", "B", "é", "日", "1", "2", "55", "0", ".", "..", "-", " ", "  ", "+", "@", "%", "_", "(", ")", "\n", "255", "256.1", "4111 1111 1111 1111", "+1 (555) 123-4567", "x@y.zz"]
+    for _ in range(3000):
+        text = "".join(rnd.choice(alphabet) for _ in range(rnd.randrange(0, 30)))
+        assert base_only(text) == brute(text), repr(text)
+
+
+def test_known_values_and_added_kinds():
+    text = 'mail a.b+c@ex-1.org. ip 10.0.0.255, 4111-1111-1111-1111; +49 (30) 1234567 see https://h.example/x?y=1. token = "57f17a56c9" IBAN: DE89 3704 0044 0532 0130 00 passport no. X1234567'
+    got = [(pii.KINDS[k], text[s:e]) for s, k, e in pii.find(text, pii.automaton())]
+    assert ("email", "a.b+c@ex-1.org") in got and ("ip", "10.0.0.255") in got and ("card", "4111-1111-1111-1111") in got
+    assert ("url", "https://h.example/x?y=1") in got and ("secret", "57f17a56c9") in got
+    assert ("iban", "DE89 3704 0044 0532 0130 00") in got and ("account", "X1234567") in got and ("phone", "+49 (30) 1234567") in got
+    clean = "The tokens of account holders and a secretary; passwordless 1 + 2."
+    assert pii.find(clean, pii.automaton()) == []
+
+
+def test_scan_edge_rows(spark):
+    long = ("word " * 200_000) + "z@q.io " + "9" * 100_000
+    rows = [(1, None, "s", 5, "x"), (2, "", None, 0, "x"), (None, "a@b.cd", "s", 6, "x"), (3, "a@b.cd", "s", 6, None), (3, "a@b.cd", "s", 6, None), (4, long, "s", 1, "x"), (5, "日@a.b é x@y.z 1.2.3.4", "s", 1, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, spans string")
+    got = pii.scan(df).collect()
+    assert sorted(map(repr, ((r.doc_id, r.base_sha256) for r in got))) == sorted(
+        map(repr, ((r[0], hashlib.sha256(pii.joined(brute(r[1])).encode()).hexdigest()) for r in rows)))
+    assert {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in got}[5] == (1, 1, 0, 0)
+    assert pii.scan(df.limit(0)).count() == 0
+
+
+def test_redacted_keeps_columns(spark):
+    rows = [(1, None, "s", None, "x"), (2, "call +1 555 123 4567 or a@b.cd now", "s", 34, "keep"), (3, "clean", None, 99, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, redacted string")
+    out = pii.redacted(df)
+    assert out.columns == df.columns and out.schema["n_chars"].dataType == df.schema["n_chars"].dataType
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[2].text == "call [PHONE] or [EMAIL] now" and got[2].n_chars == len(got[2].text) and got[2].redacted == "keep"
+    assert got[1].text is None and got[3].text == "clean" and got[3].n_chars == 99

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardpulse.llm import mixing, pii, simhash
+from cardpulse.llm import mixing, packing, pii, simhash, token_files
 from cardpulse.llm.common import table
 from cardpulse.session import ensure_checkpoint_dir
 
@@ -36,3 +36,13 @@ def op4_pii_anchor_expansion(spark, sf_dir):
 @query
 def op8_pareto_mixing(spark, sf_dir):
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_orc_token_ids(spark, sf_dir):
+    return token_files.encoded_index(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_pattern_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardpulse.llm import mixing, packing, pii, simhash, token_files
+from cardpulse.llm import mixing, packing, pii, simhash, token_files, toxicity
 from cardpulse.llm.common import table
 from cardpulse.session import ensure_checkpoint_dir
 
@@ -46,3 +46,9 @@ def op5_orc_token_ids(spark, sf_dir):
 @query
 def op7_pattern_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_kneser_ney_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardpulse.llm import mixing, packing, pii, simhash, token_files, toxicity
+from cardpulse.llm import language, mixing, packing, pii, quality, simhash, token_files, toxicity
 from cardpulse.llm.common import table
 from cardpulse.session import ensure_checkpoint_dir
 
@@ -52,3 +52,15 @@ def op7_pattern_packing(spark, sf_dir):
 def op6_kneser_ney_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op2_fm_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_string_kernel_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs))

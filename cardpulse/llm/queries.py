@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardpulse.llm import language, mixing, packing, pii, quality, simhash, token_files, toxicity
+from cardpulse.llm import language, mixing, packing, pii, quality, simhash, token_files, topk, toxicity
 from cardpulse.llm.common import table
 from cardpulse.session import ensure_checkpoint_dir
 
@@ -64,3 +64,25 @@ def op2_fm_quality(spark, sf_dir):
 def op10_string_kernel_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.train(docs))
+
+
+@query
+def op1_segment_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op1_segment_topk"] = """
+WITH usable AS (
+    SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardpulse.llm import language, mixing, packing, pii, quality, simhash, token_files, topk, toxicity
+from cardpulse.llm import fingerprints, language, mixing, packing, pii, quality, simhash, token_files, topk, toxicity
 from cardpulse.llm.common import table
 from cardpulse.session import ensure_checkpoint_dir
 
@@ -86,3 +86,8 @@ WITH usable AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op3_imatch_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))

@@ -1,15 +1,26 @@
-"""Corpus preparation: the stages, in order, over ``documents``."""
+"""Corpus preparation: five stages over ``documents``, each calling one operator.
+
+Toxic documents go, one document of each near-duplicate group stays, personal
+data is masked, sources are mixed to their target weights and what is left is
+packed into sequences.  A stage works on all rows that the stage before kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpulse.llm import simhash
+from cardpulse.llm import mixing, packing, pii, simhash, toxicity
 from cardpulse.llm.common import staged, table
 from cardpulse.session import ensure_checkpoint_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the class-conditional language models score as toxic go; the models learn from all labelled ``docs``."""
+    ensure_checkpoint_dir(spark)
+    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: the one with the smallest doc_id.
 
@@ -17,20 +28,44 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     be named by a component and stay.
     """
     ensure_checkpoint_dir(spark)
-    found = simhash.near_duplicates(docs)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
+    keep = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
-STAGES = [("near_dedup", near_dedup)]
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every span of personal data in a text becomes its kind in brackets."""
+    ensure_checkpoint_dir(spark)
+    return pii.redacted(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    ensure_checkpoint_dir(spark)
+    return mixing.mixed(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every piece of every document goes: its sequence and place there."""
+    ensure_checkpoint_dir(spark)
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", near_dedup),
+    ("pii", mask_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
-#: Toxicity, SimHash, PII parsing, random ordering and packing are not SQL.
+#: Trained scores, fingerprints, parsers, random order and packing are not SQL;
+#: the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written and read back for the next."""
+    """All stages over ``documents``; each stage's rows are written to the shared folder and read back for the next."""
     ensure_checkpoint_dir(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:

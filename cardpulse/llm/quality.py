@@ -32,7 +32,8 @@ RANK = 8
 TRAIN_ROWS = 6_000
 #: At most so many distinct words of a training row enter the fit; scores use all.
 TRAIN_WORDS = 1_000
-EPOCHS = 6
+#: Passes over the sample, more of them for a small one: at least MIN_UPDATES steps.
+EPOCHS, MIN_UPDATES = 6, 600
 BATCH = 64
 
 _UPPER, _LOWER, _DIGIT, _SPACE, _MARK = range(5)
@@ -122,7 +123,7 @@ def fit(stats: np.ndarray, words: list[np.ndarray], y: np.ndarray, seed: int = 3
     share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
     g_bias, g_linear, g_factors = 1e-8, np.full(size, 1e-8), np.full((size, RANK), 1e-8)
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-MIN_UPDATES * BATCH // len(y)))):
         order = rng.permutation(len(y))
         for begin in range(0, len(y), BATCH):
             rows = order[begin:begin + BATCH]

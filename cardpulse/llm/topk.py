@@ -160,7 +160,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, query_block: int = QU
         if not len(rows):
             continue
         dims = rows["v"].map(len)
-        queries = {int(d): (rows["vec_id"][dims == d].to_numpy(np.int64), np.array(rows["v"][dims == d].tolist(), float).reshape(-1, int(d))) for d in set(dims)}
+        queries = {int(d): (rows["vec_id"][dims == d].to_numpy(np.int64), np.array(rows["v"][dims == d].tolist(), float).reshape(int((dims == d).sum()), int(d))) for d in set(dims)}
         hits.append(staged(_block_hits(usable, queries, k), "topk-hits"))
     if not hits:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")

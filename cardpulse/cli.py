@@ -67,7 +67,8 @@ def _batch(args) -> None:
     from .sources.tables import transactions
     spark = build_session(args.app_name, master=args.master)
     out = args.out.rstrip("/")
-    enriched = rules.all_flags(transactions(spark, args.sf_dir)).withColumn("event_date", F.to_date("ts"))
+    flags = rules.rule_set(odd_hour_amount=args.odd_hour_amount)
+    enriched = rules.all_flags(transactions(spark, args.sf_dir), flags).withColumn("event_date", F.to_date("ts"))
     enriched.write.mode("overwrite").partitionBy("event_date").parquet(f"{out}/enriched_transactions")
     table = spark.read.parquet(f"{out}/enriched_transactions")
     alert_rows(table).write.mode("overwrite").parquet(f"{out}/fraud_alerts")
@@ -88,7 +89,9 @@ def _publish(args) -> None:
     if args.count:
         recs = recs.orderBy("timestamp", "transaction_id").limit(args.count)
     if args.mode == "local":
-        recs.select(F.to_json(F.struct(*recs.columns)).alias("message")).show(args.count or 20, truncate=False)
+        # partition by partition, so printing all messages holds one partition at a time
+        for row in recs.select(F.to_json(F.struct(*recs.columns)).alias("message")).toLocalIterator():
+            print(row["message"])
     elif args.mode == "csv":
         sinks.write_csv(recs, args.out)
     elif args.mode == "json":
@@ -122,6 +125,7 @@ def main(argv=None) -> None:
     b = sub.add_parser("batch")
     b.add_argument("--sf-dir", required=True)
     b.add_argument("--out", required=True)
+    b.add_argument("--odd-hour-amount", type=float, default=500.0)
     b.set_defaults(fn=_batch)
 
     g = sub.add_parser("publish")

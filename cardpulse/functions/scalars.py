@@ -97,37 +97,19 @@ def card_label(card_id) -> Column:
     return F.format_string("card_%05d", _c(card_id).cast("bigint"))
 
 
-def hex_id(prefix: str, *cols, length: int = 12) -> Column:
-    """Deterministic hex id: prefix + first ``length`` hex chars of sha2."""
-    payload = F.concat_ws("|", *[_c(c).cast("string") for c in cols])
-    return F.concat(F.lit(prefix), F.substring(F.sha2(payload, 256), 1, length))
-
-
-def utf8_bytes(x) -> Column:
-    return F.encode(_c(x).cast("string"), "UTF-8")
-
-
 def city_of(city_id) -> Column:
     """City name for a 0-based city index (fixed 12-entry list)."""
     return F.element_at(F.array(*[F.lit(c[0]) for c in CITIES]), _c(city_id).cast("int") + 1)
 
 
-def _hash_coeffs(salt: int) -> tuple[int, int]:
-    return 7919 + 100003 * salt, 12345 + 104729 * salt
-
-
-def unit_hash(col, salt: int, modulus: int = 1_000_003) -> Column:
-    """Deterministic pseudo-uniform in [0, 1) from a non-negative integer id.
-
-    ``((a_s * id + b_s) mod p) / p`` with a per-salt multiplier, so draws with
-    different salts are not shifts of each other.  Plain integer arithmetic:
-    SQL engines reproduce the value exactly (ids below 1e12 stay in range).
-    """
-    a, b = _hash_coeffs(salt)
-    x = _c(col).cast("bigint")
-    return F.pmod(x * F.lit(a) + F.lit(b), F.lit(modulus)).cast("double") / F.lit(float(modulus))
+def unit_hash(col, salt: int) -> Column:
+    """Deterministic pseudo-uniform in [0, 1) from an id: the first 13 hex
+    digits (52 bits, exact in a double) of ``md5(id|salt)``.  Draws with
+    different salts are independent whatever the id range, and any SQL engine
+    reproduces the value.  NULL for a NULL id."""
+    digest = F.md5(F.concat(_c(col).cast("string"), F.lit(f"|{salt}")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
 
 
-def unit_hash_sql(col: str, salt: int, modulus: int = 1_000_003) -> str:
-    a, b = _hash_coeffs(salt)
-    return f"(CAST((({col}) * {a} + {b}) % {modulus} AS DOUBLE) / {float(modulus)})"
+def unit_hash_sql(col: str, salt: int) -> str:
+    return f"(CAST(CAST('0x' || substr(md5(CAST({col} AS VARCHAR) || '|{salt}'), 1, 13) AS BIGINT) AS DOUBLE) / {float(1 << 52)})"

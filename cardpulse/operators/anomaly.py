@@ -83,6 +83,12 @@ def _grow(tree_id: int, x: np.ndarray, max_depth: int, seed: int) -> list[tuple]
     return [tuple(n) for n in nodes]
 
 
+def member_draw(id_col: str, tree, seed: int):
+    """Uniform of a (row, tree) pair from 53 bits of a 64-bit hash, so shares far
+    below one in a million are met and trees draw independently."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), tree, F.col(id_col)), 11).cast("double") / F.lit(float(1 << 53))
+
+
 def train(txn: DataFrame, n_trees: int = 100, psi: int = 256, seed: int = 7,
           features: DataFrame | None = None) -> DataFrame:
     """Forest as a node table (``TREE_SCHEMA``), trained on normal rows."""
@@ -91,9 +97,7 @@ def train(txn: DataFrame, n_trees: int = 100, psi: int = 256, seed: int = 7,
     n = feats.count()
     p = min(1.0, 2.0 * psi / max(n, 1))
     depth = int(math.ceil(math.log2(psi)))
-    # per (row, tree) draw: ((a_t * id + b) mod P) / P with a_t depending on the tree
-    draw = lambda t: (F.pmod(F.col("transaction_id") * (F.lit(7919) + t * 100003) + F.lit(seed * 104729 + 12345),
-                             F.lit(1_000_003)).cast("double") / F.lit(1_000_003.0))
+    draw = lambda t: member_draw("transaction_id", t, seed)
     trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: draw(t) < F.lit(p))
     member = (feats.select(*FEATURES, "transaction_id", F.explode(trees).alias("tree_id"))
               .withColumn("u", draw(F.col("tree_id"))))

@@ -9,11 +9,11 @@ local with amount > 500; z > 3).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..dimensions import SEGMENT_PREFERRED
-from ..functions.scalars import local_hour
+from ..functions.scalars import epoch_micros, local_hour
 from .features import card_features
 from .timeline import HOUR_US, MINUTE_US, sequence_features
 
@@ -105,46 +105,74 @@ def rule_test_then_big(txn: DataFrame, small_lo: float = 50.0, small_hi: float =
             .select(*ALERT_COLUMNS, F.col("small_w").alias("small_before")))
 
 
-def card_testing_windows(txn: DataFrame, small_max: float = 50.0, window: str = "1 hour",
-                         slide: str = "10 minutes") -> DataFrame:  # A12 / D9 support
-    """Per card and sliding window: small-amount count and distinct merchants.
+def card_testing_counts(txn: DataFrame, small_max: float = 50.0, within_minutes: int = 60) -> DataFrame:  # A12 / D9 support
+    """Per small payment: small payments and distinct merchants of its card in
+    ``[t - within, t]``, peers at ``t`` included.
 
-    A plain grouped aggregation (each row lands in window/slide windows), so
-    partial aggregation absorbs a hot card; distinct merchants are counted
-    after a (card, window, merchant) pre-aggregation.
+    A payment repeats its merchant while the merchant's previous small payment
+    is inside the frame, that is from its own time until the previous one
+    leaves; distinct merchants = payments - repeats.  Both are sums of +1 / -1
+    steps on the card's time line, so a running sum answers them: per
+    (card, frame-wide bucket) inside, plus the sum of all earlier buckets from
+    a small per-bucket aggregate.  No pairs are built and a hot card is split
+    by its buckets.
     """
-    small = txn.filter(F.col("amount") <= small_max)
-    per_merchant = (small.groupBy("card_id", F.window("ts", window, slide).alias("w"), "merchant_name")
-                    .agg(F.count(F.lit(1)).alias("n")))
-    return (per_merchant.groupBy("card_id", "w")
-            .agg(F.sum("n").alias("small_txns"), F.count(F.lit(1)).alias("distinct_merchants"))
-            .select("card_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "small_txns", "distinct_merchants"))
+    w = within_minutes * MINUTE_US
+    small = (txn.filter(F.col("amount") <= small_max)
+             .select(*ALERT_COLUMNS, "merchant_name", epoch_micros("ts").alias("t_us")))
+    own = Window.partitionBy("card_id", "merchant_name").orderBy("t_us", "transaction_id")
+    small = small.withColumn("before", F.lag("t_us").over(own))
+    again = F.col("t_us") - F.col("before") <= w
+    gone = F.col("t_us") + F.lit(w + 1)          # first instant at which t is out of the frame
+    steps = F.array(
+        F.struct(F.col("t_us").alias("at"), F.lit(1).alias("n"), F.when(again, 1).otherwise(0).alias("r"), F.lit(True).alias("asks")),
+        F.struct(gone.alias("at"), F.lit(-1).alias("n"), F.lit(0).alias("r"), F.lit(False).alias("asks")),
+        F.when(again, F.struct((F.col("before") + F.lit(w + 1)).alias("at"), F.lit(0).alias("n"), F.lit(-1).alias("r"),
+                               F.lit(False).alias("asks"))))
+    line = (small.select(*ALERT_COLUMNS, F.explode(steps).alias("s")).filter("s is not null")
+            .select(*ALERT_COLUMNS, "s.*").withColumn("bucket", F.floor(F.col("at") / F.lit(w))))
+    earlier = Window.partitionBy("card_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = (line.groupBy("card_id", "bucket").agg(F.sum("n").alias("n"), F.sum("r").alias("r"))
+            .select("card_id", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"),
+                    F.coalesce(F.sum("r").over(earlier), F.lit(0)).alias("r0")))
+    upto = Window.partitionBy("card_id", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    run = line.withColumn("n1", F.sum("n").over(upto)).withColumn("r1", F.sum("r").over(upto)).filter("asks")
+    found = run.join(base, ["card_id", "bucket"])
+    count = F.col("n0") + F.col("n1")
+    return found.select(*ALERT_COLUMNS, count.alias("small_txns"),
+                        (count - F.col("r0") - F.col("r1")).alias("distinct_merchants"))
 
 
 def rule_card_testing(txn: DataFrame, min_txns: int = 5, small_max: float = 50.0,
-                      window: str = "1 hour", slide: str = "10 minutes") -> DataFrame:  # D9
-    w = card_testing_windows(txn, small_max, window, slide)
-    return w.filter((F.col("small_txns") >= min_txns) & (F.col("distinct_merchants") >= min_txns))
+                      within_minutes: int = 60) -> DataFrame:  # D9
+    """Small payments that are at least the ``min_txns``-th, at as many merchants, within the trailing frame."""
+    c = card_testing_counts(txn, small_max, within_minutes)
+    return c.filter((F.col("small_txns") >= min_txns) & (F.col("distinct_merchants") >= min_txns))
+
+
+def rule_set(odd_hour_amount: float = 500.0) -> dict:
+    """Row-predicate detectors at the published thresholds; a lower amount
+    suits tables whose amounts are small."""
+    return {
+        "amount_3x": flag_amount_3x,
+        "impossible_travel": flag_impossible_travel,
+        "odd_hour": lambda f: flag_odd_hour(f, amount=odd_hour_amount),
+        "zscore": flag_zscore,
+        "near_limit": flag_near_limit,
+        "new_device_high_value": flag_new_device_high_value,
+        "unusual_geo": flag_unusual_geo,
+        "high_value_category": flag_high_value_category,
+        "spend_spike": flag_spend_spike,
+    }
 
 
-RULES = {
-    "amount_3x": lambda f: flag_amount_3x(f),
-    "impossible_travel": lambda f: flag_impossible_travel(f),
-    "odd_hour": lambda f: flag_odd_hour(f, amount=100.0),
-    "zscore": lambda f: flag_zscore(f),
-    "near_limit": lambda f: flag_near_limit(f),
-    "new_device_high_value": lambda f: flag_new_device_high_value(f),
-    "unusual_geo": lambda f: flag_unusual_geo(f),
-    "high_value_category": lambda f: flag_high_value_category(f),
-    "spend_spike": lambda f: flag_spend_spike(f),
-}
+RULES = rule_set()
 
 
-def all_flags(txn: DataFrame) -> DataFrame:
+def all_flags(txn: DataFrame, rules: dict = RULES) -> DataFrame:
     """Feature rows plus one boolean per rule and their sum."""
     f = card_features(txn)
-    flags = {f"flag_{k}": fn(f) for k, fn in RULES.items()}
+    flags = {f"flag_{k}": fn(f) for k, fn in rules.items()}
     f = f.withColumns(flags)
     score = sum((F.col(c).cast("int") for c in flags), F.lit(0))
     return f.withColumn("signal_count", score)

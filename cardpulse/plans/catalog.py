@@ -145,7 +145,7 @@ def _rule_query(name, ids, rule_key, *evidence):
     @register(name, ids, with_feat(f"SELECT {_ALERT}{ev} FROM feat WHERE {RULE_SQL[rule_key]}"))
     def _q(spark, sf):
         f = card_features(_txn(spark, sf))
-        return f.filter(rules.RULES[rule_key](f)).select(*_ALERT.split(", "), *evidence)
+        return f.filter(RULES[rule_key](f)).select(*_ALERT.split(", "), *evidence)
     return _q
 
 
@@ -181,36 +181,30 @@ def q_rule_test_then_big(spark, sf):
     return rules.rule_test_then_big(_txn(spark, sf), small_lo=1.0, small_hi=5.0, big=150.0, within_minutes=60)
 
 
-_WINDOWS_SQL = """
-win AS (
-  SELECT card_id, merchant_name, ws AS window_start, ws + INTERVAL 1 HOUR AS window_end
-  FROM (SELECT card_id, merchant_name, ts,
-               time_bucket(INTERVAL 10 MINUTE, ts) - INTERVAL 10 MINUTE * g AS ws
-        FROM txn, range(0, 6) r(g) WHERE amount <= {small}) x
-  WHERE ts >= ws AND ts < ws + INTERVAL 1 HOUR
-),
-cw AS (
-  SELECT card_id, window_start, window_end, CAST(COUNT(*) AS BIGINT) AS small_txns,
-         COUNT(DISTINCT merchant_name) AS distinct_merchants
-  FROM win GROUP BY card_id, window_start, window_end
+_TRAILING_SQL = """
+tested AS (
+  SELECT t.transaction_id, t.card_id, t.ts, t.amount, COUNT(*) AS small_txns,
+         COUNT(DISTINCT e.merchant_name) AS distinct_merchants
+  FROM txn t JOIN txn e ON e.card_id = t.card_id AND e.amount <= 50
+                       AND e.ts >= t.ts - INTERVAL 1 HOUR AND e.ts <= t.ts
+  WHERE t.amount <= 50 GROUP BY 1, 2, 3, 4
 )"""
 
 
-@register("distinct_merchants_window", "A12",
-          with_txn("SELECT card_id, window_start, window_end, small_txns, distinct_merchants FROM cw",
-                   _WINDOWS_SQL.format(small=50)))
+@register("distinct_merchants_window", "A12", with_txn("SELECT * FROM tested", _TRAILING_SQL))
 def q_distinct_merchants_window(spark, sf):
-    return rules.card_testing_windows(_txn(spark, sf), small_max=50.0)
+    return rules.card_testing_counts(_txn(spark, sf), small_max=50.0)
 
 
 @register("rule_card_testing", "D9 A1 A12",
-          with_txn("SELECT card_id, window_start, window_end, small_txns, distinct_merchants FROM cw "
-                   "WHERE small_txns >= 2 AND distinct_merchants >= 2", _WINDOWS_SQL.format(small=50)))
+          with_txn("SELECT * FROM tested WHERE small_txns >= 2 AND distinct_merchants >= 2", _TRAILING_SQL))
 def q_rule_card_testing(spark, sf):
     # published: >= 5 small at different merchants in an hour; data max is 2-3
     return rules.rule_card_testing(_txn(spark, sf), min_txns=2, small_max=50.0)
 
 
+# driver amounts are small: the odd-hour rule starts at 100 here instead of 500
+RULES = rules.rule_set(odd_hour_amount=100.0)
 _FLAG_SQL = ", ".join(f"{v} AS flag_{k}" for k, v in RULE_SQL.items())
 _SIGNAL_SQL = " + ".join(f"CAST({v} AS INTEGER)" for v in RULE_SQL.values())
 
@@ -219,13 +213,13 @@ _SIGNAL_SQL = " + ".join(f"CAST({v} AS INTEGER)" for v in RULE_SQL.values())
     f"SELECT transaction_id, card_id, ts, amount, signal_count FROM "
     f"(SELECT *, {_SIGNAL_SQL} AS signal_count FROM feat) s WHERE signal_count >= 2"))
 def q_multi_signal(spark, sf):
-    f = rules.all_flags(_txn(spark, sf))
+    f = rules.all_flags(_txn(spark, sf), RULES)
     return f.filter(F.col("signal_count") >= 2).select("transaction_id", "card_id", "ts", "amount", "signal_count")
 
 
 def _quality(f):
     """Per rule: flagged / true-positive counts against the label, precision, recall."""
-    names = list(rules.RULES)
+    names = list(RULES)
     stacked = f.select("is_fraud", F.explode(F.array(*[
         F.struct(F.lit(n).alias("rule"), F.col(f"flag_{n}").alias("flag")) for n in names])).alias("r"))
     agg = stacked.groupBy(F.col("r.rule").alias("rule")).agg(
@@ -249,7 +243,7 @@ FROM (SELECT rule, CAST(SUM(CAST(flag AS INTEGER)) AS BIGINT) AS flagged,
              CAST(SUM(CAST(is_fraud AS INTEGER)) AS BIGINT) AS labelled_fraud
       FROM ({_QUALITY_UNION}) u GROUP BY rule) q"""))
 def q_detector_quality(spark, sf):
-    return _quality(rules.all_flags(_txn(spark, sf)))
+    return _quality(rules.all_flags(_txn(spark, sf), RULES))
 
 
 # ---------------------------------------------------------------------------
@@ -258,7 +252,7 @@ def q_detector_quality(spark, sf):
 
 def alert_rows(f):
     """Long-form alerts from all flags in one pass (explode of fired rules)."""
-    names = list(rules.RULES)
+    names = list(RULES)
     fired = F.filter(F.array(*[F.when(F.col(f"flag_{n}"), F.lit(n)) for n in names]), lambda x: x.isNotNull())
     return f.select("transaction_id", "card_id", "ts", "amount", F.explode(fired).alias("rule"))
 
@@ -269,20 +263,20 @@ _ALERTS_SQL = "\nUNION ALL\n".join(
 
 @register("alerts_union", "U1", with_feat(f"SELECT * FROM ({_ALERTS_SQL}) a"))
 def q_alerts_union(spark, sf):
-    return alert_rows(rules.all_flags(_txn(spark, sf)))
+    return alert_rows(rules.all_flags(_txn(spark, sf), RULES))
 
 
 @register("live_alerts", "O1", with_feat(
     f"SELECT * FROM ({_ALERTS_SQL}) a ORDER BY ts DESC, transaction_id, rule LIMIT 50"))
 def q_live_alerts(spark, sf):
-    return dash.live_alerts(alert_rows(rules.all_flags(_txn(spark, sf))), 50)
+    return dash.live_alerts(alert_rows(rules.all_flags(_txn(spark, sf), RULES)), 50)
 
 
 @register("top_risky_cards", "O3", with_feat(f"""
 SELECT card_id, COUNT(*) AS alerts, MAX(ts) AS last_alert_ts FROM ({_ALERTS_SQL}) a
 GROUP BY card_id ORDER BY alerts DESC, card_id LIMIT 20"""))
 def q_top_risky_cards(spark, sf):
-    return dash.top_risky_cards(alert_rows(rules.all_flags(_txn(spark, sf))), 20)
+    return dash.top_risky_cards(alert_rows(rules.all_flags(_txn(spark, sf), RULES)), 20)
 
 
 @register("categories_not_preferred", "U2", with_txn(f"""

@@ -11,7 +11,7 @@ from ..operators import rules
 from ..operators.inject import inject_fraud, inject_sql
 from ..sources.model import model_records
 from ..sources.tables import transactions
-from .catalog import _quality, register
+from .catalog import RULES, _quality, register
 from .catalog_streams import CITY_LIST
 from .oracle_sql import FEAT_CTE, RULE_SQL, with_txn
 
@@ -137,8 +137,8 @@ SELECT fraud_type, complexity, rule, COUNT(*) AS frauds,
        SUM(CAST(flag AS INTEGER)) / COUNT(*) AS recall
 FROM ({_BY_TYPE_UNION}) u GROUP BY fraud_type, complexity, rule"""))
 def q_detector_recall_by_type(spark, sf):
-    f = rules.all_flags(injected_txn(spark, sf)).filter(F.col("is_fraud"))
-    names = list(rules.RULES)
+    f = rules.all_flags(injected_txn(spark, sf), RULES).filter(F.col("is_fraud"))
+    names = list(RULES)
     st = f.select("fraud_type", "complexity", F.explode(F.array(*[
         F.struct(F.lit(n).alias("rule"), F.col(f"flag_{n}").alias("flag")) for n in names])).alias("r"))
     return (st.groupBy("fraud_type", "complexity", F.col("r.rule").alias("rule"))
@@ -155,4 +155,4 @@ FROM (SELECT rule, CAST(SUM(CAST(flag AS INTEGER)) AS BIGINT) AS flagged,
       FROM ({chr(10).join(('UNION ALL ' if i else '') + f"SELECT '{k}' AS rule, {v} AS flag, is_fraud FROM feat" for i, (k, v) in enumerate(RULE_SQL.items()))}) u
       GROUP BY rule) q"""))
 def q_injected_quality(spark, sf):
-    return _quality(rules.all_flags(injected_txn(spark, sf)))
+    return _quality(rules.all_flags(injected_txn(spark, sf), RULES))

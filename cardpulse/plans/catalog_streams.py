@@ -16,6 +16,7 @@ from ..session import shared_path
 from ..sources import kafka
 from ..sources import decode as dec
 from ..sources.model import JSON_OPTIONS, model_records
+from ..sources.replay import LATE_BEFORE_US, LATE_EVERY
 from ..streaming import jobs, sinks
 from .catalog import register
 from .oracle_sql import with_feat, with_txn
@@ -117,33 +118,25 @@ def q_fraud_view(spark, sf):
 
 
 @register("subscriber_loan_view", "F3", with_model(
-    "SELECT card_id, monthly_income, active_emis, total_emi_amount, "
+    "SELECT transaction_id, card_id, monthly_income, active_emis, total_emi_amount, "
     "total_emi_amount / NULLIF(CAST(monthly_income AS DOUBLE), 0) AS emi_burden, "
-    "credit_utilization_pct FROM (SELECT DISTINCT card_id, monthly_income, active_emis, total_emi_amount, "
-    "credit_utilization_pct FROM model) m"))
+    "credit_utilization_pct FROM model"))
 def q_loan_view(spark, sf):
     d = dec.decode(kafka.to_records(model_records(spark, sf)))
-    v = d.select("card_id", "monthly_income", "active_emis", "total_emi_amount", "credit_utilization_pct").distinct()
-    return v.select("card_id", "monthly_income", "active_emis", "total_emi_amount",
+    return d.select("transaction_id", "card_id", "monthly_income", "active_emis", "total_emi_amount",
                     (F.col("total_emi_amount") / F.nullif(F.col("monthly_income").cast("double"), F.lit(0.0)))
                     .alias("emi_burden"), "credit_utilization_pct")
 
 
 @register("subscriber_risk_view", "F3", with_model(
-    "SELECT card_id, NULLIF(months_since_last_default, 0) AS months_since_last_default, "
-    "CAST(SUM(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS spend_cents, "
-    "MAX(avg_monthly_spend) AS avg_monthly_spend, "
-    "SUM(CAST(round(amount * 100) AS BIGINT)) / (100e0 * NULLIF(MAX(avg_monthly_spend), 0)) AS spend_ratio "
-    "FROM model GROUP BY card_id, months_since_last_default"))
+    "SELECT transaction_id, card_id, NULLIF(months_since_last_default, 0) AS months_since_last_default, amount, "
+    "avg_monthly_spend, amount / NULLIF(CAST(avg_monthly_spend AS DOUBLE), 0) AS spend_ratio FROM model"))
 def q_risk_view(spark, sf):
     d = dec.decode(kafka.to_records(model_records(spark, sf)))
-    c = F.round(F.col("amount") * 100).cast("bigint")
-    g = d.groupBy("card_id", "months_since_last_default").agg(
-        F.sum(c).alias("spend_cents"), F.max("avg_monthly_spend").alias("avg_monthly_spend"))
-    return g.select("card_id", F.nullif(F.col("months_since_last_default"), F.lit(0)).alias("months_since_last_default"),
-                    "spend_cents", "avg_monthly_spend",
-                    (F.col("spend_cents") / (F.lit(100.0) * F.nullif(F.col("avg_monthly_spend"), F.lit(0))))
-                    .alias("spend_ratio"))
+    spend = F.nullif(F.col("avg_monthly_spend").cast("double"), F.lit(0.0))
+    return d.select("transaction_id", "card_id",
+                    F.nullif(F.col("months_since_last_default"), F.lit(0)).alias("months_since_last_default"),
+                    "amount", "avg_monthly_spend", (F.col("amount") / spend).alias("spend_ratio"))
 
 
 # ---------------------------------------------------------------------------
@@ -157,9 +150,9 @@ def q_stream_decoded(spark, sf):
 
 @register("stream_quarantine", "S14", """
 SELECT 'page_' || CAST(page_id AS VARCHAR) AS key, 'missing transaction_id,timestamp,card_id,amount' AS reason,
-       CAST(length(html) AS INTEGER) AS raw_chars FROM pages""")
+       html AS raw, CAST(length(html) AS INTEGER) AS raw_chars FROM pages""")
 def q_stream_quarantine(spark, sf):
-    return jobs.stream_quarantine(spark, sf).select("key", "reason", "raw_chars")
+    return jobs.stream_quarantine(spark, sf).select("key", "reason", "raw", "raw_chars")
 
 
 _END = "(SELECT MAX(event_us) FROM model) - 1800000000"
@@ -176,6 +169,25 @@ def q_stream_tumbling(spark, sf):
     return jobs.stream_tumbling_features(spark, sf)
 
 
+@register("stream_daily_features", "T3 (day)", with_model(f"""
+SELECT card_id, window_start_us, window_start_us + 86400000000 AS window_end_us, txns,
+       cents / (100e0 * txns) AS avg_amount
+FROM (SELECT card_id, event_us - event_us % 86400000000 AS window_start_us, COUNT(*) AS txns,
+             SUM(CAST(round(amount * 100) AS BIGINT)) AS cents
+      FROM model GROUP BY 1, 2) w
+WHERE window_start_us + 86400000000 <= {_END}"""))
+def q_stream_daily(spark, sf):
+    return jobs.stream_tumbling_features(spark, sf, every="1 day")
+
+
+@register("stream_fan_out", "S13 F3", with_model("""
+SELECT s.subscriber, event_us // 86400000000 AS event_day, COUNT(*) AS messages, COUNT(DISTINCT transaction_id) AS transactions
+FROM model, (VALUES ('fraud'), ('loan'), ('risk')) AS s(subscriber) GROUP BY 1, 2"""))
+def q_stream_fan_out(spark, sf):
+    """Three subscribers read the same messages, each with its own checkpoint and fields."""
+    return jobs.stream_fan_out(spark, sf)
+
+
 @register("stream_sliding_velocity", "T4 D2", with_model(f"""
 SELECT card_id, window_start_us, COUNT(*) AS txns
 FROM (SELECT card_id, event_us, event_us - event_us % 60000000 - 60000000 * g AS window_start_us
@@ -219,14 +231,22 @@ def q_stream_restart(spark, sf):
 
 
 @register("late_reconciliation", "T8", with_model(f"""
-SELECT card_id, window_start_us, COUNT(*) AS txns
-FROM (SELECT card_id, event_us - event_us % 3600000000 AS window_start_us FROM model) w
-GROUP BY 1, 2 HAVING window_start_us + 3600000000 > {_END}"""))
+SELECT card_id, window_start_us, txns, streamed, txns - streamed AS missing
+FROM (SELECT card_id, window_start_us, COUNT(*) AS txns,
+             CAST(CASE WHEN window_start_us + 3600000000 <= {_END} THEN SUM(CASE WHEN late THEN 0 ELSE 1 END) ELSE 0 END AS BIGINT) AS streamed
+      FROM (SELECT card_id, event_us - event_us % 3600000000 AS window_start_us,
+                   event_us < {LATE_BEFORE_US} AND CAST('0x' || substr(transaction_id, 5) AS BIGINT) % {LATE_EVERY} = 0 AS late
+            FROM model) m
+      GROUP BY 1, 2) w
+WHERE txns <> streamed"""))
 def q_late_reconciliation(spark, sf):
     return jobs.late_reconciliation(spark, sf)
 
 
-@register("stream_progress", "T9")
+@register("stream_progress", "T9", with_model("""
+SELECT event_us // 86400000000 AS event_day, COUNT(*) AS input_rows, CAST(SUM(CAST(is_fraud AS INTEGER)) AS BIGINT) AS fraud_rows,
+       100e0 * CAST(SUM(CAST(is_fraud AS INTEGER)) AS BIGINT) / COUNT(*) AS fraud_pct, COUNT(*) / 86400e0 AS rows_per_second
+FROM model GROUP BY 1"""))
 def q_stream_progress(spark, sf):
     return jobs.stream_progress(spark, sf)
 
@@ -254,6 +274,24 @@ def q_stream_three_outputs(spark, sf):
         "transaction_id", "card_id", F.unix_micros("timestamp").alias("event_us"), "amount")
 
 
+@register("stream_fraud_alerts", "S9", with_model(
+    "SELECT transaction_id, card_id, event_us, amount FROM model WHERE amount > 150"))
+def q_stream_fraud_alerts(spark, sf):
+    return jobs.stream_three_outputs(spark, sf, table="fraud_alerts").select(
+        "transaction_id", "card_id", F.unix_micros("timestamp").alias("event_us"), "amount")
+
+
+@register("stream_processing_stats", "S9", with_model("""
+SELECT COUNT(*) AS total_rows, CAST(SUM(CAST(is_fraud AS INTEGER)) AS BIGINT) AS fraud_rows,
+       MIN(event_us) AS first_event_us, MAX(event_us) AS last_event_us FROM model"""))
+def q_stream_processing_stats(spark, sf):
+    """The per-batch statistics table, totalled over its batches."""
+    s = jobs.stream_three_outputs(spark, sf, table="processing_stats")
+    return s.agg(F.sum("rows").alias("total_rows"), F.sum("fraud_rows").alias("fraud_rows"),
+                 F.min(F.unix_micros("min_event_time")).alias("first_event_us"),
+                 F.max(F.unix_micros("max_event_time")).alias("last_event_us"))
+
+
 # ---------------------------------------------------------------------------
 # amount expectations and bands
 # ---------------------------------------------------------------------------

@@ -65,7 +65,7 @@ def with_feat(body: str, *ctes: str) -> str:
     return with_txn(body, FEAT_CTE, *ctes)
 
 
-# rule predicates over ``feat`` (same defaults as operators.rules.RULES)
+# rule predicates over ``feat`` (the catalogue's thresholds)
 RULE_SQL = {
     "amount_3x": "COALESCE(over_3x_avg, false)",
     "impossible_travel": "COALESCE(distance_from_last_txn_km > 500 AND minutes_since_last_txn <= 30, false)",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Defaults applied only when the launcher has not set them (spark-submit and
@@ -25,8 +26,10 @@ def build_session(app_name: str = "cardpulse", master: str | None = None,
     if master:
         # local mode: the driver JVM is the executor; give it a real heap
         builder = builder.master(master).config("spark.driver.memory", os.environ.get("CARDPULSE_DRIVER_MEMORY", "12g"))
+    given = SparkConf()  # what spark-submit or the launcher set
     for key, value in _LOCAL_DEFAULTS.items():
-        builder = builder.config(key, value)
+        if not given.contains(key):
+            builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -35,15 +38,24 @@ def build_session(app_name: str = "cardpulse", master: str | None = None,
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """One JVM; ``local-cluster`` is a cluster."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) do we pick a
-    folder of our own under the system temp dir.
+    Read from the session; only when it is unset on a local master (tests) do
+    we pick a folder of our own under the system temp dir.  On a cluster such a
+    folder would be another one on each machine, so an unset directory is an
+    error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
+    if not path and not _is_local(spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not path:
         path = os.path.join(os.environ.get("TMPDIR", "/tmp"), f"cardpulse-ckpt-{uuid.uuid4().hex[:8]}")
         spark.conf.set("spark.checkpoint.dir", path)

@@ -34,14 +34,15 @@ def decode(df: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def quarantine(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Messages that failed to decode, with the reason and the raw text."""
+    """Messages that failed to decode, with the reason and the whole raw text,
+    so that they can be sent again after a repair."""
     p = parsed(df, value_col)
     missing = F.concat_ws(",", *[F.when(F.col(f"data.{f}").isNull(), F.lit(f)) for f in REQUIRED_FIELDS])
     reason = (F.when(F.col("raw").isNull(), "null value")
               .when(F.col("data").isNull(), "not a JSON object")
               .otherwise(F.concat(F.lit("missing "), missing)))
     return (p.filter(~is_valid())
-            .select(F.col("key").cast("string").alias("key"), reason.alias("reason"),
+            .select(F.col("key").cast("string").alias("key"), reason.alias("reason"), "raw",
                     F.length("raw").alias("raw_chars"), F.col("timestamp").alias("received")))
 
 

@@ -8,7 +8,7 @@ slice per micro-batch (files are picked up in modification-time order).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ENVELOPE_SCHEMA
@@ -16,11 +16,22 @@ from ..session import shared_path
 
 REPLAY_SCHEMA = "key binary, value binary, timestamp timestamp"
 
+#: The late fixture: every ``LATE_EVERY``-th transaction before this instant
+#: (2024-01-10 UTC) is delivered after all others.
+LATE_BEFORE_US, LATE_EVERY = 1_704_844_800_000_000, 50
+
+
+def is_late() -> Column:
+    number = F.conv(F.substring(F.col("key").cast("string"), 5, 12), 16, 10).cast("bigint")
+    is_transaction = F.col("key").cast("string").startswith("txn_")
+    return is_transaction & (F.unix_micros("timestamp") < LATE_BEFORE_US) & (number % LATE_EVERY == 0)
+
 
 def write_slices(env: DataFrame, out_dir: str, slices: int = 6, copies: int = 1,
-                 files_per_slice: int = 1) -> str:
+                 files_per_slice: int = 1, late: Column | None = None) -> str:
     """Write ``env`` as ``slices`` equal event-time ranges, each ``copies``
-    times (copies > 1 models at-least-once redelivery).
+    times (copies > 1 models at-least-once redelivery).  Rows for which
+    ``late`` holds are held back and delivered as one more slice at the end.
 
     The input is materialised once next to the replay folder (sorted by event
     time inside each file, so Parquet row-group statistics let each slice
@@ -31,7 +42,9 @@ def write_slices(env: DataFrame, out_dir: str, slices: int = 6, copies: int = 1,
     spark = env.sparkSession
     staging = out_dir.rstrip("/") + "-staging"
     env.sortWithinPartitions("timestamp").write.mode("overwrite").parquet(staging)
-    st = spark.read.parquet(staging)
+    st = everything = spark.read.parquet(staging)
+    if late is not None:
+        st = everything.filter(~F.coalesce(late, F.lit(False)))
     lo_hi = st.agg(F.unix_micros(F.min("timestamp")).alias("lo"),
                    F.unix_micros(F.max("timestamp")).alias("hi")).first()
     lo, hi = lo_hi["lo"], lo_hi["hi"] + 1
@@ -45,6 +58,8 @@ def write_slices(env: DataFrame, out_dir: str, slices: int = 6, copies: int = 1,
         part = part.repartition(files_per_slice) if files_per_slice > 1 else part.coalesce(1)
         for c in range(copies):
             part.write.mode("overwrite").parquet(f"{out_dir}/slice={i:05d}-copy={c}")
+    if late is not None:
+        everything.filter(late).coalesce(files_per_slice).write.mode("overwrite").parquet(f"{out_dir}/slice={slices:05d}-late")
     _FILES_PER_SLICE[out_dir] = files_per_slice
     return out_dir
 
@@ -69,14 +84,15 @@ _CACHE: dict[tuple, str] = {}
 
 
 def replay_dir_for(spark: SparkSession, sf_dir: str, slices: int = 6, copies: int = 1,
-                   with_junk: bool = True) -> str:
+                   with_junk: bool = True, late: bool = False) -> str:
     """Replay files for a driver data folder, written once per session."""
     from .model import envelopes
-    key = (spark.sparkContext.applicationId, sf_dir, slices, copies, with_junk)
+    key = (spark.sparkContext.applicationId, sf_dir, slices, copies, with_junk, late)
     if key not in _CACHE:
         out = shared_path(spark, "replay", f"s{slices}c{copies}")
         files = max(1, spark.sparkContext.defaultParallelism)
-        write_slices(envelopes(spark, sf_dir, with_junk), out, slices, copies, files_per_slice=files)
+        write_slices(envelopes(spark, sf_dir, with_junk), out, slices, copies, files_per_slice=files,
+                     late=is_late() if late else None)
         _CACHE[key] = out
     return _CACHE[key]
 

@@ -91,10 +91,10 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def stream_tumbling_features(spark: SparkSession, sf_dir: str, every: str = "1 hour") -> DataFrame:  # T3
+def stream_tumbling_features(spark: SparkSession, sf_dir: str, every: str = "1 hour", late: bool = False) -> DataFrame:  # T3
     """Per card and tumbling hour: count and mean amount; a window is written
     once the watermark (max event time − 30 min) passes its end."""
-    src = replay.replay_dir_for(spark, sf_dir)
+    src = replay.replay_dir_for(spark, sf_dir, late=late)
     out = _out(spark, "tumbling")
     d = decoded_stream(spark, src)
     agg = (d.groupBy(F.window("timestamp", every).alias("w"), "card_id")
@@ -173,28 +173,71 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:                # T8
-    """Batch side output: hourly (card, window) totals recomputed from all
-    decoded rows that the streamed aggregate did not emit (windows still
-    open at the end, or rows dropped as late)."""
-    streamed = stream_tumbling_features(spark, sf_dir)
-    src = replay.replay_dir_for(spark, sf_dir)
+    """Batch side output: hourly (card, window) counts over all decoded rows
+    where they differ from the streamed aggregate: windows still open at the
+    end, and windows whose late rows came after they were emitted.  The replay
+    delivers some rows weeks behind the watermark."""
+    streamed = stream_tumbling_features(spark, sf_dir, late=True)
+    src = replay.replay_dir_for(spark, sf_dir, late=True)
     d = dec.decode(replay.read_batch(spark, src))
     batch = (d.groupBy(F.window("timestamp", "1 hour").alias("w"), "card_id")
              .agg(F.count(F.lit(1)).alias("txns"))
              .select("card_id", F.unix_micros(F.col("w.start")).alias("window_start_us"), "txns"))
-    return batch.join(streamed.select("card_id", "window_start_us", F.col("txns").alias("streamed")),
-                      ["card_id", "window_start_us"], "left_anti")
+    emitted = streamed.select("card_id", "window_start_us", F.col("txns").alias("emitted"))
+    both = batch.join(emitted, ["card_id", "window_start_us"], "left").withColumn("streamed", F.coalesce("emitted", F.lit(0)))
+    return both.filter("txns <> streamed").select("card_id", "window_start_us", "txns", "streamed",
+                                                  (F.col("txns") - F.col("streamed")).alias("missing"))
 
 
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:                    # T9
-    """Per micro-batch input rows and event-time watermark from the query's
-    progress reports (bounded: one row per batch)."""
+    """Rows, fraud share and event rate per event day, added up from a table
+    that every micro-batch writes one row per day to.  Nothing depends on the
+    limited history of the query's progress reports."""
+    src = replay.replay_dir_for(spark, sf_dir)
+    base = _out(spark, "progress")
+    day = F.floor(F.unix_micros("timestamp") / F.lit(86_400_000_000)).cast("bigint")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.groupBy(day.alias("event_day"))
+         .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("is_fraud").cast("bigint")).alias("frauds"))
+         .write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}"))
+
+    run(decoded_stream(spark, src), base + "/_unused", foreach_batch=write, checkpoint=base + "-ckpt")
+    per_day = (spark.read.option("basePath", base).parquet(f"{base}/batch_id=*").groupBy("event_day")
+               .agg(F.sum("rows").alias("input_rows"), F.sum("frauds").alias("fraud_rows")))
+    return per_day.select("event_day", "input_rows", "fraud_rows",
+                          (F.lit(100.0) * F.col("fraud_rows") / F.col("input_rows")).alias("fraud_pct"),
+                          (F.col("input_rows") / F.lit(86_400.0)).alias("rows_per_second"))
+
+
+SUBSCRIBERS = {
+    "fraud": ("transaction_id", "timestamp", "card_id", "amount", "location_lat", "location_lon"),
+    "loan": ("transaction_id", "timestamp", "card_id", "monthly_income", "active_emis", "credit_utilization_pct"),
+    "risk": ("transaction_id", "timestamp", "card_id", "months_since_last_default", "avg_monthly_spend"),
+}
+
+
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:                     # S13
+    """Independent subscribers on one source, running side by side, each with
+    its own checkpoint and fields; messages per subscriber and event day."""
     src = replay.replay_dir_for(spark, sf_dir)
-    out = _out(spark, "progress")
-    q = run(decoded_stream(spark, src), out)
-    rows = [(p["batchId"], p["numInputRows"], (p.get("eventTime") or {}).get("watermark"))
-            for p in q.recentProgress]
-    return spark.createDataFrame(rows, "batch_id long, input_rows long, watermark string")
+    outs, running = {}, []
+    for name, fields in SUBSCRIBERS.items():
+        outs[name] = _out(spark, f"subscriber-{name}")
+        w = (decoded_stream(spark, src).select(*fields).writeStream.format("parquet").option("path", outs[name])
+             .option("checkpointLocation", outs[name] + "-ckpt").outputMode("append").trigger(availableNow=True))
+        running.append(start(w, spark))
+    for q in running:
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    found = None
+    for name, path in outs.items():
+        own = spark.read.parquet(path).select(F.lit(name).alias("subscriber"), "transaction_id", "timestamp")
+        found = own if found is None else found.unionByName(own)
+    day = F.floor(F.unix_micros("timestamp") / F.lit(86_400_000_000)).cast("bigint")
+    return found.groupBy("subscriber", day.alias("event_day")).agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("transaction_id").alias("transactions"))
 
 
 def stream_static_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:               # T10
@@ -222,10 +265,12 @@ def stream_hourly_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = (decoded_stream(spark, src).groupBy(F.window("timestamp", "1 hour").alias("w"), "card_id")
            .agg(F.count(F.lit(1)).alias("txns_in_hour"),
                 F.sum(F.round(F.col("amount") * 100).cast("bigint")).alias("cents_in_hour"))
-           .select(F.col("card_id").alias("a_card"), F.col("w.start").alias("ws"), F.col("w.end").alias("we"),
-                   "txns_in_hour", "cents_in_hour"))
+           .select(F.col("card_id").alias("a_card"), F.col("w.start").alias("ws"),
+                   F.window_time("w").alias("wt"), "txns_in_hour", "cents_in_hour"))
+    # ``wt`` (the window's last instant) carries the watermark, so the range
+    # below lets Spark drop rows of closed hours from both sides' state
     j = ev.join(agg, (ev.card_id == agg.a_card) & (F.date_trunc("hour", ev.timestamp) == agg.ws)
-                & (ev.timestamp >= agg.ws) & (ev.timestamp < agg.we))
+                & (ev.timestamp <= agg.wt) & (ev.timestamp > agg.wt - F.expr("INTERVAL 1 HOUR")))
     run(j.select("transaction_id", "card_id", F.unix_micros("ws").alias("window_start_us"), "amount",
                  "txns_in_hour", (F.col("cents_in_hour") / 100.0).alias("spend_in_hour")), out)
     return spark.read.parquet(out)

@@ -29,6 +29,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
+NO_MERCHANT = "\0"  # how the merchant set remembers a NULL merchant
+
+
+def _known_as(merchant) -> str:
+    return NO_MERCHANT if merchant is None or merchant != merchant else merchant
 
 STATE_SCHEMA = ("last_t_us long, last_id string, last_lat double, last_lon double, "
                 "recent array<long>, merchants array<string>")
@@ -48,11 +53,11 @@ def _card_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterato
     lon = pdf["location_lon"].to_numpy(dtype=float)[order]
     merch = pdf["merchant_name"].to_numpy(dtype=object)[order]
     if state.exists:
-        last_t, _, last_lat, last_lon, recent, merchants = state.get
+        last_t, last_id, last_lat, last_lon, recent, merchants = state.get
         recent = np.asarray(recent if recent is not None else [], dtype=np.int64)
         seen = set(merchants or [])
     else:
-        last_t, last_lat, last_lon = None, None, None
+        last_t, last_id, last_lat, last_lon = None, None, None, None
         recent, seen = np.empty(0, dtype=np.int64), set()
 
     n = len(t)
@@ -64,7 +69,7 @@ def _card_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterato
     prev_lat[0] = np.nan if last_lat is None else last_lat
     prev_lon[0] = np.nan if last_lon is None else last_lon
     new_m = np.empty(n, dtype=bool)
-    for i, m in enumerate(merch):
+    for i, m in enumerate(map(_known_as, merch)):
         new_m[i] = m not in seen
         seen.add(m)
 
@@ -75,8 +80,10 @@ def _card_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterato
 
     if n:
         keep = times[times >= times[-1] - DAY_US]
-        state.update((int(t[-1]), str(ids[-1]), float(lat[-1]), float(lon[-1]), keep.tolist(),
-                      sorted(x for x in seen if x is not None)))
+        last = (int(t[-1]), str(ids[-1]), float(lat[-1]), float(lon[-1]))
+        if last_t is not None and (last_t, last_id) > last[:2]:
+            last = (last_t, last_id, last_lat, last_lon)    # late rows don't rewind the state
+        state.update((*last, keep.tolist(), sorted(seen)))
     # nullable columns so "no previous row" arrives in Spark as NULL, not NaN
     prev_t, prev_lat, prev_lon = (pd.array(a, dtype="Float64") for a in (prev_t, prev_lat, prev_lon))
     yield pd.DataFrame({
@@ -156,11 +163,11 @@ class CardFeatureProcessor:
         # first use of merchant: batch-local first occurrence not seen before
         new_m = np.zeros(n, dtype=bool)
         batch_seen: set = set()
-        for i, m in enumerate(merch):
+        for i, m in enumerate(map(_known_as, merch)):
             if m in batch_seen:
                 continue
             batch_seen.add(m)
-            if m is not None and not self.merchants.containsKey((m,)):
+            if not self.merchants.containsKey((m,)):
                 new_m[i] = True
                 self.merchants.updateValue((m,), (True,))
 
@@ -199,13 +206,15 @@ class CardFeatureProcessor:
         for m, c in zip(batch_minutes.tolist(), batch_counts.tolist()):
             self.minute_count.updateValue((m,), (stored.get(m, 0) + c,))
             self.minute_times.updateValue((m,), (times_in(m).tolist(),))
-        horizon = (int(t.max()) - DAY_US) // MINUTE_US - 1 if n else None
+        newest = max(int(t.max()), int(last[0]) if last else 0) if n else None
+        horizon = (newest - DAY_US) // MINUTE_US - 1 if n else None
         if horizon is not None:
             for m in stored:
                 if m < horizon:
                     self.minute_count.removeKey((m,))
                     self.minute_times.removeKey((m,))
-            self.last.update((int(t[-1]), str(ids[-1]), float(lat[-1]), float(lon[-1])))
+            if not last or (int(t[-1]), str(ids[-1])) >= (last[0], last[1]):   # late rows don't rewind the state
+                self.last.update((int(t[-1]), str(ids[-1]), float(lat[-1]), float(lon[-1])))
 
         pt, pla, plo = (pd.array(a, dtype="Float64") for a in (prev_t, prev_lat, prev_lon))
         if prev_null0 and n:

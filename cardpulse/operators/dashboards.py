@@ -118,6 +118,15 @@ def taxonomy_drift(spark: SparkSession, labelled: DataFrame) -> DataFrame:
                     (F.pow(F.col("observed") - expected, 2) / F.nullif(expected, F.lit(0.0))).alias("chi2_term"))
 
 
+def share_drift(spark: SparkSession, values: DataFrame, configured) -> DataFrame:      # A15
+    """Observed share of each configured ``(value, share)``; ``values`` has one column, ``value``."""
+    cfg = spark.createDataFrame([(n, float(w)) for n, w in configured], "value string, configured_share double")
+    obs = values.groupBy("value").agg(F.count(F.lit(1)).alias("n_seen"))
+    j = F.broadcast(cfg).join(obs, "value", "left").withColumn("observed", F.coalesce("n_seen", F.lit(0)))
+    total = F.sum("observed").over(Window.partitionBy())       # as many rows as configured values
+    return j.select("value", "configured_share", "observed", (F.col("observed") / F.nullif(total, F.lit(0))).alias("observed_share"))
+
+
 def hourly_volume_vs_expected(spark: SparkSession, txn: DataFrame) -> DataFrame:        # A16
     """Per local hour: observed share of volume vs the traffic curve's share."""
     by_hour = txn.groupBy(local_hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("txns"))

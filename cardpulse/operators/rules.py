@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..dimensions import SEGMENT_PREFERRED
 from ..functions.scalars import epoch_micros, local_hour
+from .dashboards import spend_trend
 from .features import card_features
 from .timeline import HOUR_US, MINUTE_US, sequence_features
 
@@ -150,6 +151,12 @@ def rule_card_testing(txn: DataFrame, min_txns: int = 5, small_max: float = 50.0
     return c.filter((F.col("small_txns") >= min_txns) & (F.col("distinct_merchants") >= min_txns))
 
 
+def rule_spend_trend(txn: DataFrame, min_rise: float = 0.25, min_weeks: int = 3) -> DataFrame:  # D14
+    """Cards whose weekly spend rises by more than ``min_rise`` of its average per week."""
+    t = spend_trend(txn, min_weeks)
+    return t.filter(F.col("weekly_slope") > F.lit(min_rise) * F.col("avg_weekly_spend"))
+
+
 def rule_set(odd_hour_amount: float = 500.0) -> dict:
     """Row-predicate detectors at the published thresholds; a lower amount
     suits tables whose amounts are small."""

@@ -8,7 +8,7 @@ from .. import dimensions as dims
 from ..functions.scalars import complexity_band
 from ..operators import dashboards as dash
 from ..operators import rules
-from ..operators.inject import inject_fraud, inject_sql
+from ..operators.inject import inject_fraud, inject_sql, profile_of
 from ..sources.model import model_records
 from ..sources.tables import transactions
 from .catalog import RULES, _quality, register
@@ -78,6 +78,45 @@ def q_taxonomy_drift(spark, sf):
     return dash.taxonomy_drift(spark, injected(spark, sf))
 
 
+def _values(rows) -> str:
+    return "(VALUES " + ", ".join(f"('{n}', {float(w)!r}e0)" for n, w in rows) + ") AS c(value, configured_share)"
+
+
+_DRIFT = {
+    "fraud_type": [(n, w) for n, w in dims.FRAUD_TYPES],
+    "complexity": [(c[0], c[1]) for c in dims.COMPLEXITY],
+    "city": [(c[0], c[3]) for c in dims.CITIES],
+    "profile": [(p[0], p[1]) for p in dims.PROFILES],
+}
+_DRIFT_FROM = {
+    "fraud_type": "SELECT fraud_type AS value FROM inj WHERE is_fraud",
+    "complexity": "SELECT complexity AS value FROM inj WHERE is_fraud",
+    "city": "SELECT city AS value FROM inj_src",
+    "profile": ("SELECT CASE WHEN monthly_income >= 150000 THEN 'high_income' WHEN monthly_income >= 40000 THEN 'mid_income' "
+                "WHEN monthly_income >= 15000 THEN 'low_income' ELSE 'student' END AS value FROM inj_src"),
+}
+
+
+@register("taxonomy_drift_all", "A15 (four dimensions)", with_txn("\nUNION ALL\n".join(f"""
+SELECT '{d}' AS dimension, value, configured_share, observed, observed / NULLIF(n, 0) AS observed_share
+FROM (SELECT c.value, c.configured_share, COALESCE(o.observed, 0) AS observed, SUM(COALESCE(o.observed, 0)) OVER () AS n
+      FROM {_values(rows)} LEFT JOIN (SELECT value, COUNT(*) AS observed FROM ({_DRIFT_FROM[d]}) v GROUP BY 1) o
+           ON c.value = o.value) x""" for d, rows in _DRIFT.items()), INJ_CTE))
+def q_taxonomy_drift_all(spark, sf):
+    """Observed against configured shares: fraud type and complexity of injected frauds, city and profile of all messages."""
+    frauds = injected(spark, sf).filter("is_fraud")
+    messages = model_records(spark, sf)
+    observed = {"fraud_type": frauds.select(F.col("fraud_type").alias("value")),
+                "complexity": frauds.select(F.col("complexity").alias("value")),
+                "city": messages.select(F.col("city").alias("value")),
+                "profile": messages.select(profile_of(F.col("monthly_income")).alias("value"))}
+    found = None
+    for name, values in observed.items():
+        one = dash.share_drift(spark, values, _DRIFT[name]).select(F.lit(name).alias("dimension"), "*")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @register("complexity_mix", "X7 A15", with_txn("""
 SELECT complexity, CASE WHEN fraud_confidence >= 0.7e0 THEN 'easy' WHEN fraud_confidence >= 0.4e0 THEN 'medium'
                         ELSE 'hard' END AS band, COUNT(*) AS txns

@@ -61,6 +61,8 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
         inside = F.pmod(F.xxhash64(F.lit(SEED + k), F.col("term")), F.lit(1 << rate)) == 0
         parts = parts.bitwiseOR(F.when(inside, F.lit(1 << k)).otherwise(F.lit(0)))
     band = counts.where((F.col("n") >= max(2.0, low * n)) & (F.col("n") <= max(2.0, high * n)))
+    # written before the parts are drawn: else their filter would move below the count, to every word
+    band = staged(band.select("term"), "imatch-band")
     mark = docs.sparkSession.range(1).select(F.xxhash64(F.lit("")).alias("term"), F.lit(0).cast("long").alias("parts"))
     return staged(band.select("term", parts.alias("parts")).where("parts <> 0").unionByName(mark), "imatch-lexicon")
 

@@ -52,10 +52,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = tokens.V
     def run(batches):
         part, seen = TaskContext.get().partitionId(), Counter()
         for b in batches:
-            names, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, j in tokens.in_slices(texts):
+            names = b.column(0).to_pylist()
+            for i, texts in tokens.in_slices(b.column(1)):
                 out = {f: [] for f in fields}
-                for name, raw in zip(names[i:j], tokens.encoder(vocabulary).ids(texts[i:j])):
+                for name, raw in zip(names[i:], tokens.encoder(vocabulary).ids(texts)):
                     raw += end
                     n = len(raw) // 4
                     first = n % capacity or min(n, capacity)

@@ -50,13 +50,12 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = tokens.VOCAB
     def run(batches):
         block, at = TaskContext.get().partitionId(), 0
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for i, j in tokens.in_slices(texts):
-                raw = [ids + end for ids in tokens.encoder(vocabulary).ids(texts[i:j])]
+            for i, texts in tokens.in_slices(b.column(1)):
+                raw = [ids + end for ids in tokens.encoder(vocabulary).ids(texts)]
                 bounds = np.cumsum([0, *(len(r) // 4 for r in raw)]).astype(np.int32)
                 values = np.frombuffer(b"".join(raw), "<i4")
                 ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
-                n = j - i
+                n = len(texts)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, n), pa.array([block] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), ids],
                                                  ["doc_id", "block", "at", "ids"])
                 at += n

@@ -12,23 +12,36 @@ white space, where that need not hold, is encoded as it is.
 from __future__ import annotations
 
 import os
-import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
+import regex
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Chunks in a generation of a worker's memory.  A full generation becomes the old
 #: one, and what is found there moves on; this changes only speed.
 CACHE_CHUNKS = 300_000
 
-_OTHER = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028-\u202f\u205f\u2060\u3000\ufeff]")
+_CUT = "\0"
+_PIECE = regex.compile(public_tokenizers.PATTERN)
 
 
-def _one_chunk(text: str) -> bool:
-    """Adjacent or other white space, or the spelling of a special token."""
-    return "  " in text or " \n" in text or "\n " in text or "\n\n" in text or "<|" in text or (_OTHER.search(text) is not None)
+def _byte_symbols() -> dict[int, str]:
+    """How byte-level vocabularies spell a byte: itself if printable, else the next character from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)} | {0: _CUT}
+
+
+_SYMBOLS = _byte_symbols()
+#: Marks the first chunk of a text, which has no white space before it.
+_HEAD = "\1"
+#: Texts with one of these are not cut: white space next to white space, the start of a special token, other white space, our own marks.
+_APART = ("  ", " \n", "\n ", "\n\n", "<|")
+_OTHER = "[\\x00\\x01\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200b}\\x{2028}-\\x{202f}\\x{205f}\\x{2060}\\x{3000}\\x{feff}]"
 
 
 class Encoder:
@@ -37,14 +50,19 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Split
 
         self._tokenizer = Tokenizer.from_file(path)
+        # the same merges for text that is split into pieces and spelled in byte symbols here
+        self._merges = Tokenizer.from_file(path)
+        self._merges.pre_tokenizer = Split(_CUT, "removed")
         self._known: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._blank = self._encode([" "])[0]
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
-            self._spaced[i] = token[0] in "\u0120\u010a"  # how byte-level tokens spell blank and newline
+            self._spaced[i] = token[0] in _SYMBOLS[32] + _SYMBOLS[10]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -53,43 +71,54 @@ class Encoder:
     def _learn(self, chunks: list[str]) -> None:
         """Encode chunks in one go; a leading newline is part of the chunk, a blank is not written."""
         whole = "".join([c if c[:1] == "\n" else f" {c}" for c in chunks])
-        ids = np.array(self._tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, "<u4")
+        spelled = _CUT.join(_PIECE.findall(whole)).encode().decode("latin-1").translate(_SYMBOLS)
+        ids = np.array(self._merges.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
         starts = (np.flatnonzero(self._spaced[ids]) * 4).tolist()
         if len(starts) != len(chunks):
             raise ValueError("a chunk's tokens do not begin with its white space")
         raw = ids.tobytes()
         self._known.update((c, raw[a:b]) for c, a, b in zip(chunks, starts, [*starts[1:], len(raw)]))
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Ids per text; none for a null or empty one."""
+    def _ids_of(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks, from memory where they are known."""
         if len(self._known) > CACHE_CHUNKS:
             self._known, self._old = {}, self._known
-        out: list[bytes] = [b""] * len(texts)
-        whole, rest = [], []
-        for i, t in enumerate(texts):
-            if t:
-                (whole if _one_chunk(t) else rest).append(i)
-        # a text that begins visibly has a first chunk without white space
-        split = [texts[i].replace("\n", " \n").split(" ") for i in rest]
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
-            out[i] = ids
-        heads = self._encode([own[0] for own in split])
-        get = self._known.get
-        found = [list(map(get, own)) for own in split]
-        new = {c for own, ids in zip(split, found) for c, x in zip(own, ids) if x is None}
-        new.discard("")
-        kept = {c: self._old[c] for c in new if c in self._old}
-        self._known.update(kept)
-        new.difference_update(kept)
-        if new:
-            self._learn(list(new))
-        blank = self._encode([" "])[0]
-        for i, own, ids, head in zip(rest, split, found, heads):
-            ids[0] = head
-            if None in ids:
-                ids = [x if x is not None else get(c, blank) for c, x in zip(own, ids)]
-            out[i] = b"".join(ids)
-        return out
+        known = self._known
+        found = list(map(known.get, chunks))
+        missing = [c for c, x in zip(chunks, found) if x is None]
+        if self._old and missing:
+            before = list(map(self._old.get, missing))
+            known.update((c, x) for c, x in zip(missing, before) if x is not None)
+            missing = [c for c, x in zip(missing, before) if x is None]
+        heads = [c for c in missing if c[:1] == _HEAD]
+        known.update(zip(heads, self._encode([c[1:] for c in heads])))
+        rest = [c for c in missing if c and c[:1] != _HEAD]
+        if rest:
+            self._learn(rest)
+        known[""] = self._blank  # a blank at the end of a text
+        return [x if x is not None else known[c] for c, x in zip(chunks, found)]
+
+    def ids(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Ids per text; none for a null or empty one."""
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+        apart = pc.match_substring_regex(texts, _OTHER)
+        for mark in _APART:
+            apart = pc.or_(apart, pc.match_substring(texts, mark))
+        whole = apart.to_numpy(zero_copy_only=False)
+        out = np.empty(len(texts), object)
+        out[whole] = self._encode(texts.filter(apart).to_pylist())
+        rest = texts.filter(pc.invert(apart))
+        if len(rest):
+            cut = pc.split_pattern(pc.binary_join_element_wise(_HEAD, pc.replace_substring(rest, "\n", " \n"), ""), " ")
+            coded = cut.flatten().dictionary_encode()
+            own = self._ids_of(coded.dictionary.to_pylist())
+            size = np.fromiter(map(len, own), np.int64, len(own))
+            at = coded.indices.to_numpy()
+            raw = b"".join(map(own.__getitem__, at.tolist()))
+            upto = np.concatenate([[0], np.cumsum(size[at])])
+            bounds = upto[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+            out[~whole] = [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+        return out.tolist()
 
 
 @lru_cache(maxsize=1)
@@ -98,13 +127,12 @@ def encoder(vocabulary: str = VOCABULARY) -> Encoder:
     return Encoder(vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary))
 
 
-def in_slices(texts: list[str | None], chars: int = 1 << 20):
-    """Index ranges of ``texts`` of about ``chars`` characters, one text at least."""
-    start = held = 0
-    for i, t in enumerate(texts):
-        if i > start and held >= chars:
-            yield start, i
-            start, held = i, 0
-        held += len(t or "")
-    if start < len(texts):
-        yield start, len(texts)
+def in_slices(texts: pa.Array, size: int = 1 << 22):
+    """Slices of ``texts`` of about ``size`` bytes, one text at least, with their begin."""
+    length = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    upto = np.cumsum(length)
+    at = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(upto, upto[at] - length[at] + size)))
+        yield at, texts.slice(at, stop - at)
+        at = stop

@@ -554,7 +554,7 @@ def q_last_n_history(spark, sf):
     return h.select("transaction_id", "card_id", F.array_join(F.col("history"), ",").alias("history_cents"))
 
 
-@register("alerts_union_all", "U1 (every detector)", with_feat(f"""
+@register("alerts_union_all", "U1 (all detectors but the forest)", with_feat(f"""
 SELECT * FROM ({_ALERTS_SQL}) a
 UNION ALL SELECT transaction_id, card_id, ts, amount, 'velocity' FROM (
   SELECT *, COUNT(*) OVER (PARTITION BY card_id ORDER BY ts RANGE BETWEEN INTERVAL 10 MINUTE PRECEDING AND CURRENT ROW) AS n

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from cardpulse.session import shared_path, ship_package
 
-#: Rows per Arrow batch for functions that hold whole texts.
-TEXT_BATCH_ROWS = 512
+#: Rows that a Python function gets at once; texts of a larger Arrow batch are not held together as Python objects.
+BATCH_ROWS = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,9 +31,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with this package shipped to the Python workers."""
+    """``mapInArrow`` over slices of at most ``BATCH_ROWS`` rows, with this package shipped to the Python workers."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        return fn(b.slice(at, BATCH_ROWS) for b in batches for at in range(0, max(1, b.num_rows), BATCH_ROWS))
+
+    return df.mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -43,12 +47,3 @@ def held_out(doc_id: Column | str) -> Column:
     """
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(True))
-
-
-def lower_ascii(text: bytes) -> bytes:
-    """Lower-case A-Z only (``bytes.lower`` touches no other byte)."""
-    return text.lower()
-
-
-def columns_from(batch: pa.RecordBatch, *names: str) -> list[list]:
-    return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]

@@ -41,7 +41,8 @@ DISCOUNT = 0.75
 CALIBRATION_ROWS = 20_000
 WINDOWS = (8, 32)
 N_FEATURES = 6
-FLUSH_WORDS = 400_000
+#: Distinct words a counting task holds before it hands them on.
+FLUSH_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 

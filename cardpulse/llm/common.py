@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -35,7 +36,11 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     ship_package(df.sparkSession)
 
     def run(batches):
-        return fn(b.slice(at, BATCH_ROWS) for b in batches for at in range(0, max(1, b.num_rows), BATCH_ROWS))
+        yield from fn(b.slice(at, BATCH_ROWS) for b in batches for at in range(0, max(1, b.num_rows), BATCH_ROWS))
+        # the worker process serves later stages too
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
 
     return df.mapInArrow(run, schema)
 

@@ -12,7 +12,7 @@ white space, where that need not hold, is encoded as it is.
 from __future__ import annotations
 
 import os
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,11 @@ _APART = ("  ", " \n", "\n ", "\n\n", "<|")
 _OTHER = "[\\x00\\x01\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200b}\\x{2028}-\\x{202f}\\x{205f}\\x{2060}\\x{3000}\\x{feff}]"
 
 
+def _spelled(text: str) -> str:
+    """The pieces of a text in byte symbols, cut marks between them."""
+    return _CUT.join(_PIECE.findall(text)).encode().decode("latin-1").translate(_SYMBOLS)
+
+
 class Encoder:
     """Little-endian unsigned 32-bit ids of texts."""
 
@@ -52,27 +57,38 @@ class Encoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import Split
 
-        self._tokenizer = Tokenizer.from_file(path)
-        # the same merges for text that is split into pieces and spelled in byte symbols here
+        self._path = path
+        # merges of text that is split into pieces and spelled in byte symbols here
         self._merges = Tokenizer.from_file(path)
         self._merges.pre_tokenizer = Split(_CUT, "removed")
         self._known: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
-        self._blank = self._encode([" "])[0]
-        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
-        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self._spaced[i] = token[0] in _SYMBOLS[32] + _SYMBOLS[10]
+        self._blank = self._encode_pieces([" "])[0]
+        self._spaced = np.zeros(self._merges.get_vocab_size(with_added_tokens=True), bool)
+        for i in range(len(self._spaced)):
+            self._spaced[i] = (self._merges.id_to_token(i) or "x")[0] in _SYMBOLS[32] + _SYMBOLS[10]
+
+    @cached_property
+    def _tokenizer(self):
+        """The vocabulary file as it is; only texts that are not cut need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self._path)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_pieces(self, chunks: list[str]) -> list[bytes]:
+        found = self._merges.encode_batch_fast([_spelled(c) for c in chunks], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
     def _learn(self, chunks: list[str]) -> None:
         """Encode chunks in one go; a leading newline is part of the chunk, a blank is not written."""
         whole = "".join([c if c[:1] == "\n" else f" {c}" for c in chunks])
-        spelled = _CUT.join(_PIECE.findall(whole)).encode().decode("latin-1").translate(_SYMBOLS)
-        ids = np.array(self._merges.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self._merges.encode_batch_fast([_spelled(whole)], add_special_tokens=False)[0].ids, "<u4")
         starts = (np.flatnonzero(self._spaced[ids]) * 4).tolist()
         if len(starts) != len(chunks):
             raise ValueError("a chunk's tokens do not begin with its white space")
@@ -91,7 +107,7 @@ class Encoder:
             known.update((c, x) for c, x in zip(missing, before) if x is not None)
             missing = [c for c, x in zip(missing, before) if x is None]
         heads = [c for c in missing if c[:1] == _HEAD]
-        known.update(zip(heads, self._encode([c[1:] for c in heads])))
+        known.update(zip(heads, self._encode_pieces([c[1:] for c in heads])))
         rest = [c for c in missing if c and c[:1] != _HEAD]
         if rest:
             self._learn(rest)

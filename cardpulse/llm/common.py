@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     This cuts lineage with files every executor can read, so a lost executor
@@ -27,7 +27,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, "llm", name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

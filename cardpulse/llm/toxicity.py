@@ -5,11 +5,14 @@ over every training text.  A text is scored by the difference of their
 length-normalised log-likelihoods, over the whole text and over its windows,
 and a logistic calibration turns that into a probability.
 
-* Words are lower-cased letter runs.  A word, stem (its first ``STEM`` letters)
-  or word pair is kept if its count is at least ``max(floor, share * total)``;
-  so at most ``1 / share`` entries of each can be kept whatever the corpus, and
-  the model that is sent to the tasks has a fixed bound.  A word that is not
-  kept is its stem's symbol; without a kept stem it is <rare>.
+* Words are lower-cased letter runs.  A word or stem (its first ``STEM``
+  letters) is kept from ``WORD_FLOOR`` occurrences on and a word pair from
+  ``PAIR_FLOOR`` on, whatever the corpus.  A word that is not kept is its
+  stem's symbol; without a kept stem it is <rare>.
+* The model is a written table.  Only its most frequent entries, at most
+  ``1 / HEAD_SHARE`` of each kind, are sent to the tasks, which saves looking
+  them up; the others are joined to the distinct words and pairs of ``BLOCK``
+  texts each.  Both ways give the same scores.
 * ``P_c(w | h) = (count_c(h, w) - D)+ / count_c(h) + lambda_c(h) P_c(w)`` with
   ``P_c(w)`` from continuation counts (in how many contexts of class c the word
   occurs).  What discounting leaves goes to the stem's share of class c, split
@@ -21,19 +24,24 @@ and a logistic calibration turns that into a probability.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
+from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardpulse.llm.common import arrow_map, held_out, staged
+from cardpulse.session import ship_package
 
 RARE, START = 0, 1
-#: Bound of the kept words and of the kept pairs: 1 / KEEP_SHARE.
-KEEP_SHARE = 2e-6
+#: Words, stems and pairs with this share of all are sent to the tasks; the rest of the model is joined.
+HEAD_SHARE = 2e-6
+#: log2 of the bits of the filter that tells most names which the model does not have; a full filter only saves less.
+FILTER_BITS = 24
+#: Rows whose words and pairs are looked up together.
+BLOCK = 64
 WORD_FLOOR, PAIR_FLOOR = 3, 2
 STEM = 4
 DISCOUNT = 0.75
@@ -51,59 +59,165 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def symbols(own: list[str], ids: dict[str, int]) -> np.ndarray:
-    """Ids of words; a word that is not kept counts as its stem (kept as "stem*")."""
-    return np.fromiter((i if (i := ids.get(x)) is not None else ids.get(f"{x[:STEM]}*", RARE) for x in own), np.int64, len(own))
+def symbol(unit: str) -> int:
+    """The 64-bit name of a word or of a stem ("stem*")."""
+    return int.from_bytes(blake2b(unit.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def pair_key(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """64-bit names of pairs of symbols; ``PAIR_KEY`` is the same in SQL."""
+    u = w.view(np.uint64)
+    return h ^ ((u << np.uint64(1)) | (u >> np.uint64(63))).view(np.int64)
+
+
+PAIR_KEY = "h ^ (shiftleft(w, 1) | shiftrightunsigned(w, 63))"
+#: Names are hashes, so two runs of their bits serve as the filter's two hashes.
+FILTER_SHIFTS = (0, 32)
+RARE_SYMBOL, START_SYMBOL = symbol("<rare>"), symbol("<start>")
+#: A symbol's columns: P_c(w), backoff weight and occurrences as context, of ordinary and toxic text.
+VALUES = ("word_o", "word_t", "back_o", "back_t", "seen_o", "seen_t")
+
+
+@dataclass
+class Entries:
+    """Symbols and pairs by sorted 64-bit names."""
+
+    unit: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    value: np.ndarray = field(default_factory=lambda: np.zeros((0, len(VALUES))))
+    pair: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    count: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))
+
+
+def find(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` in the sorted ``names``, and whether they are there."""
+    if not len(names):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+    return at, names[at] == wanted
+
+
+def numbered(texts: list[list[str]]) -> tuple[dict[str, int], list[np.ndarray]]:
+    """Distinct words with their numbers, and each text as these."""
+    ids: dict[str, int] = {}
+    return ids, [np.fromiter((ids.setdefault(w, len(ids)) for w in own), np.int64, len(own)) for own in texts]
 
 
 @dataclass
 class Model:
-    ids: dict[str, int]
-    word_llr: np.ndarray  # log P_toxic(w) - log P_ordinary(w)
-    back_llr: np.ndarray  # the same of the context's backoff weights
-    pairs: np.ndarray  # sorted h * size + w of kept pairs
-    pair_llr: np.ndarray
+    ids: dict[str, int]  # frequent words and stems ("stem*"): their number in the arrays below
+    name: np.ndarray
+    value: np.ndarray
+    pair: np.ndarray  # sorted names of frequent pairs
+    count: np.ndarray
+    bits: np.ndarray  # Bloom filter of the names in ``rest``
+    rest: DataFrame | None = None  # (key, a, b, more) of all other kept symbols and pairs
+
+    def wanted(self, texts: list[list[str]]) -> np.ndarray:
+        """Names of all symbols and pairs beyond the frequent ones that scoring ``texts`` may need.
+
+        Whether such a word is kept is not known here, so its pairs are named
+        with the word, with its stem and with <rare>.
+        """
+        ids, numbers = numbered(texts)
+        n = len(ids)
+        may = np.zeros((n + 1, 3), np.int64)
+        valid = np.zeros((n + 1, 3), bool)
+        may[n, 0], valid[:, 0] = START_SYMBOL, True
+        units = []
+        for w, i in ids.items():
+            if (at := self.ids.get(w)) is not None:
+                may[i, 0] = self.name[at]
+                continue
+            stem = f"{w[:STEM]}*"
+            at = self.ids.get(stem)
+            may[i] = symbol(w), symbol(stem) if at is None else self.name[at], RARE_SYMBOL
+            valid[i] = True, True, at is None
+            units.extend(may[i, : 2 if at is None else 1])
+        seen = [np.unique(np.concatenate([[n], w[:-1]]) * (n + 1) + w) for w in numbers if len(w)]
+        keys = [np.array(units, np.int64)]
+        if seen:
+            both = np.unique(np.concatenate(seen))
+            h, w = both // (n + 1), both % (n + 1)
+            for i in range(3):
+                for j in range(3):
+                    ok = valid[h, i] & valid[w, j]
+                    key = pair_key(may[h[ok], i], may[w[ok], j])
+                    keys.append(key[~find(self.pair, key)[1]])
+        key = np.unique(np.concatenate(keys))
+        for shift in FILTER_SHIFTS:
+            at = (key >> shift) & ((1 << FILTER_BITS) - 1)
+            key = key[(self.bits[at >> 6] >> (at & 63)) & 1 == 1]
+        return key
+
+    def block_llr(self, texts: list[list[str]], more: Entries) -> list[np.ndarray]:
+        """Log-likelihood differences of every word of ``texts``; ``more`` holds what of ``wanted`` is kept."""
+        ids, numbers = numbered(texts)
+        n = len(ids)
+        name, value = np.zeros(n + 1, np.int64), np.zeros((n + 1, len(VALUES)))
+        name[n], value[n] = START_SYMBOL, self.value[START]
+        for w, i in ids.items():
+            name[i], value[i] = RARE_SYMBOL, self.value[RARE]
+            for unit in (w, f"{w[:STEM]}*"):
+                if (at := self.ids.get(unit)) is not None:
+                    name[i], value[i] = self.name[at], self.value[at]
+                    break
+                at = np.searchsorted(more.unit, s := symbol(unit))
+                if at < len(more.unit) and more.unit[at] == s:
+                    name[i], value[i] = s, more.value[at]
+                    break
+        out = []
+        for w in numbers:
+            h = np.concatenate([[n], w[:-1]]).astype(np.int64) if len(w) else w
+            key = pair_key(name[h], name[w])
+            count = np.zeros((len(w), 2))
+            for names, counts in ((self.pair, self.count), (more.pair, more.count)):
+                at, ok = find(names, key)
+                count[ok] = counts[at[ok]]
+            direct = np.maximum(count - DISCOUNT, 0.0) / np.maximum(value[h, 4:6], 1.0)
+            p = np.log(direct + value[h, 2:4] * value[w, 0:2])
+            out.append(p[:, 1] - p[:, 0])
+        return out
 
     def token_llr(self, own: list[str]) -> np.ndarray:
-        w = symbols(own, self.ids)
-        h = np.concatenate([[START], w[:-1]])
-        out = self.back_llr[h] + self.word_llr[w]
-        if len(self.pairs):
-            key = h * len(self.word_llr) + w
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            out = np.where(self.pairs[at] == key, self.pair_llr[at], out)
-        return out
+        return self.block_llr([own], Entries())[0]
+
+    def sendable(self) -> Model:
+        return replace(self, rest=None)
 
-    def features(self, text: str | None) -> np.ndarray:
-        """Length-normalised log-likelihood differences: the text's, its best windows', and their spread."""
-        f = np.zeros(N_FEATURES)
-        own = words(text)
-        if not own:
-            return f
-        llr = np.clip(self.token_llr(own), -8.0, 8.0)
-        n, total = len(llr), np.concatenate([[0.0], np.cumsum(llr)])
-        f[0] = total[-1] / n
-        f[1] = np.clip(total[-1] / np.sqrt(n), -20, 20)
-        for i, width in enumerate(WINDOWS):
-            width = min(width, n)
-            f[2 + i] = (total[width:] - total[:-width]).max() / width
-        top = llr > 2.0
-        f[4] = np.log1p(top.sum())
-        f[5] = np.sqrt(top.mean())
+
+def features(llr: np.ndarray) -> np.ndarray:
+    """Length-normalised log-likelihood differences: the text's, its best windows', and their spread."""
+    f = np.zeros(N_FEATURES)
+    if not len(llr):
         return f
+    llr = np.clip(llr, -8.0, 8.0)
+    n, total = len(llr), np.concatenate([[0.0], np.cumsum(llr)])
+    f[0] = total[-1] / n
+    f[1] = np.clip(total[-1] / np.sqrt(n), -20, 20)
+    for i, width in enumerate(WINDOWS):
+        width = min(width, n)
+        f[2 + i] = (total[width:] - total[:-width]).max() / width
+    top = llr > 2.0
+    f[4] = np.log1p(top.sum())
+    f[5] = np.sqrt(top.mean())
+    return f
 
 
 @dataclass
 class Scorer:
-    model: Model
+    model: Model | None
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
 
-    def score(self, text: str | None) -> float:
-        x = (self.model.features(text) - self.mean) / self.scale
+    def score(self, f: np.ndarray) -> float:
+        x = (f - self.mean) / self.scale
         return float(1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30))))
 
+    def sendable(self) -> Scorer:
+        """The calibration alone."""
+        return replace(self, model=None)
+
 
 def labelled(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     """(doc_id, y, text) of rows outside the held-out fold whose label ``name`` is 0 or 1."""
@@ -120,7 +234,8 @@ def _word_counts(train: DataFrame) -> DataFrame:
             all_words = list(counts[0].keys() | counts[1].keys())
             columns = [pa.array([c.get(w, 0) for w in all_words], pa.int64()) for c in counts]
             counts[0].clear(), counts[1].clear()
-            return pa.RecordBatch.from_arrays([pa.array(all_words, pa.string()), *columns], ["word", "ordinary", "toxic"])
+            names = [pa.array([symbol(u) for u in units], pa.int64()) for units in (all_words, [f"{w[:STEM]}*" for w in all_words])]
+            return pa.RecordBatch.from_arrays([pa.array(all_words, pa.string()), *names, *columns], ["word", "name", "stem", "ordinary", "toxic"])
 
         for b in batches:
             for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -131,107 +246,160 @@ def _word_counts(train: DataFrame) -> DataFrame:
                     yield flush()
         yield flush()
 
-    part = arrow_map(train.select("y", "text"), run, "word string, ordinary long, toxic long")
-    return part.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    part = arrow_map(train.select("y", "text"), run, "word string, name long, stem long, ordinary long, toxic long")
+    return part.groupBy("word", "name", "stem").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+
 
+def _pair_counts(train: DataFrame, ids: dict[str, int], name: np.ndarray, resolved: DataFrame) -> DataFrame:
+    """(h, w, ordinary, toxic): how often each pair of symbols occurs.
 
-def _pair_counts(train: DataFrame, ids: dict[str, int]) -> DataFrame:
-    size = len(ids) + 2
-    shared = train.sparkSession.sparkContext.broadcast(ids)  # bounded: see KEEP_SHARE
+    Tasks know the symbols of frequent words; ``resolved`` (name, symbol) is
+    joined to the counted pairs for the others.
+    """
+    shared = train.sparkSession.sparkContext.broadcast((ids, name))  # bounded: see HEAD_SHARE
 
     def run(batches):
-        def merged(keys, counts):
-            key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.zeros((len(key), 2), np.int64)
-            np.add.at(total, inverse, np.concatenate(counts))
-            return key, total
+        ids, name = shared.value
+        counts: dict[tuple[str, str], list[int]] = {}
 
-        def rows(key, total):
-            return pa.RecordBatch.from_arrays([pa.array(key // size), pa.array(key % size), pa.array(total[:, 0]), pa.array(total[:, 1])], ["h", "w", "ordinary", "toxic"])
+        def flush():
+            known = {w: (symbol(w), True) if (at := ids.get(w)) is None else (int(name[at]), False) for w in {w for pair in counts for w in pair if w}}
+            known[""] = START_SYMBOL, False
+            h, w = zip(*counts) if counts else ((), ())
+            columns = [pa.array([known[x][i] for x in own], t) for own in (h, w) for i, t in ((0, pa.int64()), (1, pa.bool_()))]
+            columns += [pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1)]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(columns, ["h", "h_open", "w", "w_open", "ordinary", "toxic"])
 
-        keys, counts, held = [], [], 0
         for b in batches:
             for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = words(text)
-                if not own:
-                    continue
-                w = symbols(own, shared.value)
-                key, n = np.unique(np.concatenate([[START], w[:-1]]) * size + w, return_counts=True)
-                keys.append(key)
-                counts.append(np.stack([n * (y == 0), n * (y == 1)], 1))
-                held += len(key)
-                if held > 2 * FLUSH_WORDS:
-                    key, total = merged(keys, counts)
-                    if len(key) > FLUSH_WORDS:
-                        yield rows(key, total)
-                        keys, counts, held = [], [], 0
-                    else:
-                        keys, counts, held = [key], [total], len(key)
-        if keys:
-            yield rows(*merged(keys, counts))
-
-    part = arrow_map(train.select("y", "text"), run, "h long, w long, ordinary long, toxic long")
-    return part.groupBy("h", "w").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-
-
-def train_model(train: DataFrame, share: float = KEEP_SHARE) -> Model:
-    """Count words, then word pairs, over all rows of ``train`` (y, text) and keep what the bound allows."""
+                for pair in zip(["", *own], own):
+                    if (c := counts.get(pair)) is None:
+                        c = counts[pair] = [0, 0]
+                    c[y] += 1
+                if len(counts) > FLUSH_WORDS:
+                    yield flush()
+        yield flush()
+
+    part = arrow_map(train.select("y", "text"), run, "h long, h_open boolean, w long, w_open boolean, ordinary long, toxic long")
+    sums = [F.sum(c).alias(c) for c in ("ordinary", "toxic")]
+    part = part.groupBy("h", "h_open", "w", "w_open").agg(*sums)
+    for side in ("h", "w"):
+        # a frequent word is its own symbol; its rows get a key each, which spreads them and finds nothing
+        key = F.when(F.col(f"{side}_open"), F.col(side)).otherwise(F.expr(PAIR_KEY))
+        part = part.withColumn("name", key).join(resolved, "name", "left").withColumn(side, F.when(F.col(f"{side}_open"), F.col("symbol")).otherwise(F.col(side)))
+        part = part.drop("name", "symbol")
+    return part.groupBy("h", "w").agg(*sums)
+
+
+def train_model(train: DataFrame, share: float = HEAD_SHARE) -> Model:
+    """Count words, then word pairs, over all rows of ``train`` (y, text); entries under ``share`` of all stay in ``rest``."""
+    spark = train.sparkSession
     found = staged(_word_counts(train), "toxicity-words")
     both = F.col("ordinary") + F.col("toxic")
+    counts = ["ordinary", "toxic"]
     total = found.agg(F.sum(both)).first()[0] or 0
-    enough = both >= max(WORD_FLOOR, share * total)
-    kept = found.where(enough & (F.length("word") > 0)).select("word", "ordinary", "toxic").toPandas()
-    stems = found.groupBy(F.concat(F.substring("word", 1, STEM), F.lit("*")).alias("word")).agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    stems = stems.where(enough).toPandas()
-    units = pd.concat([stems, kept], ignore_index=True).sort_values("word", ignore_index=True)
-    ids = {w: i + 2 for i, w in enumerate(units["word"])}
-    size = len(ids) + 2
-
-    pairs = staged(_pair_counts(train, ids), "toxicity-pairs")
-
-    def seen(name: str) -> list:
-        return [F.sum(name).alias(name), F.sum((F.col(name) > 0).cast("long")).alias(f"{name}_kinds")]
-
-    def dense(df: DataFrame, key: str, name: str) -> np.ndarray:
-        out = np.zeros(size)
-        out[df[key].to_numpy()] = df[name].to_numpy()
-        return out
-
-    contexts = pairs.groupBy("h").agg(*seen("ordinary"), *seen("toxic")).toPandas()  # at most one row per kept word
-    endings = pairs.groupBy("w").agg(*seen("ordinary"), *seen("toxic"), F.count("*").alias("shared")).toPandas()
-    n_pairs = int(pairs.agg(F.sum(both)).first()[0] or 0)
-    kept_pairs = pairs.where(both >= max(PAIR_FLOOR, share * n_pairs)).select("h", "w", "ordinary", "toxic").toPandas()
-    h, w = kept_pairs["h"].to_numpy(np.int64), kept_pairs["w"].to_numpy(np.int64)
-
-    # the stem of every symbol; a stem's own symbol stands for its words that are not kept
-    is_stem = np.array([False, False, *units["word"].str.endswith("*")])
-    stem = np.array([RARE, START, *(ids.get(w if w.endswith("*") else f"{w[:STEM]}*", RARE) for w in units["word"])], np.int64)
-    shared = dense(endings, "w", "shared") + 0.5
-    in_stem = np.bincount(stem, shared, size)
-    split = shared / in_stem[stem]
-    share_of = in_stem / in_stem.sum()
-    word, back, pair = {}, {}, {}
-    for c in ("ordinary", "toxic"):
-        whole = np.zeros(size)
-        whole[2:] = units[c].to_numpy() * is_stem[2:]
-        taken = np.maximum(whole - DISCOUNT, 0.0)
-        mass = max(whole.sum(), 1.0)
-        by_stem = taken / mass + (1 - taken.sum() / mass) * share_of
+    stems = found.groupBy(F.col("stem").alias("name")).agg(F.min(F.concat(F.substring("word", 1, STEM), F.lit("*"))).alias("word"), *[F.sum(c).alias(c) for c in counts])
+    stems = stems.where(both >= WORD_FLOOR).select("word", "name", F.col("name").alias("stem"), *counts, F.lit(True).alias("is_stem"))
+    # a kept word's stem is kept too: it has no fewer occurrences
+    units = found.where(both >= WORD_FLOOR).select("word", "name", "stem", *counts, F.lit(False).alias("is_stem")).unionByName(stems)
+    frequent = both >= share * total
+    head = units.where(frequent).select("word", "name").toPandas()
+    ids = {w: i + 2 for i, w in enumerate(head["word"])}
+    name = np.array([RARE_SYMBOL, START_SYMBOL, *head["name"]], np.int64)
+
+    kept_stem = stems.select("stem", F.lit(True).alias("has_stem"))
+    resolved = found.where(~(frequent & (both >= WORD_FLOOR))).join(kept_stem, "stem", "left")
+    resolved = resolved.select("name", F.when(both >= WORD_FLOOR, F.col("name")).when(F.col("has_stem"), F.col("stem")).otherwise(F.lit(RARE_SYMBOL)).alias("symbol"))
+    pairs = staged(_pair_counts(train, ids, name, resolved), "toxicity-pairs")
+
+    kept = both >= PAIR_FLOOR
+    contexts = pairs.groupBy(F.col("h").alias("name")).agg(
+        *[F.sum(c).alias(f"seen_{c}") for c in counts],
+        *[F.sum(F.when(kept, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))).otherwise(0.0)).alias(f"cut_{c}") for c in counts])
+    endings = pairs.groupBy(F.col("w").alias("name")).agg(*[F.sum((F.col(c) > 0).cast("long")).alias(f"kinds_{c}") for c in counts], F.count("*").alias("shared"))
+    special = spark.createDataFrame([(None, n, n, 0, 0, False) for n in (RARE_SYMBOL, START_SYMBOL)], units.schema)
+    base = units.unionByName(special).join(contexts, "name", "left").join(endings, "name", "left")
+    base = base.fillna(0).fillna(0.0).withColumn("shared", F.col("shared") + 0.5)
+    base = staged(base, "toxicity-units")
+
+    over = lambda c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))
+    in_stem = base.groupBy("stem").agg(F.sum("shared").alias("in_stem"), *[F.sum(F.when(F.col("is_stem"), F.col(c)).otherwise(0)).alias(f"whole_{c}") for c in counts])
+    t = base.agg(F.sum("shared").alias("shared"), *[F.sum(F.when(F.col("is_stem"), F.col(c)).otherwise(0)).alias(f"mass_{c}") for c in counts],
+                 *[F.sum(F.when(F.col("is_stem"), over(c)).otherwise(0.0)).alias(f"taken_{c}") for c in counts],
+                 *[F.sum(f"kinds_{c}").alias(f"spread_{c}") for c in counts], *[F.sum(over(f"kinds_{c}")).alias(f"less_{c}") for c in counts]).first()
+    unit = base.join(in_stem, "stem")
+    share_of = F.col("in_stem") / F.lit(t["shared"])
+    columns = {}
+    for c, short in (("ordinary", "o"), ("toxic", "t")):
+        mass, spread = max(float(t[f"mass_{c}"]), 1.0), max(float(t[f"spread_{c}"]), 1.0)
+        by_stem = over(f"whole_{c}") / mass + (1 - t[f"taken_{c}"] / mass) * share_of
         # symbols without a kept stem: one share, the same for both classes
-        by_stem[[RARE, START]] = share_of[[RARE, START]]
-        kinds = dense(endings, "w", f"{c}_kinds")
-        spread = max(kinds.sum(), 1.0)
-        taken = np.maximum(kinds - DISCOUNT, 0.0)
-        word[c] = taken / spread + (1 - taken.sum() / spread) * by_stem[stem] * split
-        seen_in = dense(contexts, "h", c)
-        count = kept_pairs[c].to_numpy(float)
-        direct = np.maximum(count - DISCOUNT, 0.0) / np.maximum(seen_in[h], 1.0)
-        back[c] = np.clip(1 - np.bincount(h, direct, size), 1e-6, 1.0)
-        pair[c] = direct + back[c][h] * word[c][w]
-    difference = lambda x: np.log(x["toxic"]) - np.log(x["ordinary"])
-    key = h * size + w
-    order = np.argsort(key)
-    return Model(ids, difference(word), difference(back), key[order], difference(pair)[order])
+        by_stem = F.when(F.col("name").isin(RARE_SYMBOL, START_SYMBOL), share_of).otherwise(by_stem)
+        columns[f"word_{short}"] = over(f"kinds_{c}") / spread + (1 - t[f"less_{c}"] / spread) * by_stem * F.col("shared") / F.col("in_stem")
+        columns[f"seen_{short}"] = F.col(f"seen_{c}").cast("double")
+        columns[f"back_{short}"] = F.greatest(F.least(1 - F.col(f"cut_{c}") / F.greatest(F.col(f"seen_{c}"), F.lit(1)), F.lit(1.0)), F.lit(1e-6))
+    special = F.col("name").isin(RARE_SYMBOL, START_SYMBOL)
+    unit = staged(unit.select("word", "name", (frequent | special).alias("frequent"), *[columns[v].alias(v) for v in VALUES]), "toxicity-model")
+
+    mine = unit.where("frequent").toPandas()
+    at = {n: i for i, n in enumerate(mine["name"])}
+    value = mine[list(VALUES)].to_numpy(float)[[at[n] for n in name.tolist()]]
+    n_pairs = int(pairs.agg(F.sum(both)).first()[0] or 0)
+    named = pairs.where(kept).select(F.expr(PAIR_KEY).alias("key"), *[F.col(c).cast("double").alias(c) for c in counts])
+    often = both >= share * n_pairs
+    hot = named.where(often).orderBy("key").toPandas()
+    rest = unit.where("not frequent").select(F.col("name").alias("key"), F.col("word_o").alias("a"), F.col("word_t").alias("b"), F.array(*VALUES[2:]).alias("more"))
+    rest = rest.unionByName(named.where(~often).select("key", F.col("ordinary").alias("a"), F.col("toxic").alias("b"), F.lit(None).cast("array<double>").alias("more")))
+    return Model(ids, name, value, hot["key"].to_numpy(np.int64), hot[counts].to_numpy(float), _filter_bits(rest), rest)
+
+
+def _filter_bits(rest: DataFrame) -> np.ndarray:
+    """Bloom filter over ``key``, as 2 ** (FILTER_BITS - 6) words; no more rows than these reach the driver."""
+    at = F.explode(F.array(*[F.shiftright("key", n).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) for n in FILTER_SHIFTS]))
+    at = rest.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
+    found = at.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return bits
+
+
+def _entries(hits: pa.Table) -> Entries:
+    hits = hits.sort_by("key").combine_chunks()
+    key, a, b = (hits[c].to_numpy() for c in ("key", "a", "b"))
+    is_unit = hits["more"].is_valid().to_numpy()
+    ab = np.stack([a, b], 1)
+    more = np.array(hits["more"].filter(pa.array(is_unit)).to_pylist(), float).reshape(-1, len(VALUES) - 2)
+    return Entries(key[is_unit], np.concatenate([ab[is_unit], more], 1), key[~is_unit], ab[~is_unit])
+
+
+def with_llr(docs: DataFrame, model: Model, fn, schema, name: str) -> DataFrame:
+    """``fn(rows, differences)`` over blocks of ``docs`` (with ``text``), given every word's log-likelihood difference.
+
+    The rows are written with a block number first, so that both readings agree on it.
+    """
+    ship_package(docs.sparkSession)
+    numbered_docs = docs.withColumn("_block", F.shiftright(F.monotonically_increasing_id(), BLOCK.bit_length() - 1))
+    rows = staged(numbered_docs, name, compression="zstd")
+    shared = docs.sparkSession.sparkContext.broadcast(model.sendable())
+
+    def wanted(batches):
+        for b in batches:
+            block = b.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(block)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if hi > lo:
+                    keys = shared.value.wanted([words(x) for x in b.column(1).slice(lo, hi - lo).to_pylist()])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block[lo])), pa.array(keys)], ["_block", "key"])
+
+    def scored(own: pa.Table, hits: pa.Table) -> pa.Table:
+        texts = [words(x) for x in own["text"].cast(pa.string()).to_pylist()]
+        return fn(own.drop_columns(["_block"]), shared.value.block_llr(texts, _entries(hits)))
+
+    asked = arrow_map(rows.select("_block", F.col("text").cast("string")), wanted, "_block long, key long")
+    hits = asked.join(model.rest, "key").select("_block", "key", "a", "b", "more")
+    return rows.groupBy("_block").cogroup(hits.groupBy("_block")).applyInArrow(scored, schema)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -253,7 +421,6 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
 
     Without both classes in training every score is the share of toxic labels.
     """
-    spark = docs.sparkSession
     rows = staged(labelled(docs, labels, "toxic"), "toxicity-train")
     third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 3
     model = train_model(rows.where(~third).select("y", "text"))
@@ -264,14 +431,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
         return Scorer(model, np.zeros(N_FEATURES), np.ones(N_FEATURES), np.append(np.zeros(N_FEATURES), np.log((base + 1e-3) / (1 - base + 1e-3))))
     share = min(1.0, CALIBRATION_ROWS / sum(size.values()))
     chosen = rows.where(third & (F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))))
-    shared = spark.sparkContext.broadcast(model)
+    names = [f"f{i}" for i in range(N_FEATURES)]
 
-    def run(batches):
-        for b in batches:
-            f = np.array([shared.value.features(t) for t in b.column(1).to_pylist()]).reshape(-1, N_FEATURES)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(f[:, i]) for i in range(N_FEATURES))], ["y", *(f"f{i}" for i in range(N_FEATURES))])
+    def run(rows, llr):
+        f = np.array([features(x) for x in llr]).reshape(-1, N_FEATURES)
+        return pa.table([rows["y"], *(pa.array(f[:, i]) for i in range(N_FEATURES))], ["y", *names])
 
-    sample = arrow_map(chosen.select("y", "text"), run, "y int, " + ", ".join(f"f{i} double" for i in range(N_FEATURES))).toPandas().to_numpy(float)
+    found = with_llr(chosen.select("y", "text"), model, run, "y int, " + ", ".join(f"{n} double" for n in names), "toxicity-calibration")
+    sample = found.orderBy("y", *names).toPandas().to_numpy(float)
     x, y = sample[:, 1:], sample[:, 0]
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     return Scorer(model, mean, scale, logistic((x - mean) / scale, y))
@@ -284,24 +451,21 @@ def score(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
     model and gets the calibration's value at no evidence.  Null doc_ids count
     as held out; repeated rows keep their rows; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    send = scorer.sendable()
 
-    def run(batches):
-        for b in batches:
-            s = [shared.value.score(t.as_py()) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
+    def run(rows, llr):
+        return pa.table([rows["doc_id"], pa.array([send.score(features(x)) for x in llr], pa.float64())], ["doc_id", "score"])
 
-    found = arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, score double")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = with_llr(own, scorer.model, run, "doc_id long, score double", "toxicity-rows")
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; its columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
-    at = docs.columns.index("text")
+    send = scorer.sendable()
 
-    def run(batches):
-        for b in batches:
-            yield b.filter(pa.array([shared.value.score(t.as_py()) < threshold for t in b.column(at)], pa.bool_()))
+    def run(rows, llr):
+        return rows.filter(pa.array([send.score(features(x)) < threshold for x in llr], pa.bool_()))
 
-    return arrow_map(docs, run, docs.schema)
+    return with_llr(docs, scorer.model, run, docs.schema, "toxicity-rows")

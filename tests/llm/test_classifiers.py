@@ -87,6 +87,17 @@ def test_kneser_ney_probabilities(spark):
     assert set(model.ids) >= {"a", "b", "bad", "a*", "b*", "bad*"}
 
 
+def test_joined_entries_score_as_sent_ones(spark):
+    """A rare toxic word or pair keeps its own counts, however large a share sending takes."""
+    docs, labels, listed = make_docs(spark, 200)
+    rows = toxicity.labelled(docs, labels, "toxic").select("y", "text").cache()
+    fixed = np.zeros(toxicity.N_FEATURES), np.ones(toxicity.N_FEATURES), np.append(np.ones(toxicity.N_FEATURES) / 4, 0.0)
+    scores = {share: {(r.doc_id, round(r.score, 9)) for r in toxicity.score(docs, toxicity.Scorer(toxicity.train_model(rows, share), *fixed)).collect()}
+              for share in (0.0, 0.01, 2.0)}
+    assert len(scores[0.0]) > 200
+    assert scores[0.01] == scores[0.0] and scores[2.0] == scores[0.0]
+
+
 def test_toxic_rows_go_and_columns_stay(spark):
     docs, labels, listed = make_docs(spark)
     kept = toxicity.without_toxic(docs, toxicity.train(docs, labels))

@@ -5,13 +5,17 @@ A source's target in words says how many copies its documents get on average:
 copies; the rest, ``p = ratio - floor(ratio)``, is an inclusion probability.
 Documents are ranked by random odds over inclusion odds,
 ``(u / (1 - u)) / (p / (1 - p))``, and the smallest are selected until their
-words reach the source's share, so the sample has a fixed size in words.
+words reach the source's share, so the sample has a fixed size in words.  ``p``
+is the same throughout a source, so the ranking there follows ``u``.  Documents
+without words are included if ``u < p``.
+
+A document that would overshoot is set aside, and the selection goes on behind
+it until no later document fits what is left.
 
 The ranking never sorts a whole source.  A source is cut into buckets of about
-``BUCKET_ROWS`` documents along the ranking; bucket sums tell in which bucket
-the cut falls, and only that bucket is ordered.  Where the next document would
-overshoot, the gap is filled with the first fitting document of each size
-class of that bucket, largest first.
+``BUCKET_ROWS`` documents along the ranking.  Sums of the documents that fit
+tell which buckets are taken whole and in which one the words run out; only
+that bucket is ordered, and the next round starts behind it.
 """
 
 from __future__ import annotations
@@ -63,16 +67,58 @@ def targets(sources: DataFrame, cycle: int = 3, max_copies: float = MAX_COPIES)
     return s.select("source", "source_size", "rows", F.least("cap", F.coalesce(F.col("open") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
-def _filled(arr: Column, gap: Column) -> Column:
-    """Numbers of the documents, largest first, that still fit the gap."""
-    start = F.struct(gap.alias("left"), F.array().cast("array<int>").alias("taken"))
+def _greedy(arr: Column, left: Column) -> Column:
+    """(left, at, taken): numbers from 1 of the documents, in order, that still fit what is left."""
+    start = F.struct(left.alias("left"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("taken"))
 
     def step(acc, d):
         fits = d["size"] <= acc["left"]
-        return F.struct(F.when(fits, acc["left"] - d["size"]).otherwise(acc["left"]).alias("left"),
-                        F.when(fits, F.concat(acc["taken"], F.array(d["at"]))).otherwise(acc["taken"]).alias("taken"))
+        return F.struct(F.when(fits, acc["left"] - d["size"]).otherwise(acc["left"]).alias("left"), (acc["at"] + 1).alias("at"),
+                        F.when(fits, F.concat(acc["taken"], F.array(acc["at"] + 1))).otherwise(acc["taken"]).alias("taken"))
+
+    return F.aggregate(arr, start, step)
 
-    return F.aggregate(arr, start, step, lambda acc: acc["taken"])
+
+def _selected(rows: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Which documents with words fill each source's ``need`` in order of ``u``.
+
+    (name, segments, cuts): buckets ``lo`` to ``hi`` of a segment are taken but
+    for documents of more than ``most`` words; of the buckets in ``cuts`` the
+    second table (name, bucket, taken) has the places.  Each round passes at
+    least one bucket of every source that is not filled; ``rows`` (name,
+    bucket, size, u, tie) are only summed but for one bucket a source.
+    """
+    segment = "array<struct<lo:bigint,hi:bigint,most:double>>"
+    state = plan.where("p > 0").select("name", F.col("need").alias("left"), F.lit(0).cast("long").alias("next"), F.col("buckets").cast("long").alias("buckets"),
+                                       F.array().cast(segment).alias("segments"), F.array().cast("array<bigint>").alias("cuts"), F.lit(False).alias("done"))
+    state, places, turn = staged(state, "mix-state-0"), None, 0
+    running = Window.partitionBy("name").orderBy("bucket")
+    while state.where("not done").limit(1).count():
+        turn += 1
+        live = state.where("not done").select(F.col("name").alias("live_name"), "left", "next")
+        behind = rows.join(live, rows["name"].eqNullSafe(live["live_name"])).where("bucket >= next")
+        sums = behind.where("size <= left").groupBy("name", "bucket").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
+        sums = sums.withColumn("upto", F.sum("words").over(running))
+        cut = sums.where("upto > left").groupBy("name").agg(F.min(F.struct("bucket", (F.col("left") - F.col("upto") + F.col("words")).alias("room"))).alias("cut"))
+        cut = staged(cut.select(F.col("name").alias("cut_name"), F.col("cut.bucket").alias("cut_bucket"), F.col("cut.room").alias("room")), f"mix-cut-{turn}")
+        inside = rows.join(cut, rows["name"].eqNullSafe(cut["cut_name"]) & (rows["bucket"] == cut["cut_bucket"]))
+        inside = inside.groupBy("name", "bucket").agg(F.first("room").alias("room"), F.sort_array(F.collect_list(F.struct("u", "tie", "size"))).alias("ds"))
+        found = inside.select(F.col("name").alias("cut_name"), F.col("bucket").alias("cut_bucket"), _greedy(F.col("ds"), F.col("room")).alias("found"))
+        found = staged(found.select("cut_name", "cut_bucket", F.col("found.left").alias("now"), F.col("found.taken").alias("taken")), f"mix-taken-{turn}")
+        place = found.select(F.col("cut_name").alias("name"), F.col("cut_bucket").alias("bucket"), "taken")
+        places = place if places is None else places.unionByName(place)
+        s = state.join(found.drop("taken"), state["name"].eqNullSafe(found["cut_name"]), "left")
+        whole = F.struct(F.col("next").alias("lo"), F.coalesce(F.col("cut_bucket") - 1, F.col("buckets")).alias("hi"), F.col("left").alias("most"))
+        after = F.col("cut_bucket") + 1
+        s = s.select(
+            "name", F.coalesce("now", "left").alias("left"), F.coalesce(after, "next").alias("next"), "buckets",
+            F.when(F.col("done"), F.col("segments")).otherwise(F.concat("segments", F.array(whole))).alias("segments"),
+            F.when(F.col("cut_bucket").isNull(), F.col("cuts")).otherwise(F.concat("cuts", F.array("cut_bucket"))).alias("cuts"),
+            (F.col("done") | F.col("cut_bucket").isNull() | (after >= F.col("buckets")) | (F.col("now") < 1)).alias("done"))
+        state = staged(s, f"mix-state-{turn}")
+    if places is None:
+        places = rows.sparkSession.createDataFrame([], "name string, bucket long, taken array<int>")
+    return state.select("name", "segments", "cuts"), places
 
 
 def mix(docs: DataFrame, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -84,7 +130,7 @@ def mix(docs: DataFrame, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> Da
     draw depends on id, text and seed only, so reruns agree.
     """
     drawn = _with_draw(docs, seed)
-    narrow = staged(drawn.select("source", "size", "u"), "mix-sizes")
+    narrow = staged(drawn.select("source", "size", "u", "tie"), "mix-sizes")
     sources = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     plan = targets(sources).withColumn("whole", F.floor(ratio).cast("int")).withColumn("p", ratio - F.floor(ratio))
@@ -92,43 +138,27 @@ def mix(docs: DataFrame, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> Da
     plan = staged(plan.withColumnRenamed("source", "name"), "mix-plan")
 
     def planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
-        # p is the same throughout a source, so the ranking follows u there
-        rank = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-        bucket = F.least(F.floor(F.col("u") * F.col("buckets")), F.col("buckets") - 1)
-        joined = rows.join(plan, rows["source"].eqNullSafe(plan["name"]))
-        return joined.withColumn("bucket", bucket).withColumn("rank", F.when(F.col("p") > 0, rank).otherwise(F.col("u")))
+        bucket = F.least(F.floor(F.col("u") * F.col("buckets")), F.col("buckets") - 1).cast("long")
+        return rows.join(plan, rows["source"].eqNullSafe(plan["name"])).withColumn("bucket", bucket)
 
-    sums = planned(narrow, plan).groupBy("name", "bucket").agg(F.sum("size").alias("words"), F.first("need").alias("need"))
-    running = Window.partitionBy("name").orderBy("bucket")
-    sums = sums.withColumn("upto", F.sum("words").over(running))
-    cut = sums.where("upto > need").groupBy("name").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("below"))).alias("cut"))
-    cut = cut.select(F.col("name").alias("cut_name"), F.col("cut.bucket").alias("cut_bucket"), F.col("cut.below").alias("below"))
-    plan = plan.join(cut, plan["name"].eqNullSafe(cut["cut_name"]), "left").drop("cut_name")
-    plan = staged(plan, "mix-cuts")
+    ranked = planned(narrow, plan.where("p > 0").select("name", "buckets")).where("size > 0").select("name", "bucket", "size", "u", "tie")
+    chosen, places = _selected(ranked, plan)
+    chosen = chosen.withColumnRenamed("name", "chosen_name")
+    plan = staged(plan.join(chosen, plan["name"].eqNullSafe(chosen["chosen_name"]), "left").drop("chosen_name"), "mix-cuts")
 
     full = planned(drawn, plan)
-    apart = full.where("cut_bucket is null or bucket <> cut_bucket")
-    # without a cut the whole source is needed only if p took all of it: need = 0 has a cut at once
-    picked = F.coalesce(F.col("bucket") < F.col("cut_bucket"), F.col("p") > 0)
+    at_cut = F.coalesce(F.array_contains("cuts", F.col("bucket")), F.lit(False)) & (F.col("size") > 0)
+    inside = F.exists("segments", lambda s: F.col("bucket").between(s["lo"], s["hi"]) & (F.col("size") <= s["most"]))
+    picked = F.when(F.col("size") > 0, F.coalesce(inside, F.lit(False))).otherwise(F.col("u") < F.col("p"))
     result = ["row", "size", "source_size", "target", "copies"]
-    apart = apart.withColumn("copies", F.col("whole") + picked.cast("int")).select(*result)
-
-    at_cut = full.where("bucket = cut_bucket")
-    order = Window.partitionBy("name").orderBy("rank", "tie", "size")
-    at_cut = at_cut.withColumn("at", F.row_number().over(order)).withColumn("upto", F.col("below") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    at_cut = at_cut.withColumn("in", (F.col("upto") <= F.col("need")) & (F.col("p") > 0))
-    # the gap that is left, and for each size class the first document behind the cut that fits into it
-    gap = at_cut.groupBy("name").agg(F.first(F.col("need") - F.col("below")).alias("room"), F.sum(F.when(F.col("in"), F.col("size")).otherwise(0)).alias("got"))
-    gap = gap.select(F.col("name").alias("gap_name"), (F.col("room") - F.col("got")).alias("gap"))
-    rest = at_cut.where("not in and p > 0 and size > 0").select("name", "at", "size")
-    rest = rest.join(gap, rest["name"].eqNullSafe(gap["gap_name"])).where("size <= gap")
-    first = rest.groupBy("name", "gap", F.floor(F.log2("size")).alias("class")).agg(F.min(F.struct("at", "size")).alias("d"))
-    fill = first.groupBy("name").agg(F.first("gap").alias("gap"), F.sort_array(F.collect_list(F.struct(F.col("d.size").alias("size"), F.col("d.at").alias("at"))), asc=False).alias("ds"))
-    fill = fill.select(F.col("name").alias("fill_name"), _filled(F.col("ds"), F.col("gap")).alias("taken"))
-    at_cut = at_cut.join(fill, at_cut["name"].eqNullSafe(fill["fill_name"]), "left")
-    extra = F.coalesce(F.array_contains("taken", F.col("at")), F.lit(False))
-    at_cut = at_cut.withColumn("copies", F.col("whole") + (F.col("in") | extra).cast("int")).select(*result)
-    return apart.unionByName(at_cut)
+    apart = full.where(~at_cut).withColumn("copies", F.col("whole") + picked.cast("int")).select(*result)
+
+    order = Window.partitionBy("name", "bucket").orderBy("u", "tie", "size")
+    cut = full.where(at_cut).withColumn("at", F.row_number().over(order))
+    places = places.select(F.col("name").alias("place_name"), F.col("bucket").alias("place_bucket"), "taken")
+    cut = cut.join(places, cut["name"].eqNullSafe(places["place_name"]) & (cut["bucket"] == places["place_bucket"]))
+    cut = cut.withColumn("copies", F.col("whole") + F.array_contains("taken", F.col("at")).cast("int")).select(*result)
+    return apart.unionByName(cut)
 
 
 def mixed_sizes(docs: DataFrame, seed: int = SEED) -> DataFrame:

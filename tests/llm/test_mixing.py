@@ -81,3 +81,20 @@ def test_cap_binds(spark):
     got = mixing.mixed_sizes(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {r.target for r in got if r.doc_id >= 1000} == {150.0}
     assert all(r.taken == 3 * r.size for r in got if r.doc_id >= 1000)
+
+
+@pytest.mark.parametrize("bucket_rows", [16, 4096])
+def test_no_document_that_fits_is_left(spark, bucket_rows):
+    """Whatever falls on the cut, later documents fill the words that it leaves."""
+    rows = [(i, "w " * 30, "long", 0, "") for i in range(200)] + [(999, "w " * 25_000, "long", 0, "")]
+    rows += [(1000 + i, "v " * (i % 97 + 3), f"s{i % 3}", 0, "") for i in range(900)]
+    for seed in range(4):
+        by_source = {}
+        for r in mixing.mix(spark.createDataFrame(rows, SCHEMA), seed, bucket_rows).collect():
+            by_source.setdefault(r.row.source, []).append(r)
+        assert sum(map(len, by_source.values())) == len(rows)
+        for source, got in by_source.items():
+            whole = int(got[0].target // got[0].source_size)
+            left = got[0].target - sum(r.size * r.copies for r in got)
+            assert all(r.copies in (whole, whole + 1) for r in got)
+            assert left >= -1e-6 and all(r.size > left - 1e-6 for r in got if r.copies == whole), (source, left)

@@ -1,7 +1,7 @@
 """Toxicity by class-conditional Kneser-Ney language models.
 
 Two word-bigram models, one of toxic and one of ordinary text, are counted
-over every training text.  A text is scored by the difference of their
+over every training text that does not calibrate.  A text is scored by the difference of their
 length-normalised log-likelihoods, over the whole text and over its windows,
 and a logistic calibration turns that into a probability.
 
@@ -45,7 +45,7 @@ BLOCK = 64
 WORD_FLOOR, PAIR_FLOOR = 3, 2
 STEM = 4
 DISCOUNT = 0.75
-#: At most about so many rows of the calibration fold are scored for the logistic fit.
+#: At most about so many labelled rows are kept from counting and scored for the logistic fit.
 CALIBRATION_ROWS = 20_000
 WINDOWS = (8, 32)
 N_FEATURES = 6
@@ -417,27 +417,25 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Scorer:
-    """Count the models on two of the three training folds; calibrate on the third.
+    """Count the models on all labelled rows but a hash sample of at most about ``CALIBRATION_ROWS`` or a third, which calibrates.
 
-    Without both classes in training every score is the share of toxic labels.
+    Without both classes in that sample every score is the share of toxic labels.
     """
     rows = staged(labelled(docs, labels, "toxic"), "toxicity-train")
-    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 3
-    model = train_model(rows.where(~third).select("y", "text"))
-    counted = rows.where(third).groupBy("y").count().collect()
-    size = {r["y"]: r["count"] for r in counted}
-    base = size.get(1, 0) / max(1, sum(size.values()))
-    if len(size) < 2:
+    share = min(1 / 3, CALIBRATION_ROWS / max(1, rows.count()))
+    chosen = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    model = train_model(rows.where(~chosen).select("y", "text"))
+    counted = rows.groupBy("y", chosen.alias("chosen")).count().collect()
+    base = sum(r["count"] for r in counted if r["y"] == 1) / max(1, sum(r["count"] for r in counted))
+    if sum(r["chosen"] for r in counted) < 2:
         return Scorer(model, np.zeros(N_FEATURES), np.ones(N_FEATURES), np.append(np.zeros(N_FEATURES), np.log((base + 1e-3) / (1 - base + 1e-3))))
-    share = min(1.0, CALIBRATION_ROWS / sum(size.values()))
-    chosen = rows.where(third & (F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))))
     names = [f"f{i}" for i in range(N_FEATURES)]
 
     def run(rows, llr):
         f = np.array([features(x) for x in llr]).reshape(-1, N_FEATURES)
         return pa.table([rows["y"], *(pa.array(f[:, i]) for i in range(N_FEATURES))], ["y", *names])
 
-    found = with_llr(chosen.select("y", "text"), model, run, "y int, " + ", ".join(f"{n} double" for n in names), "toxicity-calibration")
+    found = with_llr(rows.where(chosen).select("y", "text"), model, run, "y int, " + ", ".join(f"{n} double" for n in names), "toxicity-calibration")
     sample = found.orderBy("y", *names).toPandas().to_numpy(float)
     x, y = sample[:, 1:], sample[:, 0]
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)

@@ -16,7 +16,7 @@ from cardpulse.session import ensure_checkpoint_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the class-conditional language models score as toxic go; the models learn from all labelled ``docs``."""
+    """Rows that the class-conditional language models score as toxic go; all labelled ``docs`` outside the held-out fold train them, a bounded sample of these as calibration."""
     ensure_checkpoint_dir(spark)
     return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 

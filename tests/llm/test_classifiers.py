@@ -1,6 +1,7 @@
 """Held-out accuracy and edge rows of the three trained operators."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -98,6 +99,15 @@ def test_joined_entries_score_as_sent_ones(spark):
     assert scores[0.01] == scores[0.0] and scores[2.0] == scores[0.0]
 
 
+def test_every_labelled_row_beyond_the_calibration_sample_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 20)
+    fold = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 3]
+    rows = [(i, "plain words here" + (" zzyx" if i in fold else "")) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in fold)) for i in range(400)], "doc_id long, toxic int")
+    assert "zzyx" in toxicity.train(docs, labels).model.ids
+
+
 def test_toxic_rows_go_and_columns_stay(spark):
     docs, labels, listed = make_docs(spark)
     kept = toxicity.without_toxic(docs, toxicity.train(docs, labels))

@@ -1,185 +1,170 @@
 """Toxicity by class-conditional Kneser-Ney language models.
 
-Two word-bigram models, one of toxic and one of ordinary text, are counted
-over every training text that does not calibrate.  A text is scored by the difference of their
-length-normalised log-likelihoods, over the whole text and over its windows,
-and a logistic calibration turns that into a probability.
-
-* Words are lower-cased letter runs.  A word or stem (its first ``STEM``
-  letters) is kept from ``WORD_FLOOR`` occurrences on and a word pair from
-  ``PAIR_FLOOR`` on, whatever the corpus.  A word that is not kept is its
-  stem's symbol; without a kept stem it is <rare>.
-* The model is a written table.  Only its most frequent entries, at most
-  ``1 / HEAD_SHARE`` of each kind, are sent to the tasks, which saves looking
-  them up; the others are joined to the distinct words and pairs of ``BLOCK``
-  texts each.  Both ways give the same scores.
-* ``P_c(w | h) = (count_c(h, w) - D)+ / count_c(h) + lambda_c(h) P_c(w)`` with
-  ``P_c(w)`` from continuation counts (in how many contexts of class c the word
-  occurs).  What discounting leaves goes to the stem's share of class c, split
-  among the stem's words by counts shared between the classes; the stems in turn
-  fall back to counts of both classes together.  So a rare inflection speaks
-  through its stem, and a rare stem says nothing for or against a class.
+Two models, one of toxic and one of ordinary text, spell words letter by letter
+in the context of the ``ORDER - 1`` letters before, with marks for a word's
+begin and end.  They are counted over every training text that does not
+calibrate.  A text is scored by the difference of their length-normalised
+log-likelihoods, over the whole text and over its windows, and a logistic
+calibration turns that into a probability.
+
+* ``P_c(x | h) = (count_c(hx) - D)+ / count_c(h) + back_c(h) P_c(x | h')`` with
+  ``h'`` the context without its first letter.  Counts are occurrences for the
+  longest grams and for those at a word's begin, and continuation counts (how
+  many different letters come before) for all shorter ones.
+* Up to ``SHARED`` letters both classes use the same counts, of both together.
+  So a rare expression speaks through its stem and its other parts, and what is
+  rare in all parts says nothing for or against a class.
+* No gram is left out, however rare.  Occurrences of words are summed first, so
+  the grams are counted over distinct words, not over texts.
+
+The model is a written table that grows with the training texts.  Its most
+frequent entries, at most ``HEAD_ENTRIES``, are sent to the tasks.  If there are
+others, they are joined to the distinct grams of ``BLOCK`` texts each; both ways
+give the same scores.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from cardpulse.llm.common import arrow_map, held_out, staged
+from cardpulse.llm.tokens import in_slices
 from cardpulse.session import ship_package
 
-RARE, START = 0, 1
-#: Words, stems and pairs with this share of all are sent to the tasks; the rest of the model is joined.
-HEAD_SHARE = 2e-6
-#: log2 of the bits of the filter that tells most names which the model does not have; a full filter only saves less.
-FILTER_BITS = 24
-#: Rows whose words and pairs are looked up together.
-BLOCK = 64
-WORD_FLOOR, PAIR_FLOOR = 3, 2
-STEM = 4
+ORDER, SHARED = 5, 2
 DISCOUNT = 0.75
+#: What the empty context spreads evenly.
+UNIFORM = 1 / 65536
+#: Most entries that are sent to every task.
+HEAD_ENTRIES = 500_000
+#: Rows whose grams are looked up together, where the model is larger than that.
+BLOCK = 64
 #: At most about so many labelled rows are kept from counting and scored for the logistic fit.
 CALIBRATION_ROWS = 20_000
-WINDOWS = (8, 32)
+WINDOWS = (2, 8)
 N_FEATURES = 6
-#: Distinct words a counting task holds before it hands them on.
-FLUSH_WORDS = 200_000
+#: Distinct words a counting task holds before it hands them on; distinct words spelled together.
+FLUSH_WORDS, SPELL_WORDS = 200_000, 20_000
+BEGIN, END = "\x02", "\x03"
+#: An entry's columns: what it gets as a gram, and what it leaves to shorter contexts as a context; ordinary and toxic.
+VALUES = ("direct_o", "direct_t", "back_o", "back_t")
 
 _WORD = re.compile(r"[^\W\d_]+")
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def symbol(unit: str) -> int:
-    """The 64-bit name of a word or of a stem ("stem*")."""
-    return int.from_bytes(blake2b(unit.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+def _name(code: np.ndarray, length: int) -> np.ndarray:
+    """64-bit names of grams from their polynomial codes (the finaliser of a well-known mixer)."""
+    x = code + np.uint64(length)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
-def pair_key(h: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """64-bit names of pairs of symbols; ``PAIR_KEY`` is the same in SQL."""
-    u = w.view(np.uint64)
-    return h ^ ((u << np.uint64(1)) | (u >> np.uint64(63))).view(np.int64)
+EMPTY = int(_name(np.zeros(1, np.uint64), 0)[0])
 
 
-PAIR_KEY = "h ^ (shiftleft(w, 1) | shiftrightunsigned(w, 63))"
-#: Names are hashes, so two runs of their bits serve as the filter's two hashes.
-FILTER_SHIFTS = (0, 32)
-RARE_SYMBOL, START_SYMBOL = symbol("<rare>"), symbol("<start>")
-#: A symbol's columns: P_c(w), backoff weight and occurrences as context, of ordinary and toxic text.
-VALUES = ("word_o", "word_t", "back_o", "back_t", "seen_o", "seen_t")
+@dataclass
+class Spelled:
+    """Distinct words as one row of letters."""
 
+    start: np.ndarray  # where each word's begin mark is
+    depth: np.ndarray  # letters since that mark
+    names: list[np.ndarray]  # names[n][i]: the gram of n letters that ends at i, where depth allows it
 
-@dataclass
-class Entries:
-    """Symbols and pairs by sorted 64-bit names."""
+    def grams(self, n: int) -> np.ndarray:
+        """Places that end a gram of ``n`` letters; the begin mark itself is given."""
+        return np.flatnonzero(self.depth >= max(1, n - 1))
 
-    unit: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    value: np.ndarray = field(default_factory=lambda: np.zeros((0, len(VALUES))))
-    pair: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    count: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))
 
+def spelled(units: list[str]) -> Spelled:
+    text = "".join([f"{BEGIN}{w}{END}" for w in units])
+    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    at = np.arange(len(letters))
+    start = np.flatnonzero(letters == ord(BEGIN) + 1)
+    depth = at - np.repeat(start, np.diff(np.append(start, len(letters))))
+    code = np.zeros(len(letters), np.uint64)
+    names = [np.full(len(letters), EMPTY)]
+    for n in range(1, ORDER + 1):
+        code = np.concatenate([code[:1] * 0, code[:-1]]) * _BASE + letters  # wraps around
+        names.append(_name(code, n))
+    return Spelled(start, depth, names)
 
-def find(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``wanted`` in the sorted ``names``, and whether they are there."""
-    if not len(names):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
-    return at, names[at] == wanted
 
+@dataclass
+class Entries:
+    """Model entries by sorted names."""
+
+    name: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    value: np.ndarray = field(default_factory=lambda: np.zeros((0, len(VALUES))))
 
-def numbered(texts: list[list[str]]) -> tuple[dict[str, int], list[np.ndarray]]:
-    """Distinct words with their numbers, and each text as these."""
-    ids: dict[str, int] = {}
-    return ids, [np.fromiter((ids.setdefault(w, len(ids)) for w in own), np.int64, len(own)) for own in texts]
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of ``wanted``, and whether they are there."""
+        if not len(self.name):
+            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+        at = np.minimum(np.searchsorted(self.name, wanted), len(self.name) - 1)
+        return at, self.name[at] == wanted
 
 
 @dataclass
 class Model:
-    ids: dict[str, int]  # frequent words and stems ("stem*"): their number in the arrays below
-    name: np.ndarray
-    value: np.ndarray
-    pair: np.ndarray  # sorted names of frequent pairs
-    count: np.ndarray
-    bits: np.ndarray  # Bloom filter of the names in ``rest``
-    rest: DataFrame | None = None  # (key, a, b, more) of all other kept symbols and pairs
-
-    def wanted(self, texts: list[list[str]]) -> np.ndarray:
-        """Names of all symbols and pairs beyond the frequent ones that scoring ``texts`` may need.
-
-        Whether such a word is kept is not known here, so its pairs are named
-        with the word, with its stem and with <rare>.
-        """
-        ids, numbers = numbered(texts)
-        n = len(ids)
-        may = np.zeros((n + 1, 3), np.int64)
-        valid = np.zeros((n + 1, 3), bool)
-        may[n, 0], valid[:, 0] = START_SYMBOL, True
-        units = []
-        for w, i in ids.items():
-            if (at := self.ids.get(w)) is not None:
-                may[i, 0] = self.name[at]
-                continue
-            stem = f"{w[:STEM]}*"
-            at = self.ids.get(stem)
-            may[i] = symbol(w), symbol(stem) if at is None else self.name[at], RARE_SYMBOL
-            valid[i] = True, True, at is None
-            units.extend(may[i, : 2 if at is None else 1])
-        seen = [np.unique(np.concatenate([[n], w[:-1]]) * (n + 1) + w) for w in numbers if len(w)]
-        keys = [np.array(units, np.int64)]
-        if seen:
-            both = np.unique(np.concatenate(seen))
-            h, w = both // (n + 1), both % (n + 1)
-            for i in range(3):
-                for j in range(3):
-                    ok = valid[h, i] & valid[w, j]
-                    key = pair_key(may[h[ok], i], may[w[ok], j])
-                    keys.append(key[~find(self.pair, key)[1]])
-        key = np.unique(np.concatenate(keys))
-        for shift in FILTER_SHIFTS:
-            at = (key >> shift) & ((1 << FILTER_BITS) - 1)
-            key = key[(self.bits[at >> 6] >> (at & 63)) & 1 == 1]
-        return key
-
-    def block_llr(self, texts: list[list[str]], more: Entries) -> list[np.ndarray]:
-        """Log-likelihood differences of every word of ``texts``; ``more`` holds what of ``wanted`` is kept."""
-        ids, numbers = numbered(texts)
-        n = len(ids)
-        name, value = np.zeros(n + 1, np.int64), np.zeros((n + 1, len(VALUES)))
-        name[n], value[n] = START_SYMBOL, self.value[START]
-        for w, i in ids.items():
-            name[i], value[i] = RARE_SYMBOL, self.value[RARE]
-            for unit in (w, f"{w[:STEM]}*"):
-                if (at := self.ids.get(unit)) is not None:
-                    name[i], value[i] = self.name[at], self.value[at]
-                    break
-                at = np.searchsorted(more.unit, s := symbol(unit))
-                if at < len(more.unit) and more.unit[at] == s:
-                    name[i], value[i] = s, more.value[at]
-                    break
-        out = []
-        for w in numbers:
-            h = np.concatenate([[n], w[:-1]]).astype(np.int64) if len(w) else w
-            key = pair_key(name[h], name[w])
-            count = np.zeros((len(w), 2))
-            for names, counts in ((self.pair, self.count), (more.pair, more.count)):
-                at, ok = find(names, key)
-                count[ok] = counts[at[ok]]
-            direct = np.maximum(count - DISCOUNT, 0.0) / np.maximum(value[h, 4:6], 1.0)
-            p = np.log(direct + value[h, 2:4] * value[w, 0:2])
-            out.append(p[:, 1] - p[:, 0])
-        return out
+    head: Entries
+    rest: DataFrame | None = None  # (name, *VALUES) of all other entries; None if there are none
+
+    def wanted(self, units: list[str]) -> np.ndarray:
+        """Names of the grams of ``units`` that are not in the head."""
+        s = spelled(units)
+        every = np.unique(np.concatenate([s.names[n][s.grams(n)] for n in range(1, ORDER + 1)] + [s.names[1][s.start], [EMPTY]]))
+        return every[~self.head.find(every)[1]]
+
+    def word_llr(self, units: list[str], more: Entries) -> np.ndarray:
+        """Log-likelihood difference of each word; ``more`` holds what of ``wanted`` the model has."""
+        if not units:
+            return np.zeros(0)
+        s = spelled(units)
+
+        def look(names, columns, default):
+            out = np.full((len(names), 2), default)
+            for entries in (self.head, more):
+                at, ok = entries.find(names)
+                out[ok] = entries.value[at[ok]][:, columns]
+            return out
+
+        p = np.full((len(s.depth), 2), UNIFORM)
+        for n in range(1, ORDER + 1):
+            at = s.grams(n)
+            direct = look(s.names[n][at], slice(0, 2), 0.0)
+            back = look(s.names[n - 1][at - 1], slice(2, 4), 1.0)
+            p[at] = direct + back * p[at]
+        llr = np.where(s.depth > 0, np.log(p[:, 1]) - np.log(p[:, 0]), 0.0)
+        return np.add.reduceat(llr, s.start)
+
+    def text_llr(self, texts: list[list[str]], more: Entries) -> list[np.ndarray]:
+        """``word_llr`` of every word of ``texts``."""
+        ids: dict[str, int] = {}
+        number = ids.setdefault
+        coded = [np.fromiter((number(w, len(ids)) for w in own), np.int64, len(own)) for own in texts]
+        units = list(ids)
+        each = [self.word_llr(units[lo:lo + SPELL_WORDS], more) for lo in range(0, len(units), SPELL_WORDS)]
+        llr = np.concatenate(each) if each else np.zeros(0)
+        return [llr[c] for c in coded]
 
     def token_llr(self, own: list[str]) -> np.ndarray:
-        return self.block_llr([own], Entries())[0]
+        return self.text_llr([own], Entries())[0]
 
     def sendable(self) -> Model:
         return replace(self, rest=None)
@@ -227,162 +212,115 @@ def labelled(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
 
 
 def _word_counts(train: DataFrame) -> DataFrame:
+    """(word, ordinary, toxic) over the rows (y, text) of ``train``."""
     def run(batches):
-        counts = ({}, {})
+        counts = Counter(), Counter()
 
         def flush():
-            all_words = list(counts[0].keys() | counts[1].keys())
-            columns = [pa.array([c.get(w, 0) for w in all_words], pa.int64()) for c in counts]
+            own = list(counts[0].keys() | counts[1].keys())
+            columns = [pa.array([c[w] for w in own], pa.int64()) for c in counts]
             counts[0].clear(), counts[1].clear()
-            names = [pa.array([symbol(u) for u in units], pa.int64()) for units in (all_words, [f"{w[:STEM]}*" for w in all_words])]
-            return pa.RecordBatch.from_arrays([pa.array(all_words, pa.string()), *names, *columns], ["word", "name", "stem", "ordinary", "toxic"])
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.string()), *columns], ["word", "ordinary", "toxic"])
 
         for b in batches:
             for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                c = counts[y]
-                for w in words(text):
-                    c[w] = c.get(w, 0) + 1
+                counts[y].update(words(text))
                 if len(counts[0]) + len(counts[1]) > FLUSH_WORDS:
                     yield flush()
         yield flush()
 
-    part = arrow_map(train.select("y", "text"), run, "word string, name long, stem long, ordinary long, toxic long")
-    return part.groupBy("word", "name", "stem").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    part = arrow_map(train.select("y", "text"), run, "word string, ordinary long, toxic long")
+    return part.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
-def _pair_counts(train: DataFrame, ids: dict[str, int], name: np.ndarray, resolved: DataFrame) -> DataFrame:
-    """(h, w, ordinary, toxic): how often each pair of symbols occurs.
+GRAM_SCHEMA = "name long, context long, tail long, length int, initial boolean, ordinary long, toxic long"
 
-    Tasks know the symbols of frequent words; ``resolved`` (name, symbol) is
-    joined to the counted pairs for the others.
-    """
-    shared = train.sparkSession.sparkContext.broadcast((ids, name))  # bounded: see HEAD_SHARE
 
+def _gram_counts(counted: DataFrame) -> DataFrame:
+    """Occurrences of every gram of up to ``ORDER`` letters, with the names of its context and of its tail."""
     def run(batches):
-        ids, name = shared.value
-        counts: dict[tuple[str, str], list[int]] = {}
-
-        def flush():
-            known = {w: (symbol(w), True) if (at := ids.get(w)) is None else (int(name[at]), False) for w in {w for pair in counts for w in pair if w}}
-            known[""] = START_SYMBOL, False
-            h, w = zip(*counts) if counts else ((), ())
-            columns = [pa.array([known[x][i] for x in own], t) for own in (h, w) for i, t in ((0, pa.int64()), (1, pa.bool_()))]
-            columns += [pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1)]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(columns, ["h", "h_open", "w", "w_open", "ordinary", "toxic"])
-
         for b in batches:
-            for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = words(text)
-                for pair in zip(["", *own], own):
-                    if (c := counts.get(pair)) is None:
-                        c = counts[pair] = [0, 0]
-                    c[y] += 1
-                if len(counts) > FLUSH_WORDS:
-                    yield flush()
-        yield flush()
-
-    part = arrow_map(train.select("y", "text"), run, "h long, h_open boolean, w long, w_open boolean, ordinary long, toxic long")
-    sums = [F.sum(c).alias(c) for c in ("ordinary", "toxic")]
-    part = part.groupBy("h", "h_open", "w", "w_open").agg(*sums)
-    for side in ("h", "w"):
-        # a frequent word is its own symbol; its rows get a key each, which spreads them and finds nothing
-        key = F.when(F.col(f"{side}_open"), F.col(side)).otherwise(F.expr(PAIR_KEY))
-        part = part.withColumn("name", key).join(resolved, "name", "left").withColumn(side, F.when(F.col(f"{side}_open"), F.col("symbol")).otherwise(F.col(side)))
-        part = part.drop("name", "symbol")
-    return part.groupBy("h", "w").agg(*sums)
-
-
-def train_model(train: DataFrame, share: float = HEAD_SHARE) -> Model:
-    """Count words, then word pairs, over all rows of ``train`` (y, text); entries under ``share`` of all stay in ``rest``."""
-    spark = train.sparkSession
-    found = staged(_word_counts(train), "toxicity-words")
+            own = b.column(0).to_pylist()
+            weight = [b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2)]
+            s = spelled(own)
+            unit = np.repeat(np.arange(len(own)), np.diff(np.append(s.start, len(s.depth))))
+            for n in range(1, ORDER + 1):
+                at = s.grams(n)
+                name, first, inverse = np.unique(s.names[n][at], return_index=True, return_inverse=True)
+                sums = [np.bincount(inverse, w[unit[at]], len(name)).astype(np.int64) for w in weight]
+                first = at[first]
+                columns = [name, s.names[n - 1][first - 1], s.names[n - 1][first], np.full(len(name), n, np.int32), s.depth[first] == n - 1, *sums]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f.split()[0] for f in GRAM_SCHEMA.split(", ")])
+
+    part = arrow_map(counted.select("word", "ordinary", "toxic"), run, GRAM_SCHEMA)
+    return part.groupBy("name", "context", "tail", "length", "initial").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+
+
+def entries(train: DataFrame) -> DataFrame:
+    """(name, seen, *VALUES) of every gram and context in the rows (y, text) of ``train``, as a written table."""
+    grams = staged(_gram_counts(staged(_word_counts(train), "toxicity-words")), "toxicity-grams")
+    before = grams.where("length > 1").groupBy(F.col("tail").alias("name")).agg(
+        F.sum((F.col("ordinary") > 0).cast("long")).alias("kinds_o"), F.sum((F.col("toxic") > 0).cast("long")).alias("kinds_t"), F.count("*").alias("kinds"))
     both = F.col("ordinary") + F.col("toxic")
-    counts = ["ordinary", "toxic"]
-    total = found.agg(F.sum(both)).first()[0] or 0
-    stems = found.groupBy(F.col("stem").alias("name")).agg(F.min(F.concat(F.substring("word", 1, STEM), F.lit("*"))).alias("word"), *[F.sum(c).alias(c) for c in counts])
-    stems = stems.where(both >= WORD_FLOOR).select("word", "name", F.col("name").alias("stem"), *counts, F.lit(True).alias("is_stem"))
-    # a kept word's stem is kept too: it has no fewer occurrences
-    units = found.where(both >= WORD_FLOOR).select("word", "name", "stem", *counts, F.lit(False).alias("is_stem")).unionByName(stems)
-    frequent = both >= share * total
-    head = units.where(frequent).select("word", "name").toPandas()
-    ids = {w: i + 2 for i, w in enumerate(head["word"])}
-    name = np.array([RARE_SYMBOL, START_SYMBOL, *head["name"]], np.int64)
-
-    kept_stem = stems.select("stem", F.lit(True).alias("has_stem"))
-    resolved = found.where(~(frequent & (both >= WORD_FLOOR))).join(kept_stem, "stem", "left")
-    resolved = resolved.select("name", F.when(both >= WORD_FLOOR, F.col("name")).when(F.col("has_stem"), F.col("stem")).otherwise(F.lit(RARE_SYMBOL)).alias("symbol"))
-    pairs = staged(_pair_counts(train, ids, name, resolved), "toxicity-pairs")
-
-    kept = both >= PAIR_FLOOR
-    contexts = pairs.groupBy(F.col("h").alias("name")).agg(
-        *[F.sum(c).alias(f"seen_{c}") for c in counts],
-        *[F.sum(F.when(kept, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))).otherwise(0.0)).alias(f"cut_{c}") for c in counts])
-    endings = pairs.groupBy(F.col("w").alias("name")).agg(*[F.sum((F.col(c) > 0).cast("long")).alias(f"kinds_{c}") for c in counts], F.count("*").alias("shared"))
-    special = spark.createDataFrame([(None, n, n, 0, 0, False) for n in (RARE_SYMBOL, START_SYMBOL)], units.schema)
-    base = units.unionByName(special).join(contexts, "name", "left").join(endings, "name", "left")
-    base = base.fillna(0).fillna(0.0).withColumn("shared", F.col("shared") + 0.5)
-    base = staged(base, "toxicity-units")
-
-    over = lambda c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))
-    in_stem = base.groupBy("stem").agg(F.sum("shared").alias("in_stem"), *[F.sum(F.when(F.col("is_stem"), F.col(c)).otherwise(0)).alias(f"whole_{c}") for c in counts])
-    t = base.agg(F.sum("shared").alias("shared"), *[F.sum(F.when(F.col("is_stem"), F.col(c)).otherwise(0)).alias(f"mass_{c}") for c in counts],
-                 *[F.sum(F.when(F.col("is_stem"), over(c)).otherwise(0.0)).alias(f"taken_{c}") for c in counts],
-                 *[F.sum(f"kinds_{c}").alias(f"spread_{c}") for c in counts], *[F.sum(over(f"kinds_{c}")).alias(f"less_{c}") for c in counts]).first()
-    unit = base.join(in_stem, "stem")
-    share_of = F.col("in_stem") / F.lit(t["shared"])
-    columns = {}
-    for c, short in (("ordinary", "o"), ("toxic", "t")):
-        mass, spread = max(float(t[f"mass_{c}"]), 1.0), max(float(t[f"spread_{c}"]), 1.0)
-        by_stem = over(f"whole_{c}") / mass + (1 - t[f"taken_{c}"] / mass) * share_of
-        # symbols without a kept stem: one share, the same for both classes
-        by_stem = F.when(F.col("name").isin(RARE_SYMBOL, START_SYMBOL), share_of).otherwise(by_stem)
-        columns[f"word_{short}"] = over(f"kinds_{c}") / spread + (1 - t[f"less_{c}"] / spread) * by_stem * F.col("shared") / F.col("in_stem")
-        columns[f"seen_{short}"] = F.col(f"seen_{c}").cast("double")
-        columns[f"back_{short}"] = F.greatest(F.least(1 - F.col(f"cut_{c}") / F.greatest(F.col(f"seen_{c}"), F.lit(1)), F.lit(1.0)), F.lit(1e-6))
-    special = F.col("name").isin(RARE_SYMBOL, START_SYMBOL)
-    unit = staged(unit.select("word", "name", (frequent | special).alias("frequent"), *[columns[v].alias(v) for v in VALUES]), "toxicity-model")
-
-    mine = unit.where("frequent").toPandas()
-    at = {n: i for i, n in enumerate(mine["name"])}
-    value = mine[list(VALUES)].to_numpy(float)[[at[n] for n in name.tolist()]]
-    n_pairs = int(pairs.agg(F.sum(both)).first()[0] or 0)
-    named = pairs.where(kept).select(F.expr(PAIR_KEY).alias("key"), *[F.col(c).cast("double").alias(c) for c in counts])
-    often = both >= share * n_pairs
-    hot = named.where(often).orderBy("key").toPandas()
-    rest = unit.where("not frequent").select(F.col("name").alias("key"), F.col("word_o").alias("a"), F.col("word_t").alias("b"), F.array(*VALUES[2:]).alias("more"))
-    rest = rest.unionByName(named.where(~often).select("key", F.col("ordinary").alias("a"), F.col("toxic").alias("b"), F.lit(None).cast("array<double>").alias("more")))
-    return Model(ids, name, value, hot["key"].to_numpy(np.int64), hot[counts].to_numpy(float), _filter_bits(rest), rest)
-
-
-def _filter_bits(rest: DataFrame) -> np.ndarray:
-    """Bloom filter over ``key``, as 2 ** (FILTER_BITS - 6) words; no more rows than these reach the driver."""
-    at = F.explode(F.array(*[F.shiftright("key", n).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) for n in FILTER_SHIFTS]))
-    at = rest.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
-    found = at.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return bits
-
-
-def _entries(hits: pa.Table) -> Entries:
-    hits = hits.sort_by("key").combine_chunks()
-    key, a, b = (hits[c].to_numpy() for c in ("key", "a", "b"))
-    is_unit = hits["more"].is_valid().to_numpy()
-    ab = np.stack([a, b], 1)
-    more = np.array(hits["more"].filter(pa.array(is_unit)).to_pylist(), float).reshape(-1, len(VALUES) - 2)
-    return Entries(key[is_unit], np.concatenate([ab[is_unit], more], 1), key[~is_unit], ab[~is_unit])
+    whole = F.col("initial") | (F.col("length") == ORDER)
+
+    def adjusted(own, kinds):
+        shared = F.when(whole, both).otherwise(F.col("kinds"))
+        return F.when(F.col("length") <= SHARED, shared).when(whole, F.col(own)).otherwise(F.col(kinds)).cast("double")
+
+    counts = grams.join(before, "name", "left").select("name", "context", both.alias("seen"), adjusted("ordinary", "kinds_o").alias("o"), adjusted("toxic", "kinds_t").alias("t"))
+    cut = lambda c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))
+    context = counts.groupBy("context").agg(F.sum("seen").alias("all"), *[F.sum(c).alias(f"sum_{c}") for c in "ot"], *[F.sum(cut(c)).alias(f"cut_{c}") for c in "ot"])
+    gram = counts.join(context, "context").select("name", "seen", *[F.when(F.col(f"sum_{c}") > 0, cut(c) / F.col(f"sum_{c}")).otherwise(0.0).alias(f"direct_{c}") for c in "ot"])
+    left = context.select(F.col("context").alias("name"), "all", *[F.when(F.col(f"sum_{c}") > 0, 1 - F.col(f"cut_{c}") / F.col(f"sum_{c}")).otherwise(1.0).alias(f"back_{c}") for c in "ot"])
+    found = gram.join(left, "name", "full").select("name", F.greatest("seen", "all").alias("seen"), *[F.coalesce(f"direct_{c}", F.lit(0.0)).alias(f"direct_{c}") for c in "ot"],
+                                                   *[F.coalesce(f"back_{c}", F.lit(1.0)).alias(f"back_{c}") for c in "ot"])
+    return staged(found, "toxicity-model")
+
+
+def train_model(train: DataFrame, head_entries: int | None = None) -> Model:
+    """Count the models over all rows of ``train`` (y, text); entries beyond the ``head_entries`` most frequent stay in ``rest``."""
+    limit = HEAD_ENTRIES if head_entries is None else head_entries
+    found = entries(train)
+    # eighths of powers of two: at most some hundred steps
+    step = F.floor(F.log2(F.col("seen").cast("double")) * 8).cast("int")
+    least, held = None, 0
+    for row in found.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        if (held := held + row["count"]) > limit:
+            least = row["step"]
+            break
+    head = found if least is None else found.where(step > least)
+    rows = head.select("name", *VALUES).orderBy("name").toPandas()  # bounded by ``limit``
+    sent = Entries(rows["name"].to_numpy(np.int64), rows[list(VALUES)].to_numpy(float))
+    return Model(sent, None if least is None else found.where(step <= least).select("name", *VALUES))
+
+
+def _per_row(texts: pa.Array, score) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """``score`` over slices of few bytes: (first row, differences per row)."""
+    for at, part in in_slices(texts):
+        yield at, score([words(x) for x in part.to_pylist()])
 
 
 def with_llr(docs: DataFrame, model: Model, fn, schema, name: str) -> DataFrame:
-    """``fn(rows, differences)`` over blocks of ``docs`` (with ``text``), given every word's log-likelihood difference.
+    """``fn(rows, differences)`` over slices of ``docs`` (with ``text``), given every word's log-likelihood difference.
 
-    The rows are written with a block number first, so that both readings agree on it.
+    ``rows`` is a table with the one column ``row``, a struct of all columns.
+    Where the head is the whole model this is one pass; else the rows are
+    written with a block number first, so that both readings agree on it.
     """
     ship_package(docs.sparkSession)
-    numbered_docs = docs.withColumn("_block", F.shiftright(F.monotonically_increasing_id(), BLOCK.bit_length() - 1))
-    rows = staged(numbered_docs, name, compression="zstd")
-    shared = docs.sparkSession.sparkContext.broadcast(model.sendable())
+    shared = docs.sparkSession.sparkContext.broadcast(model.sendable())  # bounded: HEAD_ENTRIES
+    text = F.col("text").cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"))
+    if model.rest is None:
+        def whole(batches):
+            for b in batches:
+                for at, llr in _per_row(b.column(1), lambda texts: shared.value.text_llr(texts, Entries())):
+                    yield from fn(pa.table([b.column(0).slice(at, len(llr))], ["row"]), llr).to_batches()
+
+        return arrow_map(rows, whole, schema)
+
+    rows = staged(rows.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK.bit_length() - 1)), name, compression="zstd")
 
     def wanted(batches):
         for b in batches:
@@ -390,16 +328,21 @@ def with_llr(docs: DataFrame, model: Model, fn, schema, name: str) -> DataFrame:
             cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(block)]
             for lo, hi in zip(cuts, cuts[1:]):
                 if hi > lo:
-                    keys = shared.value.wanted([words(x) for x in b.column(1).slice(lo, hi - lo).to_pylist()])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block[lo])), pa.array(keys)], ["_block", "key"])
+                    units = list({w for x in b.column(1).slice(lo, hi - lo).to_pylist() for w in words(x)})
+                    keys = [shared.value.wanted(units[i:i + SPELL_WORDS]) for i in range(0, len(units), SPELL_WORDS)]
+                    keys = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block[lo])), pa.array(keys)], ["block", "name"])
 
     def scored(own: pa.Table, hits: pa.Table) -> pa.Table:
-        texts = [words(x) for x in own["text"].cast(pa.string()).to_pylist()]
-        return fn(own.drop_columns(["_block"]), shared.value.block_llr(texts, _entries(hits)))
+        hits = hits.sort_by("name")
+        more = Entries(hits["name"].to_numpy(), np.stack([hits[v].to_numpy() for v in VALUES], 1)) if len(hits) else Entries()
+        parts = [fn(own.slice(at, len(llr)).select(["row"]), llr)
+                 for at, llr in _per_row(own["text"].combine_chunks(), lambda texts: shared.value.text_llr(texts, more))]
+        return pa.concat_tables(parts)
 
-    asked = arrow_map(rows.select("_block", F.col("text").cast("string")), wanted, "_block long, key long")
-    hits = asked.join(model.rest, "key").select("_block", "key", "a", "b", "more")
-    return rows.groupBy("_block").cogroup(hits.groupBy("_block")).applyInArrow(scored, schema)
+    asked = arrow_map(rows.select("block", "text"), wanted, "block long, name long")
+    hits = asked.join(model.rest, "name").select("block", "name", *VALUES)
+    return rows.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(scored, schema)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -421,7 +364,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
 
     Without both classes in that sample every score is the share of toxic labels.
     """
-    rows = staged(labelled(docs, labels, "toxic"), "toxicity-train")
+    rows = staged(labelled(docs, labels, "toxic"), "toxicity-train", compression="zstd")
     share = min(1 / 3, CALIBRATION_ROWS / max(1, rows.count()))
     chosen = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
     model = train_model(rows.where(~chosen).select("y", "text"))
@@ -433,7 +376,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
 
     def run(rows, llr):
         f = np.array([features(x) for x in llr]).reshape(-1, N_FEATURES)
-        return pa.table([rows["y"], *(pa.array(f[:, i]) for i in range(N_FEATURES))], ["y", *names])
+        return pa.table([pa.compute.struct_field(rows["row"], "y"), *(pa.array(f[:, i]) for i in range(N_FEATURES))], ["y", *names])
 
     found = with_llr(rows.where(chosen).select("y", "text"), model, run, "y int, " + ", ".join(f"{n} double" for n in names), "toxicity-calibration")
     sample = found.orderBy("y", *names).toPandas().to_numpy(float)
@@ -448,11 +391,12 @@ def score(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
     A null or empty text, or one without letters, has no likelihood in either
     model and gets the calibration's value at no evidence.  Null doc_ids count
     as held out; repeated rows keep their rows; other columns are ignored.
+    Very long texts are scored whole, in slices of few bytes with others.
     """
     send = scorer.sendable()
 
     def run(rows, llr):
-        return pa.table([rows["doc_id"], pa.array([send.score(features(x)) for x in llr], pa.float64())], ["doc_id", "score"])
+        return pa.table([pa.compute.struct_field(rows["row"], "doc_id"), pa.array([send.score(features(x)) for x in llr], pa.float64())], ["doc_id", "score"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = with_llr(own, scorer.model, run, "doc_id long, score double", "toxicity-rows")
@@ -460,10 +404,12 @@ def score(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; its columns as they are."""
+    """``docs`` without the rows that score ``threshold`` or more; its columns as they are, whatever their names."""
     send = scorer.sendable()
 
     def run(rows, llr):
         return rows.filter(pa.array([send.score(features(x)) < threshold for x in llr], pa.bool_()))
 
-    return with_llr(docs, scorer.model, run, docs.schema, "toxicity-rows")
+    schema = StructType([StructField("row", docs.schema)])
+    kept = with_llr(docs, scorer.model, run, schema, "toxicity-rows")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -1,7 +1,9 @@
 """Held-out accuracy and edge rows of the three trained operators."""
 
+import math
 import random
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -80,23 +82,71 @@ def test_factorisation_machine_equals_all_pairs():
     assert np.isclose(m.raw(at, x), 0.3 + m.linear[at] @ x + pairs)
 
 
-def test_kneser_ney_probabilities(spark):
-    rows = [(0, "a b a b c"), (0, "a b"), (1, "bad bad a"), (1, "bad b c")]
-    model = toxicity.train_model(spark.createDataFrame(rows * 3, "y int, text string"))
-    assert model.token_llr(["bad"])[0] > 1 > model.token_llr(["b"])[0]
-    assert model.token_llr(["unseen"])[0] < 1.5
-    assert set(model.ids) >= {"a", "b", "bad", "a*", "b*", "bad*"}
+def plain_kneser_ney(rows):
+    """The models by dictionaries over all rows, word by word."""
+    raw = [defaultdict(int), defaultdict(int)]
+    for y, text in rows:
+        for w in toxicity.words(text):
+            s = f"^{w}$"
+            for i in range(1, len(s)):
+                for n in range(1, min(toxicity.ORDER, i + 1) + 1):
+                    raw[y][s[i - n + 1:i + 1]] += 1
+    grams = set(raw[0]) | set(raw[1])
+    left = defaultdict(set)
+    for g in grams:
+        if len(g) > 1:
+            left[g[1:]].add(g)
+    count = [{}, {}]
+    for g in grams:
+        whole = g[0] == "^" or len(g) == toxicity.ORDER
+        for y in (0, 1):
+            if len(g) <= toxicity.SHARED:
+                count[y][g] = raw[0][g] + raw[1][g] if whole else len(left[g])
+            else:
+                count[y][g] = raw[y][g] if whole else sum(raw[y][x] > 0 for x in left[g])
+    after = defaultdict(list)
+    for g in grams:
+        after[g[:-1]].append(g)
+
+    def p(y, g):
+        lower = p(y, g[1:]) if len(g) > 1 else toxicity.UNIFORM
+        total = sum(count[y][x] for x in after[g[:-1]])
+        if not total:
+            return lower
+        kept = sum(max(count[y][x] - toxicity.DISCOUNT, 0) for x in after[g[:-1]])
+        return max(count[y].get(g, 0) - toxicity.DISCOUNT, 0) / total + (1 - kept / total) * lower
+
+    def llr(w):
+        s = f"^{w}$"
+        ends = [s[max(0, i - toxicity.ORDER + 1):i + 1] for i in range(1, len(s))]
+        return sum(math.log(p(1, g)) - math.log(p(0, g)) for g in ends)
+
+    return llr
+
+
+def test_kneser_ney_against_brute_force(spark):
+    rnd = random.Random(8)
+    parts = ["ba", "no", "re", "Ti", "éo", "ßu", "x"]
+    rows = [(y, " ".join("".join(rnd.choices(parts, k=rnd.randrange(1, 5))) + ("grub" if y and rnd.random() < .2 else "") for _ in range(25))) for y in [0, 0, 1] * 25]
+    model = toxicity.train_model(spark.createDataFrame(rows, "y int, text string"))
+    llr = plain_kneser_ney(rows)
+    units = list({w for _, text in rows for w in toxicity.words(text)})[:150] + ["unseen", "grubba", "b", "日本", "x" * 300]
+    assert np.allclose(model.token_llr(units), [llr(w) for w in units], rtol=0, atol=1e-9)
+    assert model.rest is None and model.token_llr(["nogrub"])[0] > 2 > model.token_llr(["nobare"])[0]
 
 
 def test_joined_entries_score_as_sent_ones(spark):
-    """A rare toxic word or pair keeps its own counts, however large a share sending takes."""
+    """A rare gram keeps its own counts, however few entries are sent."""
     docs, labels, listed = make_docs(spark, 200)
+    docs = docs.withColumnRenamed("features", "block").withColumnRenamed("score", "row")
     rows = toxicity.labelled(docs, labels, "toxic").select("y", "text").cache()
     fixed = np.zeros(toxicity.N_FEATURES), np.ones(toxicity.N_FEATURES), np.append(np.ones(toxicity.N_FEATURES) / 4, 0.0)
-    scores = {share: {(r.doc_id, round(r.score, 9)) for r in toxicity.score(docs, toxicity.Scorer(toxicity.train_model(rows, share), *fixed)).collect()}
-              for share in (0.0, 0.01, 2.0)}
-    assert len(scores[0.0]) > 200
-    assert scores[0.01] == scores[0.0] and scores[2.0] == scores[0.0]
+    scorers = [toxicity.Scorer(toxicity.train_model(rows, most), *fixed) for most in (0, 100, 10**6)]
+    assert [s.model.rest is None for s in scorers] == [False, False, True] and 0 < len(scorers[1].model.head.name) <= 100
+    scores = [{(r.doc_id, round(r.score, 9)) for r in toxicity.score(docs, s).collect()} for s in scorers]
+    assert len(scores[0]) > 200 and scores[1] == scores[0] and scores[2] == scores[0]
+    kept = [toxicity.without_toxic(docs, s, 0.6) for s in scorers[1:]]
+    assert kept[0].schema == docs.schema and sorted(r.doc_id or 0 for r in kept[0].collect()) == sorted(r.doc_id or 0 for r in kept[1].collect())
 
 
 def test_every_labelled_row_beyond_the_calibration_sample_is_counted(spark, monkeypatch):
@@ -105,7 +155,8 @@ def test_every_labelled_row_beyond_the_calibration_sample_is_counted(spark, monk
     rows = [(i, "plain words here" + (" zzyx" if i in fold else "")) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i in fold)) for i in range(400)], "doc_id long, toxic int")
-    assert "zzyx" in toxicity.train(docs, labels).model.ids
+    model = toxicity.train(docs, labels).model
+    assert model.head.find(toxicity.spelled(["zzyx"]).names[5][-1:])[1].all() and model.token_llr(["zzyx"])[0] > 3
 
 
 def test_toxic_rows_go_and_columns_stay(spark):

@@ -29,6 +29,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -107,17 +108,40 @@ def spelled(units: list[str]) -> Spelled:
 
 @dataclass
 class Entries:
-    """Model entries by sorted names."""
+    """Model entries by their names, which are hashes, in a table four times their number."""
 
     name: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     value: np.ndarray = field(default_factory=lambda: np.zeros((0, len(VALUES))))
 
-    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of ``wanted``, and whether they are there."""
+    @cached_property
+    def _slots(self) -> np.ndarray:
+        slots = np.full(1 << max(2, (4 * len(self.name)).bit_length()), -1, np.int32)
+        left = np.arange(len(self.name), dtype=np.int32)
+        slot = self.name & (len(slots) - 1)
+        while len(left):
+            free = slots[slot] < 0
+            slots[slot[free]] = left[free]
+            lost = slots[slot] != left
+            left, slot = left[lost], (slot[lost] + 1) & (len(slots) - 1)
+        return slots
+
+    def __getstate__(self) -> dict:
+        return {"name": self.name, "value": self.value}
+
+    def places(self, wanted: np.ndarray) -> np.ndarray:
+        """Places of ``wanted``; the number of entries for what is not there."""
         if not len(self.name):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(self.name, wanted), len(self.name) - 1)
-        return at, self.name[at] == wanted
+            return np.zeros(len(wanted), np.int32)
+        slots = self._slots
+        slot = wanted & (len(slots) - 1)
+        at = slots[slot]
+        open_ = np.flatnonzero((at >= 0) & (self.name[at] != wanted))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (len(slots) - 1)
+            at[open_] = found = slots[slot[open_]]
+            open_ = open_[(found >= 0) & (self.name[found] != wanted[open_])]
+        at[at < 0] = len(self.name)
+        return at
 
 
 @dataclass
@@ -129,27 +153,31 @@ class Model:
         """Names of the grams of ``units`` that are not in the head."""
         s = spelled(units)
         every = np.unique(np.concatenate([s.names[n][s.grams(n)] for n in range(1, ORDER + 1)] + [s.names[1][s.start], [EMPTY]]))
-        return every[~self.head.find(every)[1]]
+        return every[self.head.places(every) == len(self.head.name)]
 
     def word_llr(self, units: list[str], more: Entries) -> np.ndarray:
         """Log-likelihood difference of each word; ``more`` holds what of ``wanted`` the model has."""
         if not units:
             return np.zeros(0)
         s = spelled(units)
+        nothing = np.array([[0.0, 0.0, 1.0, 1.0]])
+        value = np.concatenate([self.head.value, more.value, nothing])
 
-        def look(names, columns, default):
-            out = np.full((len(names), 2), default)
-            for entries in (self.head, more):
-                at, ok = entries.find(names)
-                out[ok] = entries.value[at[ok]][:, columns]
-            return out
+        def look(names):
+            at = self.head.places(names)
+            missing = np.flatnonzero(at == len(self.head.name))
+            at[missing] += more.places(names[missing])
+            return at
 
         p = np.full((len(s.depth), 2), UNIFORM)
+        shorter = np.full(len(s.depth), look(np.array([EMPTY]))[0])
         for n in range(1, ORDER + 1):
             at = s.grams(n)
-            direct = look(s.names[n][at], slice(0, 2), 0.0)
-            back = look(s.names[n - 1][at - 1], slice(2, 4), 1.0)
-            p[at] = direct + back * p[at]
+            here = np.full(len(s.depth), len(value) - 1, np.int32)
+            known = np.flatnonzero(s.depth >= n - 1)
+            here[known] = look(s.names[n][known])
+            p[at] = value[here[at], :2] + value[shorter[at - 1], 2:] * p[at]
+            shorter = here
         llr = np.where(s.depth > 0, np.log(p[:, 1]) - np.log(p[:, 0]), 0.0)
         return np.add.reduceat(llr, s.start)
 
@@ -206,9 +234,10 @@ class Scorer:
 
 def labelled(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     """(doc_id, y, text) of rows outside the held-out fold whose label ``name`` is 0 or 1."""
+    # a merge at every size: texts of training rows are shuffled once, whatever the size of the labels
     own = labels.where(F.col(name).isin(0, 1) & ~held_out("doc_id")).groupBy("doc_id").agg(F.max(name).cast("int").alias("y"))
     rows = docs.where(~held_out("doc_id")).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.join(own, "doc_id").select("doc_id", "y", "text")
+    return rows.join(own.hint("merge"), "doc_id").select("doc_id", "y", "text")
 
 
 def _word_counts(train: DataFrame) -> DataFrame:

@@ -53,7 +53,8 @@ def shared_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int =
     # a null id is counted as a document of its own, under all others
     holders = every.groupBy("k1", "k2").agg(
         (F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))).alias("n_docs"), F.max("id").alias("keeper"))
-    gone = holders.where(F.col("n_docs") >= min_docs).select("k1", "k2", "keeper")
+    # written, so that the join shuffles both sides anew and can split a line that very many rows hold
+    gone = staged(holders.where(F.col("n_docs") >= min_docs).select("k1", "k2", "keeper"), "lines-shared")
     lost = every.join(gone, ["k1", "k2"]).where(F.col("id").isNull() | (F.col("id") < F.col("keeper")))
     return lost.groupBy("id", "h1", "h2").agg(F.collect_set("pos").alias("dropped"))
 

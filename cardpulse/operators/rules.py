@@ -39,7 +39,7 @@ def flag_zscore(f: DataFrame, z: float = 3.0) -> Column:             # D5
     return F.coalesce(F.col("amount_zscore") > z, F.lit(False))
 
 
-def flag_near_limit(f: DataFrame, ratio: float = 0.6, limit_col: str = "acctbal") -> Column:  # D10
+def flag_near_limit(f: DataFrame, ratio: float = 0.6, limit_col: str = "card_limit") -> Column:  # D10
     lim = F.col(limit_col)
     return F.coalesce((lim > 0) & (F.col("amount") >= F.lit(ratio) * lim), F.lit(False))
 
@@ -67,8 +67,8 @@ def flag_unusual_category(f: DataFrame) -> Column:                   # J6 as a p
 
 
 def flag_spend_spike(f: DataFrame, multiple: float = 3.0) -> Column:  # D8
-    big = F.coalesce(F.col("over_3x_avg"), F.lit(False)) if multiple == 3.0 else F.coalesce(
-        F.col("amount") > F.lit(multiple) * F.col("prior_avg_amount"), F.lit(False))
+    """Far over the card-holder's usual monthly spend, at a merchant and in a category new to the card."""
+    big = F.coalesce(F.col("amount") > F.lit(multiple) * F.col("avg_monthly_spend"), F.lit(False))
     return big & F.col("is_new_merchant") & flag_unusual_category(f)
 
 
@@ -157,19 +157,19 @@ def rule_spend_trend(txn: DataFrame, min_rise: float = 0.25, min_weeks: int = 3)
     return t.filter(F.col("weekly_slope") > F.lit(min_rise) * F.col("avg_weekly_spend"))
 
 
-def rule_set(odd_hour_amount: float = 500.0) -> dict:
-    """Row-predicate detectors at the published thresholds; a lower amount
-    suits tables whose amounts are small."""
+def rule_set(odd_hour_amount: float = 500.0, limit_ratio: float = 0.6, spend_multiple: float = 3.0) -> dict:
+    """Row-predicate detectors at the published thresholds; lower ones
+    suit tables whose amounts are small."""
     return {
         "amount_3x": flag_amount_3x,
         "impossible_travel": flag_impossible_travel,
         "odd_hour": lambda f: flag_odd_hour(f, amount=odd_hour_amount),
         "zscore": flag_zscore,
-        "near_limit": flag_near_limit,
+        "near_limit": lambda f: flag_near_limit(f, ratio=limit_ratio),
         "new_device_high_value": flag_new_device_high_value,
         "unusual_geo": flag_unusual_geo,
         "high_value_category": flag_high_value_category,
-        "spend_spike": flag_spend_spike,
+        "spend_spike": lambda f: flag_spend_spike(f, multiple=spend_multiple),
     }
 
 

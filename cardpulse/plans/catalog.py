@@ -153,8 +153,8 @@ _rule_query("rule_amount_3x", "D1", "amount_3x", "prior_avg_amount")
 _rule_query("rule_impossible_travel", "D3", "impossible_travel", "distance_from_last_txn_km", "minutes_since_last_txn")
 _rule_query("rule_odd_hour", "D4 X4", "odd_hour")
 _rule_query("zscore_outlier", "D5", "zscore", "amount_zscore")
-_rule_query("rule_spend_spike", "D8 J6", "spend_spike", "prior_avg_amount")
-_rule_query("rule_near_limit", "D10 X6", "near_limit", "acctbal")
+_rule_query("rule_spend_spike", "D8 J6", "spend_spike", "avg_monthly_spend")
+_rule_query("rule_near_limit", "D10 X6", "near_limit", "card_limit")
 _rule_query("rule_new_device_high_value", "D11", "new_device_high_value", "device_id")
 _rule_query("rule_unusual_country", "D12", "unusual_geo", "geo", "home")
 _rule_query("rule_high_value_electronics", "D13", "high_value_category", "merchant_category")
@@ -204,7 +204,8 @@ def q_rule_card_testing(spark, sf):
 
 
 # driver amounts are small: the odd-hour rule starts at 100 here instead of 500
-RULES = rules.rule_set(odd_hour_amount=100.0)
+# amounts are some 10,000 times smaller than limits here, so the published 0.6 and 3 would flag nothing
+RULES = rules.rule_set(odd_hour_amount=100.0, limit_ratio=0.001, spend_multiple=0.01)
 _FLAG_SQL = ", ".join(f"{v} AS flag_{k}" for k, v in RULE_SQL.items())
 _SIGNAL_SQL = " + ".join(f"CAST({v} AS INTEGER)" for v in RULE_SQL.values())
 

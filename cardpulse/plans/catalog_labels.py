@@ -10,7 +10,7 @@ from ..operators import dashboards as dash
 from ..operators import rules
 from ..operators.inject import inject_fraud, inject_sql, profile_of
 from ..sources.model import model_records
-from ..sources.tables import transactions
+from ..sources.tables import monthly_income, transactions
 from .catalog import RULES, _quality, register
 from .catalog_streams import CITY_LIST
 from .oracle_sql import FEAT_CTE, RULE_SQL, with_txn
@@ -138,12 +138,10 @@ def injected_txn(spark, sf):
     from ..operators.enrich import with_device_channel
     from ..sources.model import model_category
     t = with_device_channel(transactions(spark, sf)).withColumnRenamed("merchant_category", "event_type")
-    income = F.round((F.col("acctbal") + 1000) * 20).cast("int")
     inp = t.select("*", model_category("event_type").alias("merchant_category"),
                    city_of(F.col("geo") % 12).alias("city"),
                    F.col("lat").alias("location_lat"), F.col("lon").alias("location_lon"),
-                   income.alias("monthly_income"), F.round(income * 0.3).cast("int").alias("avg_monthly_spend"),
-                   F.round(F.greatest(F.col("acctbal"), F.lit(0.0)) * 100).cast("int").alias("card_limit"))
+                   monthly_income("acctbal").alias("monthly_income"))
     inj = inject_fraud(inp, id_col="transaction_id", ts_col="ts")
     cols = transactions(spark, sf).columns
     rename = {"merchant_category": "event_type", "lat": "location_lat", "lon": "location_lon"}
@@ -153,7 +151,7 @@ def injected_txn(spark, sf):
 _INJ_TXN_SQL = f"""
 txn AS (
   SELECT t.transaction_id, t.ts, t.card_id, i.amount, t.merchant_category, t.k, i.merchant_name, t.home, t.geo,
-         t.acctbal, t.segment, i.location_lat AS lat, i.location_lon AS lon, i.is_online, t.device_id,
+         t.acctbal, t.segment, t.card_limit, t.avg_monthly_spend, i.location_lat AS lat, i.location_lon AS lon, i.is_online, t.device_id,
          i.is_fraud, i.fraud_type, i.complexity
   FROM txn_base t JOIN inj i ON t.transaction_id = i.source_id
 )"""

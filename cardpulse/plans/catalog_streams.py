@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import dimensions as dims
+from ..functions.geo import haversine_sql
 from ..schemas import TRANSACTION_SCHEMA
 from ..session import shared_path
 from ..sources import kafka
@@ -274,11 +275,52 @@ def q_stream_three_outputs(spark, sf):
         "transaction_id", "card_id", F.unix_micros("timestamp").alias("event_us"), "amount")
 
 
-@register("stream_fraud_alerts", "S9", with_model(
-    "SELECT transaction_id, card_id, event_us, amount FROM model WHERE amount > 150"))
+_STREAM_RULES = {"over_average": "COALESCE(over_3x_avg, false)", "zscore": "COALESCE(amount_zscore > 3, false)",
+                 "new_device": "(is_new_device AND amount > 100)",
+                 "spend_spike": "(is_new_merchant AND amount > 0.01e0 * avg_monthly_spend)",
+                 "near_limit": "(card_limit > 0 AND amount >= 0.001e0 * card_limit)"}
+
+#: Flagged rows whose ten minutes end before the last watermark.
+_STREAM_ALERTS = f"""
+SELECT printf('txn_%012x', transaction_id) AS transaction_id, printf('card_%05d', card_id) AS card_id,
+       t_us - 19800000000 AS event_us, amount, prior_txn_count, prior_avg_amount, amount_zscore,
+       (before_c + today_c) / (100e0 * (before_n + today_n)) AS avg_amount_30d,
+       concat_ws(',', {", ".join(f"CASE WHEN {v} THEN '{k}' END" for k, v in _STREAM_RULES.items())}) AS rules
+FROM (SELECT *, CAST(SUM(cents) OVER today AS BIGINT) AS today_c, COUNT(*) OVER today AS today_n,
+             COALESCE(CAST(SUM(cents) OVER earlier AS BIGINT), 0) AS before_c, COUNT(*) OVER earlier AS before_n
+      FROM (SELECT *, (t_us - 19800000000) // 86400000000 AS day FROM feat) d
+      WINDOW today AS (PARTITION BY card_id, day ORDER BY ts, transaction_id ROWS UNBOUNDED PRECEDING),
+             earlier AS (PARTITION BY card_id ORDER BY day RANGE BETWEEN 29 PRECEDING AND 1 PRECEDING)) w
+WHERE ({" OR ".join(_STREAM_RULES.values())})
+  AND (t_us - 19800000000) // 600000000 * 600000000 + 600000000 <= (SELECT MAX(t_us) FROM feat) - 19800000000 - 1800000000"""
+
+_STREAM_THRESHOLDS = {"spend_multiple": 0.01, "limit_ratio": 0.001}  # as in the batch catalogue
+
+
+def _alert_columns(df):
+    return df.select("transaction_id", "card_id", F.col("t_us").alias("event_us"), "amount", "prior_txn_count",
+                     "prior_avg_amount", "amount_zscore", "avg_amount_30d", "rules")
+
+
+@register("stream_alerts", "T5 D1 D5 D8 D10 D11 (stream)", with_feat(_STREAM_ALERTS))
+def q_stream_alerts(spark, sf):
+    """Detectors on keyed state with event-time timers; equal to the batch definitions."""
+    return _alert_columns(jobs.stream_alerts(spark, sf, **_STREAM_THRESHOLDS))
+
+
+@register("stream_fraud_alerts", "S9", with_feat(_STREAM_ALERTS))
 def q_stream_fraud_alerts(spark, sf):
-    return jobs.stream_three_outputs(spark, sf, table="fraud_alerts").select(
-        "transaction_id", "card_id", F.unix_micros("timestamp").alias("event_us"), "amount")
+    return _alert_columns(jobs.stream_fraud_alerts(spark, sf, **_STREAM_THRESHOLDS))
+
+
+@register("stream_test_then_big", "J9 J10 D7 (stream-stream)", with_model("""
+SELECT b.transaction_id, b.card_id, b.event_us, b.amount, s.transaction_id AS small_id, s.event_us AS small_us, s.amount AS small_amount
+FROM model b JOIN model s ON b.card_id = s.card_id AND b.transaction_id <> s.transaction_id
+     AND s.event_us BETWEEN b.event_us - 86400000000 AND b.event_us
+WHERE b.amount >= 100 AND s.amount BETWEEN 5 AND 20"""))
+def q_stream_test_then_big(spark, sf):
+    # published: 50-200, then 20,000, within the hour; the driver's amounts and rates are far smaller
+    return jobs.stream_test_then_big(spark, sf, small_lo=5.0, small_hi=20.0, big=100.0, within="24 hours")
 
 
 @register("stream_processing_stats", "S9", with_model("""
@@ -292,6 +334,15 @@ def q_stream_processing_stats(spark, sf):
                  F.max(F.unix_micros("max_event_time")).alias("last_event_us"))
 
 
+@register("stream_impossible_travel_any", "J9 (stream-stream)", with_model(f"""
+SELECT * FROM (SELECT t.transaction_id, t.card_id, t.event_us, e.transaction_id AS earlier_id,
+                      {haversine_sql('e.location_lat', 'e.location_lon', 't.location_lat', 't.location_lon')} AS km
+               FROM model t JOIN model e ON t.card_id = e.card_id AND e.event_us < t.event_us AND e.event_us >= t.event_us - 1800000000) p
+WHERE km > 500"""))
+def q_stream_impossible_travel_any(spark, sf):
+    return jobs.stream_far_pairs(spark, sf)
+
+
 # ---------------------------------------------------------------------------
 # amount expectations and bands
 # ---------------------------------------------------------------------------

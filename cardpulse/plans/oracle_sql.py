@@ -11,7 +11,7 @@ from ..functions.geo import haversine_sql
 from ..sources.tables import TXN_SQL
 
 TXN_COLS = ("transaction_id, ts, card_id, amount, merchant_category, k, merchant_name, home, geo, "
-            "acctbal, segment, lat, lon, is_online, device_id, is_fraud")
+            "acctbal, segment, card_limit, avg_monthly_spend, lat, lon, is_online, device_id, is_fraud")
 
 FEAT_CTE = f"""
 feat0 AS (
@@ -71,11 +71,11 @@ RULE_SQL = {
     "impossible_travel": "COALESCE(distance_from_last_txn_km > 500 AND minutes_since_last_txn <= 30, false)",
     "odd_hour": "(hour(ts) >= 1 AND hour(ts) < 5 AND amount > 100)",
     "zscore": "COALESCE(amount_zscore > 3, false)",
-    "near_limit": "COALESCE(acctbal > 0 AND amount >= 0.6e0 * acctbal, false)",
+    "near_limit": "COALESCE(card_limit > 0 AND amount >= 0.001e0 * card_limit, false)",
     "new_device_high_value": "(is_new_device AND amount > 100)",
     "unusual_geo": "(is_new_geo AND geo <> home)",
     "high_value_category": "(merchant_category = 'error' AND amount > 100)",
-    "spend_spike": ("(COALESCE(over_3x_avg, false) AND is_new_merchant AND NOT COALESCE(list_contains("
+    "spend_spike": ("(COALESCE(amount > 0.01e0 * avg_monthly_spend, false) AND is_new_merchant AND NOT COALESCE(list_contains("
                     "CASE segment WHEN 'AUTOMOBILE' THEN ['purchase', 'click'] WHEN 'BUILDING' THEN ['view', 'signup'] "
                     "WHEN 'FURNITURE' THEN ['purchase', 'view'] WHEN 'HOUSEHOLD' THEN ['click', 'error'] "
                     "WHEN 'MACHINERY' THEN ['signup', 'error'] END, merchant_category), false))"),

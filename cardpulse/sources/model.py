@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .. import dimensions as dims
 from ..functions.scalars import card_label, city_of
 from ..schemas import TRANSACTION_SCHEMA
-from .tables import read_table, transactions
+from .tables import monthly_income, read_table, transactions
 
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"}
 
@@ -51,7 +51,7 @@ def model_records(spark: SparkSession, sf_dir: str, keep_source: bool = False) -
     names = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("card_id"), F.col("c_name").alias("card_holder"))
     t = t.join(names, "card_id")
-    income = F.round((F.col("acctbal") + 1000) * 20).cast("int")
+    income = monthly_income("acctbal")
     emis = (F.col("k") % 4).cast("int")
     rec = t.select(
         F.concat(F.lit("txn_"), F.lpad(F.lower(F.hex(F.col("transaction_id"))), 12, "0")).alias("transaction_id"),
@@ -59,7 +59,7 @@ def model_records(spark: SparkSession, sf_dir: str, keep_source: bool = False) -
         card_label("card_id").alias("card_id"),
         "card_holder",
         F.when(F.col("acctbal") >= 3000, "credit").otherwise("debit").alias("card_type"),
-        F.round(F.greatest(F.col("acctbal"), F.lit(0.0)) * 100).cast("int").alias("card_limit"),
+        "card_limit",
         (F.col("card_id") % 120 + 1).cast("int").alias("card_age_months"),
         "amount",
         F.lit("INR").alias("currency"),
@@ -78,7 +78,7 @@ def model_records(spark: SparkSession, sf_dir: str, keep_source: bool = False) -
         F.round(F.lit(5.0) + (F.col("k") % 81), 1).alias("credit_utilization_pct"),
         F.when(F.col("card_id") % 7 == 0, F.col("card_id") % 60 + 1).otherwise(0).cast("int")
          .alias("months_since_last_default"),
-        F.round(income * 0.3).cast("int").alias("avg_monthly_spend"),
+        "avg_monthly_spend",
         "is_fraud",
         F.lit(None).cast("string").alias("fraud_type"),
         F.lit(0.0).alias("fraud_confidence"),

@@ -11,6 +11,8 @@ card_id, amount        user_id, value
 merchant_category      event_type
 merchant_name          event_type || '_' || (k % 8)   (k = props.k)
 home, acctbal, segment customer nation, balance, market segment
+card_limit             round(max(balance, 0) * 100)
+avg_monthly_spend      round(income * 0.3), income = round((balance + 1000) * 20)
 geo                    home, except every fifth id: (home + k) % 25
 lat, lon               8 + geo, 68 + 2 * (geo % 5)
 is_online, device_id   k % 2 = 0, card_id * 3 + k % 3
@@ -20,7 +22,7 @@ is_fraud               k < 4  (about 4 %)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -31,6 +33,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def card_limit(balance: str) -> Column:
+    return F.round(F.greatest(F.col(balance), F.lit(0.0)) * 100).cast("int")
+
+
+def monthly_income(balance: str) -> Column:
+    return F.round((F.col(balance) + 1000) * 20).cast("int")
+
+
+def avg_monthly_spend(balance: str) -> Column:
+    return F.round(monthly_income(balance) * 0.3).cast("int")
+
+
 _HANDLES: dict[tuple, DataFrame] = {}
 
 
@@ -95,6 +109,7 @@ def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "transaction_id", "ts", "card_id", "amount", "merchant_category", "k",
                 F.concat("merchant_category", F.lit("_"), (F.col("k") % 8).cast("string")).alias("merchant_name"),
                 "home", "geo", "acctbal", "segment",
+                card_limit("acctbal").alias("card_limit"), avg_monthly_spend("acctbal").alias("avg_monthly_spend"),
                 (F.lit(8) + F.col("geo")).cast("double").alias("lat"),
                 (F.lit(68) + F.lit(2) * (F.col("geo") % 5)).cast("double").alias("lon"),
                 (F.col("k") % 2 == 0).alias("is_online"),
@@ -107,7 +122,8 @@ def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 TXN_SQL = """
 SELECT transaction_id, ts, card_id, amount, merchant_category, k,
        concat(merchant_category, '_', CAST(k % 8 AS VARCHAR)) AS merchant_name,
-       home, geo, acctbal, segment,
+       home, geo, acctbal, segment, CAST(round(greatest(acctbal, 0) * 100) AS INTEGER) AS card_limit,
+       CAST(round(CAST(round((acctbal + 1000) * 20) AS INTEGER) * 0.3e0) AS INTEGER) AS avg_monthly_spend,
        CAST(8 + geo AS DOUBLE) AS lat,
        CAST(68 + 2 * (geo % 5) AS DOUBLE) AS lon,
        k % 2 = 0 AS is_online, card_id * 3 + k % 3 AS device_id, k < 4 AS is_fraud

@@ -13,10 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geo import haversine_km
 from ..session import ship_package, shared_path
 from ..sources import decode as dec
 from ..sources import replay
-from .sinks import three_outputs
+from .detect import card_alerts
+from .sinks import alert_table, three_outputs
 from .state import card_state_features, card_state_features_tws
 
 WATERMARK = "30 minutes"
@@ -276,6 +278,76 @@ def stream_hourly_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def with_rocksdb(spark: SparkSession):
+    """Session setting that ``transformWithState`` needs, for the time of a ``with`` block."""
+    from contextlib import contextmanager
+
+    @contextmanager
+    def held():
+        key = "spark.sql.streaming.stateStore.providerClass"
+        previous = spark.conf.get(key, None)
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        try:
+            yield
+        finally:
+            spark.conf.set(key, previous) if previous else spark.conf.unset(key)
+
+    return held()
+
+
+def stream_alerts(spark: SparkSession, sf_dir: str, **thresholds: float) -> DataFrame:   # T5 D1 D5 D8 D10 D11
+    """Alerts of the per-card detectors, from rows whose ten minutes the watermark has passed."""
+    out = _out(spark, "alerts")
+    src = replay.replay_dir_for(spark, sf_dir)
+    with with_rocksdb(spark):
+        run(card_alerts(decoded_stream(spark, src), **thresholds), out)
+    return spark.read.parquet(out)
+
+
+def stream_test_then_big(spark: SparkSession, sf_dir: str, small_lo: float = 50.0, small_hi: float = 200.0,
+                         big: float = 20000.0, within: str = "1 hour") -> DataFrame:     # J9 J10 (stream-stream)
+    """Each large payment with every small one of its card in the hour before.
+
+    A stream-stream join on the card with a time range: both sides carry the
+    watermark, so Spark drops a small payment from state once no later large
+    one can reach it, and a large one once no earlier small one can still come.
+    """
+    src = replay.replay_dir_for(spark, sf_dir)
+    out = _out(spark, "test_then_big")
+    small = (decoded_stream(spark, src).where(F.col("amount").between(small_lo, small_hi))
+             .select(F.col("card_id").alias("small_card"), F.col("transaction_id").alias("small_id"),
+                     F.col("timestamp").alias("small_at"), F.col("amount").alias("small_amount")))
+    large = decoded_stream(spark, src).where(F.col("amount") >= big).select("transaction_id", "card_id", "timestamp", "amount")
+    joined = large.join(small, (F.col("card_id") == F.col("small_card")) & (F.col("transaction_id") != F.col("small_id"))
+                        & (F.col("small_at") <= F.col("timestamp")) & (F.col("small_at") >= F.col("timestamp") - F.expr(f"INTERVAL {within}")))
+    run(joined.select("transaction_id", "card_id", F.unix_micros("timestamp").alias("event_us"), "amount",
+                      "small_id", F.unix_micros("small_at").alias("small_us"), "small_amount"), out)
+    return spark.read.parquet(out)
+
+
+def stream_far_pairs(spark: SparkSession, sf_dir: str, km: float = 500.0, within: str = "30 minutes") -> DataFrame:  # J9 (stream-stream)
+    """Each payment with every earlier one of its card inside ``within`` that is more than ``km`` away; state as in ``stream_test_then_big``."""
+    src = replay.replay_dir_for(spark, sf_dir)
+    out = _out(spark, "far_pairs")
+    own = decoded_stream(spark, src).select("transaction_id", "card_id", "timestamp", "location_lat", "location_lon")
+    before = decoded_stream(spark, src).select(F.col("card_id").alias("b_card"), F.col("transaction_id").alias("earlier_id"), F.col("timestamp").alias("earlier_at"),
+                                               F.col("location_lat").alias("b_lat"), F.col("location_lon").alias("b_lon"))
+    pairs = own.join(before, (F.col("card_id") == F.col("b_card")) & (F.col("earlier_at") < F.col("timestamp"))
+                     & (F.col("earlier_at") >= F.col("timestamp") - F.expr(f"INTERVAL {within}")))
+    far = pairs.withColumn("km", haversine_km("b_lat", "b_lon", "location_lat", "location_lon")).where(F.col("km") > km)
+    run(far.select("transaction_id", "card_id", F.unix_micros("timestamp").alias("event_us"), "earlier_id", "km"), out)
+    return spark.read.parquet(out)
+
+
+def stream_fraud_alerts(spark: SparkSession, sf_dir: str, **thresholds: float) -> DataFrame:   # S9
+    """``fraud_alerts`` as the detectors feed it: one folder a batch, rewritten if the batch is repeated."""
+    out = _out(spark, "fraud")
+    src = replay.replay_dir_for(spark, sf_dir)
+    with with_rocksdb(spark):
+        run(card_alerts(decoded_stream(spark, src), **thresholds), out + "/_unused", foreach_batch=alert_table(out), checkpoint=out + "-ckpt")
+    return spark.read.option("basePath", f"{out}/fraud_alerts").parquet(f"{out}/fraud_alerts/batch_id=*")
+
+
 def stream_three_outputs(spark: SparkSession, sf_dir: str, table: str = "raw_transactions",
                          alert_amount: float = 150.0) -> DataFrame:                   # S8 S9
     src = replay.replay_dir_for(spark, sf_dir)

@@ -42,6 +42,13 @@ def write_partitioned(df: DataFrame, path: str, by: str = "event_date") -> None:
     df.write.mode("overwrite").partitionBy(by).parquet(path)
 
 
+def alert_table(base: str):                                                              # S9
+    """foreachBatch function writing the alerts of a batch to their own folder."""
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/fraud_alerts/batch_id={batch_id}")
+    return _write
+
+
 def three_outputs(base: str, alert_predicate):                                          # S9
     """foreachBatch function writing raw rows, alerts and per-batch stats."""
     def _write(batch: DataFrame, batch_id: int) -> None:

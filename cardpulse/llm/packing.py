@@ -6,7 +6,8 @@ them, so the plan is made from the length histogram:
 1. enumerate *few-document patterns*: one to three lengths that fill a
    sequence (exactly, or as closely as the present lengths allow);
 2. fit non-negative repeat counts of the patterns to the histogram by least
-   squares, and round them down to what the histogram holds;
+   squares, round them, and take them, the fullest patterns first, while the
+   histogram has the pieces;
 3. pack the residual counts by best fit: longest length first, the rest of the
    sequence filled by the closest one, two or three lengths left.
 
@@ -72,38 +73,42 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = tokens.V
 
 
 def _closest(left: np.ndarray, room: int) -> list[int]:
-    """One to three available lengths with the largest sum of at most ``room``; fewer and longer ones first."""
-    have = np.flatnonzero(left[:room + 1])
-    if not len(have):
+    """One to three available lengths with the largest sum of at most ``room``; fewer and longer ones first.
+
+    The sums that one, two and three lengths reach are sets of bits; a sum that
+    needs a length more often than it is left is passed over.
+    """
+    have = np.flatnonzero(left[:room + 1])[::-1].tolist()
+    fits = (1 << (room + 1)) - 1
+    one = sum(1 << n for n in have)
+    two = three = 0
+    for n in have:
+        two |= one << n
+    two &= fits
+    for n in have:
+        three |= two << n
+    three &= fits
+
+    def pair(total: int, *but: int) -> list[int]:
+        for n in have:
+            m = total - n
+            if 0 < m <= n and one >> m & 1 and left[n] >= 1 + (m == n) + but.count(n) and left[m] >= 1 + (m == n) + but.count(m):
+                return [n, m]
         return []
-    best = [int(have[-1])]
-    if best[0] == room:
-        return best
-
-    def pair(space: int, but: int = 0) -> list[int]:
-        own = have[have < space]
-        if not len(own):
-            return []
-        # the largest available partner that is not longer than what a leaves
-        k = np.searchsorted(have, space - own, side="right") - 1
-        b = np.where(k >= 0, have[np.maximum(k, 0)], 0)
-        need = 1 + (b == own) + (own == but) + 0
-        b = np.where((left[own] >= need) & ((b == 0) | (left[b] >= 1 + (b == own) + (b == but))), b, 0)
-        total = np.where(b > 0, own + b, 0)
-        i = len(total) - 1 - int(np.argmax(total[::-1]))
-        return [int(own[i]), int(b[i])] if total[i] else []
-
-    two = pair(room)
-    if sum(two) > sum(best):
-        best = two
-    for a in have[::-1][:48]:
-        if sum(best) == room:
-            break
-        if a < room:
-            two = pair(room - int(a), int(a))
-            if two and a + sum(two) > sum(best):
-                best = [int(a), *two]
-    return best
+
+    sums = (one | two | three) & ~1
+    while sums:
+        total = sums.bit_length() - 1
+        if one >> total & 1:
+            return [total]
+        if two >> total & 1 and (found := pair(total)):
+            return found
+        if three >> total & 1:
+            for n in have:
+                if n < total and two >> (total - n) & 1 and (found := pair(total - n, n)):
+                    return [n, *found]
+        sums ^= 1 << total
+    return []
 
 
 def patterns(histogram: np.ndarray, capacity: int, each: int = PATTERNS_PER_LENGTH) -> list[tuple[int, ...]]:
@@ -123,11 +128,11 @@ def patterns(histogram: np.ndarray, capacity: int, each: int = PATTERNS_PER_LENG
     return sorted(p for p in found if sum(p) <= capacity)
 
 
-def fit(found: list[tuple[int, ...]], histogram: np.ndarray, steps: int = FIT_STEPS) -> np.ndarray:
+def fit(found: list[tuple[int, ...]], histogram: np.ndarray, waste: float = 1.0, steps: int = FIT_STEPS) -> np.ndarray:
     """Non-negative least squares: repeat counts whose lengths add up to the histogram (accelerated projected gradient).
 
     Lengths weigh by their size, so tokens are fitted rather than pieces, and
-    a pattern's waste is charged to it.
+    a pattern's waste is charged to it, ``waste`` times.
     """
     capacity = len(histogram) - 1
     rows = np.flatnonzero(histogram)
@@ -136,7 +141,7 @@ def fit(found: list[tuple[int, ...]], histogram: np.ndarray, steps: int = FIT_ST
     for j, p in enumerate(found):
         for n in p:
             a[place[n], j] += n
-        a[-1, j] = capacity - sum(p)
+        a[-1, j] = waste * (capacity - sum(p))
     target = np.append(histogram[rows] * rows, 0.0).astype(float)
     scale = max(1.0, target.max())
     target /= scale
@@ -151,9 +156,24 @@ def fit(found: list[tuple[int, ...]], histogram: np.ndarray, steps: int = FIT_ST
     return x * scale
 
 
+#: How a fit charges waste, and from which share on its filled patterns are taken; the plan with the fewest sequences counts.
+CHOICES = ((1.0, 1.0), (1.0, 0.98), (1.0, 0.0), (0.1, 0.0))
+
+
 def plan(histogram: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of a sequence, repeats): every piece of the histogram exactly once."""
     capacity = len(histogram) - 1
+    rest = histogram.astype(np.int64).copy()
+    rest[capacity] = 0
+    found = [p for p in patterns(rest, capacity) if len(p) > 1] if rest.any() else []
+    repeats = {waste: fit(found, rest, waste) if found else np.zeros(0) for waste, _ in CHOICES}
+    plans = [_plan(histogram, found, repeats[waste], least) for waste, least in CHOICES]
+    return min(plans, key=lambda p: sum(times for _, times in p))
+
+
+def _plan(histogram: np.ndarray, found: list[tuple[int, ...]], repeats: np.ndarray, least: float) -> list[tuple[tuple[int, ...], int]]:
+    """The plan that takes fitted patterns filled by at least ``least`` of the capacity, and packs what is left."""
+    capacity = len(histogram) - 1
     left = histogram.astype(np.int64).copy()
     out = []
 
@@ -168,14 +188,10 @@ def plan(histogram: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
 
     if left[capacity]:
         take((capacity,), int(left[capacity]))
-    if left.any():
-        found = [p for p in patterns(left, capacity) if len(p) > 1 or p[0] == capacity]
-        if found:
-            repeats = fit(found, left)
-            # the fullest first where both want the same pieces
-            for j in sorted(range(len(found)), key=lambda j: (sum(found[j]) < capacity, -repeats[j])):
-                if sum(found[j]) == capacity:
-                    take(found[j], int(repeats[j]))
+    # the fullest first where two want the same pieces
+    for j in sorted(range(len(found)), key=lambda j: (-sum(found[j]), -repeats[j])):
+        if sum(found[j]) >= least * capacity:
+            take(found[j], int(repeats[j] + 0.5))
     while left.any():
         p = [int(np.flatnonzero(left)[-1])]
         room = capacity - p[0]

@@ -126,3 +126,45 @@ def test_plan_covers_the_histogram(lengths):
     assert (seen == h).all()
     bound = max(-(-sum(lengths) // 1024), sum(n > 512 for n in lengths))
     assert sum(t for _, t in planned) <= bound * 1.02 + 1
+
+
+def fewest(lengths, capacity):
+    """The fewest sequences, by trying every filling of the next one."""
+    best = {(): 0}
+
+    def go(left):
+        if left not in best:
+            first, rest = left[0], left[1:]
+            found = {()}
+            for n in rest:
+                found |= {tuple(sorted((*f, n), reverse=True)) for f in found if first + sum(f) + n <= capacity}
+            options = []
+            for f in found:
+                own = list(rest)
+                try:
+                    for n in f:
+                        own.remove(n)
+                except ValueError:
+                    continue
+                options.append(1 + go(tuple(own)))
+            best[left] = min(options)
+        return best[left]
+
+    return go(tuple(sorted(lengths, reverse=True)))
+
+
+def test_plan_against_the_optimum():
+    rnd = random.Random(9)
+    extra = 0
+    for _ in range(40):
+        lengths = [rnd.randrange(1, 33) for _ in range(rnd.randrange(1, 11))]
+        planned = packing.plan(np.bincount(lengths, minlength=33))
+        extra += sum(t for _, t in planned) - fewest(lengths, 32)
+        assert sorted(n for p, t in planned for n in p * t) == sorted(lengths)
+    assert 0 <= extra <= 2
+
+
+def test_fitted_patterns_without_exact_sums():
+    h = np.zeros(1025, int)
+    h[[300, 350, 410]] = 1000
+    assert sum(t for _, t in packing.plan(h)) <= 1130

@@ -5,12 +5,13 @@ A source's target in words says how many copies its documents get on average:
 copies; the rest, ``p = ratio - floor(ratio)``, is an inclusion probability.
 Documents are ranked by random odds over inclusion odds,
 ``(u / (1 - u)) / (p / (1 - p))``, and the smallest are selected until their
-words reach the source's share, so the sample has a fixed size in words.  ``p``
-is the same throughout a source, so the ranking there follows ``u``.  Documents
-without words are included if ``u < p``.
+words reach the source's share, so the sample has a fixed size in words.
+Documents without words are included if ``u < p``.
 
 A document that would overshoot is set aside, and the selection goes on behind
-it until no later document fits what is left.
+it until no later document fits what is left.  Rows equal in rank and size are
+counted: as many as fit are taken, and only their numbers are dealt to rows, in
+runs of a few thousand, so repeated rows of any number cost no more than others.
 
 The ranking never sorts a whole source.  A source is cut into buckets of about
 ``BUCKET_ROWS`` documents along the ranking.  Sums of the documents that fit
@@ -38,7 +39,7 @@ def word_count(text: Column | str) -> Column:
 def _with_draw(docs: DataFrame, seed: int) -> DataFrame:
     """(row, source, size, u, tie): the whole row as a struct, its words, and a uniform draw fixed by id and text."""
     text = F.col("text").cast("string")
-    tie = F.xxhash64(F.col("doc_id"), text)
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), text), 11).cast("double") + 0.5) / float(1 << 53)
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").cast("string").alias("source"),
                        word_count(text).alias("size"), u.alias("u"), tie.alias("tie"))
@@ -67,14 +68,22 @@ def targets(sources: DataFrame, cycle: int = 3, max_copies: float = MAX_COPIES)
     return s.select("source", "source_size", "rows", F.least("cap", F.coalesce(F.col("open") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
+TAKEN = "array<struct<rank:double,u:double,tie:bigint,size:bigint,k:bigint>>"
+
+
+def pareto_rank(u: Column, p: Column) -> Column:
+    """Random odds over inclusion odds: the least ranks are a Pareto order sample with inclusion probabilities near ``p``."""
+    return (u / (1 - u)) / (p / (1 - p))
+
+
 def _greedy(arr: Column, left: Column) -> Column:
-    """(left, at, taken): numbers from 1 of the documents, in order, that still fit what is left."""
-    start = F.struct(left.alias("left"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("taken"))
+    """(left, taken): how many of the ``n`` equal documents of each entry, in order, still fit what is left."""
+    start = F.struct(left.alias("left"), F.array().cast(TAKEN).alias("taken"))
 
     def step(acc, d):
-        fits = d["size"] <= acc["left"]
-        return F.struct(F.when(fits, acc["left"] - d["size"]).otherwise(acc["left"]).alias("left"), (acc["at"] + 1).alias("at"),
-                        F.when(fits, F.concat(acc["taken"], F.array(acc["at"] + 1))).otherwise(acc["taken"]).alias("taken"))
+        k = F.least(d["n"], F.floor(acc["left"] / d["size"]))
+        entry = F.struct(d["rank"].alias("rank"), d["u"].alias("u"), d["tie"].alias("tie"), d["size"].alias("size"), k.alias("k"))
+        return F.struct((acc["left"] - k * d["size"]).alias("left"), F.when(k > 0, F.concat(acc["taken"], F.array(entry))).otherwise(acc["taken"]).alias("taken"))
 
     return F.aggregate(arr, start, step)
 
@@ -84,9 +93,10 @@ def _selected(rows: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     (name, segments, cuts): buckets ``lo`` to ``hi`` of a segment are taken but
     for documents of more than ``most`` words; of the buckets in ``cuts`` the
-    second table (name, bucket, taken) has the places.  Each round passes at
-    least one bucket of every source that is not filled; ``rows`` (name,
-    bucket, size, u, tie) are only summed but for one bucket a source.
+    second table (name, bucket, taken) has how many of which equal documents.
+    Each round passes at least one bucket of every source that is not filled;
+    ``rows`` (name, bucket, size, rank, u, tie) are only summed, in one bucket a
+    source by equal documents.
     """
     segment = "array<struct<lo:bigint,hi:bigint,most:double>>"
     state = plan.where("p > 0").select("name", F.col("need").alias("left"), F.lit(0).cast("long").alias("next"), F.col("buckets").cast("long").alias("buckets"),
@@ -102,7 +112,8 @@ def _selected(rows: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
         cut = sums.where("upto > left").groupBy("name").agg(F.min(F.struct("bucket", (F.col("left") - F.col("upto") + F.col("words")).alias("room"))).alias("cut"))
         cut = staged(cut.select(F.col("name").alias("cut_name"), F.col("cut.bucket").alias("cut_bucket"), F.col("cut.room").alias("room")), f"mix-cut-{turn}")
         inside = rows.join(cut, rows["name"].eqNullSafe(cut["cut_name"]) & (rows["bucket"] == cut["cut_bucket"]))
-        inside = inside.groupBy("name", "bucket").agg(F.first("room").alias("room"), F.sort_array(F.collect_list(F.struct("u", "tie", "size"))).alias("ds"))
+        inside = inside.groupBy("name", "bucket", "rank", "u", "tie", "size").agg(F.count("*").alias("n"), F.first("room").alias("room"))
+        inside = inside.groupBy("name", "bucket").agg(F.first("room").alias("room"), F.sort_array(F.collect_list(F.struct("rank", "u", "tie", "size", "n"))).alias("ds"))
         found = inside.select(F.col("name").alias("cut_name"), F.col("bucket").alias("cut_bucket"), _greedy(F.col("ds"), F.col("room")).alias("found"))
         found = staged(found.select("cut_name", "cut_bucket", F.col("found.left").alias("now"), F.col("found.taken").alias("taken")), f"mix-taken-{turn}")
         place = found.select(F.col("cut_name").alias("name"), F.col("cut_bucket").alias("bucket"), "taken")
@@ -117,7 +128,7 @@ def _selected(rows: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
             (F.col("done") | F.col("cut_bucket").isNull() | (after >= F.col("buckets")) | (F.col("now") < 1)).alias("done"))
         state = staged(s, f"mix-state-{turn}")
     if places is None:
-        places = rows.sparkSession.createDataFrame([], "name string, bucket long, taken array<int>")
+        places = rows.sparkSession.createDataFrame([], f"name string, bucket long, taken {TAKEN}")
     return state.select("name", "segments", "cuts"), places
 
 
@@ -139,9 +150,10 @@ def mix(docs: DataFrame, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> Da
 
     def planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
         bucket = F.least(F.floor(F.col("u") * F.col("buckets")), F.col("buckets") - 1).cast("long")
-        return rows.join(plan, rows["source"].eqNullSafe(plan["name"])).withColumn("bucket", bucket)
+        # the rank rises with ``u``, so buckets of ``u`` follow it
+        return rows.join(plan, rows["source"].eqNullSafe(plan["name"])).withColumn("bucket", bucket).withColumn("rank", pareto_rank(F.col("u"), F.col("p")))
 
-    ranked = planned(narrow, plan.where("p > 0").select("name", "buckets")).where("size > 0").select("name", "bucket", "size", "u", "tie")
+    ranked = planned(narrow, plan.where("p > 0").select("name", "buckets", "p")).where("size > 0").select("name", "bucket", "size", "rank", "u", "tie")
     chosen, places = _selected(ranked, plan)
     chosen = chosen.withColumnRenamed("name", "chosen_name")
     plan = staged(plan.join(chosen, plan["name"].eqNullSafe(chosen["chosen_name"]), "left").drop("chosen_name"), "mix-cuts")
@@ -153,12 +165,17 @@ def mix(docs: DataFrame, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> Da
     result = ["row", "size", "source_size", "target", "copies"]
     apart = full.where(~at_cut).withColumn("copies", F.col("whole") + picked.cast("int")).select(*result)
 
-    order = Window.partitionBy("name", "bucket").orderBy("u", "tie", "size")
-    cut = full.where(at_cut).withColumn("at", F.row_number().over(order))
-    places = places.select(F.col("name").alias("place_name"), F.col("bucket").alias("place_bucket"), "taken")
-    cut = cut.join(places, cut["name"].eqNullSafe(places["place_name"]) & (cut["bucket"] == places["place_bucket"]))
-    cut = cut.withColumn("copies", F.col("whole") + F.array_contains("taken", F.col("at")).cast("int")).select(*result)
-    return apart.unionByName(cut)
+    # equal documents are numbered in runs of consecutive rows: within a run by a window, before it by the runs' counts
+    equal = ["name", "bucket", "u", "tie", "size"]
+    cut = staged(full.where(at_cut).withColumn("run", F.shiftright(F.monotonically_increasing_id(), 12)).select(*equal, "run", "whole", "row", "source_size", "target"), "mix-at-cut")
+    counts = cut.groupBy(*equal, "run").agg(F.count("*").alias("n"))
+    counts = counts.withColumn("first", F.sum("n").over(Window.partitionBy(*equal).orderBy("run")) - F.col("n"))
+    taken = places.select("name", "bucket", F.explode("taken").alias("d")).select("name", "bucket", "d.u", "d.tie", "d.size", "d.k")
+    counts = counts.join(taken, [counts[c].eqNullSafe(taken[c]) for c in equal]).select(*[counts[c].alias(f"c_{c}") for c in equal], F.col("run").alias("c_run"), (F.col("k") - F.col("first")).alias("room")).where("room > 0")
+    own = cut.withColumn("at", F.row_number().over(Window.partitionBy(*equal, "run").orderBy("run")))
+    own = own.join(counts, [own[c].eqNullSafe(F.col(f"c_{c}")) for c in (*equal, "run")], "left")
+    own = own.withColumn("copies", F.col("whole") + F.coalesce((F.col("at") <= F.col("room")).cast("int"), F.lit(0))).select(*result)
+    return apart.unionByName(own)
 
 
 def mixed_sizes(docs: DataFrame, seed: int = SEED) -> DataFrame:

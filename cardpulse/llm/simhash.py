@@ -70,15 +70,18 @@ def simhash(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> i
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) per row of ``docs``; fp is the SimHash as a signed long."""
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, keys: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id, *keys, fp) per row of ``docs``; fp is the SimHash as a signed long, ``keys`` are further longs."""
+    keys = keys or {}
+    names = ["doc_id", *keys]
 
     def run(batches):
         for b in batches:
-            fps = np.fromiter((simhash(t.as_py(), words) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.fromiter((simhash(t.as_py(), words) for t in b.column(0)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fps.view(np.int64))], [*names, "fp"])
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, fp long")
+    own = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), *[c.alias(k) for k, c in keys.items()])
+    return arrow_map(own, run, "".join(f"{k} long, " for k in names) + "fp long")
 
 
 def _distance(fp: Column, reference: int) -> Column:
@@ -134,6 +137,31 @@ def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS, bucket_limit: int = BUC
     return pairs.unionByName(_bucket_pairs(fine, max_bits)).distinct()
 
 
+def _components(classes: DataFrame, max_bits: int, bucket_limit: int) -> DataFrame:
+    """``classes`` (fp, ...) with the ``root`` of each distinct fingerprint's component."""
+    roots = connected_components(near_pairs(classes.select("fp"), max_bits, bucket_limit))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def without_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+    """One row of ``docs`` per component, its columns as they are: the smallest doc_id, null ids last.
+
+    Rows that share a doc_id, or have none, are told apart by hashes of the
+    whole row; only rows equal in every column are exchangeable.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keys = {"h1": F.xxhash64(*columns), "h2": F.xxhash64(F.lit(1), *columns)}
+    rows = staged(fingerprints(docs, words, keys), "simhash-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")).alias("first")
+    classes = staged(rows.groupBy("fp").agg(first), "simhash-classes")
+    kept = _components(classes, max_bits, bucket_limit).groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.h1").alias("h1"), F.col("first.h2").alias("h2"), F.col("first.doc_id").alias("kept_id"))
+    named = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("own_id"), *[c.alias(k) for k, c in keys.items()])
+    same = (named["h1"] == kept["h1"]) & (named["h2"] == kept["h2"]) & named["own_id"].eqNullSafe(kept["kept_id"])
+    left = named.join(kept, same, "left_semi").dropDuplicates(["own_id", "h1", "h2"])
+    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """One row per row of ``docs``: (doc_id, fingerprint, component_id).
 
@@ -146,8 +174,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
     """
     rows = staged(fingerprints(docs, words), "simhash-docs")
     classes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
-    roots = connected_components(near_pairs(classes.select("fp"), max_bits, bucket_limit))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    rooted = _components(classes, max_bits, bucket_limit)
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     class_names = rooted.join(named, "root").select("fp", "component_id")
     return rows.join(class_names, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

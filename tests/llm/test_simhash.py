@@ -104,3 +104,14 @@ def test_pivot_coordinates_are_hamming_distances(spark):
         for i, ref in enumerate(simhash.REFERENCES):
             assert r.coords >> (7 * i) & 127 == bin((r.fp ^ ref) & (2 ** 64 - 1)).count("1")
     assert df.where(F.col("fp") == -1).first().g0 == sum(2 << (2 * b) for b in range(8))
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Rows, not ids: rows that share an id or have none stay if their texts differ."""
+    schema = "doc_id long, text string, h1 string, row int"
+    texts = ["one two three four five six", "quite another text with other words", "a third text that is like none"]
+    rows = [(1, texts[0], "a", 1), (1, texts[1], "a", 1), (None, texts[1], "b", 2), (None, texts[2], None, 3), (None, texts[2], None, 3), (5, texts[2], "c", 4), (0, None, None, 0), (9, "", None, 0), (2, texts[0], "a", 1), (1, texts[0], "a", 1)]
+    got = simhash.without_near_duplicates(spark.createDataFrame(rows, schema))
+    assert got.columns == ["doc_id", "text", "h1", "row"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, texts[0], "a", 1), (1, texts[1], "a", 1), (5, texts[2], "c", 4), (0, None, None, 0)], key=repr)
+    assert simhash.without_near_duplicates(spark.createDataFrame([], schema)).count() == 0

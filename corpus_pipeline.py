@@ -22,15 +22,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: the one with the smallest doc_id.
+    """One document of each SimHash component stays: the one with the smallest doc_id, null ids last.
 
-    Repeats of that doc_id count as copies too.  Rows without a doc_id can't
-    be named by a component and stay.
+    The decision is by row: rows that share a doc_id or have none are told
+    apart by a hash of their text, and equal rows are copies of each other.
     """
     ensure_checkpoint_dir(spark)
-    keep = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return simhash.without_near_duplicates(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,8 @@ QUERY_STRIP = 32
 CANDIDATE_STRIP = 2048
 #: Inner products of integers under this are exact in double precision.
 EXACT = float(1 << 53)
+#: No candidate yet.
+NONE = np.iinfo(np.int64).min
 
 
 def quantised(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -69,20 +71,21 @@ class Search:
     """Running k best candidates of a block of queries of one dimension."""
 
     def __init__(self, ids: np.ndarray, q: np.ndarray, k: int):
-        self.ids, self.q, self.k = ids, q, k
+        self.ids, self.whole, self.k = ids, q, k
+        self.q = q.astype(float)
         self.levels = levels(q.shape[1]) if q.shape[1] else []
-        self.stats = [summary(q, b) for b in self.levels]
-        self.scores = np.full((len(q), k), -np.inf)
+        self.stats = [summary(self.q, b) for b in self.levels]
+        self.scores = np.full((len(q), k), NONE)
         self.found = np.full((len(q), k), np.iinfo(np.int64).max)
         self.exact = 0
 
-    def offer(self, ids: np.ndarray, x: np.ndarray) -> None:
+    def offer(self, ids: np.ndarray, whole: np.ndarray) -> None:
+        x = whole.astype(float)
         if not x.shape[1]:
             for i in range(len(self.q)):
-                self._keep(i, ids[ids != self.ids[i]], np.zeros(int((ids != self.ids[i]).sum())))
+                self._keep(i, ids[ids != self.ids[i]], np.zeros(int((ids != self.ids[i]).sum()), np.int64))
             return
-        if max(np.abs(x).max(initial=0), 1) * max(np.abs(self.q).max(initial=0), 1) * x.shape[1] >= EXACT:
-            raise ValueError("components are too large for exact double-precision scores")
+        small = max(np.abs(x).max(initial=0), 1) * max(np.abs(self.q).max(initial=0), 1) * x.shape[1] < EXACT
         stats = [summary(x, b) for b in self.levels]
         # the bounds are rounded; scores are integers
         slack = 0.5 + 1e-9 * float(np.abs(stats[0]).max(initial=0) * np.abs(self.stats[0]).max(initial=0))
@@ -98,21 +101,25 @@ class Search:
             if not len(alive):
                 continue
             need &= ids[alive][None] != self.ids[strip][:, None]
-            score = np.where(need, self.q[strip] @ x[alive].T, -np.inf)
+            about = self.q[strip] @ x[alive].T
+            if small:
+                score = about.astype(np.int64)
+            else:  # long arithmetic is exact for every score that a long holds; others end at its limits
+                score = self.whole[strip] @ whole[alive].T
+                score = np.where(np.abs(about) >= 2.0**63, np.where(about > 0, np.iinfo(np.int64).max, NONE + 1), score)
             self.exact += int(need.sum())
-            for i in np.flatnonzero((score >= worst).any(1)):
-                better = np.flatnonzero(score[i] >= worst[i])
-                better = better[np.isfinite(score[i][better])]
-                self._keep(at + i, ids[alive][better], score[i][better])
+            better = need & (score >= self.scores[strip, -1][:, None])
+            for i in np.flatnonzero(better.any(1)):
+                self._keep(at + i, ids[alive][better[i]], score[i][better[i]])
 
     def _keep(self, i: int, ids: np.ndarray, scores: np.ndarray) -> None:
         scores, ids = np.concatenate([self.scores[i], scores]), np.concatenate([self.found[i], ids])
-        best = np.lexsort((ids, -scores))[:self.k]
+        best = np.lexsort((ids, ~scores))[:self.k]
         self.scores[i], self.found[i] = scores[best], ids[best]
 
     def rows(self):
-        i, j = np.nonzero(np.isfinite(self.scores))
-        return self.ids[i], self.found[i, j], self.scores[i, j].astype(np.int64)
+        i, j = np.nonzero(self.scores != NONE)
+        return self.ids[i], self.found[i, j], self.scores[i, j]
 
 
 def _block_hits(vectors: DataFrame, queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int) -> DataFrame:
@@ -124,7 +131,7 @@ def _block_hits(vectors: DataFrame, queries: dict[int, tuple[np.ndarray, np.ndar
         for b in batches:
             ids, lists = b.column(0).to_numpy(), b.column(1)
             bounds = lists.offsets.to_numpy()
-            values = lists.values.to_numpy(zero_copy_only=False).astype(float)
+            values = lists.values.to_numpy(zero_copy_only=False)
             dims = np.diff(bounds)
             for dim in set(dims.tolist()) & search.keys():
                 rows = np.flatnonzero(dims == dim)
@@ -144,7 +151,8 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, query_block: int = QU
     Candidates are all usable rows with another vec_id and as many components;
     ties go to the smaller vec_id.  Rows that share a vec_id are one item: as
     a query it is asked once, with the first of its vectors, and as candidates
-    each row counts.  An empty vector scores 0 against empty ones.  An empty
+    each row counts.  Scores beyond double precision are taken in long
+    arithmetic; one that no long holds ends at a long's limit.  An empty vector scores 0 against empty ones.  An empty
     table gives no rows.
     """
     spark = vectors.sparkSession
@@ -160,7 +168,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, query_block: int = QU
         if not len(rows):
             continue
         dims = rows["v"].map(len)
-        queries = {int(d): (rows["vec_id"][dims == d].to_numpy(np.int64), np.array(rows["v"][dims == d].tolist(), float).reshape(int((dims == d).sum()), int(d))) for d in set(dims)}
+        queries = {int(d): (rows["vec_id"][dims == d].to_numpy(np.int64), np.array(rows["v"][dims == d].tolist(), np.int64).reshape(int((dims == d).sum()), int(d))) for d in set(dims)}
         hits.append(staged(_block_hits(usable, queries, k), "topk-hits"))
     if not hits:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")

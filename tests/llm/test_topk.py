@@ -63,3 +63,12 @@ def test_query_equals_sql(spark):
 
 def test_empty(spark):
     assert topk.top_k(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_large_components_are_exact(spark):
+    rows = [(0, [1e6, 2.0]), (1, [3e6, 1.0]), (2, [3e6, 1.25]), (3, [-4e6, 1.0]), (50, [1e6, 3.0])]
+    q = [(i, [int(256 * x) for x in v]) for i, v in rows]
+    want = sorted((a, r + 1, b, s) for a, v in q if a % 50 == 0
+                  for r, (s, b) in enumerate(sorted(((sum(x * y for x, y in zip(v, w)), b) for b, w in q if b != a), key=lambda t: (-t[0], t[1]))[:5]))
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in got) == want

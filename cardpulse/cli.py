@@ -67,7 +67,7 @@ def _batch(args) -> None:
     from .sources.tables import transactions
     spark = build_session(args.app_name, master=args.master)
     out = args.out.rstrip("/")
-    flags = rules.rule_set(odd_hour_amount=args.odd_hour_amount)
+    flags = rules.rule_set(odd_hour_amount=args.odd_hour_amount, limit_ratio=args.limit_ratio, spend_multiple=args.spend_multiple)
     enriched = rules.all_flags(transactions(spark, args.sf_dir), flags).withColumn("event_date", F.to_date("ts"))
     enriched.write.mode("overwrite").partitionBy("event_date").parquet(f"{out}/enriched_transactions")
     table = spark.read.parquet(f"{out}/enriched_transactions")
@@ -126,6 +126,8 @@ def main(argv=None) -> None:
     b.add_argument("--sf-dir", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--odd-hour-amount", type=float, default=500.0)
+    b.add_argument("--limit-ratio", type=float, default=0.6)
+    b.add_argument("--spend-multiple", type=float, default=3.0)
     b.set_defaults(fn=_batch)
 
     g = sub.add_parser("publish")

@@ -29,7 +29,7 @@ def test_batch_job_tables(spark):
     from pyspark.sql import functions as F
     import __spark_entry__ as entry
     out = shared_path(spark, "cli-batch")
-    cli.main(["batch", "--sf-dir", SF001, "--out", out, "--odd-hour-amount", "100"])
+    cli.main(["batch", "--sf-dir", SF001, "--out", out, "--odd-hour-amount", "100", "--limit-ratio", "0.001", "--spend-multiple", "0.01"])
     enriched = spark.read.parquet(f"{out}/enriched_transactions")
     alerts = spark.read.parquet(f"{out}/fraud_alerts")
     stats = spark.read.parquet(f"{out}/processing_stats").first()

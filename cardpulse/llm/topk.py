@@ -18,6 +18,8 @@ pass over all vectors in which a task keeps k candidates per query.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -38,14 +40,20 @@ NONE = np.iinfo(np.int64).min
 
 
 def quantised(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
-    """(vec_id, v array<long>): floor(256 x) of every usable row.
+    """(vec_id, v array<double>): floor(256 x), a whole number, of every usable row.
 
     A null id, a null vector, or one with a null or non-finite component takes
-    no part.  Components whose scaled value does not fit a long take no part
-    either.
+    no part.  Doubles from 2^53 on are whole numbers themselves; a product
+    beyond the largest double becomes that double.
     """
-    x = F.transform(F.col(vector_column), lambda e: F.floor(e.cast("double") * SCALE))
-    fine = F.forall(F.col(vector_column), lambda e: F.coalesce(F.abs(e.cast("double")) < float(1 << 54), F.lit(False)))
+    largest = F.lit(sys.float_info.max)
+
+    def scaled(e):
+        y = F.greatest(-largest, F.least(largest, e.cast("double") * SCALE))
+        return F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)
+
+    x = F.transform(F.col(vector_column), scaled)
+    fine = F.forall(F.col(vector_column), lambda e: F.coalesce(F.abs(e.cast("double")) < float("inf"), F.lit(False)))
     return vectors.where(F.col(id_column).isNotNull() & F.coalesce(fine, F.lit(False))).select(F.col(id_column).cast("long").alias("vec_id"), x.alias("v"))
 
 
@@ -71,46 +79,67 @@ class Search:
     """Running k best candidates of a block of queries of one dimension."""
 
     def __init__(self, ids: np.ndarray, q: np.ndarray, k: int):
-        self.ids, self.whole, self.k = ids, q, k
-        self.q = q.astype(float)
+        # queries of like size share a strip, so that few of them leave double precision
+        order = np.argsort(np.abs(q).max(axis=1, initial=0), kind="stable")
+        self.ids, self.q, self.k = ids[order], q[order].astype(float), k
         self.levels = levels(q.shape[1]) if q.shape[1] else []
-        self.stats = [summary(self.q, b) for b in self.levels]
+        with np.errstate(over="ignore", invalid="ignore"):  # bounds of queries beyond EXACT are not used
+            self.stats = [summary(self.q, b) for b in self.levels]
         self.scores = np.full((len(q), k), NONE)
         self.found = np.full((len(q), k), np.iinfo(np.int64).max)
         self.exact = 0
 
-    def offer(self, ids: np.ndarray, whole: np.ndarray) -> None:
-        x = whole.astype(float)
+    def offer(self, ids: np.ndarray, x: np.ndarray) -> None:
+        x = x.astype(float)
         if not x.shape[1]:
             for i in range(len(self.q)):
                 self._keep(i, ids[ids != self.ids[i]], np.zeros(int((ids != self.ids[i]).sum()), np.int64))
             return
-        small = max(np.abs(x).max(initial=0), 1) * max(np.abs(self.q).max(initial=0), 1) * x.shape[1] < EXACT
-        stats = [summary(x, b) for b in self.levels]
-        # the bounds are rounded; scores are integers
-        slack = 0.5 + 1e-9 * float(np.abs(stats[0]).max(initial=0) * np.abs(self.stats[0]).max(initial=0))
+        size = np.abs(x).max(axis=1)
+        plain = np.flatnonzero(size < EXACT)
+        stats = [summary(x[plain], b) for b in self.levels]
         for at in range(0, len(self.q), QUERY_STRIP):
             strip = slice(at, at + QUERY_STRIP)
-            worst = self.scores[strip, -1][:, None]
-            alive = np.arange(len(x))
-            for mine, theirs in zip(self.stats, stats):
-                need = mine[strip] @ theirs[alive].T + slack >= worst
-                alive, need = alive[need.any(0)], need[:, need.any(0)]
-                if not len(alive):
-                    break
+            most = max(np.abs(self.q[strip]).max(), 1.0) * x.shape[1]
+            small = np.maximum(size, 1.0) < EXACT / most
+            if small.all():
+                self._bounded(strip, ids, x, stats)
+                continue
+            if small.any():
+                own = small[plain]
+                self._bounded(strip, ids[small], x[small], [t[own] for t in stats])
+            for j in np.flatnonzero(~small):
+                self._long(strip, ids[j], x[j])
+
+    def _bounded(self, strip: slice, ids: np.ndarray, x: np.ndarray, stats: list[np.ndarray]) -> None:
+        """Candidates whose products with the strip's queries are exact in double precision."""
+        # the bounds are rounded; scores are integers
+        slack = 0.5 + 1e-9 * float(np.abs(stats[0]).max(initial=0) * np.abs(self.stats[0][strip]).max(initial=0))
+        worst = self.scores[strip, -1][:, None]
+        alive = np.arange(len(x))
+        for mine, theirs in zip(self.stats, stats):
+            need = mine[strip] @ theirs[alive].T + slack >= worst
+            alive, need = alive[need.any(0)], need[:, need.any(0)]
             if not len(alive):
+                return
+        need &= ids[alive][None] != self.ids[strip][:, None]
+        score = (self.q[strip] @ x[alive].T).astype(np.int64)
+        self.exact += int(need.sum())
+        better = need & (score >= worst)
+        for i in np.flatnonzero(better.any(1)):
+            self._keep(strip.start + i, ids[alive][better[i]], score[i][better[i]])
+
+    def _long(self, strip: slice, vec_id: int, x: np.ndarray) -> None:
+        """One candidate in integers of any size; a score that no long holds ends at a long's limit."""
+        whole = [int(c) for c in x]
+        for i in range(strip.start, min(strip.stop, len(self.q))):
+            if vec_id == self.ids[i]:
                 continue
-            need &= ids[alive][None] != self.ids[strip][:, None]
-            about = self.q[strip] @ x[alive].T
-            if small:
-                score = about.astype(np.int64)
-            else:  # long arithmetic is exact for every score that a long holds; others end at its limits
-                score = self.whole[strip] @ whole[alive].T
-                score = np.where(np.abs(about) >= 2.0**63, np.where(about > 0, np.iinfo(np.int64).max, NONE + 1), score)
-            self.exact += int(need.sum())
-            better = need & (score >= self.scores[strip, -1][:, None])
-            for i in np.flatnonzero(better.any(1)):
-                self._keep(at + i, ids[alive][better[i]], score[i][better[i]])
+            self.exact += 1
+            score = sum(a * int(b) for a, b in zip(whole, self.q[i]))
+            score = min(max(score, NONE + 1), np.iinfo(np.int64).max)
+            if score >= self.scores[i, -1]:
+                self._keep(i, np.array([vec_id]), np.array([score], np.int64))
 
     def _keep(self, i: int, ids: np.ndarray, scores: np.ndarray) -> None:
         scores, ids = np.concatenate([self.scores[i], scores]), np.concatenate([self.found[i], ids])
@@ -151,8 +180,8 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, query_block: int = QU
     Candidates are all usable rows with another vec_id and as many components;
     ties go to the smaller vec_id.  Rows that share a vec_id are one item: as
     a query it is asked once, with the first of its vectors, and as candidates
-    each row counts.  Scores beyond double precision are taken in long
-    arithmetic; one that no long holds ends at a long's limit.  An empty vector scores 0 against empty ones.  An empty
+    each row counts.  Scores beyond double precision are taken in integers of
+    any size; one that no long holds ends at a long's limit.  An empty vector scores 0 against empty ones.  An empty
     table gives no rows.
     """
     spark = vectors.sparkSession
@@ -168,7 +197,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, query_block: int = QU
         if not len(rows):
             continue
         dims = rows["v"].map(len)
-        queries = {int(d): (rows["vec_id"][dims == d].to_numpy(np.int64), np.array(rows["v"][dims == d].tolist(), np.int64).reshape(int((dims == d).sum()), int(d))) for d in set(dims)}
+        queries = {int(d): (rows["vec_id"][dims == d].to_numpy(np.int64), np.array(rows["v"][dims == d].tolist(), float).reshape(int((dims == d).sum()), int(d))) for d in set(dims)}
         hits.append(staged(_block_hits(usable, queries, k), "topk-hits"))
     if not hits:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")

@@ -72,3 +72,13 @@ def test_large_components_are_exact(spark):
                   for r, (s, b) in enumerate(sorted(((sum(x * y for x, y in zip(v, w)), b) for b, w in q if b != a), key=lambda t: (-t[0], t[1]))[:5]))
     got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert sorted(tuple(r) for r in got) == want
+
+
+def test_every_finite_component_takes_part(spark):
+    rows = [(0, [1e20, 2.0, 0.0]), (1, [0.0, 1.0, 1.0]), (2, [-1e300, 1.25, 0.5]), (3, [3.0, 1e17, -1.0]), (4, [1e20, -2e20, 7.0]), (50, [0.5, 3.0, 1e300]), (51, [float("inf"), 1.0, 1.0]), (100, [0.25, 0.5, 1.0])]
+    whole = [(i, [int(256 * x) for x in v]) for i, v in rows if math.isfinite(v[0])]
+    clip = lambda s: max(-(2**63) + 1, min(2**63 - 1, s))
+    want = sorted((a, r + 1, b, s) for a, v in whole if a % 50 == 0
+                  for r, (s, b) in enumerate(sorted(((clip(sum(x * y for x, y in zip(v, w))), b) for b, w in whole if b != a), key=lambda t: (-t[0], t[1]))[:5]))
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in got) == want

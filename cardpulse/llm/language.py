@@ -3,7 +3,10 @@
 Two texts are compared by the *blended spectrum presence kernel*: the number
 of character n-grams (1 to ``GRAMS`` bytes) that both have, divided by the
 geometric mean of their own numbers.  N-grams are hashed to ``BUCKETS`` bits,
-so the kernel is an inner product of presence vectors.  A bounded sample of
+so the kernel is an inner product of presence vectors.  A long text is cut
+into windows of at most ``WINDOW`` bytes and stands for their mean, so that
+its presence bits never fill up; the kernel of two texts is then the mean over
+all pairs of their windows.  A bounded sample of
 training texts gives *landmarks*; the Nyström map ``K(x, L) K(L, L)^-1/2``
 turns a text into a vector, and one ridge regression per language (one versus
 rest) is fitted on those vectors.  A batch of texts is scored by two matrix
@@ -28,29 +31,36 @@ BUCKETS = 1 << 13
 LANDMARKS, TRAIN_ROWS = 48, 400
 RIDGE = 1e-3
 BATCH = 128
+#: Bytes of a window, at most; a text's windows are of about equal length.
+WINDOW = 2048
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
 _NOT_WORD = bytes(32 if x < 128 and not chr(x).isalpha() else x for x in range(256))
-_STEP = 1 << 20
 
 
-def presence(text: str | None, out: np.ndarray | None = None) -> np.ndarray:
-    """0/1 vector of the hashed n-grams of a lower-cased text; ASCII non-letters count as blanks."""
+def spectrum(text: str | None, out: np.ndarray | None = None) -> np.ndarray:
+    """Mean over the windows of a lower-cased text of their hashed n-gram presence, each of length one.
+
+    ASCII non-letters count as blanks; a window shares its last ``GRAMS - 1``
+    bytes with the next one, so no n-gram is lost at a border.
+    """
     if out is None:
         out = np.zeros(BUCKETS, np.float32)
     raw = b" ".join((text or "").lower().encode("utf-8", "replace").translate(_NOT_WORD).split())
     if not raw:
         return out
     raw = np.frombuffer(b" " + raw + b" ", np.uint8)
-    for at in range(0, len(raw), _STEP):
-        part = raw[at:at + _STEP + GRAMS - 1].astype(np.uint64)
+    windows = -(-len(raw) // WINDOW)
+    seen = np.empty(BUCKETS, bool)
+    for i in range(windows):
+        part = raw[len(raw) * i // windows:len(raw) * (i + 1) // windows + GRAMS - 1].astype(np.uint64)
+        seen[:] = False
         code = np.zeros(len(part), np.uint64)
-        for n in range(1, GRAMS + 1):
-            if len(part) < n:
-                break
+        for n in range(1, min(GRAMS, len(part)) + 1):
             code = code[:len(part) - n + 1] * np.uint64(257) + part[n - 1:] + np.uint64(1)
-            out[((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(51)).astype(np.int64)] = 1.0
+            seen[((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(51)).astype(np.int64)] = True
+        out[seen] += np.float32(1 / (windows * np.sqrt(np.count_nonzero(seen))))
     return out
 
 
@@ -61,16 +71,15 @@ def has_letter(text: str | None) -> bool:
 @dataclass
 class Kernel:
     languages: list[str]
-    landmarks: np.ndarray  # presence vectors over the root of their own size
+    landmarks: np.ndarray  # spectra of the landmark texts
     weights: np.ndarray  # landmarks x languages: K(L, L)^-1/2 times the ridge weights
     bias: np.ndarray
 
     def values(self, texts: list[str | None]) -> np.ndarray:
         x = np.zeros((len(texts), BUCKETS), np.float32)
         for i, t in enumerate(texts):
-            presence(t, x[i])
-        own = np.sqrt(np.maximum(x.sum(1), 1.0))
-        return (x @ self.landmarks.T) / own[:, None]
+            spectrum(t, x[i])
+        return x @ self.landmarks.T
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, score) per text; ``und`` with score 0 for one without letters."""
@@ -89,18 +98,17 @@ def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridg
     own = np.array(languages)
     if not names:
         return Kernel([], np.zeros((0, BUCKETS), np.float32), np.zeros((0, 0)), np.zeros(0))
-    x = np.stack([presence(t) for t in texts])
-    x /= np.sqrt(np.maximum(x.sum(1), 1.0))[:, None]
+    x = np.stack([spectrum(t) for t in texts])
     chosen = np.concatenate([np.flatnonzero(own == name)[:landmarks] for name in names])
     marks = x[chosen]
     among, between = (marks @ marks.T).astype(float), (x @ marks.T).astype(float)
     value, vector = np.linalg.eigh(among)
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
     z = between @ root
-    mean = z.mean(0)
     y = np.where(own[:, None] == np.array(names)[None], 1.0, -1.0)
     # languages weigh alike
     weight = (1 / np.array([(own == name).sum() for name in own]))[:, None]
+    mean = (z * weight).sum(0) / weight.sum()
     zc = z - mean
     solved = np.linalg.solve(zc.T @ (zc * weight) + ridge * np.eye(len(marks)), zc.T @ ((y - (y * weight).sum(0) / weight.sum()) * weight))
     bias = (y * weight).sum(0) / weight.sum() - mean @ solved
@@ -128,6 +136,8 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS) -
 def predict(docs: DataFrame, kernel: Kernel) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) per row of ``docs``.
 
+    Texts of any length are read whole, window by window: a long text's votes
+    are the mean of its windows'.
     Null, empty or letterless texts are ``und`` with score 0.  Null doc_ids
     count as held out; repeated rows keep their rows; other columns are ignored.
     """

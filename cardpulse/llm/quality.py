@@ -28,10 +28,8 @@ from cardpulse.llm.common import arrow_map, held_out, staged
 
 BUCKETS = 1 << 15
 RANK = 8
-#: At most about so many labelled rows are used for fitting.
+#: At most about so many labelled rows are used for fitting; all words of each, thus at most ``BUCKETS`` integers a row.
 TRAIN_ROWS = 6_000
-#: At most so many distinct words of a training row enter the fit; scores use all.
-TRAIN_WORDS = 1_000
 #: Passes over the sample, more of them for a small one: at least MIN_UPDATES steps.
 EPOCHS, MIN_UPDATES = 6, 600
 BATCH = 64
@@ -116,10 +114,8 @@ def fit(stats: np.ndarray, words: list[np.ndarray], y: np.ndarray, seed: int = 3
     size = N_STATS + BUCKETS
     mean, scale = stats.mean(0), np.maximum(stats.std(0), 1e-3)
     m = Machine(0.0, np.zeros(size), rng.normal(0, 0.05, (size, RANK)), mean, scale)
-    own = []
-    for s, w in zip(stats, words):
-        dense = np.clip((s - mean) / scale, -4, 4) / np.sqrt(N_STATS)
-        own.append((np.concatenate([np.arange(N_STATS), w + N_STATS]), np.concatenate([dense, np.full(len(w), 1 / np.sqrt(max(1, len(w))))])))
+    dense = np.clip((stats - mean) / scale, -4, 4) / np.sqrt(N_STATS)
+    size_of = np.array([N_STATS + len(w) for w in words])
     share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
     g_bias, g_linear, g_factors = 1e-8, np.full(size, 1e-8), np.full((size, RANK), 1e-8)
@@ -127,10 +123,11 @@ def fit(stats: np.ndarray, words: list[np.ndarray], y: np.ndarray, seed: int = 3
         order = rng.permutation(len(y))
         for begin in range(0, len(y), BATCH):
             rows = order[begin:begin + BATCH]
-            at = np.concatenate([own[i][0] for i in rows])
-            x = np.concatenate([own[i][1] for i in rows])
-            first = np.concatenate([[0], np.cumsum([len(own[i][0]) for i in rows])[:-1]])
-            row = np.repeat(np.arange(len(rows)), [len(own[i][0]) for i in rows])
+            # only a batch at a time is held as (feature, value) pairs
+            at = np.concatenate([a for i in rows for a in (np.arange(N_STATS), words[i].astype(np.int64) + N_STATS)])
+            x = np.concatenate([a for i in rows for a in (dense[i], np.full(len(words[i]), 1 / np.sqrt(max(1, len(words[i])))))])
+            first = np.concatenate([[0], np.cumsum(size_of[rows])[:-1]])
+            row = np.repeat(np.arange(len(rows)), size_of[rows])
             vx = m.factors[at] * x[:, None]
             total = np.add.reduceat(vx, first)
             z = m.bias + np.add.reduceat(m.linear[at] * x, first) + 0.5 * (total ** 2 - np.add.reduceat(vx ** 2, first)).sum(1)
@@ -167,20 +164,21 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             stats = [statistics(t) for t in texts]
-            words = [hashed_words(t)[:: max(1, -(-len(set(t.split())) // TRAIN_WORDS))].astype(np.int32) for t in texts]
+            words = [hashed_words(t).astype(np.int32) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(stats, pa.list_(pa.float64())), pa.array(words, pa.list_(pa.int32()))], ["y", "stats", "words"])
 
     found = staged(arrow_map(sample.select("y", "text"), run, "y int, stats array<double>, words array<int>"), "quality-train").toPandas()
     y = found["y"].to_numpy(float)
     if len(set(y)) < 2:
         return float(y.mean()) if len(y) else 0.5
-    return fit(np.stack(found["stats"]), [np.asarray(w, np.int64) for w in found["words"]], y)
+    return fit(np.stack(found["stats"]), [np.asarray(w, np.int32) for w in found["words"]], y)
 
 
 def score(docs: DataFrame, machine: Machine | float, threshold: float = 0.7) -> DataFrame:
     """(doc_id, held_out, score, predicted) per row of ``docs``; ``predicted`` is 1 from ``threshold`` on.
 
-    A null text scores as an empty one: no words and zero statistics.  Null
+    A null text scores as an empty one: no words and zero statistics.  Very long
+    texts are fitted and scored with all their words.  Null
     doc_ids count as held out; repeated rows keep their rows; other columns are
     ignored.
     """

@@ -198,13 +198,71 @@ def test_language_edges(spark):
     assert language.predict(docs.limit(0), language.train(docs)).count() == 0
 
 
+def grams(text):
+    raw = b" " + text.encode() + b" "
+    return {raw[i:i + n] for n in range(1, language.GRAMS + 1) for i in range(len(raw) - n + 1)}
+
+
 def test_presence_kernel_counts_shared_ngrams():
-    def grams(text):
-        raw = b" " + text.encode() + b" "
-        return {raw[i:i + n] for n in range(1, language.GRAMS + 1) for i in range(len(raw) - n + 1)}
     a, b = "the shining", "then shine"
-    x, y = language.presence(a), language.presence(b)
+    x, y = language.spectrum(a), language.spectrum(b)
     # hashing may merge a few n-grams
-    assert abs(x @ y - len(grams(a) & grams(b))) <= 1 and abs(x.sum() - len(grams(a))) <= 1
-    long = language.presence("ab cd " * 400_000)
-    assert np.array_equal(long, language.presence("ab cd " * 3))
+    root = math.sqrt(len(grams(a)) * len(grams(b)))
+    assert abs(x @ y * root - len(grams(a) & grams(b))) <= 1.1 and abs(x @ x - 1) < 1e-5
+    long = language.spectrum("ab cd " * 400_000)
+    assert 0.99 < long @ language.spectrum("ab cd " * 30) < 1.01
+
+
+def test_ridge_on_landmarks_equals_plain_algebra():
+    rnd = random.Random(8)
+    own = {"de": ["der", "und", "schein", "wald"], "en": ["the", "and", "shine", "wood"], "fr": ["le", "et", "brille", "bois"]}
+    rows = [(" ".join(rnd.choice(words + ["xyz"]) for _ in range(rnd.randrange(6, 30))), lang) for lang, words in own.items() for _ in range(12 + len(lang) * len(words[0]))]
+    texts, langs = zip(*rows)
+    kernel = language.fit(list(texts), list(langs), landmarks=5)
+    # the kernel matrices by sets of hashed n-grams, the ridge by stacked least squares
+    bucket = {g: ((sum((c + 1) * 257 ** (len(g) - 1 - i) for i, c in enumerate(g)) * 0x9E3779B97F4A7C15) % 2**64) >> 51 for t in texts for g in grams(t)}
+    sets = [{bucket[g] for g in grams(t)} for t in texts]
+    k = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    marks = [i for name in sorted(own) for i in [j for j, lang in enumerate(langs) if lang == name][:5]]
+    among = np.array([[k(sets[i], sets[j]) for j in marks] for i in marks])
+    between = np.array([[k(s, sets[j]) for j in marks] for s in sets])
+    value, vector = np.linalg.eigh(among)
+    z = between @ vector @ np.diag(value ** -0.5) @ vector.T
+    root = np.sqrt([1 / langs.count(lang) for lang in langs])[:, None]
+    left = np.vstack([np.hstack([z, np.ones((len(z), 1))]) * root, np.hstack([math.sqrt(language.RIDGE) * np.eye(len(marks)), np.zeros((len(marks), 1))])])
+    for at, name in enumerate(sorted(own)):
+        y = np.array([[1.0 if lang == name else -1.0] for lang in langs])
+        solved = np.linalg.lstsq(left, np.vstack([y * root, np.zeros((len(marks), 1))]), rcond=None)[0]
+        want = (z @ solved[:-1] + solved[-1])[:, 0]
+        got = kernel.values(list(texts)) @ kernel.weights[:, at] + kernel.bias[at]
+        assert np.allclose(got, want, atol=2e-3)
+
+
+def test_language_of_very_long_texts(spark):
+    rnd = random.Random(6)
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    kernel = language.train(docs)
+    rows = docs.select("doc_id", "lang", "text").collect()
+    for lang in sorted({r.lang for r in rows}):
+        own = [w for r in rows if r.lang == lang and zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for w in r.text.split()]
+        words = rnd.choices(own, k=1_000_000 // 5)
+        mixed = [w if rnd.random() > 1 / 3 else "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randrange(4, 10))) for w in words]
+        long, noisy = " ".join(words), " ".join(mixed)
+        assert len(noisy) > 1_000_000
+        assert [n for n, _ in kernel.predict([long, noisy, long[:200_000], noisy[:200_000]])] == [lang] * 4, lang
+
+
+def test_quality_fits_on_all_words_of_long_texts(spark):
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(4000)]
+    rows, labels = [], []
+    for i in range(120):
+        own = words[:]
+        rnd.shuffle(own)
+        # one of 4,001 words tells the classes apart
+        rows.append((i, " ".join(own + ["goodword" if i % 2 else "badword"]), "xx", "s", 0.0, ""))
+        labels.append((i, i % 2, 0))
+    docs = spark.createDataFrame(rows, DOCS)
+    machine = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    good, bad = (quality.N_STATS + quality.hashed_words(w)[0] for w in ("goodword", "badword"))
+    assert machine.linear[good] > 0 > machine.linear[bad]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import dimensions as dims
-from ..functions.scalars import local_hour
+from ..functions.scalars import epoch_micros, local_hour
 from .features import cents
 
 
@@ -64,7 +64,6 @@ def fraud_by_category_last_hour(txn: DataFrame) -> DataFrame:
 
 def processing_stats(txn: DataFrame) -> DataFrame:                                      # A11
     """Totals, fraud share and event-time throughput (zero-guarded as max(x, 1))."""
-    from ..functions.scalars import epoch_micros
     # whole elapsed seconds, from microseconds (not second boundaries crossed)
     t = F.floor((F.max(epoch_micros("ts")) - F.min(epoch_micros("ts"))) / 1_000_000).cast("bigint")
     return txn.agg(
@@ -141,11 +140,12 @@ def hourly_volume_vs_expected(spark: SparkSession, txn: DataFrame) -> DataFrame:
 
 def burst_windows(spark: SparkSession, txn: DataFrame, every: str = "10 minutes",
                   min_ratio: float = 3.0) -> DataFrame:                                  # A17
-    """10-minute windows whose volume is ``min_ratio`` × the curve's expectation.
+    """Windows (10 minutes) whose volume is ``min_ratio`` × the curve's expectation.
 
-    Expected per window = daily volume ÷ 13.74 × multiplier[hour] ÷ 6, where
-    daily volume is the observed mean per distinct day.
+    Expected per window = daily volume ÷ 13.74 × multiplier[hour] ÷ windows an
+    hour, where daily volume is the observed mean per distinct day.
     """
+    per_hour = 60.0 / int(every.split()[0]) if every.split()[1].startswith("minute") else 1.0
     counts = (txn.groupBy(F.window("ts", every).alias("w")).agg(F.count(F.lit(1)).alias("txns"))
               .select(F.col("w.start").alias("window_start"), "txns"))
     # scalar subquery (one aggregated value), evaluated by Spark, not the driver
@@ -153,12 +153,31 @@ def burst_windows(spark: SparkSession, txn: DataFrame, every: str = "10 minutes"
     curve = F.broadcast(dims.hourly_rate_df(spark))
     total_mult = sum(dims.HOURLY_MULTIPLIERS)
     return (counts.join(curve, F.hour("window_start") == curve.hour)
-            .withColumn("expected", daily / F.lit(total_mult) * F.col("multiplier") / F.lit(6.0))
+            .withColumn("expected", daily / F.lit(total_mult) * F.col("multiplier") / F.lit(per_hour))
             .withColumn("ratio", F.col("txns") / F.col("expected"))
             .filter(F.col("ratio") >= min_ratio)
             .select("window_start", "hour", "txns", "expected", "ratio"))
 
 
+def burst_episodes(spark: SparkSession, txn: DataFrame, every_minutes: int = 10, min_ratio: float = 3.0) -> DataFrame:  # A17
+    """Runs of adjacent hot windows: start, end, duration, volume and the highest ratio.
+
+    A run goes on across hour and day borders and ends at the first window
+    that is not hot.  The windows with a total order see one aggregated row
+    per hot ``every_minutes`` of time, never transactions.
+    """
+    hot = burst_windows(spark, txn, f"{every_minutes} minutes", min_ratio).withColumn("start_us", epoch_micros("window_start"))
+    step = F.lit(every_minutes * 60_000_000)
+    order = Window.orderBy("start_us")          # at most 1,440 / every_minutes rows a day
+    starts = F.coalesce((F.col("start_us") - F.lag("start_us").over(order) != step).cast("int"), F.lit(1))
+    runs = hot.withColumn("begins", starts).withColumn("episode", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return (runs.groupBy("episode")
+            .agg(F.min("start_us").alias("start_us"), (F.max("start_us") + step).alias("end_us"),
+                 (F.count(F.lit(1)) * every_minutes).alias("duration_minutes"), F.sum("txns").alias("txns"),
+                 F.sum("expected").alias("expected"), F.max("ratio").alias("peak_ratio"))
+            .drop("episode"))
+
+
 def card_habits(txn: DataFrame) -> DataFrame:                                           # A19
     """Share of each card's transactions at home, in preferred categories, online."""
     from .rules import preferred_expr

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from .. import dimensions as dims
 from ..operators import dashboards as dash
-from ..operators import enrich, rules
+from ..operators import enrich, rules, sketches
 from ..operators.features import card_features
+from ..session import shared_path
 from ..sources.tables import read_table, transactions
 from .oracle_sql import FEATURE_COLS, PREFERRED_VALUES, RULE_SQL, TXN_COLS, with_feat, with_txn
 from ..functions.geo import haversine_sql
@@ -432,6 +433,20 @@ def q_amount_quantiles(spark, sf):
     return dash.amount_quantiles(_txn(spark, sf))
 
 
+@register("amount_quantile_ranks", "A8 (merged)", with_txn("""
+SELECT merchant_category, CAST(year(ts) * 100 + month(ts) AS INTEGER) AS month, COUNT(*) AS txns,
+       true AS p50_in_bound, true AS p90_in_bound, true AS p99_in_bound FROM txn GROUP BY 1, 2"""))
+def q_amount_quantile_ranks(spark, sf):
+    """Sketches of days, written as a table, merged by month; ranks of the estimates by exact count."""
+    month = lambda c: (F.year(c) * 100 + F.month(c)).cast("int").alias("month")
+    txn = _txn(spark, sf)
+    path = shared_path(spark, "tables", "amount-sketches")
+    sketches.write_amount_sketches(sketches.amount_sketches(txn, "merchant_category"), path)
+    merged = sketches.merged_quantiles(spark.read.parquet(path), "merchant_category", month("day"))
+    errors = sketches.rank_errors(merged, txn.select("merchant_category", month("ts"), "amount"), "merchant_category", "month")
+    return errors.select("merchant_category", "month", "txns", *[(F.col(f"e{p}") <= 0.02).alias(f"p{p}_in_bound") for p in (50, 90, 99)])
+
+
 @register("geo_heatmap", "A9", with_txn("""
 SELECT floor(lat / 1e0) * 1e0 AS cell_lat, floor(lon / 1e0) * 1e0 AS cell_lon, COUNT(*) AS txns,
        CAST(SUM(CAST(is_fraud AS INTEGER)) AS BIGINT) AS fraud_txns,
@@ -503,6 +518,21 @@ def q_burst_hours(spark, sf):
     return dash.burst_windows(spark, _txn(spark, sf), min_ratio=3.0)
 
 
+@register("burst_episodes", "A17", with_txn(f"""
+SELECT MIN(start_us) AS start_us, MAX(start_us) + 600000000 AS end_us, COUNT(*) * 10 AS duration_minutes,
+       CAST(SUM(txns) AS BIGINT) AS txns, SUM(expected) AS expected, MAX(ratio) AS peak_ratio
+FROM (SELECT *, start_us - 600000000 * ROW_NUMBER() OVER (ORDER BY start_us) AS island FROM (
+  SELECT epoch_us(window_start) AS start_us, txns, expected, txns / expected AS ratio FROM (
+    SELECT w.window_start, w.txns,
+           (SELECT COUNT(*) / COUNT(DISTINCT CAST(ts AS DATE)) FROM txn) / 13.74e0 * c.multiplier / 6e0 AS expected
+    FROM (SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start, COUNT(*) AS txns FROM txn GROUP BY 1) w
+    JOIN {_HOURLY_VALUES} ON hour(w.window_start) = c.hour) x
+  WHERE txns / expected >= 3) h) i
+GROUP BY island"""))
+def q_burst_episodes(spark, sf):
+    return dash.burst_episodes(spark, _txn(spark, sf), min_ratio=3.0)
+
+
 @register("card_habits", "A19", with_txn(f"""
 SELECT card_id, COUNT(*) AS txns, AVG(CAST(geo = home AS DOUBLE)) AS home_share,
        AVG(CAST(EXISTS (SELECT 1 FROM {PREFERRED_VALUES} WHERE p.segment = t.segment

@@ -199,6 +199,17 @@ def q_stream_sliding(spark, sf):
     return jobs.stream_sliding_velocity(spark, sf, min_txns=2)
 
 
+@register("stream_distinct_merchants", "A12 T4", with_model(f"""
+SELECT card_id, window_start_us, COUNT(*) AS txns, COUNT(DISTINCT merchant_name) AS distinct_merchants
+FROM (SELECT card_id, merchant_name, event_us - event_us % 600000000 - 600000000 * g AS window_start_us
+      FROM model, range(0, 6) r(g)) x
+WHERE window_start_us + 3600000000 <= {_END}
+GROUP BY card_id, window_start_us HAVING COUNT(DISTINCT merchant_name) >= 2"""))
+def q_stream_distinct_merchants(spark, sf):
+    """Sketches of so few merchants are exact."""
+    return jobs.stream_distinct_merchants(spark, sf)
+
+
 @register("stream_card_state", "T5", with_feat("""
 SELECT printf('txn_%012x', transaction_id) AS transaction_id, printf('card_%05d', card_id) AS card_id,
        minutes_since_last_txn, distance_from_last_txn_km, is_new_merchant,

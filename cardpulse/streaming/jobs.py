@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_km
+from ..operators.sketches import pane_distinct
 from ..session import ship_package, shared_path
 from ..sources import decode as dec
 from ..sources import replay
@@ -122,6 +123,18 @@ def stream_sliding_velocity(spark: SparkSession, sf_dir: str, min_txns: int = 2,
     return spark.read.parquet(out)
 
 
+def stream_distinct_merchants(spark: SparkSession, sf_dir: str, min_merchants: int = 2) -> DataFrame:  # A12
+    """Cards with ``min_merchants`` or more different merchants in an hour (every 10 minutes), from minute sketches."""
+    src = replay.replay_dir_for(spark, sf_dir)
+    out = _out(spark, "distinct")
+    found = (pane_distinct(decoded_stream(spark, src), "card_id", "merchant_name")
+             .filter(F.col("distinct_values") >= min_merchants)
+             .select("card_id", F.unix_micros(F.col("window.start")).alias("window_start_us"), "txns",
+                     F.col("distinct_values").alias("distinct_merchants")))
+    run(found, out)
+    return spark.read.parquet(out)
+
+
 def stream_card_state(spark: SparkSession, sf_dir: str, minute_state: bool = False) -> DataFrame:  # T5
     """Per-card features on the stream.  ``minute_state`` selects the
     ``transformWithState`` processor whose state is indexed by minute

@@ -13,9 +13,11 @@ Base kinds (leftmost, non-overlapping, failing matches dropped):
 * ``card``: digits with single blanks or hyphens, 14 to 19 of them, Luhn;
 * ``phone``: ``+`` and 10 to 15 digits with blanks, brackets, dots, hyphens.
 
-Added kinds: ``url`` (around ``://``), ``iban`` (mod-97 after a cue),
-``account`` (an identifier after a cue such as "account" or "passport") and
-``secret`` (a value after "token", "password", "api key").
+Added kinds: ``url`` (around ``://`` or from ``www.``), ``iban`` (after a cue, the
+length of its country, mod-97), ``account`` (an identifier after a cue such as
+"account" or "passport") and ``secret`` (a value after "token", "password", "api
+key", or a key of a known provider by its prefix).  Cues match in any case.  A
+value holds a digit; after a secret's cue and ``:`` or ``=`` twelve letters do.
 """
 
 from __future__ import annotations
@@ -37,10 +39,29 @@ KINDS = BASE_KINDS + ADDED_KINDS
 #: Identifier cues and the kind that their value gets (fixed values).
 CUES = {
     "account": "account", "acct": "account", "konto": "account", "cuenta": "account", "compte": "account",
-    "passport": "account", "ssn": "account", "tax id": "account", "iban": "iban",
+    "kontonummer": "account", "kundennummer": "account", "customer id": "account", "user id": "account", "member id": "account",
+    "passport": "account", "ssn": "account", "social security": "account", "tax id": "account", "routing": "account", "iban": "iban",
+    "access key": "secret", "access_key": "secret", "private key": "secret", "private_key": "secret", "bearer": "secret", "pwd": "secret",
+    "passwort": "secret", "kennwort": "secret", "contraseña": "secret", "mot de passe": "secret",
     "token": "secret", "secret": "secret", "password": "secret", "passwd": "secret", "api_key": "secret", "api key": "secret", "apikey": "secret",
 }
 
+#: Key prefixes of providers and the shape of the whole key (fixed values).
+KEYS = {
+    "AKIA": r"AKIA[0-9A-Z]{16}", "ASIA": r"ASIA[0-9A-Z]{16}", "AIza": r"AIza[0-9A-Za-z_-]{35}",
+    "ghp_": r"ghp_[0-9A-Za-z]{36,}", "gho_": r"gho_[0-9A-Za-z]{36,}", "ghs_": r"ghs_[0-9A-Za-z]{36,}", "github_pat_": r"github_pat_[0-9A-Za-z_]{22,}",
+    "glpat-": r"glpat-[0-9A-Za-z_-]{20,}", "sk_live_": r"sk_live_[0-9A-Za-z]{16,}", "rk_live_": r"rk_live_[0-9A-Za-z]{16,}",
+    "xoxb-": r"xoxb-[0-9A-Za-z-]{10,}", "xoxp-": r"xoxp-[0-9A-Za-z-]{10,}", "xoxa-": r"xoxa-[0-9A-Za-z-]{10,}",
+}
+#: Length of an account number by country (fixed values).
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "CH": 21, "CR": 22, "CY": 28, "CZ": 24,
+    "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27,
+    "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "XK": 20,
+}
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -48,12 +69,16 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])*")
 _DIAL = re.compile(r"\+[0-9][ ().0-9-]+")
 _LINK = re.compile(r"[A-Za-z0-9\[][^\s<>\"'`{}|\\^]*")
-_GIVEN = re.compile(r"(?:[ \t]*(?:number|no|nr|is)\b\.?)?[ \t]*[:=#]?[ \t]*[\"']?")
+_GIVEN = re.compile(r"(?:[ \t]*(?:number|no|nr|is)\b\.?)?[ \t]*[:=#]?[ \t]*[\"']?", re.IGNORECASE)
 _VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]{5,}")
-_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_WORDY = re.compile(r"[A-Za-z0-9_!#$%&*+.?@^~-]{12,}")
+_IBAN = {n: re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){%d}(?![A-Za-z0-9])" % (n - 4)) for n in set(IBAN_LENGTH.values())}
+_KEY = {prefix.lower(): re.compile(shape + r"(?![0-9A-Za-z])") for prefix, shape in KEYS.items()}
+_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def automaton() -> ahocorasick.Automaton:
+    """Anchors of a lower-cased text."""
     a = ahocorasick.Automaton()
     for d in "0123456789":
         a.add_word(d, ("digit", 1))
@@ -61,8 +86,10 @@ def automaton() -> ahocorasick.Automaton:
     a.add_word("+", ("plus", 1))
     a.add_word("://", ("scheme", 3))
     for cue, kind in CUES.items():
-        for form in {cue, cue.upper(), cue.capitalize()}:
-            a.add_word(form, (kind, len(cue)))
+        a.add_word(cue, (kind, len(cue)))
+    a.add_word("www.", ("www", 4))
+    for prefix in _KEY:
+        a.add_word(prefix, ("key", len(prefix)))
     a.make_automaton()
     return a
 
@@ -75,6 +102,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def folded(text: str) -> str:
+    """The text in lower case, code point by code point, so that offsets stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate(_ASCII_LOWER)
+
+
 def iban_valid(text: str) -> bool:
     s = text.replace(" ", "")
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
@@ -87,7 +120,7 @@ def find(text: str | None, anchors: ahocorasick.Automaton) -> list[tuple[int, in
         return spans
     used = dict.fromkeys((*KINDS, "value"), 0)
     add = lambda kind, start, end: spans.append((start, KINDS.index(kind), end))
-    for last, (anchor, width) in anchors.iter(text):
+    for last, (anchor, width) in anchors.iter(folded(text)):
         at = last - width + 1
         if anchor == "digit":
             if at >= used["card"]:
@@ -135,17 +168,35 @@ def find(text: str | None, anchors: ahocorasick.Automaton) -> list[tuple[int, in
                 if end > at + 3:
                     add("url", start, end)
                     used["url"] = end
+        elif anchor == "www":
+            m = _LINK.match(text, last + 1)
+            if m and at >= used["url"] and not (at and text[at - 1] in _LOCAL):
+                end = last + 1 + len(m.group().rstrip(".,;:!?)]"))
+                if "." in text[last + 1:end]:
+                    add("url", at, end)
+                    used["url"] = end
+        elif anchor == "key":
+            m = _KEY[text[at:last + 1].lower()].match(text, at)
+            if m and at >= used["value"] and not (at and text[at - 1].isalnum()):
+                add("secret", at, m.end())
+                used["value"] = m.end()
         elif at >= used["value"] and not (at and text[at - 1].isalnum()):
             start = _GIVEN.match(text, last + 1).end()
             if start == last + 1:
                 continue  # the cue is part of a longer word
-            m = _IBAN.match(text, start) if anchor == "iban" else None
+            length = IBAN_LENGTH.get(text[start:start + 2]) if anchor == "iban" else None
+            m = _IBAN[length].match(text, start) if length else None
             if m and iban_valid(m.group()):
                 add("iban", start, m.end())
                 used["value"] = m.end()
                 continue
             m = _VALUE.match(text, start)
-            if m and any(c in "0123456789" for c in m.group()):
+            if anchor == "secret" and text[last + 1:start].strip(" \t\"'").endswith((":", "=")):
+                m = _WORDY.match(text, start) or m
+                sure = m and (len(m.group()) >= 12)
+            else:
+                sure = False
+            if m and (sure or any(c in "0123456789" for c in m.group())):
                 add("account" if anchor == "iban" else anchor, start, m.end())
                 used["value"] = m.end()
     spans.sort()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,33 @@ def haversine_km(lat1, lon1, lat2, lon2, digits: int | None = 2) -> Column:
     return F.round(d, digits) if digits is not None else d
 
 
+def spherical_hull(points: list, c_lat: float, c_lon: float) -> list:
+    """The (p_lat, p_lon) dicts that are no inner points of the spherical hull of ``points`` around a centre.
+
+    The gnomonic projection maps great circles to lines, so a plane hull will
+    do; points on an edge stay.  Points a quarter of a great circle or
+    more from the centre have no projection: then all points are returned.
+    """
+    lat, lon = np.radians([p["p_lat"] for p in points]), np.radians([p["p_lon"] for p in points])
+    la, lo = np.radians(c_lat), np.radians(c_lon)
+    front = np.sin(la) * np.sin(lat) + np.cos(la) * np.cos(lat) * np.cos(lon - lo)
+    if not (front > 0.1).all():          # also where a coordinate is NaN
+        return points
+    x = np.cos(lat) * np.sin(lon - lo) / front
+    y = (np.cos(la) * np.sin(lat) - np.sin(la) * np.cos(lat) * np.cos(lon - lo)) / front
+    order = np.lexsort((y, x))
+    kept: set[int] = set()
+    for run in (order, order[::-1]):
+        chain: list[int] = []
+        for i in run.tolist():
+            while len(chain) > 1 and ((x[chain[-1]] - x[chain[-2]]) * (y[i] - y[chain[-2]])
+                                      - (y[chain[-1]] - y[chain[-2]]) * (x[i] - x[chain[-2]])) < 0:
+                chain.pop()
+            chain.append(i)
+        kept.update(chain)
+    return [points[i] for i in sorted(kept)]
+
+
 # SQL form, registered for SQL users as a temporary SQL function.
 HAVERSINE_SQL_BODY = (
     "round(2 * 6371 * asin(sqrt(CASE WHEN h > 1 THEN CAST(1 AS DOUBLE) ELSE h END)), 2)"

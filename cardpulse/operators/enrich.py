@@ -10,12 +10,16 @@ otherwise shuffles; AQE splits skewed partitions of sort-merge joins.
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import dimensions as dims
-from ..functions.geo import haversine_km
+from ..functions.geo import haversine_km, spherical_hull
 from ..functions.scalars import epoch_micros
+from ..session import ship_package
 from ..sources.tables import read_table
 from .timeline import MINUTE_US
 
@@ -118,39 +122,65 @@ def invalid_channels(spark: SparkSession, txn: DataFrame) -> DataFrame:
             .select("transaction_id", "card_id", "device_type", "channel"))
 
 
-def impossible_travel_any(txn: DataFrame, km: float = 500.0, minutes: int = 30,
-                          cell_deg: float = 1.0) -> DataFrame:                          # J9
-    """Transactions with ANY earlier-or-simultaneous transaction of the same
-    card more than ``km`` away within ``minutes`` (not only the neighbour),
-    with the largest such distance.
+#: Time steps of the extreme-point tables; each divides the one before.
+HULL_STEPS_US = (5 * MINUTE_US, MINUTE_US // 2, 2_000_000)
+#: A quarter of a great circle, less a margin: discs up to here are convex.
+CONVEX_KM = 10_000.0
+SMALL_GROUP = 8
 
-    The interval self-join is rewritten as equi-joins on ``(card, bucket)``
-    with bucket = the interval width: candidates lie in the row's own bucket
-    (used at or before t) or the previous one (last used within the
-    interval).  Candidates are reduced twice before any distance is taken:
 
-    1. to distinct places per (card, bucket) with first/last use time;
-    2. to grid cells (``cell_deg``) with the radius of their places around
-       the cell centre.  A cell can hold a far place only if
-       ``d(t, centre) + radius > km`` (triangle inequality), so exact
-       per-place distances are computed only inside such cells.
+def _extreme_points(points: DataFrame, keys: list[str]) -> DataFrame:
+    """``points`` (keys, ``pts``: array of (p_lat, p_lon)) without the points inside a hull.
 
-    A card that stays within one region therefore produces no per-place
-    pairs at all; pairs appear only for cells that may be far away.
+    Groups of at most ``SMALL_GROUP`` points pass as they are and never reach Python.
     """
+    ship_package(points.sparkSession)
+
+    @F.pandas_udf("array<struct<p_lat: double, p_lon: double>>")
+    def hulls(pts: pd.Series, c_lat: pd.Series, c_lon: pd.Series) -> pd.Series:
+        return pd.Series([spherical_hull(list(p), la, lo) for p, la, lo in zip(pts, c_lat, c_lon)])
+
+    few, many = points.filter(F.size("pts") <= SMALL_GROUP), points.filter(F.size("pts") > SMALL_GROUP)
+    return few.unionByName(many.select(*keys, hulls("pts", "c_lat", "c_lon").alias("pts")))
+
+
+def _nodes_inside(t: str, w: int):
+    """(step index, node) of the largest steps that lie whole in ``[t - w, t]``, and do not overlap."""
+    t = F.col(t)
+    first = [F.ceil((t - F.lit(w)) / F.lit(u)).cast("bigint") for u in HULL_STEPS_US]
+    end = [F.floor((t + 1) / F.lit(u)).cast("bigint") for u in HULL_STEPS_US]
+
+    def span(step, lo, hi):
+        return F.when(lo < hi, F.transform(F.sequence(lo, hi - 1), lambda k: F.struct(F.lit(step).alias("step"), k.alias("node")))).otherwise(F.array())
+
+    parts = [span(0, first[0], end[0])]
+    for i in range(1, len(HULL_STEPS_US)):
+        ratio = HULL_STEPS_US[i - 1] // HULL_STEPS_US[i]
+        parts += [span(i, first[i], first[i - 1] * ratio), span(i, end[i - 1] * ratio, end[i])]
+    return F.concat(*parts)
+
+
+def far_candidates(txn: DataFrame, km: float = 500.0, minutes: int = 30, cell_deg: float = 1.0) -> DataFrame:
+    """Pairs (payment, place) that J9 takes an exact distance of; one of them is the farthest place of each far cell."""
     w = minutes * MINUTE_US
-    t = txn.select("transaction_id", "card_id", "ts", "lat", "lon",
+    if w < 2 * HULL_STEPS_US[0]:
+        raise ValueError("minutes must be at least twice the longest step")
+    leaf = HULL_STEPS_US[-1]
+    t = txn.select("transaction_id", "card_id", "ts", "amount", "lat", "lon",
                    epoch_micros("ts").alias("t_us")).withColumn("b", F.expr(f"t_us div {w}"))
     cell = lambda c: (F.floor(F.col(c) / cell_deg) + 0.5) * cell_deg  # noqa: E731  (cell centre)
-    places = (t.groupBy("card_id", F.col("b").alias("pb"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    at = ["card_id", "c_lat", "c_lon"]
+    places = (t.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+              .groupBy("card_id", F.col("b").alias("pb"), F.floor(F.col("t_us") / leaf).cast("bigint").alias("node"),
+                        F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
               .agg(F.min("t_us").alias("first_us"), F.max("t_us").alias("last_us"))
               .withColumn("c_lat", cell("p_lat")).withColumn("c_lon", cell("p_lon")))
     cells = (places.groupBy("card_id", "pb", "c_lat", "c_lon")
              .agg(F.min("first_us").alias("c_first"), F.max("last_us").alias("c_last"),
                   F.max(haversine_km("c_lat", "c_lon", "p_lat", "p_lon", digits=None)).alias("radius")))
 
-    # each cell / place is offered to its own bucket (used at or before t) and
-    # to the next one (last use within w before t)
+    # each cell is offered to its own bucket (used at or before t) and to the
+    # next one (last use within w before t)
     def offer(df):
         return df.withColumn("shift", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("b", F.col("pb") + F.col("shift"))
 
@@ -158,19 +188,56 @@ def impossible_travel_any(txn: DataFrame, km: float = 500.0, minutes: int = 30,
         return (F.when(F.col("shift") == 0, F.col(first) <= F.col("t_us"))
                 .otherwise(F.col(last) >= F.col("t_us") - F.lit(w)))
 
-    far_cells = (t.join(offer(cells), ["card_id", "b"])
-                 .filter(in_window("c_first", "c_last"))
-                 .filter(haversine_km("c_lat", "c_lon", "lat", "lon", digits=None) + F.col("radius") > km)
-                 .select("transaction_id", "card_id", "ts", "lat", "lon", "t_us", "b", "shift", "c_lat", "c_lon"))
+    reach = haversine_km("c_lat", "c_lon", "lat", "lon", digits=None) + F.col("radius")
+    far = (t.join(offer(cells), ["card_id", "b"]).filter(in_window("c_first", "c_last"))
+           .withColumn("reach", reach).filter(F.col("reach") > km)
+           .select("transaction_id", "ts", "amount", "lat", "lon", "t_us", "b", "shift", "reach", *at))
+
+    # the two steps that [t - w, t] cuts: every place, by its times; the whole steps: extreme points
+    convex = far.filter(F.col("reach") <= CONVEX_KM).drop("reach", "shift", "b").distinct()
+    ends = F.array_distinct(F.array(*[F.floor((F.col("t_us") - F.lit(back)) / leaf).cast("bigint") for back in (w, 0)]))
+    out = ["transaction_id", "card_id", "ts", "amount", "lat", "lon", "p_lat", "p_lon"]
+    cut = (convex.withColumn("node", F.explode(ends)).join(places.drop("pb"), [*at, "node"])
+           .filter((F.col("first_us") <= F.col("t_us")) & (F.col("last_us") >= F.col("t_us") - F.lit(w))).select(*out))
+    point = F.struct("p_lat", "p_lon")
+    base = _extreme_points(places.groupBy(*at, "node").agg(F.collect_set(point).alias("pts")), [*at, "node"])
+    tables = [base.withColumn("step", F.lit(len(HULL_STEPS_US) - 1))]
+    for i in reversed(range(len(HULL_STEPS_US) - 1)):      # a longer step from the extreme points of the shorter ones
+        ratio = HULL_STEPS_US[i] // HULL_STEPS_US[i + 1]
+        base = _extreme_points(base.groupBy(*at, F.floor(F.col("node") / ratio).cast("bigint").alias("node"))
+                               .agg(F.array_distinct(F.flatten(F.collect_list("pts"))).alias("pts")), [*at, "node"])
+        tables.append(base.withColumn("step", F.lit(i)))
+    hull = reduce(DataFrame.unionByName, tables)
+    whole = (convex.withColumn("n", F.explode(_nodes_inside("t_us", w))).select("*", "n.step", "n.node").drop("n")
+             .join(hull, [*at, "step", "node"]).withColumn("p", F.explode("pts")).select("*", "p.p_lat", "p.p_lon").select(*out))
+
+    # beyond a quarter of a great circle the farthest place may lie inside a hull: every place
+    beyond = (far.filter(F.col("reach") > CONVEX_KM).join(offer(places), ["card_id", "b", "shift", "c_lat", "c_lon"])
+              .filter(in_window("first_us", "last_us")).select(*out))
+    return cut.unionByName(whole).unionByName(beyond)
+
+
+def impossible_travel_any(txn: DataFrame, km: float = 500.0, minutes: int = 30,
+                          cell_deg: float = 1.0) -> DataFrame:                          # J9
+    """Transactions with ANY earlier-or-simultaneous transaction of the same
+    card more than ``km`` away within ``minutes`` (not only the neighbour),
+    with the largest such distance and the transaction's amount.
+
+    The interval self-join is rewritten as equi-joins.  Payments meet the grid
+    cells (``cell_deg``) used in their own and the previous ``minutes`` bucket;
+    a cell can hold a far place only if ``d(t, centre) + radius > km``
+    (triangle inequality).  Inside such a cell a payment meets extreme points
+    only: for each of a few time steps (five minutes, 30 s, 2 s) the hull of
+    the cell's places.  Discs up to a quarter of a great circle are convex, so
+    the farthest place of a step is a vertex.  The interval is a few dozen whole
+    steps and two cut ones of 2 s, whose places are all compared.  Thus a card
+    that jitters in two cities costs each payment a few hundred pairs, not one
+    for every place.  Cells that reach beyond 10,000 km are compared place by place.
+    """
     d = haversine_km("p_lat", "p_lon", "lat", "lon", digits=None)
-    cand = (far_cells.join(offer(places).select("card_id", "b", "shift", "c_lat", "c_lon", "p_lat", "p_lon",
-                                                "first_us", "last_us"),
-                           ["card_id", "b", "shift", "c_lat", "c_lon"])
-            .filter(in_window("first_us", "last_us"))
-            .withColumn("d", d).filter(F.col("d") > km))
-    return (cand.groupBy("card_id", "b", "transaction_id", "ts")
-            .agg(F.round(F.max("d"), 2).alias("max_km_within_window"))
-            .select("transaction_id", "card_id", "ts", "max_km_within_window"))
+    return (far_candidates(txn, km, minutes, cell_deg).withColumn("d", d).filter(F.col("d") > km)
+            .groupBy("card_id", "transaction_id", "ts")
+            .agg(F.round(F.max("d"), 2).alias("max_km_within_window"), F.max("amount").alias("amount")))
 
 
 def categories_not_preferred(spark: SparkSession, txn: DataFrame) -> DataFrame:        # U2

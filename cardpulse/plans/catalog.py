@@ -388,7 +388,7 @@ FROM txn a JOIN txn b ON a.card_id = b.card_id
 WHERE {haversine_sql('b.lat', 'b.lon', 'a.lat', 'a.lon', None)} > 500
 GROUP BY a.transaction_id, a.card_id, a.ts"""))
 def q_impossible_travel_any(spark, sf):
-    return enrich.impossible_travel_any(_txn(spark, sf))
+    return enrich.impossible_travel_any(_txn(spark, sf)).drop("amount")
 
 
 # ---------------------------------------------------------------------------
@@ -603,11 +603,10 @@ UNION ALL SELECT NULL, card_id, NULL, NULL, 'spend_trend' FROM trend WHERE weekl
 def q_alerts_union_all(spark, sf):
     """Row predicates plus the detectors with frames of their own, one long table; a card-level alert has no transaction."""
     t = _txn(spark, sf)
-    # the frame detectors return the transaction's columns, J9 all but the amount
     own = {"velocity": rules.rule_velocity(t, max_count=1),
            "test_then_big": rules.rule_test_then_big(t, small_lo=1.0, small_hi=5.0, big=150.0),
            "card_testing": rules.rule_card_testing(t, min_txns=2),
-           "impossible_travel_any": enrich.impossible_travel_any(t).join(t.select("transaction_id", "amount"), "transaction_id")}
+           "impossible_travel_any": enrich.impossible_travel_any(t)}
     found = alert_rows(rules.all_flags(t, RULES))
     for name, df in own.items():
         found = found.unionByName(df.select(*rules.ALERT_COLUMNS, F.lit(name).alias("rule")))

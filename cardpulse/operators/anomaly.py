@@ -23,11 +23,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .features import card_features
+from .rules import ALERT_COLUMNS
 
 FEATURES = ("f_amount", "f_freq", "f_hour", "f_category")
 CATEGORY_INDEX = {"purchase": 0, "view": 1, "click": 2, "signup": 3, "error": 4}
@@ -45,11 +46,12 @@ def c_factor(n: float) -> float:
     return 2.0 * (math.log(n - 1) + EULER) - 2.0 * (n - 1) / n
 
 
-def feature_frame(txn: DataFrame) -> DataFrame:
+def feature_frame(txn: DataFrame, *keep: str) -> DataFrame:
+    """The forest's features, with the columns ``keep`` passed along."""
     f = card_features(txn, windows=["24hr"], averages=[], baseline=False, previous=False, first_use=[])
     cat = F.create_map(*[x for k, v in CATEGORY_INDEX.items() for x in (F.lit(k), F.lit(float(v)))])
     return f.select(
-        "transaction_id", "card_id", "is_fraud",
+        "transaction_id", "card_id", "is_fraud", *keep,
         F.col("amount").cast("double").alias("f_amount"),
         F.col("transactions_last_24hr").cast("double").alias("f_freq"),
         (F.hour("ts") + F.minute("ts") / 60.0).alias("f_hour"),
@@ -113,7 +115,10 @@ def train(txn: DataFrame, n_trees: int = 100, psi: int = 256, seed: int = 7,
 
 def score(txn: DataFrame, forest_pdf: pd.DataFrame, psi: int = 256, threshold: float = 0.6,
           features: DataFrame | None = None) -> DataFrame:
-    """Anomaly score per transaction with a broadcast (bounded) forest."""
+    """Anomaly score per transaction with a broadcast (bounded) forest; batch or stream.
+
+    Columns of ``features`` beside the forest's own stay in the result.
+    """
     spark = txn.sparkSession
     ship_package(spark)
     trees = []
@@ -126,6 +131,8 @@ def score(txn: DataFrame, forest_pdf: pd.DataFrame, psi: int = 256, threshold: f
     bc = spark.sparkContext.broadcast(trees)
     norm = c_factor(psi)
     max_depth = int(math.ceil(math.log2(psi)))
+    feats = features if features is not None else feature_frame(txn)
+    passed = [(n, t) for n, t in feats.dtypes if n not in FEATURES]
 
     def run(batches):
         forest = bc.value
@@ -144,12 +151,43 @@ def score(txn: DataFrame, forest_pdf: pd.DataFrame, psi: int = 256, threshold: f
                     node = np.where(inner, nxt, node)
                 total += adj[node]
             s = np.power(2.0, -(total / len(forest)) / norm)
-            yield pd.DataFrame({"transaction_id": pdf["transaction_id"], "card_id": pdf["card_id"],
-                                "is_fraud": pdf["is_fraud"], "anomaly_score": s, "is_outlier": s > threshold})
+            yield pdf[[n for n, _ in passed]].assign(anomaly_score=s, is_outlier=s > threshold)
 
-    feats = features if features is not None else feature_frame(txn)
-    return feats.mapInPandas(run, "transaction_id long, card_id long, is_fraud boolean, "
-                                  "anomaly_score double, is_outlier boolean")
+    return feats.mapInPandas(run, ", ".join(f"{n} {t}" for n, t in passed) + ", anomaly_score double, is_outlier boolean")
+
+
+#: A stored forest of more nodes than this is refused: it is sent to every executor.
+MAX_NODES = 2_000_000
+
+
+def store_forest(forest: DataFrame, path: str, version: int, psi: int = 256, threshold: float = 0.6) -> None:
+    """Write a trained node table as ``version`` of the model at ``path``; the same version is replaced, others stay."""
+    (forest.withColumn("psi", F.lit(psi)).withColumn("outlier_over", F.lit(threshold))
+     .coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}"))
+
+
+def forest_versions(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(f"{path}/version=*").groupBy("version").agg(
+        F.count_distinct("tree_id").alias("trees"), F.count(F.lit(1)).alias("nodes"), F.max("psi").alias("psi"), F.max("outlier_over").alias("outlier_over"))
+
+
+def score_stored(features: DataFrame, path: str, version: int | None = None) -> DataFrame:
+    """Scores of ``features`` (batch or stream) by a stored forest, the newest unless ``version`` names one."""
+    spark = features.sparkSession
+    known = forest_versions(spark, path)
+    found = (known.filter(F.col("version") == version) if version is not None else known.orderBy(F.col("version").desc())).first()
+    if found is None:
+        raise ValueError(f"no version {version} of the forest at {path}")
+    if found["nodes"] > MAX_NODES:
+        raise ValueError(f"{found['nodes']} nodes are too many to send to every executor (limit {MAX_NODES})")
+    nodes = spark.read.parquet(f"{path}/version={found['version']}").toPandas()
+    return score(features, nodes, found["psi"], found["outlier_over"], features=features)
+
+
+def forest_alerts(txn: DataFrame, path: str, version: int | None = None) -> DataFrame:  # D6 U1
+    """The rows that a stored forest finds unusual, in the shape of the alert table."""
+    scored = score_stored(feature_frame(txn, "ts", "amount"), path, version)
+    return scored.filter("is_outlier").select(*ALERT_COLUMNS, F.lit("isolation_forest").alias("rule"))
 
 
 def isolation_forest(txn: DataFrame, n_trees: int = 100, psi: int = 256, seed: int = 7,

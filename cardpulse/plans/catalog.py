@@ -631,6 +631,17 @@ def q_isolation_forest_checks(spark, sf):
         .alias("large_amounts_above_median"))
 
 
+@register("forest_alerts", "D6 U1 (stored model)")
+def q_forest_alerts(spark, sf):
+    """Trained once, stored, read back and run over all rows; in the shape of ``alerts_union_all``."""
+    from ..operators import anomaly
+    from ..session import shared_path
+    t = _txn(spark, sf)
+    model = shared_path(spark, "forest-model")
+    anomaly.store_forest(anomaly.train(t), model, version=1)
+    return anomaly.forest_alerts(t, model)
+
+
 @register("isolation_forest", "D6")
 def q_isolation_forest(spark, sf):
     from ..operators.anomaly import isolation_forest

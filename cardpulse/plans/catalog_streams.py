@@ -8,6 +8,8 @@ microseconds so both engines compare them without time-zone ambiguity.
 
 from __future__ import annotations
 
+from datetime import date, datetime, timezone
+
 from pyspark.sql import functions as F
 
 from .. import dimensions as dims
@@ -18,7 +20,7 @@ from ..sources import kafka
 from ..sources import decode as dec
 from ..sources.model import JSON_OPTIONS, model_records
 from ..sources.replay import LATE_BEFORE_US, LATE_EVERY
-from ..streaming import jobs, sinks
+from ..streaming import jobs, rollups, sinks
 from .catalog import register
 from .oracle_sql import with_feat, with_txn
 
@@ -263,6 +265,67 @@ def q_stream_progress(spark, sf):
     return jobs.stream_progress(spark, sf)
 
 
+@register("stream_throughput", "T9 (listener)", with_model("""
+SELECT (SELECT COUNT(*) FROM model) + (SELECT COUNT(*) FROM pages) AS input_rows, true AS all_batches, true AS all_rates"""))
+def q_stream_throughput(spark, sf):
+    """Rates differ from run to run: what must hold of them."""
+    t = jobs.stream_throughput(spark, sf)
+    return t.agg(F.sum("input_rows").alias("input_rows"),
+                 (F.max("batch_id") + 1 == F.count(F.lit(1))).alias("all_batches"),
+                 F.bool_and((F.col("input_rows") == 0) | (F.col("processed_rows_per_second") > 0)).alias("all_rates"))
+
+
+@register("stream_dashboard_rate", "A6 (incremental)", with_model("""
+SELECT CAST(make_timestamp(event_us) AS DATE) AS day, COUNT(*) AS txns, CAST(SUM(CAST(is_fraud AS INTEGER)) AS BIGINT) AS fraud_txns,
+       CAST(SUM(CAST(is_fraud AS INTEGER)) AS BIGINT) / COUNT(*) AS fraud_rate FROM model GROUP BY 1"""))
+def q_stream_dashboard_rate(spark, sf):
+    return rollups.fraud_rate_by_day(spark, jobs.stream_rollups(spark, sf))
+
+
+@register("stream_dashboard_last_hour", "A10 (incremental)", with_model("""
+SELECT merchant_category, COUNT(*) AS txns, CAST(SUM(CAST(is_fraud AS INTEGER)) AS BIGINT) AS fraud_txns,
+       CAST(SUM(CASE WHEN is_fraud THEN CAST(round(amount * 100) AS BIGINT) ELSE 0 END) AS BIGINT) / 100e0 AS fraud_amount
+FROM model WHERE event_us // 60000000 > (SELECT MAX(event_us) // 60000000 FROM model) - 60 GROUP BY 1"""))
+def q_stream_dashboard_last_hour(spark, sf):
+    return rollups.categories_last_hour(spark, jobs.stream_rollups(spark, sf))
+
+
+@register("stream_dashboard_heatmap", "A9 (incremental)", with_model("""
+SELECT floor(location_lat) AS cell_lat, floor(location_lon) AS cell_lon, COUNT(*) AS txns,
+       CAST(SUM(CAST(is_fraud AS INTEGER)) AS BIGINT) AS fraud_txns,
+       CAST(SUM(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) / 100e0 AS amount_total FROM model GROUP BY 1, 2"""))
+def q_stream_dashboard_heatmap(spark, sf):
+    return rollups.heatmap(spark, jobs.stream_rollups(spark, sf))
+
+
+@register("stream_dashboard_card_hours", "A4 (incremental)", with_model("""
+SELECT card_id, event_us - event_us % 3600000000 AS window_start_us, COUNT(*) AS txns,
+       CAST(SUM(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) / (100e0 * COUNT(*)) AS avg_amount FROM model GROUP BY 1, 2"""))
+def q_stream_dashboard_card_hours(spark, sf):
+    """All hours, the open ones too; the windowed stream writes closed ones only."""
+    return rollups.card_hours(spark, jobs.stream_rollups(spark, sf))
+
+
+@register("stream_enriched_table", "S8 T6", with_model("""
+SELECT transaction_id, card_id, event_us, amount, CAST(make_timestamp(event_us) AS DATE) AS event_date FROM model"""))
+def q_stream_enriched_table(spark, sf):
+    t = jobs.stream_enriched_table(spark, sf, date(2024, 1, 20))
+    return t.select("transaction_id", "card_id", F.unix_micros("timestamp").alias("event_us"), "amount", "event_date")
+
+
+_REPLAY_FROM = datetime(2024, 1, 10, 6, 30, tzinfo=timezone.utc)
+
+
+@register("replay_from_offset", "S2 (start positions)", with_model(f"""
+SELECT * FROM (SELECT CAST(n % 3 AS INTEGER) AS partition, row_number() OVER (PARTITION BY n % 3 ORDER BY event_us, transaction_id) - 1 AS "offset", transaction_id, event_us
+               FROM (SELECT *, CAST('0x' || substr(transaction_id, 5) AS BIGINT) AS n FROM model) k) o
+WHERE event_us >= {int(_REPLAY_FROM.timestamp()) * 1_000_000}"""))
+def q_replay_from_offset(spark, sf):
+    """Messages of an instant and after, by their (partition, offset)."""
+    t = jobs.replay_from_offset(spark, sf, _REPLAY_FROM)
+    return t.select("partition", "offset", F.col("key").cast("string").alias("transaction_id"), F.unix_micros("timestamp").alias("event_us"))
+
+
 @register("stream_static_enrich", "T10 J2", with_model(
     "SELECT transaction_id, card_id, amount, segment, home FROM model"))
 def q_stream_static_enrich(spark, sf):

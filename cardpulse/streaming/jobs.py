@@ -17,9 +17,12 @@ from ..functions.geo import haversine_km
 from ..operators.sketches import pane_distinct
 from ..session import ship_package, shared_path
 from ..sources import decode as dec
-from ..sources import replay
+from ..sources import log, replay
+from ..sources.model import envelopes
+from . import rollups
 from .detect import card_alerts
-from .sinks import alert_table, three_outputs
+from .progress import ProgressTable
+from .sinks import alert_table, compact_enriched, enriched_table, read_enriched, three_outputs
 from .state import card_state_features, card_state_features_tws
 
 WATERMARK = "30 minutes"
@@ -225,6 +228,56 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("input_rows") / F.lit(86_400.0)).alias("rows_per_second"))
 
 
+def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:                  # T9
+    """Rows and processing rate of every micro-batch, as a listener reports them while the stream runs."""
+    src = replay.replay_dir_for(spark, sf_dir)
+    out = _out(spark, "throughput")
+    table = ProgressTable(spark, out + "-progress", out.rsplit("/", 1)[1])
+    spark.streams.addListener(table)
+    try:
+        run(decoded_stream(spark, src), out, name=table.name)
+        if not table.finished.wait(120):
+            raise RuntimeError("the progress reports of the query did not arrive")
+    finally:
+        spark.streams.removeListener(table)
+    return spark.read.option("basePath", table.path).parquet(f"{table.path}/batch_id=*")
+
+
+_ROLLUPS: dict[tuple[str, str], str] = {}
+
+
+def stream_rollups(spark: SparkSession, sf_dir: str) -> str:                           # A4 A6 A9 A10
+    """Folder of the dashboard tables that the stream keeps, filled once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ROLLUPS:
+        base = _out(spark, "rollups")
+        run(decoded_stream(spark, replay.replay_dir_for(spark, sf_dir)), base + "/_unused",
+            foreach_batch=rollups.write_rollups(base), checkpoint=base + "-ckpt")
+        _ROLLUPS[key] = base
+    return _ROLLUPS[key]
+
+
+def stream_enriched_table(spark: SparkSession, sf_dir: str, compact_before) -> DataFrame:  # S8
+    """The stream written by event date and batch, with the days before ``compact_before`` compacted."""
+    base = _out(spark, "enriched-table")
+    run(decoded_stream(spark, replay.replay_dir_for(spark, sf_dir)), base + "/_unused",
+        foreach_batch=enriched_table(base), checkpoint=base + "-ckpt")
+    compact_enriched(spark, base, compact_before)
+    return read_enriched(spark, base)
+
+
+def replay_from_offset(spark: SparkSession, sf_dir: str, when, partitions: int = 3) -> DataFrame:  # S2
+    """The messages from the instant ``when`` on, replayed by position from a numbered log."""
+    out = _out(spark, "from-offset")
+    number = F.conv(F.substring(F.col("key").cast("string"), 5, 12), 16, 10).cast("bigint")
+    env = envelopes(spark, sf_dir, with_junk=False)
+    total = env.select(F.sum(F.length("value"))).first()[0] or 0
+    log.write_log(env, out + "-log", number % partitions, slice_bytes=max(1 << 20, min(log.SLICE_BYTES, total // 8)))
+    start = log.positions_at(spark, out + "-log", when)
+    run(log.read_from(spark, out + "-log", start), out)
+    return spark.read.schema(log.LOG_SCHEMA).parquet(out)
+
+
 SUBSCRIBERS = {
     "fraud": ("transaction_id", "timestamp", "card_id", "amount", "location_lat", "location_lon"),
     "loan": ("transaction_id", "timestamp", "card_id", "monthly_income", "active_emis", "credit_utilization_pct"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import ENVELOPE_SCHEMA
 from ..session import shared_path
+from .log import SLICE_BYTES
 
 REPLAY_SCHEMA = "key binary, value binary, timestamp timestamp"
 
@@ -29,8 +30,9 @@ def is_late() -> Column:
 
 def write_slices(env: DataFrame, out_dir: str, slices: int = 6, copies: int = 1,
                  files_per_slice: int = 1, late: Column | None = None) -> str:
-    """Write ``env`` as ``slices`` equal event-time ranges, each ``copies``
-    times (copies > 1 models at-least-once redelivery).  Rows for which
+    """Write ``env`` as ``slices`` equal event-time ranges, or as many as hold
+    ``SLICE_BYTES`` of values each if that is more, so that a trigger's input does not grow with the table;
+    each ``copies`` times (copies > 1 models at-least-once redelivery).  Rows for which
     ``late`` holds are held back and delivered as one more slice at the end.
 
     The input is materialised once next to the replay folder (sorted by event
@@ -46,7 +48,9 @@ def write_slices(env: DataFrame, out_dir: str, slices: int = 6, copies: int = 1,
     if late is not None:
         st = everything.filter(~F.coalesce(late, F.lit(False)))
     lo_hi = st.agg(F.unix_micros(F.min("timestamp")).alias("lo"),
-                   F.unix_micros(F.max("timestamp")).alias("hi")).first()
+                   F.unix_micros(F.max("timestamp")).alias("hi"),
+                   F.sum(F.length("value")).alias("bytes")).first()
+    slices = max(slices, -(-(lo_hi["bytes"] or 0) // SLICE_BYTES))
     lo, hi = lo_hi["lo"], lo_hi["hi"] + 1
     width = -(-(hi - lo) // slices)
     for i in range(slices):

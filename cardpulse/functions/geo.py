@@ -47,6 +47,8 @@ def spherical_hull(points: list, c_lat: float, c_lon: float) -> list:
     for run in (order, order[::-1]):
         chain: list[int] = []
         for i in run.tolist():
+            if chain and x[i] == x[chain[-1]] and y[i] == y[chain[-1]]:
+                continue             # the same place again
             while len(chain) > 1 and ((x[chain[-1]] - x[chain[-2]]) * (y[i] - y[chain[-2]])
                                       - (y[chain[-1]] - y[chain[-2]]) * (x[i] - x[chain[-2]])) < 0:
                 chain.pop()

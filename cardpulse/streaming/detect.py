@@ -11,13 +11,15 @@ them in ``(time, id)`` order.  Flags therefore don't depend on how rows were
 cut into micro-batches, nor on the order of rows that are late by less than
 the watermark's delay, and they equal the batch definitions.  A hot card's
 micro-batch is never held whole: its chunks go to their buckets one by one, and
-a timer takes one bucket after the other.
+a timer takes one bucket after the other.  A chunk of few rows waits whole under
+its first bucket, and a card's state is read and written once per timer, since
+every access is a message between two processes.
 
 State of a card
-  ``waiting``   bucket -> its rows that are not scored yet
+  ``waiting``   bucket -> rows of it, or of it and later ones, that are not scored yet
   ``prior``     count, sum and sum of squares of the amounts, in cents
   ``ring``      day -> count and cents, the last 30 days
-  ``devices``, ``merchants``   what the card has used
+  ``names``     the devices and merchants that the card has used
   ``timer``     the one registered instant
 
 A card without rows for 30 days loses its ring when its timer fires; the fixed
@@ -37,6 +39,8 @@ from pyspark.sql import functions as F
 BUCKET_MS = 600_000
 DAY_MS = 86_400_000
 RING_DAYS = 30
+FEW_ROWS = 1_000   # a chunk of so many rows is not split by bucket
+OUT_ROWS = 10_000  # rows of an output frame
 UNKNOWN = "\0"  # how a set remembers a NULL name
 
 #: Registered thresholds; the defaults are the published ones.
@@ -63,15 +67,11 @@ class CardAlertProcessor:
         self.waiting = handle.getMapState("waiting", "bucket long", WAITING)
         self.prior = handle.getValueState("prior", "n long, cents string, squares string")
         self.ring = handle.getValueState("ring", "day array<long>, n array<long>, cents array<long>")
-        self.devices = handle.getMapState("devices", "device string", "seen boolean")
-        self.merchants = handle.getMapState("merchants", "merchant string", "seen boolean")
+        self.names = handle.getValueState("names", "devices array<string>, merchants array<string>")
         self.timer = handle.getValueState("timer", "at long")
 
-    def _wake(self, at: int | None) -> None:
+    def _wake(self, at: int | None, old: int | None = None) -> None:
         """One timer a card, at ``at`` (the latest wish wins; None: no timer)."""
-        old = self.timer.get()[0] if self.timer.exists() else None
-        if old == at:
-            return
         if old is not None:
             self.handle.deleteTimer(old)
         if at is None:
@@ -80,77 +80,103 @@ class CardAlertProcessor:
             self.handle.registerTimer(at)
             self.timer.update((at,))
 
+    def _wait(self, b: int, new: list[list]) -> None:
+        old = self.waiting.getValue((b,))
+        self.waiting.updateValue((b,), tuple(list(o) + n for o, n in zip(old, new)) if old else tuple(new))
+
     def handleInputRows(self, key, rows, timerValues):
         first = None
         for pdf in rows:  # one chunk at a time; its rows go to their buckets
             bucket = pdf["t_us"].to_numpy(np.int64) // (BUCKET_MS * 1000)
-            for b in np.unique(bucket).tolist():
-                own = pdf[bucket == b]
-                new = [_plain(own[c].to_numpy(dtype=object)) for c in INPUT]
-                old = self.waiting.getValue((b,))
-                self.waiting.updateValue((b,), tuple((list(o) if old else []) + n for o, n in zip(old or [None] * len(new), new)))
-                first = b if first is None else min(first, b)
+            new = [_plain(pdf[c].to_numpy(dtype=object)) for c in INPUT]
+            lowest = int(bucket.min())
+            if len(bucket) <= FEW_ROWS:
+                self._wait(lowest, new)
+            else:
+                for b in np.unique(bucket).tolist():
+                    own = np.flatnonzero(bucket == b).tolist()
+                    self._wait(b, [[c[i] for i in own] for c in new])
+            first = lowest if first is None else min(first, lowest)
         if first is not None:
-            at = (first + 1) * BUCKET_MS
-            old = self.timer.get()[0] if self.timer.exists() else None
+            at, old = (first + 1) * BUCKET_MS, self.timer.get()
             # an older wish is an older bucket or the ring's end, which comes after any bucket that waits
-            self._wake(at if old is None else min(at, old))
+            if old is None or at < old[0]:
+                self._wake(at, old[0] if old else None)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now = timerValues.getCurrentWatermarkInMs()
-        self.timer.clear()
+        closed = now // BUCKET_MS  # the buckets before it have ended
         open_ = sorted(int(b[0]) for b in self.waiting.keys())
-        due = [b for b in open_ if (b + 1) * BUCKET_MS <= now]
-        past = self.prior.get() if self.prior.exists() else (0, "0", "0")
-        n, cents, squares = int(past[0]), int(past[1]), int(past[2])
-        ring = {int(d): (int(k), int(c)) for d, k, c in zip(*self.ring.get())} if self.ring.exists() else {}
+        due = [b for b in open_ if b < closed]
+        ring = self.ring.get()
+        ring = {int(d): (int(k), int(c)) for d, k, c in zip(*ring)} if ring else {}
         before = dict(ring)
-        for b in due:
-            out, n, cents, squares = self._score(key[0], self.waiting.getValue((b,)), n, cents, squares, ring)
-            self.waiting.removeKey((b,))
-            yield out
+        left, later = [], open_[len(due):]
         if due:
-            self.prior.update((n, str(cents), str(squares)))
+            past, names, out = self.prior.get() or (0, "0", "0"), self.names.get(), []
+            sums = [int(x) for x in past]
+            used = [set(x or ()) for x in names or ((), ())]
+            known = [len(x) for x in used]
+            for b, following in zip(due, [*due[1:], closed]):
+                left += zip(*self.waiting.getValue((b,)))
+                self.waiting.removeKey((b,))
+                end = following * BUCKET_MS * 1000  # no entry behind this one has rows before it
+                ready = sorted((r for r in left if r[1] < end), key=lambda r: (r[1], r[0]))
+                left = [r for r in left if r[1] >= end]
+                for r in ready:
+                    out.append(self._score(key[0], r, sums, used, ring))
+                    if len(out) == OUT_ROWS:
+                        yield self._frame(out)
+                        out = []
+            if out:
+                yield self._frame(out)
+            self.prior.update((sums[0], str(sums[1]), str(sums[2])))
+            if known != [len(x) for x in used]:
+                self.names.update(tuple(sorted(x) for x in used))
+            if left:  # rows of buckets that are still open
+                b = min(int(r[1]) for r in left) // (BUCKET_MS * 1000)
+                self._wait(b, [list(c) for c in zip(*left)])
+                later = sorted({b, *later})
         ring = {d: v for d, v in ring.items() if (d + RING_DAYS) * DAY_MS > now}
         if not ring:
             self.ring.clear()
         elif ring != before:
             days = sorted(ring)
             self.ring.update((days, [ring[d][0] for d in days], [ring[d][1] for d in days]))
-        later = open_[len(due):]
         self._wake((later[0] + 1) * BUCKET_MS if later else (max(ring) + RING_DAYS) * DAY_MS if ring else None)
 
-    def _score(self, card, rows, n, cents, squares, ring):
-        """Flags of one bucket's rows, and the sums after it; ``ring`` is updated in place."""
+    def _score(self, card, row, sums, used, ring):
+        """One row's flags; ``sums`` (count, cents, squares), the names ``used`` and ``ring`` are updated in place."""
         limits = self.thresholds
-        ids, t, amount, device, merchant, spend, top = rows
-        out = []
-        for i in sorted(range(len(t)), key=lambda i: (t[i], ids[i])):
-            c = int(np.floor(abs(amount[i]) * 100 + 0.5)) * (1 if amount[i] >= 0 else -1)
-            new = []
-            for names, name in ((self.devices, device[i]), (self.merchants, merchant[i])):
-                name = UNKNOWN if name is None else name
-                new.append(not names.containsKey((name,)))
-                if new[-1]:
-                    names.updateValue((name,), (True,))
-            average = cents / (100.0 * n) if n else None
-            deviation = sqrt(float(n * squares - cents * cents) / float(n * (n - 1))) / 100.0 if n >= 2 else 0.0
-            z = (amount[i] - average) / deviation if deviation else None
-            day = t[i] // (DAY_MS * 1000)
-            own = ring.get(day, (0, 0))
-            ring[day] = (own[0] + 1, own[1] + c)
-            recent = [v for d, v in ring.items() if day - RING_DAYS < d <= day]
-            out.append((ids[i], card, t[i], amount[i], n, average, z, sum(v[1] for v in recent) / (100.0 * sum(v[0] for v in recent)),
-                        n > 0 and c * n > limits["multiple"] * cents, z is not None and z > limits["z"], new[0] and amount[i] > limits["device_amount"],
-                        new[1] and spend[i] is not None and amount[i] > limits["spend_multiple"] * spend[i],
-                        top[i] is not None and top[i] > 0 and amount[i] >= limits["limit_ratio"] * top[i]))
-            n, cents, squares = n + 1, cents + c, squares + c * c
+        id_, t, amount, device, merchant, spend, top = row
+        n, cents, squares = sums
+        c = int(np.floor(abs(amount) * 100 + 0.5)) * (1 if amount >= 0 else -1)
+        new = []
+        for names, name in zip(used, (device, merchant)):
+            name = UNKNOWN if name is None else name
+            new.append(name not in names)
+            names.add(name)
+        average = cents / (100.0 * n) if n else None
+        deviation = sqrt(float(n * squares - cents * cents) / float(n * (n - 1))) / 100.0 if n >= 2 else 0.0
+        z = (amount - average) / deviation if deviation else None
+        day = t // (DAY_MS * 1000)
+        own = ring.get(day, (0, 0))
+        ring[day] = (own[0] + 1, own[1] + c)
+        recent = [v for d, v in ring.items() if day - RING_DAYS < d <= day]
+        sums[:] = n + 1, cents + c, squares + c * c
+        return (id_, card, t, amount, n, average, z, sum(v[1] for v in recent) / (100.0 * sum(v[0] for v in recent)),
+                n > 0 and c * n > limits["multiple"] * cents, z is not None and z > limits["z"], new[0] and amount > limits["device_amount"],
+                new[1] and spend is not None and amount > limits["spend_multiple"] * spend,
+                top is not None and top > 0 and amount >= limits["limit_ratio"] * top)
+
+    @staticmethod
+    def _frame(out: list[tuple]) -> pd.DataFrame:
         names = [f.split()[0] for f in OUTPUT.split(", ")]
         frame = pd.DataFrame(out, columns=names)
         for name in ("prior_avg_amount", "amount_zscore"):  # None is NULL, not NaN
             frame[name] = pd.array(frame[name], dtype="Float64")
-        return frame, n, cents, squares
+        return frame
 
     def close(self) -> None:
         pass

@@ -1,8 +1,8 @@
 """A message log with (partition, offset) positions, replayed from any of them.
 
-Rows are numbered once: range-partitioned by time, counted per task and log
-partition, and numbered by the counts before them, so that no window holds
-more than one range of rows.  Slices are cut by bytes; their number grows with
+Rows are numbered once: range-partitioned by time into ranges of about
+``TASK_BYTES``, counted per task and log partition, and numbered by the counts
+before them, so that no window holds more than one range of rows.  Slices are cut by bytes; their number grows with
 the input.  A small index (one row per slice and partition) says which slices
 a replay has to read.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 LOG_SCHEMA = "key binary, value binary, timestamp timestamp, partition int, offset bigint"
 SLICE_BYTES = 128 << 20
+TASK_BYTES = 32 << 20  # of messages that one task sorts or deals
 _ORDER = ("timestamp", "key", "value")
 
 
@@ -28,8 +29,10 @@ def write_log(env: DataFrame, path: str, partition: Column, slice_bytes: int = S
     """
     spark = env.sparkSession
     size = F.coalesce(F.length("value"), F.lit(0)) + F.coalesce(F.length("key"), F.lit(0)) + F.lit(16)
+    total = env.select(F.sum(size)).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))        # fixed: messages shrink tenfold in a shuffle, by which partitions would be merged
     (env.select("key", "value", "timestamp", partition.cast("int").alias("partition"))
-     .repartitionByRange(*_ORDER).withColumn("task", F.spark_partition_id()).withColumn("bytes", size.cast("bigint"))
+     .repartitionByRange(tasks, *_ORDER).withColumn("task", F.spark_partition_id()).withColumn("bytes", size.cast("bigint"))
      .write.mode("overwrite").parquet(f"{path}/staged"))
     staged = spark.read.parquet(f"{path}/staged")
 
@@ -41,7 +44,7 @@ def write_log(env: DataFrame, path: str, partition: Column, slice_bytes: int = S
                   .select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("bytes_before")))
     inside = Window.partitionBy("task").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
     own = Window.partitionBy("task", "partition").orderBy(*_ORDER)
-    numbered = (staged.withColumn("upto", F.sum("bytes").over(inside)).withColumn("nth", F.row_number().over(own))
+    numbered = (staged.repartition(tasks, "task").withColumn("upto", F.sum("bytes").over(inside)).withColumn("nth", F.row_number().over(own))
                 .join(first_offset, ["task", "partition"]).join(first_byte, "task"))
     slice_no = F.floor((F.col("bytes_before") + F.col("upto") - F.col("bytes")) / F.lit(slice_bytes)).cast("int")
     (numbered.select("key", "value", "timestamp", "partition", (F.col("rows_before") + F.col("nth") - 1).cast("bigint").alias("offset"), slice_no.alias("slice"))

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 from ..schemas import ENVELOPE_SCHEMA
 from ..session import shared_path
-from .log import SLICE_BYTES
+from .log import SLICE_BYTES, TASK_BYTES
+
+#: A trigger's share of values for one core: more cores take more of the stream
+#: at once, so that the fixed cost of a micro-batch is spread over more rows.
+CORE_BYTES = 64 << 20
 
 REPLAY_SCHEMA = "key binary, value binary, timestamp timestamp"
 
@@ -22,6 +26,11 @@ REPLAY_SCHEMA = "key binary, value binary, timestamp timestamp"
 LATE_BEFORE_US, LATE_EVERY = 1_704_844_800_000_000, 50
 
 
+def trigger_bytes(spark: SparkSession) -> int:
+    """Values of one trigger."""
+    return max(SLICE_BYTES, CORE_BYTES * spark.sparkContext.defaultParallelism)
+
+
 def is_late() -> Column:
     number = F.conv(F.substring(F.col("key").cast("string"), 5, 12), 16, 10).cast("bigint")
     is_transaction = F.col("key").cast("string").startswith("txn_")
@@ -29,41 +38,45 @@ def is_late() -> Column:
 
 
 def write_slices(env: DataFrame, out_dir: str, slices: int = 6, copies: int = 1,
-                 files_per_slice: int = 1, late: Column | None = None) -> str:
+                 files_per_slice: int = 1, late: Column | None = None, slice_bytes: int = SLICE_BYTES) -> str:
     """Write ``env`` as ``slices`` equal event-time ranges, or as many as hold
-    ``SLICE_BYTES`` of values each if that is more, so that a trigger's input does not grow with the table;
+    ``slice_bytes`` of values each if that is more, so that a trigger's input does not grow with the table;
     each ``copies`` times (copies > 1 models at-least-once redelivery).  Rows for which
     ``late`` holds are held back and delivered as one more slice at the end.
 
-    The input is materialised once next to the replay folder (sorted by event
-    time inside each file, so Parquet row-group statistics let each slice
-    skip most of it); each slice is then cut from that copy by one small
-    write job, which keeps the slice order in file modification time for the
-    streaming file source.
+    The input is materialised once next to the replay folder as it comes,
+    dealt once into one folder per slice by tasks of ``TASK_BYTES``, and each
+    folder is then written out by one small job, which keeps the slice order
+    in file modification time for the streaming file source.  Every step reads
+    a message once, however many slices there are.
     """
     spark = env.sparkSession
-    staging = out_dir.rstrip("/") + "-staging"
-    env.sortWithinPartitions("timestamp").write.mode("overwrite").parquet(staging)
-    st = everything = spark.read.parquet(staging)
-    if late is not None:
-        st = everything.filter(~F.coalesce(late, F.lit(False)))
-    lo_hi = st.agg(F.unix_micros(F.min("timestamp")).alias("lo"),
-                   F.unix_micros(F.max("timestamp")).alias("hi"),
-                   F.sum(F.length("value")).alias("bytes")).first()
-    slices = max(slices, -(-(lo_hi["bytes"] or 0) // SLICE_BYTES))
+    staging, dealt = out_dir.rstrip("/") + "-staging", out_dir.rstrip("/") + "-dealt"
+    env.write.mode("overwrite").parquet(staging)
+    everything = spark.read.parquet(staging)
+    held_back = F.lit(False) if late is None else F.coalesce(late, F.lit(False))
+    size = F.length("value")
+    lo_hi = everything.agg(F.unix_micros(F.min(F.when(~held_back, F.col("timestamp")))).alias("lo"),
+                           F.unix_micros(F.max(F.when(~held_back, F.col("timestamp")))).alias("hi"),
+                           F.sum(F.when(~held_back, size)).alias("bytes"), F.sum(size).alias("all_bytes")).first()
+    slices = max(slices, -(-(lo_hi["bytes"] or 0) // slice_bytes))
     lo, hi = lo_hi["lo"], lo_hi["hi"] + 1
     width = -(-(hi - lo) // slices)
+    number = F.when(held_back, F.lit(slices)).otherwise(F.floor((F.unix_micros("timestamp") - F.lit(lo)) / F.lit(width)).cast("int"))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-(lo_hi["all_bytes"] or 0) // TASK_BYTES))
+    share = F.pmod(F.xxhash64("key", "value"), F.lit(max(1, 2 * tasks // slices)))      # a slice is dealt by several tasks
+    (everything.filter(F.col("timestamp").isNotNull()).withColumn("slice", number)
+     .repartition(tasks, "slice", share).write.mode("overwrite").partitionBy("slice").parquet(dealt))
+    rows = spark.read.schema(f"{REPLAY_SCHEMA}, slice int").parquet(dealt)
     for i in range(slices):
-        start = F.lit(lo + i * width).cast("bigint")
-        part = st.filter((F.col("timestamp") >= F.timestamp_micros(start))
-                         & (F.col("timestamp") < F.timestamp_micros(start + F.lit(width))))
+        part = rows.filter(F.col("slice") == i).drop("slice")
         # exactly ``files_per_slice`` files per slice (round-robin), so a
         # trigger of that many files reads one whole slice
         part = part.repartition(files_per_slice) if files_per_slice > 1 else part.coalesce(1)
         for c in range(copies):
             part.write.mode("overwrite").parquet(f"{out_dir}/slice={i:05d}-copy={c}")
     if late is not None:
-        everything.filter(late).coalesce(files_per_slice).write.mode("overwrite").parquet(f"{out_dir}/slice={slices:05d}-late")
+        rows.filter(F.col("slice") == slices).drop("slice").coalesce(files_per_slice).write.mode("overwrite").parquet(f"{out_dir}/slice={slices:05d}-late")
     _FILES_PER_SLICE[out_dir] = files_per_slice
     return out_dir
 
@@ -96,7 +109,7 @@ def replay_dir_for(spark: SparkSession, sf_dir: str, slices: int = 6, copies: in
         out = shared_path(spark, "replay", f"s{slices}c{copies}")
         files = max(1, spark.sparkContext.defaultParallelism)
         write_slices(envelopes(spark, sf_dir, with_junk), out, slices, copies, files_per_slice=files,
-                     late=is_late() if late else None)
+                     late=is_late() if late else None, slice_bytes=trigger_bytes(spark))
         _CACHE[key] = out
     return _CACHE[key]
 

@@ -270,11 +270,13 @@ def replay_from_offset(spark: SparkSession, sf_dir: str, when, partitions: int =
     """The messages from the instant ``when`` on, replayed by position from a numbered log."""
     out = _out(spark, "from-offset")
     number = F.conv(F.substring(F.col("key").cast("string"), 5, 12), 16, 10).cast("bigint")
-    env = envelopes(spark, sf_dir, with_junk=False)
+    envelopes(spark, sf_dir, with_junk=False).write.parquet(out + "-messages")           # encoded once, read several times
+    env = spark.read.parquet(out + "-messages")
     total = env.select(F.sum(F.length("value"))).first()[0] or 0
-    log.write_log(env, out + "-log", number % partitions, slice_bytes=max(1 << 20, min(log.SLICE_BYTES, total // 8)))
+    files = max(1, spark.sparkContext.defaultParallelism)
+    log.write_log(env, out + "-log", number % partitions, slice_bytes=max(1 << 20, min(replay.trigger_bytes(spark), total // 8)), files_per_slice=files)
     start = log.positions_at(spark, out + "-log", when)
-    run(log.read_from(spark, out + "-log", start), out)
+    run(log.read_from(spark, out + "-log", start, files_per_trigger=files), out)
     return spark.read.schema(log.LOG_SCHEMA).parquet(out)
 
 

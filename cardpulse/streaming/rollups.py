@@ -39,8 +39,9 @@ def write_rollups(base: str):
         batch = batch.select("timestamp", "card_id", "amount", "is_fraud", "merchant_category", "location_lat", "location_lon").persist()
         try:
             for name, keys in rollup_keys().items():
-                (batch.groupBy(F.to_date("timestamp").alias("day"), *[c.alias(k) for k, c in keys.items()]).agg(*_sums())
-                 .withColumn("batch_id", F.lit(batch_id)).repartition("day")
+                sums = batch.groupBy(F.to_date("timestamp").alias("day"), *[c.alias(k) for k, c in keys.items()]).agg(*_sums()).withColumn("batch_id", F.lit(batch_id))
+                # a batch has few days: a table that grows with the cards is written by card, the small ones as a file a day
+                (sums.repartition("day", *[k for k in keys if k == "card_id"])
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(f"{base}/{name}"))
             (batch.agg(F.max(F.unix_micros("timestamp")).alias("latest_us"))
              .write.mode("overwrite").parquet(f"{base}/latest/batch_id={batch_id}"))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .. import dimensions as dims
 from ..functions.scalars import card_label, city_of
 from ..schemas import TRANSACTION_SCHEMA
-from .tables import monthly_income, read_table, transactions
+from .tables import monthly_income, read_table, row_tasks, transactions
 
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"}
 
@@ -51,6 +51,11 @@ def model_records(spark: SparkSession, sf_dir: str, keep_source: bool = False) -
     names = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("card_id"), F.col("c_name").alias("card_holder"))
     t = t.join(names, "card_id")
+    tasks = row_tasks(spark, sf_dir, "events")
+    if tasks > spark.sparkContext.defaultParallelism:
+        # messages are some twenty times as wide as the rows, and the scan or
+        # the join may have left far larger partitions
+        t = t.repartition(tasks)
     income = monthly_income("acctbal")
     emis = (F.col("k") % 4).cast("int")
     rec = t.select(

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -168,3 +169,22 @@ def test_fitted_patterns_without_exact_sums():
     h = np.zeros(1025, int)
     h[[300, 350, 410]] = 1000
     assert sum(t for _, t in packing.plan(h)) <= 1130
+
+
+def test_memory_of_chunks_is_arrays():
+    m = tokens._Memory()
+    assert m.add(pa.array(["ab", "c"]), np.array([5, 6, 7], "<u4"), np.array([2, 1])).tolist() == [0, 1]
+    assert m.add(pa.array(["", "d"]), np.array([9], "<u4"), np.array([0, 1])).tolist() == [2, 3]
+    assert m.find(pa.array(["d", "x", "ab", ""])).tolist() == [3, -1, 0, 2]
+    ids, size = m.ids(np.array([3, 0, 2, 1, 0]))
+    assert ids.tolist() == [9, 5, 6, 7, 5, 6] and size.tolist() == [1, 2, 0, 1, 2]
+
+
+def test_memory_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 400)
+    e = tokens.Encoder(public_tokenizers.path(tokens.VOCABULARY))
+    texts = [f"w{i} common\nnext{i}. " + "long" * i for i in range(60)] + [None, "", " ", "<|x"]
+    want = e._encode([t or "" for t in texts])
+    assert [x for i in range(0, len(texts), 5) for x in e.ids(texts[i : i + 5])] == want
+    assert 0 < len(e._known) + len(e._old) < 100                                # of some 180
+    assert e.ids(pa.array(texts, pa.large_string())) == want

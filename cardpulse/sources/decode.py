@@ -16,9 +16,14 @@ from .model import JSON_OPTIONS
 
 
 def parsed(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Adds ``data`` (the parsed struct) and ``raw`` (the value as text)."""
+    """Adds ``data`` (the parsed struct) and ``raw`` (the value as text).
+
+    The struct comes out of an ``explode`` of one element: a filter on a plain
+    column would be pushed below it with a ``from_json`` for every mention of
+    ``data``, and each message parsed once per required field.
+    """
     raw = F.col(value_col).cast("string")
-    return df.withColumn("raw", raw).withColumn("data", F.from_json(raw, TRANSACTION_SCHEMA, JSON_OPTIONS))
+    return df.withColumn("raw", raw).withColumn("data", F.explode(F.array(F.from_json(raw, TRANSACTION_SCHEMA, JSON_OPTIONS))))
 
 
 def is_valid() -> Column:

@@ -1,6 +1,7 @@
 """Decoder edge rows (JSON → 28 columns) and the quarantine side output."""
 from pyspark.sql import functions as F
 
+from cardpulse.session import shared_path
 from cardpulse.sources import decode as dec
 
 GOOD = ('{"transaction_id":"txn_1","timestamp":"2024-01-01T05:30:45.123456+05:30","card_id":"card_00001",'
@@ -49,3 +50,12 @@ def test_quarantine(spark):
 def test_split_is_a_partition_of_input(spark):
     good, bad = dec.split(_env(spark))
     assert good.count() + bad.count() == len(ROWS)
+
+
+def test_a_message_is_parsed_once(spark):
+    """Each required field's filter used to bring a parse of its own."""
+    path = shared_path(spark, "test", "decode-once")
+    _env(spark).write.parquet(path)
+    env = spark.read.parquet(path)
+    for df in (dec.decode(env), dec.decode(env).select("card_id", "amount").filter("amount >= 2"), dec.quarantine(env)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardpulse.session import shared_path
 from cardpulse.sources import log, model, replay, tables
-from cardpulse.streaming import detect, rollups, state
+from cardpulse.streaming import detect, jobs, rollups, state
 
 from .conftest import SF001
 
@@ -222,3 +222,17 @@ def test_minute_state_takes_a_group_of_cards_in_one_call():
     minutes = len({r[2] // state.MINUTE_US for r in rows})
     assert h.calls["minute_count"] + h.calls["minute_times"] < 5 * minutes and h.calls["cards"] == 2 * len(batches)
     assert len(p.minute_count.values) == len(p.minute_times.values) < minutes     # older ones are gone
+
+
+def test_different_ids_are_counted_by_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "COUNT_ROWS", 100)
+    rows = [("fraud" if i % 2 else "loan", None if i % 50 == 0 else f"txn_{i % 700}", 1_704_067_200 + 40 * i) for i in range(3000)]
+    found = (spark.createDataFrame(rows, "subscriber string, transaction_id string, t long")
+             .select("subscriber", "transaction_id", F.timestamp_seconds("t").alias("timestamp")))
+    got = jobs.messages_by_day(found)
+    groups = {}
+    for name, number, t in rows:
+        groups.setdefault((name, t // 86_400), []).append(number)
+    assert sorted(map(tuple, got.collect())) == sorted((*k, len(v), len({x for x in v if x is not None})) for k, v in groups.items())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ", 30), REPARTITION_BY_NUM" in plan                                   # 3,000 rows, and not merged again

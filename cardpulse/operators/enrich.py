@@ -10,14 +10,12 @@ otherwise shuffles; AQE splits skewed partitions of sort-merge joins.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import dimensions as dims
-from ..functions.geo import haversine_km, spherical_hull
+from ..functions.geo import EARTH_RADIUS_KM, haversine_km, spherical_hull
 from ..functions.scalars import epoch_micros
 from ..session import ship_package
 from ..sources.tables import read_table
@@ -129,19 +127,20 @@ CONVEX_KM = 10_000.0
 SMALL_GROUP = 8
 
 
-def _extreme_points(points: DataFrame, keys: list[str]) -> DataFrame:
-    """``points`` (keys, ``pts``: array of (p_lat, p_lon)) without the points inside a hull.
+def _extreme_points(points: DataFrame) -> DataFrame:
+    """``points`` (centre, ``pts``: array of (p_lat, p_lon)) without the points inside a hull.
 
-    Groups of at most ``SMALL_GROUP`` points pass as they are and never reach Python.
+    Groups of at most ``SMALL_GROUP`` points pass as they are; Python gets a null for them.
     """
     ship_package(points.sparkSession)
 
+    # nondeterministic only by name: filters on ``pts`` would repeat the call
     @F.pandas_udf("array<struct<p_lat: double, p_lon: double>>")
     def hulls(pts: pd.Series, c_lat: pd.Series, c_lon: pd.Series) -> pd.Series:
-        return pd.Series([spherical_hull(list(p), la, lo) for p, la, lo in zip(pts, c_lat, c_lon)])
+        return pd.Series([None if p is None else spherical_hull(list(p), la, lo) for p, la, lo in zip(pts, c_lat, c_lon)], dtype=object)
 
-    few, many = points.filter(F.size("pts") <= SMALL_GROUP), points.filter(F.size("pts") > SMALL_GROUP)
-    return few.unionByName(many.select(*keys, hulls("pts", "c_lat", "c_lon").alias("pts")))
+    many = F.when(F.size("pts") > SMALL_GROUP, F.col("pts"))
+    return points.withColumn("pts", F.coalesce(hulls.asNondeterministic()(many, "c_lat", "c_lon"), F.col("pts")))
 
 
 def _nodes_inside(t: str, w: int):
@@ -160,6 +159,22 @@ def _nodes_inside(t: str, w: int):
     return F.concat(*parts)
 
 
+def _wide_buckets(t: DataFrame, km: float) -> DataFrame:
+    """(card_id, b) of the payments and places that a far pair can have: a card's buckets next to each other,
+    where the box around both is wide enough.
+
+    Along the box's sides any two of its places are ``radius * (height + width)`` apart at most,
+    which no great circle exceeds.
+    """
+    side = {"s": F.min("lat"), "n": F.max("lat"), "w": F.min("lon"), "e": F.max("lon")}
+    box = (t.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+           .select("card_id", F.explode(F.array(F.col("b"), F.col("b") + 1)).alias("b"), "lat", "lon")
+           .groupBy("card_id", "b").agg(*[c.alias(k) for k, c in side.items()]))
+    along = F.lit(EARTH_RADIUS_KM) * (F.radians(F.col("n") - F.col("s")) + F.radians(F.col("e") - F.col("w")))
+    return (box.filter(along > km * (1 - 1e-6))
+            .select("card_id", F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b")).distinct())
+
+
 def far_candidates(txn: DataFrame, km: float = 500.0, minutes: int = 30, cell_deg: float = 1.0) -> DataFrame:
     """Pairs (payment, place) that J9 takes an exact distance of; one of them is the farthest place of each far cell."""
     w = minutes * MINUTE_US
@@ -168,53 +183,48 @@ def far_candidates(txn: DataFrame, km: float = 500.0, minutes: int = 30, cell_de
     leaf = HULL_STEPS_US[-1]
     t = txn.select("transaction_id", "card_id", "ts", "amount", "lat", "lon",
                    epoch_micros("ts").alias("t_us")).withColumn("b", F.expr(f"t_us div {w}"))
+    t = t.join(_wide_buckets(t, km), ["card_id", "b"], "left_semi")
     cell = lambda c: (F.floor(F.col(c) / cell_deg) + 0.5) * cell_deg  # noqa: E731  (cell centre)
     at = ["card_id", "c_lat", "c_lon"]
+    used = [F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us")]
     places = (t.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
               .groupBy("card_id", F.col("b").alias("pb"), F.floor(F.col("t_us") / leaf).cast("bigint").alias("node"),
                         F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
               .agg(F.min("t_us").alias("first_us"), F.max("t_us").alias("last_us"))
               .withColumn("c_lat", cell("p_lat")).withColumn("c_lon", cell("p_lon")))
-    cells = (places.groupBy("card_id", "pb", "c_lat", "c_lon")
-             .agg(F.min("first_us").alias("c_first"), F.max("last_us").alias("c_last"),
-                  F.max(haversine_km("c_lat", "c_lon", "p_lat", "p_lon", digits=None)).alias("radius")))
+    cells = places.groupBy("card_id", "pb", "c_lat", "c_lon").agg(
+        *used, F.count(F.lit(1)).alias("n"), F.max(haversine_km("c_lat", "c_lon", "p_lat", "p_lon", digits=None)).alias("radius"))
 
     # each cell is offered to its own bucket (used at or before t) and to the
     # next one (last use within w before t)
-    def offer(df):
-        return df.withColumn("shift", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("b", F.col("pb") + F.col("shift"))
-
-    def in_window(first, last):
-        return (F.when(F.col("shift") == 0, F.col(first) <= F.col("t_us"))
-                .otherwise(F.col(last) >= F.col("t_us") - F.lit(w)))
-
+    offers = cells.withColumn("b", F.explode(F.array(F.col("pb"), F.col("pb") + 1)))
+    in_window = (F.col("first_us") <= F.col("t_us")) & (F.col("last_us") >= F.col("t_us") - F.lit(w))
     reach = haversine_km("c_lat", "c_lon", "lat", "lon", digits=None) + F.col("radius")
-    far = (t.join(offer(cells), ["card_id", "b"]).filter(in_window("c_first", "c_last"))
-           .withColumn("reach", reach).filter(F.col("reach") > km)
-           .select("transaction_id", "ts", "amount", "lat", "lon", "t_us", "b", "shift", "reach", *at))
-
-    # the two steps that [t - w, t] cuts: every place, by its times; the whole steps: extreme points
-    convex = far.filter(F.col("reach") <= CONVEX_KM).drop("reach", "shift", "b").distinct()
+    # few places, or beyond a quarter of a great circle, where the farthest place may lie
+    # inside a hull: every place of the bucket
+    bucket = F.when((F.col("reach") > CONVEX_KM) | (F.col("n") <= SMALL_GROUP), F.col("pb"))
+    far = (t.join(offers, ["card_id", "b"]).filter(in_window).withColumn("reach", reach).filter(F.col("reach") > km)
+           .select("transaction_id", "ts", "amount", "lat", "lon", "t_us", *at, bucket.alias("bucket")).distinct())
+
+    # what a payment looks up in a far cell of many places. The two steps that [t - w, t] cuts: every
+    # place, by its times; the whole steps: extreme points. All in one table, by kind of step
+    cut_step, bucket_step = len(HULL_STEPS_US), len(HULL_STEPS_US) + 1
+    step = lambda i, node: F.struct(F.lit(i).alias("step"), node.cast("bigint").alias("node"))
     ends = F.array_distinct(F.array(*[F.floor((F.col("t_us") - F.lit(back)) / leaf).cast("bigint") for back in (w, 0)]))
-    out = ["transaction_id", "card_id", "ts", "amount", "lat", "lon", "p_lat", "p_lon"]
-    cut = (convex.withColumn("node", F.explode(ends)).join(places.drop("pb"), [*at, "node"])
-           .filter((F.col("first_us") <= F.col("t_us")) & (F.col("last_us") >= F.col("t_us") - F.lit(w))).select(*out))
+    steps = F.when(F.col("bucket").isNull(), F.concat(_nodes_inside("t_us", w), F.transform(ends, lambda k: step(cut_step, k))))
+    asked = far.select("*", F.inline(F.coalesce(steps, F.array(step(bucket_step, F.col("bucket")))))).drop("bucket")
+
     point = F.struct("p_lat", "p_lon")
-    base = _extreme_points(places.groupBy(*at, "node").agg(F.collect_set(point).alias("pts")), [*at, "node"])
-    tables = [base.withColumn("step", F.lit(len(HULL_STEPS_US) - 1))]
-    for i in reversed(range(len(HULL_STEPS_US) - 1)):      # a longer step from the extreme points of the shorter ones
-        ratio = HULL_STEPS_US[i] // HULL_STEPS_US[i + 1]
-        base = _extreme_points(base.groupBy(*at, F.floor(F.col("node") / ratio).cast("bigint").alias("node"))
-                               .agg(F.array_distinct(F.flatten(F.collect_list("pts"))).alias("pts")), [*at, "node"])
-        tables.append(base.withColumn("step", F.lit(i)))
-    hull = reduce(DataFrame.unionByName, tables)
-    whole = (convex.withColumn("n", F.explode(_nodes_inside("t_us", w))).select("*", "n.step", "n.node").drop("n")
-             .join(hull, [*at, "step", "node"]).withColumn("p", F.explode("pts")).select("*", "p.p_lat", "p.p_lon").select(*out))
-
-    # beyond a quarter of a great circle the farthest place may lie inside a hull: every place
-    beyond = (far.filter(F.col("reach") > CONVEX_KM).join(offer(places), ["card_id", "b", "shift", "c_lat", "c_lon"])
-              .filter(in_window("first_us", "last_us")).select(*out))
-    return cut.unionByName(whole).unionByName(beyond)
+    each = places.select(*at, "first_us", "last_us", F.array(point).alias("pts"),
+                         F.inline(F.array(step(cut_step, F.col("node")), step(bucket_step, F.col("pb")))))
+    dense = cells.filter(F.col("n") > SMALL_GROUP).select(*at, "pb")
+    leaves = _extreme_points(places.join(dense, [*at, "pb"], "left_semi").groupBy(*at, "node").agg(F.collect_set(point).alias("pts"), *used))
+    # every step from the extreme points of the shortest ones
+    longer = F.array(*[step(i, F.floor(F.col("node") / (u // leaf))) for i, u in enumerate(HULL_STEPS_US)])
+    hull = _extreme_points(leaves.select(*at, "first_us", "last_us", "pts", F.inline(longer)).groupBy(*at, "step", "node")
+                           .agg(F.array_distinct(F.flatten(F.collect_list("pts"))).alias("pts"), *used))
+    return (asked.join(each.unionByName(hull), [*at, "step", "node"]).filter(in_window)
+            .select("transaction_id", "card_id", "ts", "amount", "lat", "lon", F.inline("pts")))
 
 
 def impossible_travel_any(txn: DataFrame, km: float = 500.0, minutes: int = 30,
@@ -223,7 +233,9 @@ def impossible_travel_any(txn: DataFrame, km: float = 500.0, minutes: int = 30,
     card more than ``km`` away within ``minutes`` (not only the neighbour),
     with the largest such distance and the transaction's amount.
 
-    The interval self-join is rewritten as equi-joins.  Payments meet the grid
+    The interval self-join is rewritten as equi-joins.  Only payments of a card
+    whose places in two buckets next to each other span ``km`` take part
+    (a semi-join by (card, bucket)).  They meet the grid
     cells (``cell_deg``) used in their own and the previous ``minutes`` bucket;
     a cell can hold a far place only if ``d(t, centre) + radius > km``
     (triangle inequality).  Inside such a cell a payment meets extreme points

@@ -176,9 +176,9 @@ def rule_set(odd_hour_amount: float = 500.0, limit_ratio: float = 0.6, spend_mul
 RULES = rule_set()
 
 
-def all_flags(txn: DataFrame, rules: dict = RULES) -> DataFrame:
-    """Feature rows plus one boolean per rule and their sum."""
-    f = card_features(txn)
+def all_flags(txn: DataFrame, rules: dict = RULES, **features) -> DataFrame:
+    """Feature rows plus one boolean per rule and their sum (D15); ``features``: options of ``card_features``."""
+    f = card_features(txn, **features)
     flags = {f"flag_{k}": fn(f) for k, fn in rules.items()}
     f = f.withColumns(flags)
     score = sum((F.col(c).cast("int") for c in flags), F.lit(0))

@@ -5,30 +5,34 @@ over a multiple of the prior average (D1), z-score of the amount (D5), a new
 device with a high amount (D11), spend far over the card-holder's monthly
 spend at a new merchant (D8), and an amount near the card's limit (D10).
 
-Rows wait in state, keyed by card and ten-minute bucket of their event time,
-until the watermark passes the bucket's end; an event-time timer then takes
-them in ``(time, id)`` order.  Flags therefore don't depend on how rows were
-cut into micro-batches, nor on the order of rows that are late by less than
-the watermark's delay, and they equal the batch definitions.  A hot card's
-micro-batch is never held whole: its chunks go to their buckets one by one, and
-a timer takes one bucket after the other.  A chunk of few rows waits whole under
-its first bucket, and a card's state is read and written once per timer, since
-every access is a message between two processes.
-
-State of a card
+Rows wait in state, keyed by ten-minute bucket of their event time, until the
+watermark passes the bucket's end; an event-time timer then takes them in
+``(time, id)`` order.  Flags therefore don't depend on how rows were cut into
+micro-batches, nor on the order of rows that are late by less than the
+watermark's delay, and they equal the batch definitions.
+
+A state belongs to a group of cards (a hash of the card; a group may also be one
+card): every access to it is a message between two processes, and a call has a
+fixed cost, so a micro-batch pays both per group, not per card.  A group's state
+is read and written once per timer.  A hot card's micro-batch is never held
+whole: its chunks go to their buckets one by one, and a timer takes one bucket
+after the other.  Few rows wait whole under their first bucket.
+
+State of a group
   ``waiting``   bucket -> rows of it, or of it and later ones, that are not scored yet
-  ``prior``     count, sum and sum of squares of the amounts, in cents
-  ``ring``      day -> count and cents, the last 30 days
-  ``names``     the devices and merchants that the card has used
+  ``prior``     card -> count, sum and sum of squares of the amounts, in cents
+  ``ring``      day -> card -> count and cents, the last 30 days
+  ``names``     card -> the devices and merchants that the card has used, by their number in the group
   ``timer``     the one registered instant
 
-A card without rows for 30 days loses its ring when its timer fires; the fixed
-few numbers of ``prior`` and the names it has used stay, since D1, D5, D8 and
-D11 are defined over the whole past.
+A day leaves the ring 30 days later, so a card without rows for 30 days has none;
+the fixed few numbers of ``prior`` and the names it has used stay, since D1, D5,
+D8 and D11 are defined over the whole past.
 """
 
 from __future__ import annotations
 
+import pickle
 from math import sqrt
 
 import numpy as np
@@ -36,18 +40,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .state import GROUPS
+
 BUCKET_MS = 600_000
 DAY_MS = 86_400_000
 RING_DAYS = 30
-FEW_ROWS = 1_000   # a chunk of so many rows is not split by bucket
+FEW_ROWS = 5_000   # so many rows of a micro-batch are not split by bucket
 OUT_ROWS = 10_000  # rows of an output frame
-UNKNOWN = "\0"  # how a set remembers a NULL name
 
 #: Registered thresholds; the defaults are the published ones.
 DEFAULTS = {"multiple": 3, "z": 3.0, "device_amount": 100.0, "spend_multiple": 3.0, "limit_ratio": 0.6}
 
-INPUT = ("transaction_id", "t_us", "amount", "device_id", "merchant_name", "avg_monthly_spend", "card_limit")
-WAITING = "ids array<string>, t array<long>, amount array<double>, device array<string>, merchant array<string>, spend array<double>, top array<double>"
+INPUT = ("card_id", "transaction_id", "t_us", "amount", "device_id", "merchant_name", "avg_monthly_spend", "card_limit")
 OUTPUT = ("transaction_id string, card_id string, t_us long, amount double, prior_txn_count long, prior_avg_amount double, amount_zscore double, "
           "avg_amount_30d double, over_average boolean, zscore boolean, new_device boolean, spend_spike boolean, near_limit boolean")
 
@@ -56,6 +60,47 @@ def _plain(values: np.ndarray) -> list:
     return [None if v is None or v != v else v for v in values.tolist()]
 
 
+def _packed(value) -> bytes:
+    return pickle.dumps(value, protocol=5)
+
+
+class _Past:
+    """What a group's cards did before, out of the values of ``prior``, ``names`` and ``ring``."""
+
+    def __init__(self, prior, names, ring) -> None:
+        self.prior = pickle.loads(prior[0]) if prior else {}
+        self.numbers, self.used = pickle.loads(names[0]) if names else ({}, {})
+        self.packed = {int(d): v for d, v in zip(*ring)} if ring else {}
+        self.days = {d: pickle.loads(v) for d, v in self.packed.items()}
+        self.earlier = {}  # card -> a day, and the count and cents of the days before it
+        self.renamed = False
+
+    def is_new(self, card, names: tuple) -> list[bool]:
+        """Whether the card uses each of ``names`` (device, merchant) for the first time; from now on it has."""
+        used = self.used.get(card)
+        if used is None:
+            used = self.used[card] = (set(), set())
+        new = []
+        for own, name in zip(used, names):
+            number = self.numbers.setdefault(name, len(self.numbers))
+            new.append(number not in own)
+            own.add(number)
+        self.renamed = self.renamed or True in new
+        return new
+
+    def recent(self, card, day: int, cents: int) -> tuple[int, int]:
+        """Count and cents of the card's last 30 days up to this row, which is added; a card's rows come in the order of time."""
+        earlier = self.earlier.get(card)
+        if earlier is None or earlier[0] != day:
+            own = [x[card] for d, x in self.days.items() if day - RING_DAYS < d < day and card in x]
+            earlier = self.earlier[card] = (day, sum(v[0] for v in own), sum(v[1] for v in own))
+        today = self.days.setdefault(day, {})
+        n, c = today.get(card, (0, 0))
+        today[card] = (n + 1, c + cents)
+        self.packed.pop(day, None)
+        return earlier[1] + n + 1, earlier[2] + c + cents
+
+
 class CardAlertProcessor:
     """See the module text.  ``thresholds`` are those of ``DEFAULTS``."""
 
@@ -64,14 +109,14 @@ class CardAlertProcessor:
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "bucket long", WAITING)
-        self.prior = handle.getValueState("prior", "n long, cents string, squares string")
-        self.ring = handle.getValueState("ring", "day array<long>, n array<long>, cents array<long>")
-        self.names = handle.getValueState("names", "devices array<string>, merchants array<string>")
+        self.waiting = handle.getMapState("waiting", "bucket long", "rows array<binary>")
+        self.prior = handle.getValueState("prior", "cards binary")
+        self.ring = handle.getValueState("ring", "day array<long>, cards array<binary>")
+        self.names = handle.getValueState("names", "cards binary")
         self.timer = handle.getValueState("timer", "at long")
 
     def _wake(self, at: int | None, old: int | None = None) -> None:
-        """One timer a card, at ``at`` (the latest wish wins; None: no timer)."""
+        """One timer a group, at ``at`` (the latest wish wins; None: no timer)."""
         if old is not None:
             self.handle.deleteTimer(old)
         if at is None:
@@ -80,25 +125,35 @@ class CardAlertProcessor:
             self.handle.registerTimer(at)
             self.timer.update((at,))
 
-    def _wait(self, b: int, new: list[list]) -> None:
+    def _wait(self, b: int, rows: list[tuple]) -> None:
         old = self.waiting.getValue((b,))
-        self.waiting.updateValue((b,), tuple(list(o) + n for o, n in zip(old, new)) if old else tuple(new))
+        self.waiting.updateValue((b,), ([*(old[0] if old else ()), _packed(rows)],))
+
+    def _sort_in(self, rows: list[tuple], split: bool) -> int:
+        """Rows go to their buckets, or whole to their first one; the first bucket."""
+        bucket = np.array([r[2] for r in rows], dtype=np.int64) // (BUCKET_MS * 1000)
+        first = int(bucket.min())
+        if split:
+            order = np.argsort(bucket, kind="stable")
+            found, start = np.unique(bucket[order], return_index=True)
+            for b, own in zip(found.tolist(), np.split(order, start[1:])):
+                self._wait(b, [rows[i] for i in own.tolist()])
+        else:
+            self._wait(first, rows)
+        return first
 
     def handleInputRows(self, key, rows, timerValues):
-        first = None
-        for pdf in rows:  # one chunk at a time; its rows go to their buckets
-            bucket = pdf["t_us"].to_numpy(np.int64) // (BUCKET_MS * 1000)
-            new = [_plain(pdf[c].to_numpy(dtype=object)) for c in INPUT]
-            lowest = int(bucket.min())
-            if len(bucket) <= FEW_ROWS:
-                self._wait(lowest, new)
-            else:
-                for b in np.unique(bucket).tolist():
-                    own = np.flatnonzero(bucket == b).tolist()
-                    self._wait(b, [[c[i] for i in own] for c in new])
-            first = lowest if first is None else min(first, lowest)
-        if first is not None:
-            at, old = (first + 1) * BUCKET_MS, self.timer.get()
+        first, new = [], []
+        for pdf in rows:  # one chunk at a time, and what came before it if that is little
+            columns = [_plain(pdf[c].to_numpy(dtype=object)) if c in pdf else [key[0]] * len(pdf) for c in INPUT]
+            new += zip(*columns)
+            if len(new) > FEW_ROWS:
+                first.append(self._sort_in(new, split=True))
+                new = []
+        if new:
+            first.append(self._sort_in(new, split=False))
+        if first:
+            at, old = (min(first) + 1) * BUCKET_MS, self.timer.get()
             # an older wish is an older bucket or the ring's end, which comes after any bucket that waits
             if old is None or at < old[0]:
                 self._wake(at, old[0] if old else None)
@@ -109,63 +164,54 @@ class CardAlertProcessor:
         closed = now // BUCKET_MS  # the buckets before it have ended
         open_ = sorted(int(b[0]) for b in self.waiting.keys())
         due = [b for b in open_ if b < closed]
-        ring = self.ring.get()
-        ring = {int(d): (int(k), int(c)) for d, k, c in zip(*ring)} if ring else {}
-        before = dict(ring)
         left, later = [], open_[len(due):]
+        ring = self.ring.get()
         if due:
-            past, names, out = self.prior.get() or (0, "0", "0"), self.names.get(), []
-            sums = [int(x) for x in past]
-            used = [set(x or ()) for x in names or ((), ())]
-            known = [len(x) for x in used]
+            past, out = _Past(self.prior.get(), self.names.get(), ring), []
             for b, following in zip(due, [*due[1:], closed]):
-                left += zip(*self.waiting.getValue((b,)))
+                for part in self.waiting.getValue((b,))[0]:
+                    left += pickle.loads(part)
                 self.waiting.removeKey((b,))
                 end = following * BUCKET_MS * 1000  # no entry behind this one has rows before it
-                ready = sorted((r for r in left if r[1] < end), key=lambda r: (r[1], r[0]))
-                left = [r for r in left if r[1] >= end]
+                ready = sorted((r for r in left if r[2] < end), key=lambda r: (r[2], r[1]))
+                left = [r for r in left if r[2] >= end]
                 for r in ready:
-                    out.append(self._score(key[0], r, sums, used, ring))
+                    out.append(self._score(r, past))
                     if len(out) == OUT_ROWS:
                         yield self._frame(out)
                         out = []
             if out:
                 yield self._frame(out)
-            self.prior.update((sums[0], str(sums[1]), str(sums[2])))
-            if known != [len(x) for x in used]:
-                self.names.update(tuple(sorted(x) for x in used))
+            self.prior.update((_packed(past.prior),))
+            if past.renamed:
+                self.names.update((_packed((past.numbers, past.used)),))
             if left:  # rows of buckets that are still open
-                b = min(int(r[1]) for r in left) // (BUCKET_MS * 1000)
-                self._wait(b, [list(c) for c in zip(*left)])
+                b = min(r[2] for r in left) // (BUCKET_MS * 1000)
+                self._wait(b, left)
                 later = sorted({b, *later})
-        ring = {d: v for d, v in ring.items() if (d + RING_DAYS) * DAY_MS > now}
-        if not ring:
+            held = {d: past.packed.get(d) or _packed(x) for d, x in past.days.items()}
+        else:
+            held = {int(d): v for d, v in zip(*ring)} if ring else {}
+        kept = {d: held[d] for d in sorted(held) if (d + RING_DAYS) * DAY_MS > now}
+        if not kept:
             self.ring.clear()
-        elif ring != before:
-            days = sorted(ring)
-            self.ring.update((days, [ring[d][0] for d in days], [ring[d][1] for d in days]))
-        self._wake((later[0] + 1) * BUCKET_MS if later else (max(ring) + RING_DAYS) * DAY_MS if ring else None)
+        elif due or len(kept) < len(held):
+            self.ring.update(([*kept], [*kept.values()]))
+        self._wake((later[0] + 1) * BUCKET_MS if later else (max(kept) + RING_DAYS) * DAY_MS if kept else None)
 
-    def _score(self, card, row, sums, used, ring):
-        """One row's flags; ``sums`` (count, cents, squares), the names ``used`` and ``ring`` are updated in place."""
+    def _score(self, row: tuple, past: _Past) -> tuple:
+        """One row's flags; the row is added to ``past``."""
         limits = self.thresholds
-        id_, t, amount, device, merchant, spend, top = row
-        n, cents, squares = sums
+        card, id_, t, amount, device, merchant, spend, top = row
+        n, cents, squares = past.prior.get(card, (0, 0, 0))
         c = int(np.floor(abs(amount) * 100 + 0.5)) * (1 if amount >= 0 else -1)
-        new = []
-        for names, name in zip(used, (device, merchant)):
-            name = UNKNOWN if name is None else name
-            new.append(name not in names)
-            names.add(name)
+        new = past.is_new(card, (device, merchant))
         average = cents / (100.0 * n) if n else None
         deviation = sqrt(float(n * squares - cents * cents) / float(n * (n - 1))) / 100.0 if n >= 2 else 0.0
         z = (amount - average) / deviation if deviation else None
-        day = t // (DAY_MS * 1000)
-        own = ring.get(day, (0, 0))
-        ring[day] = (own[0] + 1, own[1] + c)
-        recent = [v for d, v in ring.items() if day - RING_DAYS < d <= day]
-        sums[:] = n + 1, cents + c, squares + c * c
-        return (id_, card, t, amount, n, average, z, sum(v[1] for v in recent) / (100.0 * sum(v[0] for v in recent)),
+        recent = past.recent(card, t // (DAY_MS * 1000), c)
+        past.prior[card] = (n + 1, cents + c, squares + c * c)
+        return (id_, card, t, amount, n, average, z, recent[1] / (100.0 * recent[0]),
                 n > 0 and c * n > limits["multiple"] * cents, z is not None and z > limits["z"], new[0] and amount > limits["device_amount"],
                 new[1] and spend is not None and amount > limits["spend_multiple"] * spend,
                 top is not None and top > 0 and amount >= limits["limit_ratio"] * top)
@@ -182,8 +228,11 @@ class CardAlertProcessor:
         pass
 
 
-def card_scores(decoded: DataFrame, **thresholds: float) -> DataFrame:
-    """Every transaction of the stream ``decoded`` (watermark on ``timestamp``) with its baselines and flags, once its bucket has closed."""
+def card_scores(decoded: DataFrame, groups: int | None = None, **thresholds: float) -> DataFrame:
+    """Every transaction of the stream ``decoded`` (watermark on ``timestamp``) with its baselines and flags, once its bucket has closed.
+
+    The cards share ``groups`` states; without it every card has its own.
+    """
     import sys
 
     from pyspark import cloudpickle
@@ -197,14 +246,16 @@ def card_scores(decoded: DataFrame, **thresholds: float) -> DataFrame:
 
     src = decoded.select("card_id", "transaction_id", F.unix_micros("timestamp").alias("t_us"), F.col("amount").cast("double").alias("amount"), "device_id", "merchant_name",
                          F.col("avg_monthly_spend").cast("double").alias("avg_monthly_spend"), F.col("card_limit").cast("double").alias("card_limit"), "timestamp")
-    return src.groupBy("card_id").transformWithStateInPandas(
+    if groups:
+        src = src.withColumn("card_group", F.pmod(F.xxhash64("card_id"), F.lit(groups)))
+    return src.groupBy("card_group" if groups else "card_id").transformWithStateInPandas(
         statefulProcessor=_Processor({**DEFAULTS, **thresholds}), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime")
 
 
 RULES = ("over_average", "zscore", "new_device", "spend_spike", "near_limit")
 
 
-def card_alerts(decoded: DataFrame, **thresholds: float) -> DataFrame:
+def card_alerts(decoded: DataFrame, groups: int | None = GROUPS, **thresholds: float) -> DataFrame:
     """The flagged rows of ``card_scores`` with the names of their rules."""
     named = F.array_compact(F.array(*[F.when(F.col(r), F.lit(r)) for r in RULES]))
-    return card_scores(decoded, **thresholds).withColumn("rules", F.array_join(named, ",")).where(F.col("rules") != "").drop(*RULES)
+    return card_scores(decoded, groups, **thresholds).withColumn("rules", F.array_join(named, ",")).where(F.col("rules") != "").drop(*RULES)

@@ -1,6 +1,7 @@
 """Work that must not grow faster than the input: replay slices, message encoding, keyed state, numbered log."""
 
 import pickle
+import random
 from collections import Counter
 
 import numpy as np
@@ -165,6 +166,45 @@ def test_alert_state_accesses_do_not_grow_with_rows():
     accesses(6000, 2_000_000)                                                   # a hot card: split by bucket
 
 
+def test_alert_state_accesses_do_not_grow_with_cards():
+    rnd = random.Random(5)
+    minute = 60_000_000
+
+    def rows(n_cards):
+        return [(f"c{k}", f"t{k:03d}_{i:02d}", i * 40 * minute * 24 + rnd.randrange(30) * minute, float(rnd.choice([5, 12.5, 90, 400])),
+                 rnd.choice([None, f"d{k}", f"d{k}x"]), rnd.choice([None, "m0", "m1", "d0"]), rnd.choice([None, 1.0]), 10.0) for k in range(n_cards) for i in range(50)]
+
+    def played(batches, key):
+        """Each batch, then the timer behind its last row; then all that waits, and the end of the ring."""
+        h, p = Handle(), detect.CardAlertProcessor(dict(detect.DEFAULTS))
+        p.init(h)
+        out = []
+        ends = [max(r[2] for r in b) // 1000 - 900_000 for b in batches]
+        for b, end in zip([*batches, None, None], [*ends, ends[-1] + 3_600_000, ends[-1] + 40 * detect.DAY_MS]):
+            if b:
+                list(p.handleInputRows(key, iter([pd.DataFrame(b, columns=detect.INPUT)]), None))
+            assert len(h.timers) == 1
+            at = min(h.timers)
+            if at <= end:
+                out += [r for f in p.handleExpiredTimer(key, Now(end), None) for r in f.astype(object).itertuples(index=False)]
+                h.timers.discard(at)                                             # as Spark does once it is handled
+        assert p.ring.value is None and not p.waiting.values and not h.timers
+        return {r.transaction_id: tuple(None if v is pd.NA else v for v in r) for r in out}, sum(h.calls.values())
+
+    all_rows = rows(40)
+    rnd.shuffle(all_rows)
+    order = sorted(all_rows, key=lambda r: r[2] + rnd.randrange(14) * minute)     # late by less than the delay
+    batches = [order[i:i + 400] for i in range(0, len(order), 400)]
+    got, calls = played(batches, (7,))
+    want, single = {}, 0
+    for card in sorted({r[0] for r in order}):
+        own, n = played([b for b in ([r for r in b if r[0] == card] for b in batches) if b], (card,))
+        want |= own
+        single = max(single, n)
+    assert len(got) == 2000 and got == want and any(r[-4] for r in got.values())
+    assert calls <= 20 * (len(batches) + 2) and single <= 20 * (len(batches) + 2)
+
+
 def frame(rows):
     return pd.DataFrame(rows, columns=["card_id", "transaction_id", "t_us", "location_lat", "location_lon", "merchant_name"])
 

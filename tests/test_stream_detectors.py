@@ -91,6 +91,18 @@ def test_alerts_name_their_rules(spark, shuffled):
     assert "zscore" not in " ".join(found.values())
 
 
+def test_cards_share_states_in_groups(spark, shuffled):
+    rows, slices = shuffled
+    got, _, checkpoint = play(spark, detect.card_alerts(stream(spark, slices), groups=2))
+    want = {i: ",".join(name for name, flag in zip(detect.RULES, f[3:]) if flag) for i, f in plain(rows, max(r[2] for r in rows) - timedelta(minutes=30)).items()}
+    assert {r["transaction_id"]: r["rules"] for r in got.collect()} == {i: names for i, names in want.items() if names}
+
+    def keys(name):
+        return {r[0] for r in spark.read.format("statestore").option("stateVarName", name).load(checkpoint).select("key.card_group").collect()}
+
+    assert keys("prior") <= {0, 1} and keys("ring") <= keys("names") <= keys("prior")
+
+
 def removed(q):
     return sum(op.numRowsRemoved for p in q.recentProgress for op in p.stateOperators)
 
